@@ -1 +1,139 @@
-"""Registered queries."""
+"""Registered queries: market data (bars, freshness, fallback, index, financials)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.text import fmt_money
+from ..operators import market as mk
+from ..plans import market as pm
+from ..sources import fixtures
+from ..sources.tables import read_table
+from . import register
+
+R6 = 6
+
+
+@register("x1_ohlc_bars_batch", """
+select * from prices_live
+""", ("prices_live",))
+def x1_ohlc_bars_batch(spark, sf):
+    return pm.live_bars(spark, sf)
+
+
+@register("x2_quote_freshness", """
+select company_id, last_ts, last_price, (epoch_us(a.as_of_ts) - epoch_us(last_ts)) / 1e6 as age_seconds,
+       (epoch_us(a.as_of_ts) - epoch_us(last_ts)) / 1e6 <= 3600 as is_fresh
+from (select printf('HK_%05d', user_id) as company_id, max(ts) as last_ts,
+             arg_max(value, row(ts, event_id)) as last_price
+      from events where event_type <> 'error' group by 1) q,
+     (select max(ts) as as_of_ts from events) a
+""")
+def x2_quote_freshness(spark, sf):
+    ev = read_table(spark, sf, "events")
+    as_of = ev.agg(F.max("ts")).first()[0]
+    latest = mk.latest_quotes(ev.where(F.col("event_type") != "error"), key=fixtures.company_id(F.col("user_id")),
+                              tiebreak="event_id")
+    return mk.freshness(latest, F.lit(as_of).cast("timestamp_ntz"))
+
+
+@register("w2_price_index", f"""
+select company_id, step, round(100e0 * exp(sum(ln(1e0 + ret)) over (partition by company_id order by step
+                                rows between unbounded preceding and current row)), {R6}) as price
+from fallback_returns
+""", ("fallback_returns",))
+def w2_price_index(spark, sf):
+    idx = mk.cumulative_index(fixtures.fallback_returns(spark, sf), key="company_id", order="step")
+    return idx.select("company_id", "step", F.round("price", R6).alias("price"))
+
+
+@register("c20_date_series", """
+select f.company_id, a.as_of + to_days(cast(f.step - 89 as integer)) as ts
+from fallback_returns f, as_of a
+""", ("fallback_returns", "as_of"))
+def c20_date_series(spark, sf):
+    return pm.fallback_bars(spark, sf).select("company_id", "ts")
+
+
+@register("c19_report_date", """
+select strftime(as_of, '%Y-%m-%d') as report_date from as_of
+""", ("as_of",))
+def c19_report_date(spark, sf):
+    ev = read_table(spark, sf, "events")
+    return ev.agg(F.date_format(F.max(F.date_trunc("day", F.col("ts"))), "yyyy-MM-dd").alias("report_date"))
+
+
+@register("j7_live_else_fallback", f"""
+select company_id, ts, round(open, {R6}) as open, round(high, {R6}) as high, round(low, {R6}) as low,
+       round(close, {R6}) as close, is_real
+from prices_all
+""", ("prices_all",))
+def j7_live_else_fallback(spark, sf):
+    p = pm.prices(spark, sf)
+    return p.select("company_id", "ts", *[F.round(c, R6).alias(c) for c in ("open", "high", "low", "close")], "is_real")
+
+
+@register("f8_last_six_months", """
+select company_id, count(*) as n_points from prices_all, as_of
+where ts >= as_of - interval 6 month group by company_id
+""", ("prices_all", "as_of"))
+def f8_last_six_months(spark, sf):
+    r = mk.recent(pm.prices(spark, sf), pm.as_of_day(spark, sf))
+    return r.groupBy("company_id").agg(F.count(F.lit(1)).alias("n_points"))
+
+
+@register("r15_price_trend", f"""
+select company_id, ts, round(close, {R6}) as close, is_real from prices_all, as_of
+where ts >= as_of - interval 6 month
+""", ("prices_all", "as_of"))
+def r15_price_trend(spark, sf):
+    return pm.price_trend(spark, sf).withColumn("close", F.round("close", R6))
+
+
+def _money(col: str) -> str:
+    from .layers import rnd
+
+    return (f"case when {col} is null or {col} = 0 then 'N/A' "
+            f"when {col} > 1e9 then printf('%.2f B', {rnd(f'{col} / 1e9', 2)}) "
+            f"else format('{{:,.0f}}', {rnd(col, 0)}) end")
+
+
+@register("c17_money_format", f"""
+select company_id, {_money('revenue')} as revenue, {_money('net_income')} as net_income,
+       {_money('total_debt')} as total_debt, {_money('cash')} as cash
+from financials_all
+""", ("financials_all",))
+def c17_money_format(spark, sf):
+    f = pm.financials(spark, sf)
+    return f.select("company_id", *[fmt_money(c).alias(c) for c in ("revenue", "net_income", "total_debt", "cash")])
+
+
+@register("r14_financials_table", f"""
+select company_id, 0 as item_pos, 'Total Revenue' as item, {_money('revenue')} as value from financials_all
+union all select company_id, 1, 'Net Income', {_money('net_income')} from financials_all
+union all select company_id, 2, 'Total Debt', {_money('total_debt')} from financials_all
+union all select company_id, 3, 'Cash', {_money('cash')} from financials_all
+""", ("financials_all",))
+def r14_financials_table(spark, sf):
+    return mk.financials_table(pm.financials(spark, sf))
+
+
+@register("j5_ticker_lookup", """
+select printf('HK_%05d', c_custkey) as company_id,
+       coalesce(case printf('HK_%05d', c_custkey) when 'HK_00000' then '700.HK' when 'HK_00001' then '5.HK'
+                when 'HK_00002' then '1299.HK' when 'HK_00003' then '3690.HK' when 'HK_00004' then '9988.HK'
+                when 'HK_00005' then '388.HK' end, '700.HK') as ticker
+from customer
+""")
+def j5_ticker_lookup(spark, sf):
+    c = read_table(spark, sf, "customer").select(fixtures.company_id(F.col("c_custkey")).alias("company_id"))
+    return c.select("company_id", mk.ticker_for("company_id").alias("ticker"))
+
+
+@register("s17_company_info", """
+select company_id, name, currency, is_real from financials_all
+""", ("financials_all",))
+def s17_company_info(spark, sf):
+    return pm.company_info(spark, sf)
+
+

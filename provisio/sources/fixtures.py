@@ -159,7 +159,8 @@ def fallback_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def financials_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live financial statement items for companies that are on the live feed
     (customers that are also event users)."""
-    users = read_table(spark, sf_dir, "events").select(F.col("user_id").alias("c_custkey")).distinct()
+    users = (read_table(spark, sf_dir, "events").where(F.col("event_type") != "error")
+             .select(F.col("user_id").alias("c_custkey")).distinct())
     orders = read_table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice", "o_orderstatus")
     customers = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
     live = customers.join(users, "c_custkey", "left_semi")
