@@ -29,7 +29,7 @@ STATUS_DEFAULT_MAP = {
 GRADE_TO_FICO = {"A": 750, "B": 700, "C": 650, "D": 600, "E": 550, "F": 500, "G": 450}
 FICO_DEFAULT = 680
 FICO_MIN, FICO_MAX = 300, 850
-DEBT_FROM_INSTALLMENT = 1.5 * 12   # annual debt estimate when no DTI column exists
+DEBT_INSTALLMENT_FACTOR, MONTHS_PER_YEAR = 1.5, 12   # annual debt estimate when no DTI column exists
 
 
 def _numeric(df: DataFrame, name: str) -> Column:
@@ -152,7 +152,7 @@ def loader_a(landing: DataFrame, *, sample: int | None = None, seed: int = 42) -
     if "dti" in cols:
         debt = _numeric(flagged, "dti") / 100.0 * income
     else:
-        debt = _numeric(flagged, "installment") * F.lit(DEBT_FROM_INSTALLMENT)
+        debt = _numeric(flagged, "installment") * F.lit(DEBT_INSTALLMENT_FACTOR) * F.lit(MONTHS_PER_YEAR)
     step = flagged.select("*", income.alias("_income"), debt.alias("_debt_raw"))
     med_debt = _median_scalar(step, "_debt_raw")
     if {"fico_range_low", "fico_range_high"} <= cols:

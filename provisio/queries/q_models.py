@@ -1 +1,83 @@
-"""Registered queries."""
+"""Registered queries: split, evaluation, trained models."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import evaluate, features as feat, score
+from ..plans import models
+from . import register
+
+R12 = 12
+
+
+@register("m3_stratified_split", """
+select loan_id, default_flag, is_test from split_b
+""", ("split_b",))
+def m3_stratified_split(spark, sf):
+    return models.split_b(spark, sf).select("loan_id", "default_flag", "is_test")
+
+
+@register("m7_auc", f"""
+with g as (select s, sum(y) as p, count(*) - sum(y) as n from test_b where s is not null group by s),
+c as (select *, sum(n) over (order by s rows between unbounded preceding and current row) - n as n_below from g)
+select round(sum(p * (n_below + n * 0.5e0)) / (sum(p) * sum(n)), {R12}) as auc from c
+""", ("test_b",))
+def m7_auc(spark, sf):
+    return evaluate.auc(models.evaluation_b(spark, sf), "s", "y").select(F.round("auc", R12).alias("auc"))
+
+
+@register("m8_confusion_counts", """
+select y as label, yhat as prediction, count(*) as n from test_b group by 1, 2
+""", ("test_b",))
+def m8_confusion_counts(spark, sf):
+    return evaluate.confusion_counts(models.evaluation_b(spark, sf), "y", "yhat")
+
+
+@register("m9_classification_report", f"""
+with c as (select cast(count_if(y = 1 and yhat = 1) as bigint) as tp, cast(count_if(y = 0 and yhat = 1) as bigint) as fp,
+                  cast(count_if(y = 1 and yhat = 0) as bigint) as fn, cast(count_if(y = 0 and yhat = 0) as bigint) as tn
+           from test_b),
+m as (select *,
+        coalesce(tp::double / nullif(tp + fp, 0), 0) as p1, coalesce(tp::double / nullif(tp + fn, 0), 0) as r1,
+        coalesce(tn::double / nullif(tn + fn, 0), 0) as p0, coalesce(tn::double / nullif(tn + fp, 0), 0) as r0,
+        tp + fn as s1, tn + fp as s0 from c),
+f as (select *, coalesce(2 * p1 * r1 / nullif(p1 + r1, 0), 0) as f1, coalesce(2 * p0 * r0 / nullif(p0 + r0, 0), 0) as f0,
+             s0 + s1 as n from m)
+select 'No Default' as class, round(p0, {R12}) as precision, round(r0, {R12}) as recall, round(f0, {R12}) as f1_score, s0 as support from f
+union all select 'Default', round(p1, {R12}), round(r1, {R12}), round(f1, {R12}), s1 from f
+union all select 'accuracy', null, null, round(coalesce((tp + tn)::double / nullif(n, 0), 0), {R12}), n from f
+union all select 'macro avg', round((p0 + p1) / 2, {R12}), round((r0 + r1) / 2, {R12}), round((f0 + f1) / 2, {R12}), n from f
+union all select 'weighted avg', round(coalesce((p0 * s0 + p1 * s1) / nullif(n, 0), 0), {R12}),
+                 round(coalesce((r0 * s0 + r1 * s1) / nullif(n, 0), 0), {R12}),
+                 round(coalesce((f0 * s0 + f1 * s1) / nullif(n, 0), 0), {R12}), n from f
+""", ("test_b",))
+def m9_classification_report(spark, sf):
+    r = evaluate.classification_report(models.evaluation_b(spark, sf), "y", "yhat")
+    return r.select("class", *[F.round(c, R12).alias(c) for c in ("precision", "recall", "f1_score")], "support")
+
+
+@register("m4_logistic_fit")
+def m4_logistic_fit(spark, sf):
+    model, _ = models.logistic_b(spark, sf)
+    rows = [("intercept", float(model.intercept))] + [
+        (f, float(c)) for f, c in zip(feat.B_MODEL_FEATURES, model.coefficients.toArray())]
+    return spark.createDataFrame(rows, "feature string, coefficient double")
+
+
+@register("m5_score_all_trained")
+def m5_score_all_trained(spark, sf):
+    return models.scored_by_model_b(spark, sf).select("loan_id", "pd_12m", "default_flag", "is_test")
+
+
+@register("m11_gbt_scores")
+def m11_gbt_scores(spark, sf):
+    model, split = models.gbt_sme(spark, sf)
+    scored = score.score_with_model(model, split, score.SME_MODEL_FEATURES, out="predicted_default_prob")
+    return scored.select("company_id", "predicted_default_prob", "true_label", "is_test")
+
+
+@register("m7_auc_trained")
+def m7_auc_trained(spark, sf):
+    s = models.scored_by_model_b(spark, sf).where(F.col("is_test"))
+    return evaluate.auc(s, "pd_12m", "default_flag")

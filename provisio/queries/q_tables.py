@@ -1 +1,279 @@
-"""Registered queries."""
+"""Registered queries: sources, sinks, catalog and checks (S-*), loader A."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import checks, clean, features as feat, reports
+from ..plans import book_a, book_b
+from ..session import scratch_path
+from ..sources import tables
+from . import register
+from .layers import STATUS_FLAG
+
+
+def _loaded_a(spark, sf):
+    return clean.loader_a(book_b.landing(spark, sf))
+
+
+@register("s13_load_profile", """
+select count(*) as row_count, avg(default_flag) as default_rate, round(avg(fico_score), 6) as avg_fico,
+       round(avg(income), 6) as avg_income, round(avg(loan_amount), 6) as avg_loan_amount
+from loaded_a
+""", ("loaded_a",))
+def s13_load_profile(spark, sf):
+    p = reports.load_profile(_loaded_a(spark, sf))
+    return p.select("row_count", "default_rate", *[F.round(c, 6).alias(c) for c in ("avg_fico", "avg_income",
+                                                                                     "avg_loan_amount")])
+
+
+@register("a7_default_rate", """
+select round(avg(default_flag), 12) as default_rate from raw_loans
+""", ("raw_loans",))
+def a7_default_rate(spark, sf):
+    return book_a.raw(spark, sf).agg(F.round(F.avg("default_flag"), 12).alias("default_rate"))
+
+
+@register("a6_pd_min_max_mean", """
+select round(min(pd), 9) as min_pd, round(max(pd), 9) as max_pd, round(avg(pd), 9) as avg_pd from scored_a
+""", ("scored_a",))
+def a6_pd_min_max_mean(spark, sf):
+    s = reports.pd_summary(book_a.scored(spark, sf))
+    return s.select(*[F.round(c, 9).alias(c) for c in s.columns])
+
+
+@register("a8_exact_median", """
+select median(annual_inc) as median_income, median(loan_amnt) as median_amount from raw_landing_zone
+""", ("raw_landing_zone",))
+def a8_exact_median(spark, sf):
+    from ..operators.ordered import exact_median
+
+    land = book_b.landing(spark, sf)
+    inc = exact_median(land, "annual_inc", out="median_income").first()[0]
+    amt = exact_median(land, "loan_amnt", out="median_amount").first()[0]
+    return spark.createDataFrame([(inc, amt)], "median_income double, median_amount double")
+
+
+@register("c14_median_fill", """
+select loan_id, income, round(total_debt, 6) as total_debt, loan_amount from loaded_a
+""", ("loaded_a",))
+def c14_median_fill(spark, sf):
+    return _loaded_a(spark, sf).select("loan_id", "income", F.round("total_debt", 6).alias("total_debt"), "loan_amount")
+
+
+@register("f3_quality_filter_a", """
+select loan_id, fico_score from loaded_a
+""", ("loaded_a",))
+def f3_quality_filter_a(spark, sf):
+    return _loaded_a(spark, sf).select("loan_id", "fico_score")
+
+
+@register("p21_status_default_map", f"""
+select id, loan_status, coalesce({STATUS_FLAG}, 0) as default_flag from raw_landing_zone
+""", ("raw_landing_zone",))
+def p21_status_default_map(spark, sf):
+    land = book_b.landing(spark, sf)
+    m = clean._literal_map(clean.STATUS_DEFAULT_MAP)
+    return land.select("id", "loan_status", F.coalesce(m[F.col("loan_status")], F.lit(0)).alias("default_flag"))
+
+
+@register("p10_fico_midpoint_a", """
+select 'LOAN_' || cast(id as varchar) as loan_id,
+       cast(floor(coalesce((fico_range_low + fico_range_high) / 2e0, 680e0)) as integer) as fico_score
+from raw_landing_zone
+""", ("raw_landing_zone",))
+def p10_fico_midpoint_a(spark, sf):
+    land = book_b.landing(spark, sf)
+    fico = F.coalesce((F.col("fico_range_low") + F.col("fico_range_high")) / 2, F.lit(680.0))
+    return land.select(F.concat(F.lit("LOAN_"), F.col("id").cast("string")).alias("loan_id"),
+                       F.floor(fico).cast("int").alias("fico_score"))
+
+
+@register("p11_fico_from_grade", """
+select loan_id, fico_score from (
+  select 'LOAN_' || cast(id as varchar) as loan_id,
+         coalesce(case grade when 'A' then 750 when 'B' then 700 when 'C' then 650 when 'D' then 600
+                  when 'E' then 550 when 'F' then 500 when 'G' then 450 end, 680) as fico_score,
+         coalesce(annual_inc, (select median(annual_inc) from raw_landing_zone)) as income,
+         coalesce(loan_amnt, (select median(loan_amnt) from raw_landing_zone)) as loan_amount
+  from raw_landing_zone) t
+where income > 0 and loan_amount > 0
+""", ("raw_landing_zone",))
+def p11_fico_from_grade(spark, sf):
+    land = book_b.landing(spark, sf).drop("fico_range_low", "fico_range_high")
+    return clean.loader_a(land).select("loan_id", "fico_score")
+
+
+@register("p23_total_debt_estimate", """
+select loan_id, round(total_debt, 6) as total_debt from (
+  select 'LOAN_' || cast(id as varchar) as loan_id,
+         coalesce(installment * 1.5e0 * 12, (select median(installment * 1.5e0 * 12) from raw_landing_zone)) as total_debt,
+         coalesce(annual_inc, (select median(annual_inc) from raw_landing_zone)) as income,
+         coalesce(loan_amnt, (select median(loan_amnt) from raw_landing_zone)) as loan_amount,
+         coalesce((fico_range_low + fico_range_high) / 2e0, 680e0) as fico
+  from raw_landing_zone) t
+where income > 0 and loan_amount > 0 and fico >= 300 and fico <= 850
+""", ("raw_landing_zone",))
+def p23_total_debt_estimate(spark, sf):
+    land = book_b.landing(spark, sf).drop("dti")
+    return clean.loader_a(land).select("loan_id", F.round("total_debt", 6).alias("total_debt"))
+
+
+@register("p22_loan_ids", """
+select printf('LOAN_%06d', o_orderkey + 1) as padded_id, 'LOAN_' || cast(o_orderkey as varchar) as plain_id,
+       printf('HK_%05d', o_custkey) as company_id
+from orders
+""")
+def p22_loan_ids(spark, sf):
+    from ..functions.text import padded_id
+
+    o = tables.read_table(spark, sf, "orders")
+    return o.select(padded_id("LOAN_", F.col("o_orderkey") + 1, 6).alias("padded_id"),
+                    F.concat(F.lit("LOAN_"), F.col("o_orderkey").cast("string")).alias("plain_id"),
+                    padded_id("HK_", "o_custkey", 5).alias("company_id"))
+
+
+@register("s3_seeded_sample", """
+select id from raw_landing_zone order by md5(concat_ws(':', '42', cast(id as varchar))), id limit 1000
+""", ("raw_landing_zone",))
+def s3_seeded_sample(spark, sf):
+    return tables.sample_n(book_b.landing(spark, sf), "id", 1000, seed=42).select("id")
+
+
+@register("s2_first_chunk", """
+select * from raw_landing_zone order by id limit 50000
+""", ("raw_landing_zone",))
+def s2_first_chunk(spark, sf):
+    return tables.head_n(book_b.landing(spark, sf), "id", 50000)
+
+
+@register("k6_first_rows_preview", """
+select * from loaded_a order by loan_id limit 5
+""", ("loaded_a",))
+def k6_first_rows_preview(spark, sf):
+    return tables.head_n(_loaded_a(spark, sf), "loan_id", 5)
+
+
+@register("c12_truncating_cast", """
+select loan_id, cast(trunc(loan_amount) as bigint) as whole_amount, cast(trunc(-loan_amount) as bigint) as neg_whole
+from raw_loans
+""", ("raw_loans",))
+def c12_truncating_cast(spark, sf):
+    r = book_a.raw(spark, sf)
+    return r.select("loan_id", F.col("loan_amount").cast("long").alias("whole_amount"),
+                    (-F.col("loan_amount")).cast("long").alias("neg_whole"))
+
+
+@register("s4_parquet_scan", """
+select 'orders' as table_name, count(*) as row_count, round(sum(o_totalprice), 2) as checksum from orders
+union all select 'customer', count(*), round(sum(c_acctbal), 2) from customer
+union all select 'events', count(*), round(sum(value), 2) from events
+""")
+def s4_parquet_scan(spark, sf):
+    parts = []
+    for name, col in (("orders", "o_totalprice"), ("customer", "c_acctbal"), ("events", "value")):
+        t = tables.read_table(spark, sf, name)
+        parts.append(t.agg(F.count(F.lit(1)).alias("row_count"), F.round(F.sum(col), 2).alias("checksum"))
+                     .select(F.lit(name).alias("table_name"), "row_count", "checksum"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("s6_landing_dump", """
+select * from raw_landing_zone
+""", ("raw_landing_zone",))
+def s6_landing_dump(spark, sf):
+    path = tables.land(book_b.landing(spark, sf), name="raw_landing_zone")
+    return spark.read.parquet(path)
+
+
+@register("s7_overwrite_load", """
+select loan_id, round(pd_12m, 9) as pd_12m, round(pd_lifetime, 9) as pd_lifetime, model_version from predictions_b
+""", ("predictions_b",))
+def s7_overwrite_load(spark, sf):
+    path = scratch_path(spark, "loan_predictions")
+    preds = book_b.predictions(spark, sf)
+    tables.land(preds.limit(0), path)            # an earlier version of the table …
+    tables.land(preds, path)                     # … replaced by the overwrite load
+    back = spark.read.parquet(path)
+    return back.select("loan_id", F.round("pd_12m", 9).alias("pd_12m"), F.round("pd_lifetime", 9).alias("pd_lifetime"),
+                       "model_version")
+
+
+@register("s8_ctas_features_a", """
+select * from features_a
+""", ("features_a",))
+def s8_ctas_features_a(spark, sf):
+    path = tables.land(book_a.features(spark, sf), name="model_features")
+    return spark.read.parquet(path)
+
+
+@register("s10_idempotent_rebuild", """
+select count(*) as row_count from clean_loans_b
+""", ("clean_loans_b",))
+def s10_idempotent_rebuild(spark, sf):
+    path = scratch_path(spark, "clean_loans")
+    for _ in range(2):                            # running the build twice gives the same table
+        tables.land(book_b.cleaned(spark, sf), path)
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@register("s11_catalog_check")
+def s11_catalog_check(spark, sf):
+    tables.drop_if_exists(spark, "clean_loans")
+    tables.materialise_view(book_b.cleaned(spark, sf), "clean_loans")
+    tables.materialise_view(book_b.features(spark, sf), "model_features")
+    return tables.layer_objects(spark, ["clean_loans", "model_features", "raw_landing_zone"])
+
+
+@register("s12_layer_row_counts", """
+select 'raw_loans' as layer, count(*) as row_count from raw_loans
+union all select 'model_features', count(*) from features_a
+union all select 'loan_predictions', count(*) from scored_a
+union all select 'loan_staging', count(*) from staging_a
+""", ("staging_a",))
+def s12_layer_row_counts(spark, sf):
+    return reports.layer_counts({"raw_loans": book_a.raw(spark, sf), "model_features": book_a.features(spark, sf),
+                                 "loan_predictions": book_a.scored(spark, sf), "loan_staging": book_a.staged(spark, sf)})
+
+
+@register("s14_layer_schema")
+def s14_layer_schema(spark, sf):
+    from ..schemas import LOAN_STAGING_A, schema_report
+
+    return schema_report(book_a.staged(spark, sf), LOAN_STAGING_A)
+
+
+@register("s15_key_violations", """
+select 'raw_landing_zone.sub_grade' as key_name, count(*) as duplicate_keys, coalesce(max(n), 0) as max_multiplicity
+from (select sub_grade, count(*) as n from raw_landing_zone group by sub_grade having count(*) > 1) t
+union all
+select 'raw_loans.loan_id', count(*), coalesce(max(n), 0)
+from (select loan_id, count(*) as n from raw_loans group by loan_id having count(*) > 1) t
+""", ("raw_landing_zone", "raw_loans"))
+def s15_key_violations(spark, sf):
+    a = checks.key_violation_summary(book_b.landing(spark, sf), ["sub_grade"], "raw_landing_zone.sub_grade")
+    b = checks.key_violation_summary(book_a.raw(spark, sf), ["loan_id"], "raw_loans.loan_id")
+    return a.unionByName(b)
+
+
+@register("s1_csv_scan")
+def s1_csv_scan(spark, sf):
+    from ..schemas import LANDING_CSV
+
+    path = scratch_path(spark, "landing_csv")
+    book_b.landing(spark, sf).write.option("header", True).csv(path)
+    return tables.read_loans_csv(spark, path, LANDING_CSV)
+
+
+@register("j9_bins_range_join", """
+select loan_id, case when fico_score < 580 then 'Poor' when fico_score < 670 then 'Fair'
+                     when fico_score < 740 then 'Good' else 'Excellent' end as fico_category
+from raw_loans
+""", ("raw_loans",))
+def j9_bins_range_join(spark, sf):
+    bins = feat.bins_table(spark, feat.A_FICO_BINS, name="fico_a", otherwise=feat.A_FICO_TOP, op="<")
+    return feat.bin_by_range_join(book_a.raw(spark, sf).select("loan_id", "fico_score"), "fico_score", bins,
+                                  out="fico_category", null_label=feat.A_FICO_TOP).select("loan_id", "fico_category")
