@@ -37,7 +37,8 @@ def register(key: str, sql: str | None = None, layers: tuple[str, ...] = ()):
 
 def _load_all() -> None:
     from . import (q_loans_a, q_loans_b, q_scalars, q_sme, q_market, q_models,  # noqa: F401
-                   q_tables, q_extensions, q_streaming)
+                   q_tables, q_extensions)
+    from . import q_streaming  # noqa: F401  (reuses batch oracle texts)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -1 +1,25 @@
-"""Registered queries."""
+"""Registered queries: streaming forms (their results equal the batch ones,
+so they share the batch oracle)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..streaming import ticks
+from . import REGISTRY, register
+
+
+@register("x1_ohlc_bars_stream", REGISTRY["x1_ohlc_bars_batch"].sql)
+def x1_ohlc_bars_stream(spark, sf):
+    return ticks.ohlc_bars_stream(spark, sf)
+
+
+@register("x2_freshness_stream", REGISTRY["x2_quote_freshness"].sql)
+def x2_freshness_stream(spark, sf):
+    return ticks.freshness_from_stream(spark, sf)
+
+
+@register("x3_staging_stream", REGISTRY["j1_features_predictions_join"].sql)
+def x3_staging_stream(spark, sf):
+    st = ticks.staging_stream(spark, sf)
+    return st.select("loan_id", "stage", F.round("pd_12m", 9).alias("pd_12m"), F.round("ecl", 6).alias("ecl"))
