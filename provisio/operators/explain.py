@@ -114,41 +114,44 @@ def background_sample(df: DataFrame, key: str = "company_id", n: int = BACKGROUN
     return [tuple(float(r[f]) for f in SME_NUMERIC) for r in rows]
 
 
-def shapley_attributions(df: DataFrame, background: list, *, out: str = "shapley") -> DataFrame:
+def shapley_attributions(df: DataFrame, background: list, *, key: str = "company_id", out: str = "shapley",
+                         num_partitions: int | None = None) -> DataFrame:
     """M-13: exact Shapley values of the fixed-coefficient SME PD (probability
     scale) over a background sample, players = the four numeric features.
 
-    v(S) = mean over background rows b of f(x_S, b_rest), evaluated for all
-    2^k coalitions with ``aggregate`` over a literal background array; the
-    Shapley value of j is Σ_{S∌j} w(|S|)·(v(S∪{j}) − v(S)). One narrow pass.
+    Each entity row is paired with every background row by exploding a
+    literal array (narrow, no join); one code-generated projection evaluates
+    f(x_S, b_rest) for all 2^k coalitions; a grouped average (partial
+    aggregation first, every group has exactly len(background) rows) gives
+    v(S); then φ_j = Σ_{S∌j} w(|S|)·(v(S∪{j}) − v(S)). Returns
+    ``key, <out> array<struct<feature, feature_pos, contribution>>, expected_pd``.
     """
+    from .stress import spread_for_expansion
+
     k = len(SME_NUMERIC)
     bg = F.array(*[F.struct(*[F.lit(v).alias(f"b{j}") for j, v in enumerate(row)]) for row in background])
-    nb = float(len(background))
+    base = spread_for_expansion(df.select(key, *SME_NUMERIC), num_partitions)
+    paired = base.select(key, *[F.col(c).cast("double").alias(c) for c in SME_NUMERIC], F.explode(bg).alias("_b"))
 
-    def v_of(mask: int) -> Column:
-        def fold(acc, b):
-            z = [F.col(SME_NUMERIC[j]).cast("double") if mask >> j & 1 else b[f"b{j}"] for j in range(k)]
-            return acc + sigmoid(sme_logit_fixed(*z))
-        return F.aggregate(bg, F.lit(0.0), fold) / F.lit(nb)
+    def f_of(mask: int) -> Column:
+        z = [F.col(SME_NUMERIC[j]) if mask >> j & 1 else F.col(f"_b.b{j}") for j in range(k)]
+        return sigmoid(sme_logit_fixed(*z))
 
     vcols = {m: f"_v{m}" for m in range(2 ** k)}
-    staged = df.select("*", *[v_of(m).alias(vcols[m]) for m in range(2 ** k)])
+    values = paired.select(key, *[f_of(m).alias(vcols[m]) for m in range(2 ** k)])
+    v = values.groupBy(key).agg(*[F.avg(c).alias(c) for c in vcols.values()])
     w = shapley_weights(k)
     phis = []
     for j, f in enumerate(SME_NUMERIC):
-        terms = []
         others = [i for i in range(k) if i != j]
+        phi = None
         for size in range(k):
             for combo in combinations(others, size):
                 mask = sum(1 << i for i in combo)
-                terms.append(F.lit(w[size]) * (F.col(vcols[mask | 1 << j]) - F.col(vcols[mask])))
-        phi = terms[0]
-        for t in terms[1:]:
-            phi = phi + t
+                term = F.lit(w[size]) * (F.col(vcols[mask | 1 << j]) - F.col(vcols[mask]))
+                phi = term if phi is None else phi + term
         phis.append(F.struct(F.lit(f).alias("feature"), F.lit(j).alias("feature_pos"), phi.alias("contribution")))
-    return staged.withColumn(out, F.array(*phis)).withColumn("expected_pd", F.col(vcols[0])) \
-        .drop(*vcols.values())
+    return v.select(key, F.array(*phis).alias(out), F.col(vcols[0]).alias("expected_pd"))
 
 
 # ------------------------------------------------------------------ W-3 / K-5

@@ -117,3 +117,52 @@ def load_profile(raw: DataFrame) -> DataFrame:
                    F.avg("fico_score").alias("avg_fico"),
                    F.avg("income").alias("avg_income"),
                    F.avg("loan_amount").alias("avg_loan_amount"))
+
+
+# ---------------------------------------------------------------- one-scan form
+def stage_summary(staging: DataFrame, *, pd_col: str = "pd") -> DataFrame:
+    """Additive per-stage totals (one scan of the staging rows, one row per
+    stage). Every stage report below is derived from these few rows, so a
+    flow that prints several reports reads the loans once."""
+    return staging.groupBy("stage").agg(
+        F.count(F.lit(1)).alias("loan_count"), F.sum("loan_amount").alias("_exposure"),
+        F.sum("ecl").alias("_ecl"), F.sum(pd_col).alias("_pd_sum"), F.count(pd_col).alias("_pd_n"))
+
+
+def _avg_pd(sum_col: str = "_pd_sum", n_col: str = "_pd_n"):
+    return F.try_divide(F.col(sum_col), F.col(n_col))
+
+
+def stage_distribution_from(summary: DataFrame, *, with_description: bool = False) -> DataFrame:
+    """R-1 from a stage summary."""
+    everything = Window.partitionBy()
+    cols = [F.col("stage")]
+    if with_description:
+        cols.append(stage_description("stage").alias("stage_description"))
+    cols += [F.col("loan_count"),
+             F.round(F.col("loan_count") * F.lit(100.0) / F.sum("loan_count").over(everything), 2).alias("pct"),
+             F.round("_ecl", 2).alias("total_ecl"), F.round(_avg_pd(), 4).alias("avg_pd")]
+    return summary.select(*cols).orderBy(F.col("stage").asc_nulls_first())
+
+
+def portfolio_by_stage_from(summary: DataFrame) -> DataFrame:
+    """R-2 from a stage summary."""
+    return summary.select(
+        "stage", stage_description("stage").alias("stage_description"), "loan_count",
+        F.round("_exposure", 2).alias("total_exposure"), F.round("_ecl", 2).alias("total_ecl"),
+        F.round(F.try_divide(F.col("_ecl"), F.col("_exposure")) * 100, 2).alias("ecl_rate_pct"),
+        F.round(_avg_pd(), 4).alias("avg_pd"),
+    ).orderBy(F.col("stage").asc_nulls_first())
+
+
+def portfolio_overall_from(summary: DataFrame, *, count_defaulted: bool = True) -> DataFrame:
+    """R-3 from a stage summary (sums of the per-stage sums)."""
+    t = summary.agg(F.sum("loan_count").alias("total_loans"), F.sum("_exposure").alias("_e"),
+                    F.sum("_ecl").alias("_l"), F.sum("_pd_sum").alias("_ps"), F.sum("_pd_n").alias("_pn"),
+                    F.sum(F.when(F.col("stage") == 3, F.col("loan_count")).otherwise(0)).alias("defaulted_loans"))
+    cols = [F.col("total_loans"), F.round("_e", 2).alias("total_exposure"), F.round("_l", 2).alias("total_ecl"),
+            F.round(F.try_divide(F.col("_l"), F.col("_e")) * 100, 2).alias("portfolio_ecl_rate_pct"),
+            F.round(_avg_pd("_ps", "_pn"), 4).alias("portfolio_avg_pd")]
+    if count_defaulted:
+        cols.append(F.col("defaulted_loans").cast("long").alias("defaulted_loans"))
+    return t.select(*cols)

@@ -69,17 +69,24 @@ def stratified_split(df: DataFrame, *, key: str, label: str, test_fraction: floa
     """M-3: seeded stratified split with exact sizes: per label, the
     ``round(test_fraction·n_label)`` rows first in md5(seed:key) order are test.
 
-    The per-label rank uses the range-partitioned running count, so a label
-    holding most rows is still ranked by many tasks; the per-label counts
-    (one row per label) are broadcast after a size check.
+    Only (label, hash, key) are ranked — with the range-partitioned running
+    count, so a label holding most rows is still ranked by many tasks. The
+    rank yields one cut-off (hash, key) per label; the full-width rows are
+    then flagged by comparing with the cut-off of their label (a broadcast
+    of one row per label, size-checked) — no shuffle of the wide rows.
     """
     keyed = df.withColumn("_split_h", sample_key(seed, key))
-    ranked = row_number_global(keyed, ["_split_h", key], partition_by=[label], out="_split_rank")
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_split_n")) \
-        .withColumnRenamed(label, "_split_label")
-    joined = ranked.join(checked_broadcast(counts), F.col(label).eqNullSafe(F.col("_split_label")), "inner")
-    return (joined.withColumn(out, F.col("_split_rank") <= F.round(F.lit(test_fraction) * F.col("_split_n")))
-            .drop("_split_h", "_split_rank", "_split_n", "_split_label"))
+    slim = keyed.select(F.col(label).alias("_split_label"), "_split_h", F.col(key).alias("_split_key"))
+    ranked = row_number_global(slim, ["_split_h", "_split_key"], partition_by=["_split_label"], out="_split_rank")
+    sizes = ranked.groupBy("_split_label").agg(F.max("_split_rank").alias("_split_n"))
+    take = F.round(F.lit(test_fraction) * F.col("_split_n"))
+    cut = (ranked.join(sizes, "_split_label").where(F.col("_split_rank") == take)
+           .select("_split_label", F.col("_split_h").alias("_cut_h"), F.col("_split_key").alias("_cut_key")))
+    joined = keyed.join(checked_broadcast(cut, max_rows=10_000), F.col(label).eqNullSafe(F.col("_split_label")), "left")
+    h, k = F.col("_split_h"), F.col(key)
+    flag = (h < F.col("_cut_h")) | ((h == F.col("_cut_h")) & (k <= F.col("_cut_key")))
+    return joined.withColumn(out, F.coalesce(flag, F.lit(False))) \
+        .drop("_split_h", "_split_label", "_cut_h", "_cut_key")
 
 
 # ---------------- M-10 one-hot ----------------

@@ -108,10 +108,24 @@ def pd_band(new_pd: str | Column) -> Column:
     return expr.otherwise(PD_BAND_TOP)
 
 
-def stress_table(scored: DataFrame, *, pd_col: str = "predicted_default_prob") -> DataFrame:
+def spread_for_expansion(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """Fix the task count before a row-multiplying step (explode ×315).
+
+    AQE sizes partitions by their input bytes; a small company table would be
+    coalesced into one partition and the whole expanded grid would run in a
+    single task. An explicit round-robin repartition (which AQE keeps) spreads
+    the companies over ``spark.sql.shuffle.partitions`` tasks first.
+    """
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n)
+
+
+def stress_table(scored: DataFrame, *, pd_col: str = "predicted_default_prob",
+                 num_partitions: int | None = None) -> DataFrame:
     """Companies × scenarios with stressed PD and metrics (J-8, M-17, M-18, R-10 … R-13)."""
-    grid = scenario_grid(scored.select("company_id", pd_col, "revenue_growth", "debt_to_asset_ratio",
-                                       "cash_flow_volatility", "past_default"))
+    companies = scored.select("company_id", pd_col, "revenue_growth", "debt_to_asset_ratio",
+                              "cash_flow_volatility", "past_default")
+    grid = scenario_grid(spread_for_expansion(companies, num_partitions))
     s = grid.select(
         "company_id", "shock_rev", "shock_vol", "debt_to_asset_ratio", "past_default",
         base_pd(pd_col).alias("base_pd"),
@@ -119,10 +133,12 @@ def stress_table(scored: DataFrame, *, pd_col: str = "predicted_default_prob") -
         stressed_growth("revenue_growth", "shock_rev").alias("stressed_growth"),
         stressed_volatility("cash_flow_volatility", "shock_vol").alias("stressed_volatility"),
     )
-    found = findings(F.col("stressed_growth"), F.col("debt_to_asset_ratio"), F.col("stressed_volatility"),
-                     F.col("past_default"))
+    s = s.withColumn("_found", findings(F.col("stressed_growth"), F.col("debt_to_asset_ratio"),
+                                        F.col("stressed_volatility"), F.col("past_default")))
+    found = F.col("_found")
     return s.select(
-        "*",
+        "company_id", "shock_rev", "shock_vol", "debt_to_asset_ratio", "past_default", "base_pd", "stressed_pd",
+        "stressed_growth", "stressed_volatility",
         (F.col("stressed_pd") - F.col("base_pd")).alias("pd_change"),
         pd_band("stressed_pd").alias("pd_band"),
         recommendation("stressed_pd").alias("recommendation"),

@@ -48,11 +48,15 @@ def staged_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    st = staged(spark, sf_dir)
+    """All reports of profile B from one per-stage summary (one scan)."""
+    from ..session import checkpoint_dir
+
+    checkpoint_dir(spark)
+    summary = reports.stage_summary(staged(spark, sf_dir), pd_col="pd_12m").checkpoint(eager=True)
     return {
-        "stage_distribution": reports.stage_distribution(st, pd_col="pd_12m", with_description=True),
-        "portfolio_by_stage": reports.portfolio_by_stage(st, pd_col="pd_12m"),
-        "portfolio_overall": reports.portfolio_overall(st, pd_col="pd_12m", count_defaulted=False),
+        "stage_distribution": reports.stage_distribution_from(summary, with_description=True),
+        "portfolio_by_stage": reports.portfolio_by_stage_from(summary),
+        "portfolio_overall": reports.portfolio_overall_from(summary, count_defaulted=False),
     }
 
 

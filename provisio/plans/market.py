@@ -24,7 +24,8 @@ def live_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fallback_bars(spark: SparkSession, sf_dir: str, as_of: Column | None = None) -> DataFrame:
     """Simulated daily series (90 points ending at ``as_of``, C-20 + W-2)."""
     as_of = as_of if as_of is not None else as_of_day(spark, sf_dir)
-    idx = mk.cumulative_index(fixtures.fallback_returns(spark, sf_dir), key="company_id", order="step")
+    idx = mk.cumulative_index(fixtures.fallback_returns(spark, sf_dir), key="company_id", order="step",
+                              bounded_groups=True)   # exactly 90 rows per company
     last = fixtures.FALLBACK_STEPS - 1
     ts = F.timestamp_add("DAY", F.col("step") - F.lit(last), as_of)
     p = F.col("price")

@@ -130,10 +130,10 @@ def j5_ticker_lookup(spark, sf):
     return c.select("company_id", mk.ticker_for("company_id").alias("ticker"))
 
 
-@register("s17_company_info", """
+@register("j7_company_info_fallback", """
 select company_id, name, currency, is_real from financials_all
 """, ("financials_all",))
-def s17_company_info(spark, sf):
+def j7_company_info_fallback(spark, sf):
     return pm.company_info(spark, sf)
 
 

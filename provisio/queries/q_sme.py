@@ -314,3 +314,16 @@ def r13_base_vs_stressed(spark, sf):
 @register("r9_credit_memo")
 def r9_credit_memo(spark, sf):
     return sme.memos(spark, sf, as_of="2024-01-31")
+
+
+@register("s17_memo_sink")
+def s17_memo_sink(spark, sf):
+    """One plain-text memo per company written to the shared folder,
+    partitioned by a hash bucket of the company id, then read back."""
+    from ..session import scratch_path
+
+    path = scratch_path(spark, "credit_memos")
+    memos = sme.memos(spark, sf, as_of="2024-01-31")
+    memos.withColumn("bucket", F.pmod(F.xxhash64("company_id"), F.lit(64))) \
+        .write.mode("overwrite").partitionBy("bucket").parquet(path)
+    return spark.read.parquet(path).select("company_id", "memo")
