@@ -189,8 +189,11 @@ def _rule_index(feature: Column) -> Column:
     return expr
 
 
-def _rule_attr(idx: Column, pos: int) -> Column:
-    return F.element_at(F.array(*[F.lit(r[pos]) for r in INSIGHT_RULES]), idx)
+def _rule_attr(idx: Column, pos: int, part: int | None = None) -> Column:
+    """Attribute ``pos`` of the rule at ``idx`` (NULL when no rule). A CASE
+    chain, not ``element_at``: with ANSI on, ``element_at`` with a NULL index
+    is typed non-nullable although it yields NULL."""
+    return _pick(idx, [F.lit(r[pos] if part is None else r[pos][part]) for r in INSIGHT_RULES])
 
 
 def _pick(idx: Column, values: list[Column]) -> Column:
@@ -211,10 +214,8 @@ def factor_row(x: Column, rank: Column | None = None) -> Column:
         .otherwise(fmt_fixed(val, 2))
     filled = _pick(idx, [fmt_fixed(val, 2) if r[4] == "fixed2" else fmt_pct1(val) if r[4] == "pct1" else F.lit("")
                          for r in INSIGHT_RULES])
-    risk_text = F.concat(F.element_at(F.array(*[F.lit(r[5][0]) for r in INSIGHT_RULES]), idx),
-                         filled, F.element_at(F.array(*[F.lit(r[5][1]) for r in INSIGHT_RULES]), idx))
-    safe_text = F.concat(F.element_at(F.array(*[F.lit(r[6][0]) for r in INSIGHT_RULES]), idx),
-                         filled, F.element_at(F.array(*[F.lit(r[6][1]) for r in INSIGHT_RULES]), idx))
+    risk_text = F.concat(_rule_attr(idx, 5, 0), filled, _rule_attr(idx, 5, 1))
+    safe_text = F.concat(_rule_attr(idx, 6, 0), filled, _rule_attr(idx, 6, 1))
     c = x["contribution"]
     return F.struct(
         (rank if rank is not None else F.lit(None).cast("int")).alias("factor_rank"),
