@@ -23,7 +23,7 @@ FALLBACK_STEPS = 90
 
 def _orders_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority", "o_orderdate")
     customers = read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     return orders.join(customers, orders.o_custkey == customers.c_custkey, "inner")
 
@@ -32,9 +32,11 @@ def _urgent_failed() -> Column:
     return (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")
 
 
-def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pipeline A input ``raw_loans`` (one loan per order)."""
+def raw_loans(spark: SparkSession, sf_dir: str, *, with_dates: bool = False) -> DataFrame:
+    """Pipeline A input ``raw_loans`` (one loan per order); ``with_dates``
+    adds the origination date (the order date) for period analyses."""
     oc = _orders_customers(spark, sf_dir)
+    extra = [F.col("o_orderdate").alias("origination_date")] if with_dates else []
     return oc.select(
         F.format_string("LOAN_%06d", F.col("o_orderkey") + 1).alias("loan_id"),
         F.when(F.col("c_acctbal") > 0, F.col("c_acctbal") * 12).otherwise(F.lit(0.0)).alias("income"),
@@ -42,6 +44,7 @@ def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(300) + (F.col("o_orderkey") * 37 + F.col("o_custkey")) % 551).cast("int").alias("fico_score"),
         (F.col("o_totalprice") / 5).alias("loan_amount"),
         F.when(_urgent_failed(), 1).otherwise(0).alias("default_flag"),
+        *extra,
     )
 
 
