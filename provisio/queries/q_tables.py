@@ -259,12 +259,14 @@ def s15_key_violations(spark, sf):
     return a.unionByName(b)
 
 
-@register("s1_csv_scan")
+@register("s1_csv_scan", """
+select * from raw_landing_zone
+""", ("raw_landing_zone",))
 def s1_csv_scan(spark, sf):
     from ..schemas import LANDING_CSV
 
     path = scratch_path(spark, "landing_csv")
-    book_b.landing(spark, sf).write.option("header", True).csv(path)
+    tables.write_csv(book_b.landing(spark, sf), path)
     return tables.read_loans_csv(spark, path, LANDING_CSV)
 
 

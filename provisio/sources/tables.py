@@ -20,12 +20,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def read_loans_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """S-1: full CSV scan with a declared schema (no inference pass)."""
+    """S-1: full CSV scan with a declared schema (no inference pass). Text
+    keeps its surrounding blanks (``' 36 months'``), as the source has them."""
     return (spark.read.schema(schema)
             .option("header", True).option("multiLine", True).option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
             .option("mode", "PERMISSIVE").csv(path))
 
 
+def write_csv(df: DataFrame, path: str) -> str:
+    """Write a CSV extract keeping blanks inside text values."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return path
+
+
 def head_n(df: DataFrame, order_key: str | Sequence[str], n: int) -> DataFrame:
     """S-2: the first ``n`` rows in key order ("first chunk" of a file).
     A bare ``limit`` has no defined order on a distributed scan; ordering by a
