@@ -11,10 +11,19 @@ from ..sources import fixtures
 from ..sources.tables import read_table
 
 
+def latest_tick(spark: SparkSession, sf_dir: str) -> Column:
+    """Timestamp of the newest tick in the feed, as an NTZ literal (one scalar,
+    carried as text so no time-zone conversion touches it)."""
+    ev = read_table(spark, sf_dir, "events").agg(F.max("ts").alias("m"))
+    text = ev.select(F.date_format("m", "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def as_of_day(spark: SparkSession, sf_dir: str) -> Column:
     """C-19: the report date — the day of the latest tick in the feed (one scalar)."""
-    day = read_table(spark, sf_dir, "events").agg(F.max(F.date_trunc("day", F.col("ts")))).first()[0]
-    return F.lit(day).cast("timestamp_ntz")
+    ts = read_table(spark, sf_dir, "events").agg(F.max("ts").alias("m"))
+    day = ts.select(F.date_format(F.col("m").cast("date"), "yyyy-MM-dd")).first()[0]
+    return F.lit(f"{day} 00:00:00").cast("timestamp_ntz")    # text, not a datetime: no time-zone shift
 
 
 def live_bars(spark: SparkSession, sf_dir: str) -> DataFrame:

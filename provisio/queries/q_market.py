@@ -31,10 +31,9 @@ from (select printf('HK_%05d', user_id) as company_id, max(ts) as last_ts,
 """)
 def x2_quote_freshness(spark, sf):
     ev = read_table(spark, sf, "events")
-    as_of = ev.agg(F.max("ts")).first()[0]
     latest = mk.latest_quotes(ev.where(F.col("event_type") != "error"), key=fixtures.company_id(F.col("user_id")),
                               tiebreak="event_id")
-    return mk.freshness(latest, F.lit(as_of).cast("timestamp_ntz"))
+    return mk.freshness(latest, pm.latest_tick(spark, sf))
 
 
 @register("w2_price_index", f"""

@@ -73,10 +73,11 @@ def deduplicated_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def freshness_from_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X-2: latest quote per company from the de-duplicated stream and its
     age at the time of the newest tick in the feed."""
+    from ..plans.market import latest_tick
+
     ticks = deduplicated_ticks(spark, sf_dir)
-    as_of = read_table(spark, sf_dir, "events").agg(F.max("ts")).first()[0]
     latest = mk.latest_quotes(ticks, key=company_id(F.col("user_id")), tiebreak="event_id")
-    return mk.freshness(latest, F.lit(as_of).cast("timestamp_ntz"))
+    return mk.freshness(latest, latest_tick(spark, sf_dir))
 
 
 def staging_stream(spark: SparkSession, sf_dir: str, parts: int = 4) -> DataFrame:
