@@ -280,3 +280,58 @@ def lookup(requests: DataFrame, scored: DataFrame, key: str = "company_id") -> D
 def members(df: DataFrame, ids: DataFrame, key: str = "company_id") -> DataFrame:
     """F-7: rows whose key is in a (small) id list — broadcast left-semi join."""
     return df.join(F.broadcast(ids.select(key).distinct()), key, "left_semi")
+
+
+# ------------------------------------------------------------------ M-13 (any Spark ML model)
+def shapley_for_model(df: DataFrame, model, players: list[tuple[str, list[str]]], background: list[dict], *,
+                      key: str = "company_id", num_partitions: int | None = None) -> DataFrame:
+    """M-13 for a trained Spark ML classifier: exact Shapley values of its
+    probability, players = groups of model columns (one-hot columns of one
+    category form one player).
+
+    Rows are expanded narrowly (explode of the literal background, then of
+    the coalition masks), scored in one ``model.transform`` pass, and reduced
+    with one grouped sum: φ_j = (1/B)·Σ_b Σ_S c_j(S)·f(x_S, b_rest), with
+    c_j(S) = w(|S|−1) when j ∈ S and −w(|S|) otherwise. Each entity's group
+    has exactly B·2^k rows and is pre-aggregated before the shuffle.
+    """
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    from .stress import spread_for_expansion
+
+    k = len(players)
+    cols = [c for _, group in players for c in group]
+    nb = float(len(background))
+    bg = F.array(*[F.struct(*[F.lit(float(row[c])).alias(c) for c in cols]) for row in background])
+    base = spread_for_expansion(df.select(key, *[F.col(c).cast("double").alias(c) for c in cols]), num_partitions)
+    with_bg = base.select(key, *cols, F.explode(bg).alias("_b"))
+    expanded = with_bg.select("*", F.explode(F.sequence(F.lit(0), F.lit(2 ** k - 1))).alias("_mask"))
+    owner = {c: j for j, (_, group) in enumerate(players) for c in group}
+    mixed = expanded.select(key, "_mask", *[
+        F.when(F.col("_mask").bitwiseAND(F.lit(1 << owner[c])) != 0, F.col(c)).otherwise(F.col(f"_b.{c}")).alias(c)
+        for c in cols])
+    assembled = VectorAssembler(inputCols=cols, outputCol="_features").transform(mixed)
+    scored = model.setFeaturesCol("_features").transform(assembled) \
+        .select(key, "_mask", vector_to_array(F.col("probability"))[1].alias("_f"))
+    w = shapley_weights(k)
+
+    def coef(j: int) -> Column:
+        vals = [w[bin(m).count("1") - 1] if m >> j & 1 else -w[bin(m).count("1")] for m in range(2 ** k)]
+        return F.element_at(F.array(*[F.lit(v) for v in vals]), F.col("_mask") + 1)
+
+    agg = scored.groupBy(key).agg(
+        *[(F.sum(F.col("_f") * coef(j)) / nb).alias(f"_phi{j}") for j in range(k)],
+        (F.sum(F.when(F.col("_mask") == 0, F.col("_f"))) / nb).alias("expected_pd"))
+    phis = F.array(*[F.struct(F.lit(name).alias("feature"), F.lit(j).alias("feature_pos"),
+                              F.col(f"_phi{j}").alias("contribution")) for j, (name, _) in enumerate(players)])
+    return agg.select(key, phis.alias("shapley"), "expected_pd")
+
+
+SME_PLAYERS = [(f, [f]) for f in SME_NUMERIC] + [("industry", [f"industry_{c}" for c in SME_INDUSTRIES])]
+
+
+def model_background(frame: DataFrame, key: str = "company_id", n: int = BACKGROUND_ROWS, seed: int = 42) -> list[dict]:
+    """Seeded background rows of the model columns (exactly ``n``, bounded)."""
+    cols = [c for _, group in SME_PLAYERS for c in group]
+    return [r.asDict() for r in sample_n(frame.select(key, *cols), key, n, seed).collect()]

@@ -81,3 +81,15 @@ def m11_gbt_scores(spark, sf):
 def m7_auc_trained(spark, sf):
     s = models.scored_by_model_b(spark, sf).where(F.col("is_test"))
     return evaluate.auc(s, "pd_12m", "default_flag")
+
+
+@register("m13_shapley_gbt")
+def m13_shapley_gbt(spark, sf):
+    """Exact Shapley values of the trained boosted trees' probability."""
+    from ..operators import explain
+
+    model, split = models.gbt_sme(spark, sf)
+    bg = explain.model_background(split)
+    sh = explain.shapley_for_model(split, model, explain.SME_PLAYERS, bg)
+    return sh.select("company_id", F.explode("shapley").alias("s"), "expected_pd") \
+        .select("company_id", "s.feature", "s.contribution", "expected_pd")

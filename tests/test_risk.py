@@ -172,3 +172,52 @@ def test_auc_matches_rank_formula(spark):
     # pairs (pos, neg): 0.35>0.1, 0.35<0.4, 0.8>both, 0.4 vs 0.1 win, 0.4 vs 0.4 tie
     assert got == pytest.approx((1 + 0 + 2 + 1 + 0.5) / 6)
     assert not math.isnan(got)
+
+
+def test_model_shapley_efficiency(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    from provisio.operators import score
+
+    frame = score.sme_model_frame(sme.features(spark, SF_SMOKE))
+    model = score.fit_gbt(frame, score.SME_MODEL_FEATURES, "true_label", trees=5)
+    bg = explain.model_background(frame, n=10)
+    sh = explain.shapley_for_model(frame, model, explain.SME_PLAYERS, bg)
+    fx = model.setFeaturesCol("_fx").transform(
+        VectorAssembler(inputCols=score.SME_MODEL_FEATURES, outputCol="_fx").transform(frame)) \
+        .select("company_id", vector_to_array("probability")[1].alias("fx"))
+    j = sh.join(fx, "company_id").select(
+        F.aggregate("shapley", F.lit(0.0), lambda acc, x: acc + x["contribution"]).alias("s"), "fx", "expected_pd")
+    rows = j.collect()
+    assert len(rows) == frame.count()
+    for r in rows:
+        assert r.s == pytest.approx(r.fx - r.expected_pd, abs=1e-9)
+
+
+def test_logistic_matches_l2_objective(spark):
+    """T-10: regParam = 1/n without standardisation reproduces the default
+    L2 objective ½‖w‖² + Σ logloss with a free intercept (Newton solution)."""
+    import numpy as np
+
+    from provisio.operators import features as feat
+    from provisio.plans import models
+
+    model, split = models.logistic_a(spark, SF_SMOKE)
+    train = split.where(~F.col("is_test")).select(*feat.A_MODEL_FEATURES, "default_flag").collect()
+    X = np.array([[float(r[c]) for c in feat.A_MODEL_FEATURES] for r in train])
+    y = np.array([float(r.default_flag) for r in train])
+    A = np.hstack([X, np.ones((len(X), 1))])
+    beta = np.zeros(A.shape[1])
+    reg = np.eye(A.shape[1])
+    reg[-1, -1] = 0.0
+    for _ in range(100):
+        p = 1.0 / (1.0 + np.exp(-A @ beta))
+        grad = A.T @ (p - y) + reg @ beta
+        hess = A.T @ (A * (p * (1 - p))[:, None]) + reg
+        step = np.linalg.solve(hess, grad)
+        beta -= step
+        if np.abs(step).max() < 1e-12:
+            break
+    got = np.append(model.coefficients.toArray(), model.intercept)
+    assert np.allclose(got, beta, atol=1e-4, rtol=1e-4)
