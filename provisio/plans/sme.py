@@ -39,7 +39,7 @@ def attributed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def factor_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = attributed(spark, sf_dir)
-    return a.select("company_id", "predicted_default_prob",
+    return a.select("company_id", "predicted_default_prob", "revenue_growth", "cash_flow_volatility",
                     explain.factor_table("attributions").alias("factors"))
 
 
@@ -54,8 +54,7 @@ def memos(spark: SparkSession, sf_dir: str, *, shock_rev: float = 0.0, shock_vol
     side (live company → its name and the exchange feed; else simulated)."""
     from ..plans import market as mk
 
-    ft = factor_tables(spark, sf_dir).join(scored(spark, sf_dir).select("company_id", "revenue_growth",
-                                                                         "cash_flow_volatility"), "company_id")
+    ft = factor_tables(spark, sf_dir)
     info = mk.company_info(spark, sf_dir)
     day = F.lit(as_of) if as_of else F.date_format(F.current_date(), "yyyy-MM-dd")
     j = ft.join(info, "company_id", "left")

@@ -111,10 +111,12 @@ def sme_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders").select(
         "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus", "o_orderpriority")
     customers = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    joined = customers.join(orders, orders.o_custkey == customers.c_custkey, "inner")
     cut = F.lit(GROWTH_CUTOVER).cast("timestamp_ntz")
     price = F.col("o_totalprice")
-    agg = joined.groupBy("c_custkey", "c_mktsegment").agg(
+    # aggregate the orders per customer first (partial aggregation in every
+    # task, so a customer with most of the orders is reduced before the
+    # shuffle), then join the one-row-per-customer result to the customers
+    per_customer = orders.groupBy("o_custkey").agg(
         F.sum(F.when(F.col("o_orderdate") >= cut, price).otherwise(0.0)).alias("_late"),
         F.sum(F.when(F.col("o_orderdate") < cut, price).otherwise(0.0)).alias("_early"),
         F.sum(F.when(F.col("o_orderstatus") == "O", price).otherwise(0.0)).alias("_open"),
@@ -123,6 +125,7 @@ def sme_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.avg(price).alias("_avg"),
         F.sum(F.when(_urgent_failed(), 1).otherwise(0)).alias("_defaults"),
     )
+    agg = customers.join(per_customer, customers.c_custkey == per_customer.o_custkey, "inner")
     feats = agg.select(
         company_id(F.col("c_custkey")).alias("company_id"),
         F.round(F.coalesce(F.try_divide(F.col("_late"), F.nullif(F.col("_early"), F.lit(0.0))) - 1, F.lit(0.0)), 6)
@@ -150,7 +153,9 @@ def prices_live(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fallback_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deterministic stand-in for the mock price series: 90 daily returns in
     [−2 %, +2 %] for every company (the mock exists for any ticker)."""
-    customers = read_table(spark, sf_dir, "customer").select("c_custkey")
+    from ..operators.stress import spread_for_expansion
+
+    customers = spread_for_expansion(read_table(spark, sf_dir, "customer").select("c_custkey"))
     steps = customers.select("c_custkey", F.explode(F.sequence(F.lit(0), F.lit(FALLBACK_STEPS - 1))).alias("step"))
     return steps.select(
         company_id(F.col("c_custkey")).alias("company_id"),
