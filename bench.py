@@ -62,8 +62,8 @@ def main() -> None:
         _force(book_b.cleaned(spark, sf_dir, "impute_then_filter"))
 
     bench = {
-        "pipeline_a_end_to_end": run_a,
-        "pipeline_b_end_to_end": run_b,
+        "flow_a_end_to_end": run_a,
+        "flow_b_end_to_end": run_b,
         "stress_grid_315": stress_grid,
         "exact_shapley": shapley,
         "factor_table": factor_memo,

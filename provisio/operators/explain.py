@@ -47,6 +47,7 @@ INSIGHT_RULES = [
 ]
 RISK_LABEL, SAFE_LABEL = "⚠️ Risk", "✅ Safe"
 UP_ARROW, DOWN_ARROW = "▲", "▼"
+RISK_COLOUR, SAFE_COLOUR = "#d32f2f", "#388e3c"     # chart bar colours by sign
 HIGH_RISK, LOW_RISK = "HIGH RISK", "LOW RISK"
 AI_SUGGESTION = "AI Suggestion: Validate flagged metrics against audited financial statements."
 NOT_FOUND, FOUND = "NOT_FOUND", "FOUND"
@@ -265,7 +266,7 @@ def chart_rows(arr: str | Column, k: int = CHART_FACTORS) -> Column:
     return F.transform(largest_signed(arr, k), lambda x: F.struct(
         display_feature_name(x["feature"]).alias("feature"),
         x["contribution"].alias("contribution"),
-        F.when(x["contribution"] > 0, "red").otherwise("green").alias("colour")))
+        F.when(x["contribution"] > 0, RISK_COLOUR).otherwise(SAFE_COLOUR).alias("colour")))
 
 
 # ------------------------------------------------------------------ F-6 / F-7

@@ -177,7 +177,7 @@ def k5_largest_signed(spark, sf):
 
 @register("r16_attribution_chart", f"""
 select company_id, chart_pos, replace(feature, 'industry_', 'Sector: ') as feature,
-       round(contribution, {R9}) as contribution, case when contribution > 0 then 'red' else 'green' end as colour
+       round(contribution, {R9}) as contribution, case when contribution > 0 then '#d32f2f' else '#388e3c' end as colour
 from (
   select *, row_number() over (partition by company_id order by contribution desc, feature_pos desc) as rk,
          cast(7 - row_number() over (partition by company_id order by contribution desc, feature_pos desc) as integer)
