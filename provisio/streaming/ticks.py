@@ -14,12 +14,15 @@ BAR_WATERMARK = "1 day"
 DEDUP_WATERMARK = "1 hour"
 
 
-def tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a file stream. Its ``ts`` is TIMESTAMP_NTZ;
-    watermarks need TIMESTAMP, so it is cast in the UTC session zone (T-25)."""
+def tick_stream(spark: SparkSession, sf_dir: str, *, source: str | None = None,
+                glob: str = "events.parquet") -> DataFrame:
+    """The events table as a file stream (one file per micro-batch), from the
+    test folder or from ``source`` (a folder of event files). Its ``ts`` is
+    TIMESTAMP_NTZ; watermarks need TIMESTAMP, so it is cast in the session
+    zone (T-25)."""
     schema = read_table(spark, sf_dir, "events").schema
-    raw = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-           .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+    raw = reader.option("pathGlobFilter", glob).parquet(sf_dir) if source is None else reader.parquet(source)
     return raw.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -40,7 +43,7 @@ def _run_changelog(stream_df: DataFrame, name: str, *, output_mode: str) -> str:
     return out
 
 
-def ohlc_bars_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ohlc_bars_stream(spark: SparkSession, sf_dir: str, *, source: str | None = None) -> DataFrame:
     """X-1: daily OHLC bars from the tick stream.
 
     Update mode emits every bar whose value changed in a micro-batch (append
@@ -48,7 +51,7 @@ def ohlc_bars_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     compacted in batch: for each bar the version of the latest batch wins —
     a grouped ``max_by``, partial-aggregated, so a busy ticker is not one task.
     """
-    ticks = tick_stream(spark, sf_dir).where(F.col("event_type") != "error")
+    ticks = tick_stream(spark, sf_dir, source=source).where(F.col("event_type") != "error")
     bars = (ticks.withWatermark("ts", BAR_WATERMARK)
             .groupBy(company_id(F.col("user_id")).alias("company_id"), F.window("ts", "1 day").alias("w"))
             .agg(F.min_by("value", F.struct("ts", "event_id")).alias("open"), F.max("value").alias("high"),

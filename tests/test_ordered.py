@@ -37,3 +37,23 @@ def test_exact_median_with_hot_value(spark):
 def test_exact_median_empty(spark):
     df = spark.createDataFrame([], "x double")
     assert exact_median(df, "x").first()[0] is None
+
+
+def test_checked_broadcast(spark):
+    from provisio.operators.sizing import checked_broadcast
+
+    big = spark.range(50_000).withColumnRenamed("id", "k")
+    small = spark.range(10).withColumnRenamed("id", "k")
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    assert "BroadcastHashJoin" in plan(big.join(checked_broadcast(small, max_rows=100), "k"))
+    left = spark.range(50_000).withColumnRenamed("id", "k")
+    joined = left.join(checked_broadcast(big, max_rows=100), "k")
+    assert joined.count() == 50_000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" not in plan(left.join(checked_broadcast(big, max_rows=100), "k"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
