@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -13,10 +12,10 @@ SF_SMALL = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from provisio.session import build_session
+    from provisio.session import build_session, checkpoint_dir
 
     s = build_session("local[4]", shuffle_partitions=8)
-    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="provisio-test-ckpt-"))
+    checkpoint_dir(s)   # spark.checkpoint.dir from the session; a fresh local folder only when unset
     yield s
     s.stop()
 
