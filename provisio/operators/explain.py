@@ -279,8 +279,11 @@ def lookup(requests: DataFrame, scored: DataFrame, key: str = "company_id") -> D
 
 
 def members(df: DataFrame, ids: DataFrame, key: str = "company_id") -> DataFrame:
-    """F-7: rows whose key is in a (small) id list — broadcast left-semi join."""
-    return df.join(F.broadcast(ids.select(key).distinct()), key, "left_semi")
+    """F-7: rows whose key is in an id list — left-semi join, with the list
+    broadcast when its size check passes (else a shuffle join)."""
+    from .sizing import checked_broadcast
+
+    return df.join(checked_broadcast(ids.select(key).distinct()), key, "left_semi")
 
 
 # ------------------------------------------------------------------ M-13 (any Spark ML model)

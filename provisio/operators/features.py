@@ -175,8 +175,13 @@ def bin_by_range_join(df: DataFrame, value: str, bins: DataFrame, *, out: str, n
     (``>`` chains). A NULL value matches no range and takes ``null_label``,
     the bin the CASE chain falls through to. The bin table is built from a
     literal list (a handful of rows), so broadcasting it is bounded."""
+    from .sizing import materialise_if_small
+
     v = F.col(value)
-    b = bins.alias("_bins")
+    table, small = materialise_if_small(bins, max_rows=1_000)
+    if not small:
+        raise ValueError("a bin table must be small (at most 1,000 rows)")
+    b = F.broadcast(table).alias("_bins")
     lo, hi = F.col("_bins.lo"), F.col("_bins.hi")
     if inclusive_lo:
         cond = (lo.isNull() | (v >= lo)) & (hi.isNull() | (v < hi))

@@ -11,6 +11,14 @@ from ..session import checkpoint_dir
 DEFAULT_MAX_BROADCAST_ROWS = 100_000
 
 
+def materialise_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """Checkpoint ``df`` once in the shared folder and say whether it has at
+    most ``max_rows`` rows (counting at most ``max_rows + 1``)."""
+    checkpoint_dir(df.sparkSession)
+    materialised = df.checkpoint(eager=True)
+    return materialised, materialised.limit(max_rows + 1).count() <= max_rows
+
+
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Materialise ``df`` once in the shared checkpoint folder, count it, and
     mark it for broadcast only when it has at most ``max_rows`` rows.
@@ -18,8 +26,5 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
     The checkpoint means the (usually aggregated) side is computed once; the
     join that follows reads the written copy instead of re-running its plan.
     """
-    checkpoint_dir(df.sparkSession)
-    materialised = df.checkpoint(eager=True)
-    if materialised.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(materialised)
-    return materialised
+    materialised, small = materialise_if_small(df, max_rows)
+    return F.broadcast(materialised) if small else materialised

@@ -35,11 +35,39 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
+# Up to this many rows a first-n is a per-partition top-k merged in one task
+# (TakeOrderedAndProject); above it the n-th key is found by a distributed
+# rank and the rows are kept by a narrow filter, so no task ever merges
+# partitions × n rows.
+TOPK_MAX = 10_000
+
+
+def _first_n(df: DataFrame, order: list[str], n: int) -> DataFrame:
+    """First ``n`` rows in the total order ``order`` (ascending, no NULLs in
+    the order columns), for large ``n``: rank only the order columns, take
+    the n-th tuple (one row), keep rows whose tuple is not greater."""
+    from ..operators.ordered import row_number_global
+
+    slim = df.select(*order)
+    ranked = row_number_global(slim, order, out="_first_rn")
+    cut = ranked.where(F.col("_first_rn") == n).select(*order).first()
+    if cut is None:                      # fewer than n rows: keep all
+        return df
+    keep = None
+    for i in range(len(order) - 1, -1, -1):
+        c, v = F.col(order[i]), F.lit(cut[order[i]])
+        keep = (c <= v) if keep is None else ((c < v) | ((c == v) & keep))
+    return df.where(keep)
+
+
 def head_n(df: DataFrame, order_key: str | Sequence[str], n: int) -> DataFrame:
     """S-2: the first ``n`` rows in key order ("first chunk" of a file).
     A bare ``limit`` has no defined order on a distributed scan; ordering by a
-    key makes it reproducible and plans as a per-partition top-k."""
+    unique key makes it reproducible. Small ``n`` plans as a per-partition
+    top-k; large ``n`` as a distributed rank + filter."""
     keys = [order_key] if isinstance(order_key, str) else list(order_key)
+    if n > TOPK_MAX:
+        return _first_n(df, keys, n)
     return df.orderBy(*[F.col(k).asc_nulls_first() for k in keys]).limit(n)
 
 
@@ -51,7 +79,10 @@ def sample_key(seed: int, key: str) -> F.Column:
 def sample_n(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """S-3: exactly ``n`` rows without replacement, reproducible for a seed.
     ``df.sample`` only approximates the size; ordering by a keyed hash and
-    taking ``n`` is exact and plans as a distributed top-k."""
+    taking ``n`` is exact (a top-k for small ``n``, rank + filter above)."""
+    if n > TOPK_MAX:
+        keyed = df.withColumn("_sample_h", sample_key(seed, key))
+        return _first_n(keyed, ["_sample_h", key], n).drop("_sample_h")
     return df.orderBy(sample_key(seed, key), F.col(key)).limit(n)
 
 

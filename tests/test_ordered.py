@@ -57,3 +57,15 @@ def test_checked_broadcast(spark):
         assert "BroadcastHashJoin" not in plan(left.join(checked_broadcast(big, max_rows=100), "k"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_first_n_large_path_equals_top_k(spark, monkeypatch):
+    from provisio.sources import tables
+
+    df = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice")
+    want_head = sorted(df.orderBy("o_custkey", "o_orderkey").limit(700).collect())
+    want_sample = sorted(tables.sample_n(df, "o_orderkey", 700, seed=7).collect())
+    monkeypatch.setattr(tables, "TOPK_MAX", 100)
+    assert sorted(tables.head_n(df, ["o_custkey", "o_orderkey"], 700).collect()) == want_head
+    assert sorted(tables.sample_n(df, "o_orderkey", 700, seed=7).collect()) == want_sample
+    assert tables.head_n(df, "o_orderkey", 10**9).count() == df.count()
