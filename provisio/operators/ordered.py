@@ -15,6 +15,9 @@ the same running totals and ranks with range partitioning instead:
    broadcast.
 
 The ranged frame is checkpointed so both passes read one materialised copy.
+Plain row numbers (no groups, no weights) skip the pandas pass: the
+position inside each sorted partition comes from
+``monotonically_increasing_id``.
 """
 
 from __future__ import annotations
@@ -107,10 +110,33 @@ def running_total(df: DataFrame, order_by: Sequence[str], *, value: str | Column
 
 
 def row_number_global(df: DataFrame, order_by: Sequence[str], *, partition_by: Sequence[str] = (),
-                      out: str = "row_number") -> DataFrame:
-    """``row_number() over (partition by … order by …)`` without a one-task window.
-    ``order_by`` must be a total order inside each group."""
-    return running_total(df, order_by, partition_by=partition_by, out=out)
+                      out: str = "row_number", num_partitions: int | None = None) -> DataFrame:
+    """``row_number() over ([partition by …] order by …)`` without a one-task
+    window. ``order_by`` must be a total order (inside each group).
+
+    Without groups the pass is JVM-only: after the range shuffle and the
+    in-partition sort, ``monotonically_increasing_id`` carries the partition
+    index (high bits) and the position inside the partition (low 33 bits);
+    the per-partition row counts (one row per partition) become offsets.
+    With groups it is the running count of :func:`running_total`.
+    """
+    if partition_by:
+        return running_total(df, order_by, partition_by=partition_by, out=out, num_partitions=num_partitions)
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *order_by).sortWithinPartitions(*order_by)
+    # ids follow the sorted order inside each partition; materialised once so
+    # every later read sees the same assignment
+    tagged = ranged.withColumn("_rn_id", F.monotonically_increasing_id()).checkpoint(eager=True)
+    pid = F.shiftright(F.col("_rn_id"), 33)
+    counts = tagged.groupBy(pid.alias("_rn_pid")).agg(F.count(F.lit(1)).alias("_rn_n"))
+    earlier = Window.orderBy("_rn_pid").rowsBetween(Window.unboundedPreceding, -1)   # one row per partition
+    offsets = counts.select("_rn_pid", F.coalesce(F.sum("_rn_n").over(earlier), F.lit(0)).alias("_rn_off"))
+    joined = tagged.join(F.broadcast(offsets), pid == F.col("_rn_pid"), "left")
+    local = F.col("_rn_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return joined.withColumn(out, local + 1 + F.coalesce(F.col("_rn_off"), F.lit(0))) \
+        .drop("_rn_id", "_rn_pid", "_rn_off")
 
 
 def exact_median(df: DataFrame, column: str, *, out: str = "median") -> DataFrame:
@@ -121,10 +147,14 @@ def exact_median(df: DataFrame, column: str, *, out: str = "median") -> DataFram
     partitioning (a hot value is split by the tie-breaker) and the one or two
     middle rows are picked by their rank.
     """
+    checkpoint_dir(df.sparkSession)
+    # the tie-breaker splits a hot value over partitions; materialised once so
+    # a recomputed upstream cannot hand out different ids
     vals = (df.select(F.col(column).cast("double").alias("_v"))
             .where(F.col("_v").isNotNull())
-            .withColumn("_tb", F.monotonically_increasing_id()))
-    ranked = running_total(vals, ["_v", "_tb"], out="_rank")
+            .withColumn("_tb", F.monotonically_increasing_id())
+            .checkpoint(eager=True))
+    ranked = row_number_global(vals, ["_v", "_tb"], out="_rank")
     # the row count is one scalar; the middle positions become literals
     n = ranked.agg(F.max("_rank")).first()[0] or 0
     lo, hi = (n + 1) // 2, (n + 2) // 2

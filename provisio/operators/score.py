@@ -65,24 +65,44 @@ def predictions_b(scored: DataFrame, *, pd_col: str = "pd_12m", version: str = M
 
 # ---------------- M-3 stratified split ----------------
 def stratified_split(df: DataFrame, *, key: str, label: str, test_fraction: float = 0.2,
-                     seed: int = 42, out: str = "is_test") -> DataFrame:
+                     seed: int = 42, out: str = "is_test", max_labels: int = 10_000) -> DataFrame:
     """M-3: seeded stratified split with exact sizes: per label, the
     ``round(test_fraction·n_label)`` rows first in md5(seed:key) order are test.
 
-    Only (label, hash, key) are ranked — with the range-partitioned running
-    count, so a label holding most rows is still ranked by many tasks. The
-    rank yields one cut-off (hash, key) per label; the full-width rows are
-    then flagged by comparing with the cut-off of their label (a broadcast
-    of one row per label, size-checked) — no shuffle of the wide rows.
+    Only (label, hash, key) are ranked, by the distributed row number with
+    the label as leading order column, so a label holding most rows is still
+    ranked by many tasks (JVM only). The label counts (one row per label,
+    size-checked) give each label's offset in that order; the rank at
+    offset + k is the label's cut-off. The full-width rows are flagged by
+    comparing with their label's cut-off — a broadcast of one row per label,
+    no shuffle of the wide rows. Beyond ``max_labels`` labels the per-label
+    running count is used instead.
     """
+    from .sizing import materialise_if_small
+
     keyed = df.withColumn("_split_h", sample_key(seed, key))
     slim = keyed.select(F.col(label).alias("_split_label"), "_split_h", F.col(key).alias("_split_key"))
-    ranked = row_number_global(slim, ["_split_h", "_split_key"], partition_by=["_split_label"], out="_split_rank")
-    sizes = ranked.groupBy("_split_label").agg(F.max("_split_rank").alias("_split_n"))
-    take = F.round(F.lit(test_fraction) * F.col("_split_n"))
-    cut = (ranked.join(sizes, "_split_label").where(F.col("_split_rank") == take)
-           .select("_split_label", F.col("_split_h").alias("_cut_h"), F.col("_split_key").alias("_cut_key")))
-    joined = keyed.join(checked_broadcast(cut, max_rows=10_000), F.col(label).eqNullSafe(F.col("_split_label")), "left")
+    sizes, few = materialise_if_small(slim.groupBy("_split_label").agg(F.count(F.lit(1)).alias("_split_n")),
+                                      max_labels)
+    if few:
+        order = ["_split_label", "_split_h", "_split_key"]
+        ranked = row_number_global(slim, order, out="_split_rank")
+        counts = sizes.orderBy(F.col("_split_label").asc_nulls_first()).collect()   # ≤ max_labels rows
+        targets, offset = [], 0
+        for r in counts:
+            take = int(test_fraction * r["_split_n"] + 0.5)          # half up, like round()
+            if take > 0:
+                targets.append(offset + take)
+            offset += r["_split_n"]
+        cut = ranked.where(F.col("_split_rank").isin(targets)) if targets else ranked.limit(0)
+    else:
+        ranked = row_number_global(slim, ["_split_h", "_split_key"], partition_by=["_split_label"],
+                                   out="_split_rank")
+        take = F.round(F.lit(test_fraction) * F.col("_split_n"))
+        cut = ranked.join(sizes, "_split_label").where(F.col("_split_rank") == take)
+    cut = cut.select("_split_label", F.col("_split_h").alias("_cut_h"), F.col("_split_key").alias("_cut_key"))
+    joined = keyed.join(checked_broadcast(cut, max_rows=max_labels), F.col(label).eqNullSafe(F.col("_split_label")),
+                        "left")
     h, k = F.col("_split_h"), F.col(key)
     flag = (h < F.col("_cut_h")) | ((h == F.col("_cut_h")) & (k <= F.col("_cut_key")))
     return joined.withColumn(out, F.coalesce(flag, F.lit(False))) \

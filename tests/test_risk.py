@@ -221,3 +221,12 @@ def test_logistic_matches_l2_objective(spark):
             break
     got = np.append(model.coefficients.toArray(), model.intercept)
     assert np.allclose(got, beta, atol=1e-4, rtol=1e-4)
+
+
+def test_split_many_labels_fallback_equals_default(spark):
+    from provisio.operators import score
+
+    f = book_b.scored(spark, SF_SMOKE).select("loan_id", "default_flag")
+    a = score.stratified_split(f, key="loan_id", label="default_flag")
+    b = score.stratified_split(f, key="loan_id", label="default_flag", max_labels=1)
+    assert sorted(a.collect()) == sorted(b.collect())
