@@ -80,8 +80,14 @@ def stratified_split(df: DataFrame, *, key: str, label: str, test_fraction: floa
     """
     from .sizing import materialise_if_small
 
+    from ..session import checkpoint_dir
+
     keyed = df.withColumn("_split_h", sample_key(seed, key))
-    slim = keyed.select(F.col(label).alias("_split_label"), "_split_h", F.col(key).alias("_split_key"))
+    checkpoint_dir(df.sparkSession)
+    # the three ranking columns are written once; counts, range sampling and
+    # ranking read them instead of re-running the upstream plan
+    slim = keyed.select(F.col(label).alias("_split_label"), "_split_h", F.col(key).alias("_split_key")) \
+        .checkpoint(eager=True)
     sizes, few = materialise_if_small(slim.groupBy("_split_label").agg(F.count(F.lit(1)).alias("_split_n")),
                                       max_labels)
     if few:
