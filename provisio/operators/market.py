@@ -29,12 +29,25 @@ FINANCIAL_ITEMS = [("Total Revenue", "revenue"), ("Net Income", "net_income"), (
                    ("Cash", "cash")]
 
 
+def tick_order(ts: str, tiebreak: str | None) -> Column:
+    """Ordering key (ts, tiebreak) as ONE fixed-width value: microseconds
+    since the epoch · 10^19 + tiebreak, a decimal(38,0). A struct key would
+    force a sort-based aggregate; this keeps the hash aggregate."""
+    if not tiebreak:
+        return F.col(ts)
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                              F.col(ts).cast("timestamp_ntz"))
+    dec = "decimal(38,0)"
+    return micros.cast(dec) * F.lit(str(10 ** 19)).cast(dec) + F.col(tiebreak).cast(dec)
+
+
 def ohlc_bars(ticks: DataFrame, *, key: Column, ts: str = "ts", price: str = "value",
               tiebreak: str | None = None, unit: str = "day") -> DataFrame:
     """X-1: OHLC bars per key and period. Open/close are the first/last
-    price in (ts, tiebreak) order; all four are partial-aggregatable, so a
-    key with most of the ticks is pre-aggregated in every task."""
-    order = F.struct(F.col(ts), F.col(tiebreak)) if tiebreak else F.col(ts)
+    price in (ts, tiebreak) order (tiebreak ≥ 0); all four are hash
+    aggregates with a partial phase, so a key with most of the ticks is
+    pre-aggregated in every task."""
+    order = tick_order(ts, tiebreak)
     period = F.date_trunc(unit, F.col(ts)).cast(ticks.schema[ts].dataType)   # keep NTZ input as NTZ
     return ticks.groupBy(key.alias("company_id"), period.alias("ts")).agg(
         F.min_by(price, order).alias("open"), F.max(price).alias("high"),
@@ -44,7 +57,7 @@ def ohlc_bars(ticks: DataFrame, *, key: Column, ts: str = "ts", price: str = "va
 def latest_quotes(ticks: DataFrame, *, key: Column, ts: str = "ts", price: str = "value",
                   tiebreak: str | None = None) -> DataFrame:
     """X-2 (batch): the latest quote per key."""
-    order = F.struct(F.col(ts), F.col(tiebreak)) if tiebreak else F.col(ts)
+    order = tick_order(ts, tiebreak)
     return ticks.groupBy(key.alias("company_id")).agg(F.max(ts).alias("last_ts"),
                                                       F.max_by(price, order).alias("last_price"))
 

@@ -49,19 +49,20 @@ def ohlc_bars_stream(spark: SparkSession, sf_dir: str, *, source: str | None = N
     Update mode emits every bar whose value changed in a micro-batch (append
     mode would hold back the still-open last day, T-25). The changelog is
     compacted in batch: for each bar the version of the latest batch wins —
-    a grouped ``max_by``, partial-aggregated, so a busy ticker is not one task.
+    grouped ``max_by`` on the batch id (hash aggregate with a partial phase),
+    so a busy ticker is not one task.
     """
     ticks = tick_stream(spark, sf_dir, source=source).where(F.col("event_type") != "error")
     bars = (ticks.withWatermark("ts", BAR_WATERMARK)
             .groupBy(company_id(F.col("user_id")).alias("company_id"), F.window("ts", "1 day").alias("w"))
-            .agg(F.min_by("value", F.struct("ts", "event_id")).alias("open"), F.max("value").alias("high"),
-                 F.min("value").alias("low"), F.max_by("value", F.struct("ts", "event_id")).alias("close"))
+            .agg(F.min_by("value", mk.tick_order("ts", "event_id")).alias("open"), F.max("value").alias("high"),
+                 F.min("value").alias("low"), F.max_by("value", mk.tick_order("ts", "event_id")).alias("close"))
             .select("company_id", F.col("w.start").cast("timestamp_ntz").alias("ts"), "open", "high", "low", "close"))
     out = _run_changelog(bars, "ohlc_changelog", output_mode="update")
     log = spark.read.parquet(out)
     latest = log.groupBy("company_id", "ts").agg(
-        F.max_by(F.struct("open", "high", "low", "close"), "batch_id").alias("b"))
-    return latest.select("company_id", "ts", "b.open", "b.high", "b.low", "b.close")
+        *[F.max_by(c, "batch_id").alias(c) for c in ("open", "high", "low", "close")])
+    return latest.select("company_id", "ts", "open", "high", "low", "close")
 
 
 def deduplicated_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
