@@ -35,6 +35,7 @@ def summary(df) -> str:
 def main() -> None:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.1")
+    ap.add_argument("--skip", default="", help="comma-separated key substrings to leave out")
     ap.add_argument("filters", nargs="*")
     args = ap.parse_args()
     from provisio.queries import queries
@@ -43,6 +44,8 @@ def main() -> None:
     for key, fn in queries().items():
         if args.filters and not any(f in key for f in args.filters):
             continue
+        if args.skip and any(f in key for f in args.skip.split(",")):
+            continue
         try:
             print(f"{key}: {summary(fn(spark, args.sf))}")
         except Exception as e:  # noqa: BLE001
