@@ -64,3 +64,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(input_bytes: int, *, partition_bytes: int = 256 << 20, min_partitions: int = 200) -> dict[str, str]:
+    """Settings sized for reading ``input_bytes`` of Parquet: scan splits and
+    shuffle partitions of about ``partition_bytes`` each (they must fit an
+    executor's share of memory without spilling), AQE's target size and
+    skew threshold derived from the same number. Pass the result as
+    ``build_session(extra=...)`` or put it in the cluster's defaults."""
+    parts = max(min_partitions, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }

@@ -69,3 +69,11 @@ def test_first_n_large_path_equals_top_k(spark, monkeypatch):
     assert sorted(tables.head_n(df, ["o_custkey", "o_orderkey"], 700).collect()) == want_head
     assert sorted(tables.sample_n(df, "o_orderkey", 700, seed=7).collect()) == want_sample
     assert tables.head_n(df, "o_orderkey", 10**9).count() == df.count()
+
+
+def test_scale_conf():
+    from provisio.session import scale_conf
+
+    c = scale_conf(100 * 1024 ** 4)          # 100 TiB
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_conf(10)["spark.sql.shuffle.partitions"] == "200"
