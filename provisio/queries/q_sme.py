@@ -8,7 +8,7 @@ from ..functions import text as tx
 from ..operators import explain, score, stress
 from ..plans import sme
 from . import register
-from .layers import fixed, pct1, sme_pd
+from .layers import fixed, pct1, pct2, sme_pd
 
 R9 = 9
 
@@ -311,19 +311,57 @@ def r13_base_vs_stressed(spark, sf):
                     F.round("stressed_pd", R9).alias("stressed_pd"), F.round("pd_change", R9).alias("pd_change"))
 
 
-@register("r9_credit_memo")
+def _memo_sql() -> str:
+    stressed = ("1e0 / (1e0 + exp(-(ln(b / (1e0 - b)) + ((0e0 * -5e0) + ((1e0 - 1e0) * 1.5e0)))))")
+    return f"""
+with f as (
+  select company_id, factor_rank,
+         concat_ws(' | ', insight, attribution_text, concat_ws(' ', value_text, status), commentary) as line
+  from ({_r7_sql()}) r),
+l as (select company_id, string_agg(line, chr(10) order by factor_rank) as body from f group by company_id),
+s as (select company_id, predicted_default_prob as pd,
+             case when predicted_default_prob is null then null
+                  else least(greatest(predicted_default_prob, 1e-3), 999e-3) end as b
+      from sme_scored),
+t as (select *, {stressed} as new_pd from s)
+select t.company_id,
+       concat_ws(chr(10),
+         'CREDIT RISK ASSESSMENT: ' || coalesce(fa.name, t.company_id),
+         'DATE: ' || strftime(a.as_of, '%Y-%m-%d') || ' | SOURCE: '
+           || case when fa.is_real then 'HKEX API' else 'Internal Sim' end,
+         'EXECUTIVE SUMMARY: ' || case when t.pd > 0.2 then 'HIGH RISK' else 'LOW RISK' end,
+         'Model Prediction (PD): ' || {pct2('t.pd')},
+         'Risk Factor | AI Attribution | Metric Analysis | Commentary',
+         coalesce(l.body, ''),
+         'AI Suggestion: Validate flagged metrics against audited financial statements.',
+         'STRESS TEST ADDENDUM: Under simulated macro-economic stress (Revenue +0%, Volatility 1.0x), '
+           || 'the Probability of Default (PD) shifts from ' || {pct1('t.b')} || ' to ' || {pct1('t.new_pd')} || '.',
+         'FINAL RECOMMENDATION: ' || case when t.new_pd > 0.2 then 'REJECT / WATCHLIST' else 'APPROVE' end) as memo
+from t left join l on l.company_id = t.company_id
+left join financials_all fa on fa.company_id = t.company_id
+cross join as_of a
+"""
+
+
+def _report_day(spark, sf) -> str:
+    from ..plans import market as pm
+
+    return spark.range(1).select(F.date_format(pm.as_of_day(spark, sf), "yyyy-MM-dd")).first()[0]
+
+
+@register("r9_credit_memo", _memo_sql(), ("sme_factor_match", "sme_scored", "financials_all", "as_of"))
 def r9_credit_memo(spark, sf):
-    return sme.memos(spark, sf, as_of="2024-01-31")
+    return sme.memos(spark, sf, as_of=_report_day(spark, sf))
 
 
-@register("s17_memo_sink")
+@register("s17_memo_sink", _memo_sql(), ("sme_factor_match", "sme_scored", "financials_all", "as_of"))
 def s17_memo_sink(spark, sf):
     """One plain-text memo per company written to the shared folder,
     partitioned by a hash bucket of the company id, then read back."""
     from ..session import scratch_path
 
     path = scratch_path(spark, "credit_memos")
-    memos = sme.memos(spark, sf, as_of="2024-01-31")
+    memos = sme.memos(spark, sf, as_of=_report_day(spark, sf))
     memos.withColumn("bucket", F.pmod(F.xxhash64("company_id"), F.lit(64))) \
         .write.mode("overwrite").partitionBy("bucket").parquet(path)
     return spark.read.parquet(path).select("company_id", "memo")
