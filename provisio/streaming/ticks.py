@@ -65,21 +65,21 @@ def ohlc_bars_stream(spark: SparkSession, sf_dir: str, *, source: str | None = N
     return latest.select("company_id", "ts", "open", "high", "low", "close")
 
 
-def deduplicated_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def deduplicated_ticks(spark: SparkSession, sf_dir: str, *, source: str | None = None) -> DataFrame:
     """X-2 (stream part): ticks de-duplicated on their id within the
     watermark; the age test then runs in batch on the landed ticks."""
-    ticks = tick_stream(spark, sf_dir).where(F.col("event_type") != "error")
+    ticks = tick_stream(spark, sf_dir, source=source).where(F.col("event_type") != "error")
     dedup = ticks.withWatermark("ts", DEDUP_WATERMARK).dropDuplicatesWithinWatermark(["event_id"])
     out = _run_changelog(dedup, "tick_dedup", output_mode="append")
     return spark.read.parquet(out).drop("batch_id").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
-def freshness_from_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def freshness_from_stream(spark: SparkSession, sf_dir: str, *, source: str | None = None) -> DataFrame:
     """X-2: latest quote per company from the de-duplicated stream and its
     age at the time of the newest tick in the feed."""
     from ..plans.market import latest_tick
 
-    ticks = deduplicated_ticks(spark, sf_dir)
+    ticks = deduplicated_ticks(spark, sf_dir, source=source)
     latest = mk.latest_quotes(ticks, key=company_id(F.col("user_id")), tiebreak="event_id")
     return mk.freshness(latest, latest_tick(spark, sf_dir))
 

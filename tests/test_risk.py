@@ -230,3 +230,16 @@ def test_split_many_labels_fallback_equals_default(spark):
     a = score.stratified_split(f, key="loan_id", label="default_flag")
     b = score.stratified_split(f, key="loan_id", label="default_flag", max_labels=1)
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_grade_mean_fill_window_equals_aggregate(spark):
+    from provisio.operators import clean
+
+    rc = clean.raw_cleaned_b(book_b.landing(spark, SF_SMOKE))
+    a = clean.fill_by_group_mean(rc, "annual_income_raw", "grade", out="v", method="aggregate")
+    w = clean.fill_by_group_mean(rc, "annual_income_raw", "grade", out="v", method="window")
+    ra = {r.loan_id: r.v for r in a.select("loan_id", "v").collect()}
+    rw = {r.loan_id: r.v for r in w.select("loan_id", "v").collect()}
+    assert ra.keys() == rw.keys()
+    assert all((ra[k] is None and rw[k] is None) or abs(ra[k] - rw[k]) <= 1e-6 * max(1.0, abs(rw[k])) for k in ra)
+    assert any(r.annual_income_raw is None for r in rc.select("annual_income_raw").collect())

@@ -48,3 +48,23 @@ def test_bars_stream_over_several_batches(spark):
     assert spark.read.parquet(src).count() == ev.count()
     streamed = ticks.ohlc_bars_stream(spark, SF_SMOKE, source=src)
     assert _same(streamed, market.live_bars(spark, SF_SMOKE))
+
+
+def test_freshness_stream_drops_redelivered_ticks(spark):
+    """Every tick is delivered twice (a second file repeats the first); the
+    de-duplicated stream gives the batch freshness table."""
+    import time
+
+    from provisio.session import scratch_path
+    from provisio.sources.tables import read_table
+    from provisio.queries import queries
+
+    ev = read_table(spark, SF_SMOKE, "events")
+    src = scratch_path(spark, "ticks_twice")
+    ev.coalesce(1).write.mode("append").parquet(src)
+    time.sleep(1.1)
+    ev.coalesce(1).write.mode("append").parquet(src)
+    assert spark.read.parquet(src).count() == 2 * ev.count()
+    streamed = ticks.freshness_from_stream(spark, SF_SMOKE, source=src)
+    batch = queries()["x2_quote_freshness"](spark, SF_SMOKE)
+    assert _same(streamed, batch)
