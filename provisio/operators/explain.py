@@ -339,3 +339,11 @@ def model_background(frame: DataFrame, key: str = "company_id", n: int = BACKGRO
     """Seeded background rows of the model columns (exactly ``n``, bounded)."""
     cols = [c for _, group in SME_PLAYERS for c in group]
     return [r.asDict() for r in sample_n(frame.select(key, *cols), key, n, seed).collect()]
+
+
+def insight_rules_frame(spark) -> DataFrame:
+    """S-5: the insight rules as a small dimension frame built from the
+    literal table above (one row per rule, in rule order)."""
+    rows = [(i, r[0], r[1], float(r[2]), r[3], r[7]) for i, r in enumerate(INSIGHT_RULES, start=1)]
+    return spark.createDataFrame(rows, "rule_order int, key string, name string, threshold double, "
+                                       "direction string, benchmark string")

@@ -365,3 +365,15 @@ def s17_memo_sink(spark, sf):
     memos.withColumn("bucket", F.pmod(F.xxhash64("company_id"), F.lit(64))) \
         .write.mode("overwrite").partitionBy("bucket").parquet(path)
     return spark.read.parquet(path).select("company_id", "memo")
+
+
+@register("s5_literal_rule_frame", """
+select l.company_id, l.feature, r.name as insight, r.threshold, r.benchmark
+from sme_linear_long l join insight_rules r on l.feature = r.key
+""", ("sme_linear_long", "insight_rules"))
+def s5_literal_rule_frame(spark, sf):
+    """A literal dimension frame (4 rules, broadcast) joined to every company's attributions."""
+    rules = explain.insight_rules_frame(spark)
+    long = explain.explode_attributions(sme.attributed(spark, sf))
+    j = long.join(F.broadcast(rules), long.feature == rules.key, "inner")
+    return j.select("company_id", "feature", F.col("name").alias("insight"), "threshold", "benchmark")
