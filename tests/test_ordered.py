@@ -77,3 +77,13 @@ def test_scale_conf():
     c = scale_conf(100 * 1024 ** 4)          # 100 TiB
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert scale_conf(10)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_running_total_with_null_hot_group(spark):
+    df = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice")
+    df = df.withColumn("g", F.when(F.col("o_orderkey") % 3 == 0, F.lit(None).cast("long")).otherwise(F.col("o_custkey")))
+    got = running_total(df, ["o_orderkey"], value="o_totalprice", partition_by=["g"], out="rt")
+    w = Window.partitionBy("g").orderBy("o_orderkey").rowsBetween(Window.unboundedPreceding, 0)
+    ref = df.select("o_orderkey", F.sum("o_totalprice").over(w).alias("ref"))
+    bad = got.join(ref, "o_orderkey").where(F.abs(F.col("rt") - F.col("ref")) > 1e-6 * F.abs(F.col("ref")))
+    assert bad.count() == 0 and got.count() == df.count()
