@@ -43,10 +43,11 @@ def component_roots(edges: DataFrame) -> DataFrame:
 
 
 def smallest_reachable(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(node, label): the smallest label over each node's component. ``nodes``
-    has distinct ``node`` with ``label``; nodes without links keep their own."""
+    """(node, root, label): each node's component (its smallest node) and the
+    smallest label in it. ``nodes`` has distinct ``node`` with ``label``; a
+    node without links is its own component."""
     roots = component_roots(edges)
     rooted = nodes.join(roots.withColumnRenamed("src", "node"), "node", "left") \
         .withColumn("root", F.coalesce("dst", "node")).select("node", "label", "root")
     smallest = rooted.groupBy("root").agg(F.min("label").alias("least"))
-    return rooted.join(smallest, "root").select("node", F.col("least").alias("label"))
+    return rooted.join(smallest, "root").select("node", "root", F.col("least").alias("label"))

@@ -1,14 +1,15 @@
 """One query for each operator over the whole intended table, with production
 parameters. Each takes (spark, sf_dir); ``ORACLE`` has DuckDB SQL where SQL
-can express the result."""
+can express the whole result. The others are tested against brute-force
+versions, round trips or held-out accuracy in ``tests/llm``."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import pack, simhash
+from . import crf_language, lattice_lm, license_scan, line_dedup, merkle, mixing, pack, simhash, token_trees, weak_rules
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,14 +21,92 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base phrase places, labels, score and template spans of every document."""
+    return license_scan.scan_licenses(_documents(spark, sf_dir))
+
+
+def op3_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source at the same share of characters, the mixture as large as
+    the corpus: all copies of all documents in global random order."""
+    return mixing.mix(_documents(spark, sf_dir))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts before and after two edits of every document: eight code
+    points before the middle are doubled, and the source's name is put after
+    the first tenth."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text", "source")
+    trees = token_trees.build_trees(docs)
+    n = F.length(F.coalesce("text", F.lit("")))
+    middle, tenth = F.floor(n / 2), F.floor(n / 10)
+    low = F.greatest(middle - 8, F.lit(0))
+    doubled = F.substring("text", low.cast("int") + 1, (middle - low).cast("int"))
+    edits = F.array(
+        F.struct(low.alias("start"), middle.alias("stop"), F.concat(doubled, doubled).alias("replacement")),
+        F.struct(tenth.alias("start"), tenth.alias("stop"), F.concat(F.lit(" "), F.coalesce("source", F.lit("")), F.lit(" ")).alias("replacement")))
+    edited = token_trees.apply_edits(trees.withColumn("edits", edits), keep_text=False)
+    return edited.select("doc_id", "n_tokens", "edited_tokens", "encoded_chars", "n_leaves")
+
+
+def op5_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and lattice scores of every document."""
+    return lattice_lm.score_texts(_documents(spark, sf_dir))
+
+
+def op6_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language and its share of every document."""
+    return crf_language.train_and_identify(_documents(spark, sf_dir))
+
+
+def op7_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures, base rule and posterior verdict of every document."""
+    return weak_rules.quality(_documents(spark, sf_dir))
+
+
+def op8_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, compared."""
+    return merkle.fingerprint_edits(_documents(spark, sf_dir))
+
+
 def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence and offset."""
     return pack.pack(_documents(spark, sf_dir))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its later repeated runs of lines."""
+    return line_dedup.dedup_lines(_documents(spark, sf_dir)).select("doc_id", "text", "removed_lines", "removed_runs")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_simhash": op1_simhash,
-    "op9_pack": op9_pack,
+    f.__name__: f for f in (op1_simhash, op2_license_scan, op3_poisson_mix, op4_token_counts, op5_lattice_lm, op6_crf_language,
+                            op7_weak_rules, op8_merkle, op9_pack, op10_line_dedup)
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_poisson_mix": f"""
+WITH per AS (
+    SELECT source, count(*) AS n_docs, sum(coalesce(length(text), 0))::BIGINT AS amount FROM documents GROUP BY source
+), rates AS (
+    SELECT source, coalesce((1.0::DOUBLE * sum(amount) OVER ()::DOUBLE * 1.0::DOUBLE)
+                            / nullif(count(*) OVER ()::DOUBLE * amount, 0), 1.0::DOUBLE) AS rate FROM per
+), terms AS (
+    SELECT source, rate, k, CASE WHEN rate > 0 THEN exp(k * ln(rate) - rate - lgamma(k + 1.0)) ELSE (k = 0)::INT END AS term
+    FROM (SELECT source, rate, unnest(range(0, ceil(rate + 12 * sqrt(rate) + 30)::BIGINT + 1)) AS k FROM rates)
+), steps AS (
+    SELECT source, rate, sum(term) OVER (PARTITION BY source ORDER BY k) AS cdf FROM terms
+), drawn AS (
+    SELECT d.*, ('0x' || substr(md5('{mixing.SEED}|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))), 1, 13))::BIGINT
+                / 4503599627370496.0::DOUBLE AS u
+    FROM documents d
+), counted AS (
+    SELECT s.source, s.rate, d.doc_id, d.u, count(*) FILTER (WHERE s.cdf <= d.u)::INT AS copies
+    FROM drawn d JOIN steps s ON s.source IS NOT DISTINCT FROM d.source GROUP BY ALL
+)
+SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, c.rate, c.copies, g.copy_no::INT AS copy_no,
+       md5('{mixing.SEED}|order|' || coalesce(d.doc_id::VARCHAR, '') || '|' || g.copy_no::VARCHAR) AS shuffle_key
+FROM drawn d JOIN counted c ON c.doc_id IS NOT DISTINCT FROM d.doc_id AND c.u = d.u AND c.source IS NOT DISTINCT FROM d.source
+CROSS JOIN LATERAL (SELECT unnest(range(0, c.copies)) AS copy_no) g
+""",
+}

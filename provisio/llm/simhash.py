@@ -250,10 +250,29 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = SHINGLE_WORDS, radi
 
 
 def component_labels(marked: DataFrame, *, radius: int = RADIUS, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(fp, component_id) for the fingerprints of ``marked`` (doc_id, fp)."""
+    """(fp, root, component_id) for the fingerprints of ``marked`` (doc_id, fp);
+    root is the component's smallest fingerprint."""
     distinct = land(marked.groupBy("fp").agg(F.min("doc_id").cast("long").alias("smallest")), "distinct-fp")
     # the fingerprint itself is the node; labels are smallest doc_ids
     found = land(links(distinct.select(F.col("fp").alias("node"), "fp"), radius=radius, shard_rows=shard_rows)
                  .distinct(), "links")
     return smallest_reachable(distinct.select(F.col("fp").alias("node"), F.col("smallest").alias("label")), found) \
-        .select(F.col("node").alias("fp"), F.col("label").alias("component_id"))
+        .select(F.col("node").alias("fp"), "root", F.col("label").alias("component_id"))
+
+
+def representatives(docs: DataFrame, *, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS,
+                    shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """One row of ``docs`` for each component: the smallest doc_id (null ids
+    last), and of rows sharing it the smallest text hash."""
+    checkpoint_dir(docs.sparkSession)
+    (tie,) = fresh(docs, "text_hash")
+    hashed = docs.withColumn(tie, F.xxhash64("text"))
+    marked = land(fingerprints(hashed.select("doc_id", tie, "text"), shingle_words=shingle_words, keep=["doc_id", tie]), "fingerprints")
+    labels = component_labels(marked, radius=radius, shard_rows=shard_rows).select("fp", "root")
+    best = marked.join(labels, "fp").groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", tie)).alias("best")) \
+        .select(F.col("best.doc_id").alias("best_id"), F.col(f"best.{tie}").alias("best_tie"))
+    kept = hashed.join(best, F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col(tie) == F.col("best_tie")), "left_semi")
+    if marked.groupBy("doc_id", tie).count().where("count > 1").limit(1).count():    # repeated rows are there
+        kept = kept.dropDuplicates(["doc_id", tie])
+    return kept.select(*docs.columns)
