@@ -2,8 +2,8 @@
 
 Words are counted over all training documents. A fixed subword vocabulary
 with its own scores (a ``sentencepiece`` file) gives the first piece
-probabilities; one round of expectation-maximisation over the counted words
-fits them to the corpus. A word's probability is the sum over all its
+probabilities; expectation-maximisation over all counted words fits them to
+the corpus. A word's probability is the sum over all its
 segmentations (forward recursion in log space); a text's is the product over
 its words and one end.
 
@@ -35,6 +35,7 @@ FREQUENT_WORDS = 200_000     # words whose count and score are broadcast
 FREQUENT_BYTES = 64          # longer words are never broadcast
 COUNTER_WORDS = 300_000      # distinct words a counting task holds before it hands them on
 LATTICE_WORDS = 20_000       # words in one vectorised lattice
+EM_ROUNDS = 2                # rounds over all counted words
 PRIOR_PIECES = 0.1           # weight of the vocabulary's own scores against the corpus
 END_SHARE = 1e-3             # probability of the end before any training
 HOLD_OUT = (7, 2)            # crc32(doc_id) mod 7 = 2 is held out
@@ -65,12 +66,14 @@ class Pieces:
         self.longest = max((len(t) for t, _ in longer), default=1)
         self.keys = np.zeros(1 << _SLOT_BITS, dtype=np.uint64)
         self.ids = np.full(1 << _SLOT_BITS, -1, dtype=np.int32)
+        self.maybe = np.zeros(1 << _SLOT_BITS, dtype=bool)      # slots that some piece's hash names
         with np.errstate(over="ignore"):
             for text, i in longer:
                 h = np.uint64(0)
                 for ch in text:
                     h = h * _BASE + np.uint64(ord(ch) + 1)
                 slot = int((h * _MULTIPLIER) >> np.uint64(64 - _SLOT_BITS))
+                self.maybe[slot] = True
                 while self.keys[slot] != _EMPTY:
                     slot = (slot + 1) % len(self.keys)
                 self.keys[slot], self.ids[slot] = h, i
@@ -111,19 +114,21 @@ class Pieces:
         other.__dict__ = self.__dict__ | {"log_p": log_p, "log_end": log_end}
         return other
 
-    def _find(self, h: np.ndarray) -> np.ndarray:
-        """Piece ids of hashes, -1 where there is none."""
-        slot = ((h * _MULTIPLIER) >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
-        key = self.keys[slot]
-        out = np.where(key == h, self.ids[slot], -1)
-        todo = np.flatnonzero((key != h) & (key != _EMPTY))
+    def _find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rows, piece ids) of the hashes that are pieces."""
+        slot = (h * _MULTIPLIER) >> np.uint64(64 - _SLOT_BITS)
+        rows = np.flatnonzero(self.maybe[slot])
+        h, slot = h[rows], slot[rows].astype(np.int64)
+        ids = np.full(len(rows), -1, dtype=np.int64)
+        todo = np.arange(len(rows))
         while len(todo):
-            slot[todo] = (slot[todo] + 1) % len(self.keys)
             key = self.keys[slot[todo]]
             hit = key == h[todo]
-            out[todo[hit]] = self.ids[slot[todo[hit]]]
+            ids[todo[hit]] = self.ids[slot[todo[hit]]]
             todo = todo[~hit & (key != _EMPTY)]
-        return out
+            slot[todo] = (slot[todo] + 1) % len(self.keys)
+        hit = ids >= 0
+        return rows[hit], ids[hit]
 
     def _spelled(self, code: int) -> np.ndarray:
         """Pieces of one character: itself, or its UTF-8 bytes."""
@@ -140,7 +145,7 @@ class Pieces:
         bounds = np.flatnonzero(np.diff(sizes[order], prepend=-1, append=-1))
         for lo, hi in zip(bounds, bounds[1:]):
             size = int(sizes[order[lo]])
-            step = max(1, min(LATTICE_WORDS, 400_000 // size))
+            step = max(1, min(LATTICE_WORDS, 200_000 // size))
             for at in range(lo, hi, step):
                 rows = order[at:min(at + step, hi)]
                 out[rows] = self._lattice([texts[r] for r in rows], size,
@@ -164,17 +169,22 @@ class Pieces:
         alpha = [np.zeros(len(texts))]
         arcs: list[tuple[int, int, np.ndarray, np.ndarray]] = []       # from, to, rows, piece ids
         for j in range(1, n + 1):
-            best = alpha[j - 1] + single[place[j - 1]]
+            one = alpha[j - 1] + single[place[j - 1]]
+            best = one.copy()
+            found = []
             for size in range(2, min(j, self.longest) + 1):
                 with np.errstate(over="ignore"):
-                    ids = self._find(prefix[j] - prefix[j - size] * powers[size])
-                rows = np.flatnonzero(ids >= 0)
+                    rows, ids = self._find(prefix[j] - prefix[j - size] * powers[size])
                 if len(rows):
-                    ids = ids[rows]
-                    best[rows] = np.logaddexp(best[rows], alpha[j - size][rows] + self.log_p[ids])
+                    way = alpha[j - size][rows] + self.log_p[ids]
+                    best[rows] = np.maximum(best[rows], way)
+                    found.append((rows, way))
                     if weights is not None:
                         arcs.append((j - size, j, rows, ids))
-            alpha.append(best)
+            total = np.exp(one - best)          # log-sum-exp over the arcs that end here
+            for rows, way in found:
+                total[rows] += np.exp(way - best[rows])
+            alpha.append(best + np.log(total))
         if weights is not None:
             self._expect(alpha, arcs, single, place, spelled, weights, expected)
         return alpha[n]
@@ -182,20 +192,30 @@ class Pieces:
     def _expect(self, alpha, arcs, single, place, spelled, weights, expected) -> None:
         """Backward recursion; adds each arc's posterior times the weight."""
         n = len(alpha) - 1
-        beta = [np.full(len(weights), -np.inf) for _ in range(n)] + [np.zeros(len(weights))]
-        by_end: dict[int, list] = {}
+        beta = [np.zeros(0)] * n + [np.zeros(len(weights))]
+        by_start: dict[int, list] = {}
         for arc in arcs:
-            by_end.setdefault(arc[1], []).append(arc)
+            by_start.setdefault(arc[0], []).append(arc)
         chars = np.zeros(len(spelled))
-        for j in range(n, 0, -1):
-            one = single[place[j - 1]]
-            beta[j - 1] = np.logaddexp(beta[j - 1], beta[j] + one)
-            chars += np.bincount(place[j - 1], np.exp(alpha[j - 1] + one + beta[j] - alpha[n]) * weights, len(spelled))
-            for i, _, rows, ids in by_end.get(j, ()):
-                via = self.log_p[ids] + beta[j][rows]
-                beta[i][rows] = np.logaddexp(beta[i][rows], via)
-                share = np.exp(alpha[i][rows] + via - alpha[n][rows]) * weights[rows]
-                expected += np.bincount(ids, share, len(expected))
+        for i in range(n - 1, -1, -1):
+            one = single[place[i]] + beta[i + 1]
+            best, found = one.copy(), []
+            for _, j, rows, ids in by_start.get(i, ()):
+                way = self.log_p[ids] + beta[j][rows]
+                best[rows] = np.maximum(best[rows], way)
+                found.append((rows, ids, way))
+            share = np.exp(one - best)
+            total, parts = share.copy(), []
+            for rows, ids, way in found:
+                part = np.exp(way - best[rows])
+                total[rows] += part
+                parts.append(part)
+            beta[i] = best + np.log(total)
+            # posterior of passing i, split over the arcs that start here
+            through = np.exp(alpha[i] + beta[i] - alpha[n]) * weights / total
+            chars += np.bincount(place[i], share * through, len(spelled))
+            for (rows, ids, _), part in zip(found, parts):
+                expected += np.bincount(ids, part * through[rows], len(expected))
         for c, ids in zip(chars, spelled):
             np.add.at(expected, ids, c)
 
@@ -233,7 +253,7 @@ def _expected_pieces(counts: DataFrame, shared) -> list:
         .groupBy("piece").agg(F.sum("n").alias("n")).collect()
 
 
-def fit_pieces(counts: DataFrame, n_docs: int, raw: bytes, rounds: int = 1) -> Pieces:
+def fit_pieces(counts: DataFrame, n_docs: int, raw: bytes, rounds: int = EM_ROUNDS) -> Pieces:
     """Piece probabilities fitted to the counted words. What reaches the
     driver has the vocabulary's size."""
     pieces = Pieces.from_file(raw)
@@ -270,7 +290,7 @@ _SCORED = ("doc_id long, held_out boolean, n_tokens long, known_part long, base_
            "words array<binary>, times array<int>")
 
 
-def score_texts(docs: DataFrame, *, pieces_path: str | None = None, rounds: int = 1,
+def score_texts(docs: DataFrame, *, pieces_path: str | None = None, rounds: int = EM_ROUNDS,
                 frequent_words: int = FREQUENT_WORDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession

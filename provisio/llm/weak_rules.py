@@ -35,7 +35,7 @@ STOP_WORDS = frozenset(w.encode() for w in (
     "el los las del y en que por con para una es se no un su al lo como").split())
 
 MEASURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-            "n_lines long, n_letters long, n_upper long, n_stop long, n_shout long")
+            "n_lines long, n_letters long, n_upper long, n_stop long, n_doubled long, n_bars long")
 KEEP_POSTERIOR = 0.5
 EM_ROUNDS = 200
 
@@ -75,13 +75,15 @@ def text_measures(data: bytes) -> tuple[int, ...]:
     beyond = len(data.translate(None, _NOT_LEAD))
     return (len(words), points - spaces, sum(data.count(bytes([c])) for c in SYMBOLS), len(lines) - len(set(lines)),
             _repeat_words(words), len(lines), n_upper + n_lower + beyond, n_upper,
-            sum(map(STOP_WORDS.__contains__, data.lower().split())), data.count(b"!!") + data.count(b"??"))
+            sum(map(STOP_WORDS.__contains__, data.lower().split())), sum(map(data.count, _DOUBLED)), sum(map(data.count, _BARS)))
 
 
 # byte classes: A-Z, a-z, UTF-8 continuation bytes, and all but the first bytes of code points beyond ASCII
 _UPPER, _LOWER = bytes(range(65, 91)), bytes(range(97, 123))
 _CONTINUATION = bytes(range(128, 192))
 _NOT_LEAD = bytes(range(192))
+_BARS = (b" | ", " · ".encode(), " • ".encode(), " » ".encode())      # separators of menus and tables
+_DOUBLED = tuple(2 * bytes([c]) for c in b"!?#*$%&|<>~^@=")
 
 
 def measures(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -109,21 +111,23 @@ def rule_votes() -> dict[str, Column]:
     return {
         "length": _vote(c("n_words") >= 80, c("n_words") < 50),
         "word_length": _vote(word_length.between(3, 9), none | (word_length < 2.2) | (word_length > 14)),
-        "symbols": _vote(share("n_symbols", "n_words") < 0.05, share("n_symbols", "n_words") > 0.3),
+        "symbols": _vote(share("n_symbols", "n_words") < 0.05, share("n_symbols", "n_words") > 0.25),
         "line_repeats": _vote((c("n_lines") >= 3) & (share("n_dup_lines", "n_lines") < 0.1), share("n_dup_lines", "n_lines") > 0.3),
         "word_repeats": _vote((c("n_words") >= 20) & (share("n_repeat_words", "n_words") < 0.2), share("n_repeat_words", "n_words") > 0.5),
         "capitals": _vote(share("n_upper", "n_letters") < 0.2, share("n_upper", "n_letters") > 0.6),
-        "letters": _vote(share("n_letters", "word_chars") > 0.85, share("n_letters", "word_chars") < 0.6),
-        "stop_words": _vote(share("n_stop", "n_words") > 0.05, none | ((c("n_words") >= 20) & (c("n_stop") == 0))),
-        "shouting": _vote(share("n_shout", "n_words") < 0.01, share("n_shout", "n_words") > 0.2),
+        "letters": _vote(share("n_letters", "word_chars") > 0.9, share("n_letters", "word_chars") < 0.75),
+        "stop_words": _vote(share("n_stop", "n_words") > 0.05, none | ((c("n_words") >= 20) & (share("n_stop", "n_words") < 0.02))),
+        "separators": _vote(share("n_bars", "n_words") < 0.01, share("n_bars", "n_words") > 0.15),
+        "doubled_marks": _vote(share("n_doubled", "n_words") < 0.01, share("n_doubled", "n_words") > 0.15),
     }
 
 
 def fit_votes(patterns: np.ndarray, counts: np.ndarray, rounds: int = EM_ROUNDS) -> tuple[float, np.ndarray, np.ndarray]:
     """EM over a histogram of vote patterns: (share of good documents,
     P(votes good | good), P(votes bad | bad)) with abstentions left out.
-    A rule is held to be right at least half of the time, which fixes which
-    class is the good one."""
+    Good votes are right at least half of the time on good documents, and a bad
+    vote never speaks for a document: that fixes which class is the good one,
+    and lets a rule that says good to everything weigh nothing."""
     n_rules = patterns.shape[1]
     prior, right_good, right_bad = 0.7, np.full(n_rules, 0.8), np.full(n_rules, 0.8)
     good, bad = patterns > 0, patterns < 0
@@ -131,9 +135,8 @@ def fit_votes(patterns: np.ndarray, counts: np.ndarray, rounds: int = EM_ROUNDS)
         p = posterior(patterns, prior, right_good, right_bad)
         w_good, w_bad = counts * p, counts * (1 - p)
         prior_new = float(np.clip((w_good.sum() + 1) / (counts.sum() + 2), 0.01, 0.99))
-        limit = lambda hit, miss: np.clip((hit + 4) / (hit + miss + 5), 0.5, 0.995)
-        g = limit(w_good @ good, w_good @ bad)
-        b = limit(w_bad @ bad, w_bad @ good)
+        g = np.clip((w_good @ good + 4) / (w_good @ good + w_good @ bad + 5), 0.5, 0.995)
+        b = np.clip((w_bad @ bad + 4) / (w_bad @ bad + w_bad @ good + 5), 1 - g, 0.995)
         moved = max(abs(prior - prior_new), np.abs(g - right_good).max(initial=0), np.abs(b - right_bad).max(initial=0))
         prior, right_good, right_bad = prior_new, g, b
         if moved < 1e-9:
