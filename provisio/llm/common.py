@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import pyarrow as pa
@@ -98,3 +98,11 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def kept_fields(df: DataFrame, keep: Sequence[str], results: str) -> tuple[list[str], str]:
+    """The ``keep`` columns without those that a result column replaces, and
+    the schema text of both together."""
+    taken = {name.lower() for name in _arrow_schema(results).names}
+    names = [c for c in keep if c.lower() not in taken]
+    return names, ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in names), results])

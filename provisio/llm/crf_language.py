@@ -19,7 +19,7 @@ Words without a letter carry no evidence of their own. If nothing can be
 learned (no labelled text) every document is ``und``. Ties go to the language
 that sorts first. A null doc_id counts as training if it has a language.
 Repeated rows get the same label. An empty table gives no rows. Extra columns
-are dropped unless named in ``keep``.
+are dropped unless named in ``keep``; a result replaces one of its name.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import map_batches
+from .common import kept_fields, map_batches
 
 HOLD_OUT = (4, 2)                # crc32(doc_id) mod 4 = 2 is held out
 SAMPLE_DOCS = 160                # distinct training texts a language
@@ -314,14 +314,13 @@ def identify(docs: DataFrame, model: Crf | None, *, keep: Sequence[str] = ("doc_
     """The ``keep`` columns with lang_pred and score; with ``segments`` also
     the stretches of words (first word, end word, language) of equal label."""
     shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep) + ", lang_pred string, score double"
-    if segments:
-        fields += ", segments array<struct<first: int, stop: int, lang: string>>"
+    own, schema = kept_fields(docs, keep, "lang_pred string, score double"
+                              + (", segments array<struct<first: int, stop: int, lang: string>>" if segments else ""))
 
     def run(batches):
         model = shared.value
         for b in batches:
-            texts = b["text"] if "text" in keep else b.pop("text")
+            texts = b["text"] if "text" in own else b.pop("text")
             heard = [t is not None and has_letter(t) and model is not None for t in texts]
             words = [words_of(t) if ok else [] for t, ok in zip(texts, heard)]
             labels, scores, parts = [], [], []
@@ -341,7 +340,7 @@ def identify(docs: DataFrame, model: Crf | None, *, keep: Sequence[str] = ("doc_
                     parts.append([{"first": lo, "stop": hi, "lang": model.languages[label[lo]]} for lo, hi in zip(at, at[1:])])
             yield b | {"lang_pred": labels, "score": scores} | ({"segments": parts} if segments else {})
 
-    return map_batches(docs.select(*keep, *([] if "text" in keep else ["text"])), run, fields, max_bytes=4 << 20)
+    return map_batches(docs.select(*own, *([] if "text" in own else ["text"])), run, schema, max_bytes=4 << 20)
 
 
 def train_and_identify(docs: DataFrame) -> DataFrame:

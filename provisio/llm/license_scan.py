@@ -13,7 +13,7 @@ built once in each worker.
 Edge cases: a null or empty text has no words, no spans, empty labels and
 score 0. A text that is one template many times gives one span for each copy.
 Repeated rows are scanned alike. An empty table gives no rows. Extra columns
-are dropped unless named in ``keep``.
+are dropped unless named in ``keep``; a result replaces one of its name.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .common import map_batches, utf8
+from .common import fresh, kept_fields, map_batches, utf8
 
 # Phrases whose every place is counted, with their labels.
 BASE_PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -255,13 +255,14 @@ def scan_licenses(docs: DataFrame, *, keep: Sequence[str] = ("doc_id",), templat
                   phrases: dict[str, str] | None = None) -> DataFrame:
     """The ``keep`` columns with base phrase places, labels, score and spans."""
     fixed = tuple((templates or TEMPLATES).items()), tuple((phrases or BASE_PHRASES).items())
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    own, schema = kept_fields(docs, keep, RESULT)
+    (body,) = fresh(docs.select(*own), "scanned_text")
     names = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans")
 
     def run(batches):
         scan = _scanner(*fixed).scan
         for b in batches:
-            rows = [scan(t) for t in b.pop("scanned_text")]
+            rows = [scan(t) for t in b.pop(body)]
             yield b | {c: [r[c] for r in rows] for c in names}
 
-    return map_batches(docs.select(*keep, utf8().alias("scanned_text")), run, f"{fields}, {RESULT}")
+    return map_batches(docs.select(*own, utf8().alias(body)), run, schema)

@@ -265,14 +265,14 @@ def representatives(docs: DataFrame, *, shingle_words: int = SHINGLE_WORDS, radi
     """One row of ``docs`` for each component: the smallest doc_id (null ids
     last), and of rows sharing it the smallest text hash."""
     checkpoint_dir(docs.sparkSession)
-    (tie,) = fresh(docs, "text_hash")
+    tie, best_id, best_tie = fresh(docs, "text_hash", "best_id", "best_tie")
     hashed = docs.withColumn(tie, F.xxhash64("text"))
     marked = land(fingerprints(hashed.select("doc_id", tie, "text"), shingle_words=shingle_words, keep=["doc_id", tie]), "fingerprints")
     labels = component_labels(marked, radius=radius, shard_rows=shard_rows).select("fp", "root")
     best = marked.join(labels, "fp").groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", tie)).alias("best")) \
-        .select(F.col("best.doc_id").alias("best_id"), F.col(f"best.{tie}").alias("best_tie"))
-    kept = hashed.join(best, F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col(tie) == F.col("best_tie")), "left_semi")
+        .select(F.col("best.doc_id").alias(best_id), F.col(f"best.{tie}").alias(best_tie))
+    kept = hashed.join(best, F.col("doc_id").eqNullSafe(F.col(best_id)) & (F.col(tie) == F.col(best_tie)), "left_semi")
     if marked.groupBy("doc_id", tie).count().where("count > 1").limit(1).count():    # repeated rows are there
         kept = kept.dropDuplicates(["doc_id", tie])
     return kept.select(*docs.columns)

@@ -14,7 +14,8 @@ beyond ASCII; capitals are A-Z.
 Edge cases: a null, empty or blank text has no words, zero counts, and fails
 the base rule. A document on which every rule abstains gets the prior.
 Repeated rows are judged alike. An empty table gives no rows. Extra columns
-are dropped by ``measures`` unless named in ``keep``.
+are dropped by ``measures`` unless named in ``keep``; a measure replaces one of
+its name.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import ASCII_SPACE, land, map_batches, utf8
+from .common import ASCII_SPACE, fresh, kept_fields, land, map_batches, utf8
 
 SYMBOLS = b"#*$%&|<>"
 # Frequent function words of the supported languages.
@@ -88,15 +89,16 @@ _DOUBLED = tuple(2 * bytes([c]) for c in b"!?#*$%&|<>~^@=")
 
 def measures(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """The ``keep`` columns and every measure of the whole text."""
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    own, schema = kept_fields(docs, keep, MEASURES)
+    (body,) = fresh(docs.select(*own), "measured_text")
     names = [m.split()[0] for m in MEASURES.split(", ")]
 
     def run(batches):
         for b in batches:
-            rows = [text_measures(t) for t in b.pop("measured_text")]
+            rows = [text_measures(t) for t in b.pop(body)]
             yield b | dict(zip(names, map(list, zip(*rows)) if rows else [[] for _ in names]))
 
-    return map_batches(docs.select(*keep, utf8().alias("measured_text")), run, f"{fields}, {MEASURES}")
+    return map_batches(docs.select(*own, utf8().alias(body)), run, schema)
 
 
 def _vote(good: Column, bad: Column) -> Column:
