@@ -130,8 +130,7 @@ def fingerprint_edits(docs: DataFrame, *, blocks: int | None = None) -> DataFram
     n = blocks or min(4 * parts, MAX_BLOCKS)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("body"))
     # quantiles are values of the column; one row of at most `n` numbers
-    cuts = slim.agg(F.min("doc_id"), F.percentile_approx("doc_id", F.array(*[F.lit(i / n) for i in range(1, n)]), 10 * n)).first() \
-        if n > 1 else (None, None)
+    cuts = slim.agg(F.min("doc_id"), F.percentile_approx("doc_id", F.array(*[F.lit(i / n) for i in range(n)]), 10 * n)).first()
     smallest, cuts = cuts[0], sorted({c for c in (cuts[1] or []) if c is not None and c > cuts[0]})
     nulls = slim.where(F.col("doc_id").isNull()).limit(1).count() > 0
     first = None if nulls else smallest
