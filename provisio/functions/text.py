@@ -14,7 +14,7 @@ from pyspark.sql import Column, functions as F
 from .scalars import col_
 
 __all__ = ["round_half_away", "fmt_pct1", "fmt_pct2", "fmt_fixed", "fmt_signed_pct0", "fmt_thousands", "fmt_money",
-           "fill_template", "display_feature_name", "padded_id", "date_series"]
+           "fill_template", "display_feature_name", "padded_id"]
 
 
 def round_half_away(x: Column, digits: int) -> Column:
@@ -73,8 +73,3 @@ def display_feature_name(name: str | Column) -> Column:
 def padded_id(prefix: str, key: str | Column, width: int) -> Column:
     """P-22: ``PREFIX_%0wd`` ids (width is a minimum; longer keys are not cut)."""
     return F.format_string(f"{prefix}%0{width}d", col_(key))
-
-
-def date_series(end: Column, days: int) -> Column:
-    """C-20: array of ``days`` consecutive dates ending at ``end`` (explode it)."""
-    return F.sequence(F.date_sub(end, days - 1), end, F.expr("interval 1 day"))

@@ -3,7 +3,7 @@ profile-B landing → clean layer (P-1, P-3 … P-9, F-1, F-2, W-1, A-10)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.scalars import (dti_from_text, emp_years, fico_midpoint, lenient_real,
                                  pct_to_fraction, term_months)
@@ -47,21 +47,15 @@ def _literal_map(mapping: dict) -> Column:
 
 # ------------------------------------------------------------- W-1 / A-10
 def fill_by_group_mean(df: DataFrame, column: str, group: str, *, out: str | None = None,
-                       method: str = "aggregate", over: DataFrame | None = None) -> DataFrame:
+                       over: DataFrame | None = None) -> DataFrame:
     """W-1: ``coalesce(x, avg(x) over (partition by group))``.
 
-    ``method='aggregate'`` (A-10, the at-scale form): one grouped average
-    (partial + final aggregation, one row per group) joined back with a
-    size-checked broadcast, instead of a window that moves every row of a
-    group into one task. ``method='window'`` is the literal window form.
-    ``over`` computes the means on another frame (default: ``df``).
+    One grouped average (A-10; partial + final aggregation, one row per group)
+    joined back with a size-checked broadcast, instead of a window that moves
+    every row of a group into one task. ``over`` computes the means on another
+    frame (default: ``df``).
     """
     target = out or column
-    if method == "window":
-        if over is not None:
-            raise ValueError("window form averages over the frame itself")
-        w = Window.partitionBy(group)
-        return df.withColumn(target, F.coalesce(F.col(column), F.avg(column).over(w)))
     source = df if over is None else over
     means = source.groupBy(group).agg(F.avg(column).alias("_grp_mean")).withColumnRenamed(group, "_grp_key")
     joined = df.join(checked_broadcast(means), F.col(group).eqNullSafe(F.col("_grp_key")), "left")
@@ -132,11 +126,12 @@ def clean_loans_b(landing: DataFrame, *, income_mode: str = "strict") -> DataFra
 def loader_a(landing: DataFrame, *, sample: int | None = None, seed: int = 42) -> DataFrame:
     """Loader A over a landing-zone frame → ``raw_loans`` columns.
 
-    Medians (C-14) are exact and computed over the whole input (A-8, ranked
-    by range partitioning); each is one scalar. The branches on column
+    Medians (C-14) are exact and computed over the whole input (A-8); each is
+    one scalar. The upstream plan runs once: its slim columns are written to
+    the shared folder. The branches on column
     presence (P-11, P-23) follow the source file's schema.
     """
-    from ..sources.tables import sample_n
+    from ..sources.tables import land, sample_n
 
     src = sample_n(landing, "id", sample, seed) if sample else landing
     cols = set(src.columns)
@@ -146,29 +141,30 @@ def loader_a(landing: DataFrame, *, sample: int | None = None, seed: int = 42) -
         F.coalesce(_literal_map(STATUS_DEFAULT_MAP)[status], F.lit(0)).alias("_flag"),
         F.concat(F.lit("LOAN_"), F.col("id").cast("string")).alias("_loan_id"),
     )
-    inc_raw = _numeric(flagged, "annual_inc")
-    med_income = _median_scalar(flagged.select(inc_raw.alias("v")), "v")
-    income = F.coalesce(inc_raw, F.lit(med_income).cast("double"))
-    if "dti" in cols:
-        debt = _numeric(flagged, "dti") / 100.0 * income
-    else:
-        debt = _numeric(flagged, "installment") * F.lit(DEBT_INSTALLMENT_FACTOR) * F.lit(MONTHS_PER_YEAR)
-    step = flagged.select("*", income.alias("_income"), debt.alias("_debt_raw"))
-    med_debt = _median_scalar(step, "_debt_raw")
     if {"fico_range_low", "fico_range_high"} <= cols:
-        fico = F.coalesce((_numeric(step, "fico_range_low") + _numeric(step, "fico_range_high")) / 2,
+        fico = F.coalesce((_numeric(flagged, "fico_range_low") + _numeric(flagged, "fico_range_high")) / 2,
                           F.lit(float(FICO_DEFAULT)))
     else:
         fico = F.coalesce(_literal_map(GRADE_TO_FICO)[F.col("grade")].cast("double"), F.lit(float(FICO_DEFAULT)))
-    amt_raw = _numeric(step, "loan_amnt")
-    med_amount = _median_scalar(step.select(amt_raw.alias("v")), "v")
+    debt_source = _numeric(flagged, "dti") if "dti" in cols else _numeric(flagged, "installment")
+    # the slim columns are written once: the medians and the result read them,
+    # not the upstream plan
+    slim_path = land(flagged.select(
+        F.col("_loan_id").alias("loan_id"), _numeric(flagged, "annual_inc").alias("_inc"), debt_source.alias("_debt"),
+        fico.alias("_fico"), _numeric(flagged, "loan_amnt").alias("_amt"), F.col("_flag").alias("default_flag")), name="loader_a")
+    slim = landing.sparkSession.read.parquet(slim_path)
+    income = F.coalesce(F.col("_inc"), F.lit(_median_scalar(slim, "_inc")).cast("double"))
+    if "dti" in cols:
+        debt = F.col("_debt") / 100.0 * income
+    else:
+        debt = F.col("_debt") * F.lit(DEBT_INSTALLMENT_FACTOR) * F.lit(MONTHS_PER_YEAR)
+    step = slim.select("*", income.alias("income"), debt.alias("_debt_raw"))
     out = step.select(
-        F.col("_loan_id").alias("loan_id"),
-        F.col("_income").alias("income"),
-        F.coalesce(F.col("_debt_raw"), F.lit(med_debt).cast("double")).alias("total_debt"),
-        fico.alias("_fico"),
-        F.coalesce(amt_raw, F.lit(med_amount).cast("double")).alias("loan_amount"),
-        F.col("_flag").alias("default_flag"),
+        "loan_id", "income",
+        F.coalesce(F.col("_debt_raw"), F.lit(_median_scalar(step, "_debt_raw")).cast("double")).alias("total_debt"),
+        "_fico",
+        F.coalesce(F.col("_amt"), F.lit(_median_scalar(slim, "_amt")).cast("double")).alias("loan_amount"),
+        "default_flag",
     )
     valid = (F.col("income") > 0) & (F.col("loan_amount") > 0) & (F.col("_fico") >= FICO_MIN) & (F.col("_fico") <= FICO_MAX)
     return out.where(valid).select(

@@ -1,8 +1,8 @@
 """Model evaluation (M-7, M-8, M-9) and the documented monitoring
 extensions (E-1 … E-11).
 
-AUC is exact without a global sort in one task: rows are ranked by the
-range-partitioned row number and reduced to one row per distinct score. Confusion counts and the classification report are one global
+AUC is exact without a global sort in one task: rows are counted per distinct
+score, and only the distinct scores are ranked, by range partitions. Confusion counts and the classification report are one global
 aggregate (four conditional counts) and column arithmetic.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import col_
-from .ordered import row_number_global
+from .ordered import running_total
 
 CLASS_NAMES = ("No Default", "Default")
 DECISION_THRESHOLD = 0.5
@@ -26,22 +26,16 @@ def auc(df: DataFrame, score: str, label: str) -> DataFrame:
     """M-7: area under the ROC curve with average ranks for ties (the
     Mann-Whitney form), as a one-row frame. Rows with a NULL score are left out.
 
-    Rows are ranked by score with the distributed row number (JVM only, a
-    hot score is split by the tie-breaker); per distinct score the ranks
-    min..max are consecutive, so the tie group's average rank is
-    (min + max)/2 and AUC = (Σ_s pos_s·avg_rank_s − P(P+1)/2) / (P·N).
+    Rows are first counted per distinct score (partial aggregation), then a
+    running count over the distinct scores gives each tie group's ranks
+    min..max, whose average is (min + max)/2, and
+    AUC = (Σ_s pos_s·avg_rank_s − P(P+1)/2) / (P·N).
     The rank sums are exact decimals.
     """
-    from ..session import checkpoint_dir
-
-    checkpoint_dir(df.sparkSession)
-    scored = (df.where(F.col(score).isNotNull())
-              .select(F.col(score).alias("_s"), F.col(label).cast("long").alias("_y"),
-                      F.monotonically_increasing_id().alias("_tb"))
-              .checkpoint(eager=True))        # fixed tie-breakers for every later read
-    ranked = row_number_global(scored, ["_s", "_tb"], out="_r")
-    per_score = ranked.groupBy("_s").agg(F.min("_r").alias("_lo"), F.max("_r").alias("_hi"),
-                                         F.sum("_y").alias("_pos"), F.count(F.lit(1)).alias("_n"))
+    counted = (df.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("_s"))
+               .agg(F.sum(F.col(label).cast("long")).alias("_pos"), F.count(F.lit(1)).alias("_n")))
+    per_score = running_total(counted, ["_s"], value="_n", out="_hi") \
+        .withColumn("_lo", F.col("_hi") - F.col("_n") + 1)
     dec = "decimal(38,1)"
     t = per_score.agg(
         F.sum(F.col("_pos").cast(dec) * (F.col("_lo") + F.col("_hi")).cast(dec) / 2).alias("_rank_sum"),

@@ -56,7 +56,6 @@ VIP_IDS = ["HK_00000", "HK_00001", "HK_00002", "HK_00003", "HK_00004", "HK_00005
 VIP_PD_RANGE = (0.01, 0.04)
 TOP_FACTORS = 3
 CHART_FACTORS = 6
-BACKGROUND_ROWS = 100
 
 
 # ------------------------------------------------------------------ P-27
@@ -68,9 +67,11 @@ def hashed_uniform(key: str | Column, lo: float, hi: float) -> Column:
 
 def override(df: DataFrame, key: str, ids: DataFrame, column: str, value: Column) -> DataFrame:
     """P-27: replace ``column`` with ``value`` on rows whose key is in ``ids``
-    (a small allow-list, broadcast; left join keeps every row)."""
+    (an allow-list, broadcast behind a size check; left join keeps every row)."""
+    from .sizing import checked_broadcast
+
     hits = ids.select(F.col(ids.columns[0]).alias("_ovr_key")).distinct().withColumn("_ovr_hit", F.lit(True))
-    j = df.join(F.broadcast(hits), F.col(key) == F.col("_ovr_key"), "left")
+    j = df.join(checked_broadcast(hits), F.col(key) == F.col("_ovr_key"), "left")
     return j.withColumn(column, F.when(F.col("_ovr_hit"), value).otherwise(F.col(column))) \
         .drop("_ovr_key", "_ovr_hit")
 
@@ -108,39 +109,50 @@ def shapley_weights(k: int) -> dict[int, float]:
     return {s: factorial(s) * factorial(k - s - 1) / factorial(k) for s in range(k)}
 
 
-def background_sample(df: DataFrame, key: str = "company_id", n: int = BACKGROUND_ROWS, seed: int = 42) -> list:
-    """Seeded background rows (exactly ``n``; a distributed top-k by md5
-    order); small by construction, so they travel as literals."""
-    rows = sample_n(df.select(key, *SME_NUMERIC), key, n, seed).collect()
-    return [tuple(float(r[f]) for f in SME_NUMERIC) for r in rows]
+def background_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> list:
+    """Seeded background rows: the ``n`` first complete rows in md5 order.
+    ``n`` is the caller's choice of precision; the rows travel as literals."""
+    complete = df.select(key, *SME_NUMERIC).dropna(subset=SME_NUMERIC)
+    return [tuple(float(r[f]) for f in SME_NUMERIC) for r in sample_n(complete, key, n, seed).collect()]
+
+
+def _numbered(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``df``'s slim columns written once with a row number ``_row``, so that
+    rows sharing a key stay apart and a rerun task sees the same numbers."""
+    from ..sources.tables import land
+
+    slim = df.select(*cols).withColumn("_row", F.monotonically_increasing_id())
+    return df.sparkSession.read.parquet(land(slim, name="explained"))
 
 
 def shapley_attributions(df: DataFrame, background: list, *, key: str = "company_id", out: str = "shapley",
                          num_partitions: int | None = None) -> DataFrame:
     """M-13: exact Shapley values of the fixed-coefficient SME PD (probability
-    scale) over a background sample, players = the four numeric features.
+    scale) over background rows, players = the four numeric features.
 
     Each entity row is paired with every background row by exploding a
     literal array (narrow, no join); one code-generated projection evaluates
     f(x_S, b_rest) for all 2^k coalitions; a grouped average (partial
     aggregation first, every group has exactly len(background) rows) gives
     v(S); then φ_j = Σ_{S∌j} w(|S|)·(v(S∪{j}) − v(S)). Returns
-    ``key, <out> array<struct<feature, feature_pos, contribution>>, expected_pd``.
+    ``key, <out> array<struct<feature, feature_pos, value, contribution>>,
+    expected_pd, background_rows``. A row with a NULL feature keeps its row
+    with NULL contributions. Repeated keys keep one result each.
     """
     from .stress import spread_for_expansion
 
     k = len(SME_NUMERIC)
     bg = F.array(*[F.struct(*[F.lit(v).alias(f"b{j}") for j, v in enumerate(row)]) for row in background])
-    base = spread_for_expansion(df.select(key, *SME_NUMERIC), num_partitions)
-    paired = base.select(key, *[F.col(c).cast("double").alias(c) for c in SME_NUMERIC], F.explode(bg).alias("_b"))
+    base = spread_for_expansion(_numbered(df, [key, *SME_NUMERIC]), num_partitions)
+    paired = base.select(key, "_row", *[F.col(c).cast("double").alias(c) for c in SME_NUMERIC], F.explode(bg).alias("_b"))
 
     def f_of(mask: int) -> Column:
         z = [F.col(SME_NUMERIC[j]) if mask >> j & 1 else F.col(f"_b.b{j}") for j in range(k)]
         return sigmoid(sme_logit_fixed(*z))
 
     vcols = {m: f"_v{m}" for m in range(2 ** k)}
-    values = paired.select(key, *[f_of(m).alias(vcols[m]) for m in range(2 ** k)])
-    v = values.groupBy(key).agg(*[F.avg(c).alias(c) for c in vcols.values()])
+    values = paired.select(key, "_row", *SME_NUMERIC, *[f_of(m).alias(vcols[m]) for m in range(2 ** k)])
+    v = values.groupBy(key, "_row", *SME_NUMERIC).agg(*[F.avg(c).alias(c) for c in vcols.values()])
     w = shapley_weights(k)
     phis = []
     for j, f in enumerate(SME_NUMERIC):
@@ -151,8 +163,13 @@ def shapley_attributions(df: DataFrame, background: list, *, key: str = "company
                 mask = sum(1 << i for i in combo)
                 term = F.lit(w[size]) * (F.col(vcols[mask | 1 << j]) - F.col(vcols[mask]))
                 phi = term if phi is None else phi + term
-        phis.append(F.struct(F.lit(f).alias("feature"), F.lit(j).alias("feature_pos"), phi.alias("contribution")))
-    return v.select(key, F.array(*phis).alias(out), F.col(vcols[0]).alias("expected_pd"))
+        complete = F.lit(True)
+        for c in SME_NUMERIC:
+            complete = complete & F.col(c).isNotNull()
+        phis.append(F.struct(F.lit(f).alias("feature"), F.lit(j).alias("feature_pos"), F.col(f).alias("value"),
+                             F.when(complete, phi).alias("contribution")))
+    return v.select(key, F.array(*phis).alias(out), F.col(vcols[0]).alias("expected_pd"),
+                    F.lit(len(background)).alias("background_rows"))
 
 
 # ------------------------------------------------------------------ W-3 / K-5
@@ -297,7 +314,9 @@ def shapley_for_model(df: DataFrame, model, players: list[tuple[str, list[str]]]
     the coalition masks), scored in one ``model.transform`` pass, and reduced
     with one grouped sum: φ_j = (1/B)·Σ_b Σ_S c_j(S)·f(x_S, b_rest), with
     c_j(S) = w(|S|−1) when j ∈ S and −w(|S|) otherwise. Each entity's group
-    has exactly B·2^k rows and is pre-aggregated before the shuffle.
+    has exactly B·2^k rows and is pre-aggregated before the shuffle. The result
+    has the attribution shape of M-12 (with values) and the background's size;
+    a row with a NULL feature keeps NULL contributions, repeated keys stay apart.
     """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
@@ -308,37 +327,49 @@ def shapley_for_model(df: DataFrame, model, players: list[tuple[str, list[str]]]
     cols = [c for _, group in players for c in group]
     nb = float(len(background))
     bg = F.array(*[F.struct(*[F.lit(float(row[c])).alias(c) for c in cols]) for row in background])
-    base = spread_for_expansion(df.select(key, *[F.col(c).cast("double").alias(c) for c in cols]), num_partitions)
-    with_bg = base.select(key, *cols, F.explode(bg).alias("_b"))
+    numbered = _numbered(df, [key, *cols])
+    base = spread_for_expansion(numbered.dropna(subset=cols).select("_row", *[F.col(c).cast("double").alias(c) for c in cols]), num_partitions)
+    with_bg = base.select("_row", *cols, F.explode(bg).alias("_b"))
     expanded = with_bg.select("*", F.explode(F.sequence(F.lit(0), F.lit(2 ** k - 1))).alias("_mask"))
     owner = {c: j for j, (_, group) in enumerate(players) for c in group}
-    mixed = expanded.select(key, "_mask", *[
+    mixed = expanded.select("_row", "_mask", *[
         F.when(F.col("_mask").bitwiseAND(F.lit(1 << owner[c])) != 0, F.col(c)).otherwise(F.col(f"_b.{c}")).alias(c)
         for c in cols])
     assembled = VectorAssembler(inputCols=cols, outputCol="_features").transform(mixed)
     scored = model.setFeaturesCol("_features").transform(assembled) \
-        .select(key, "_mask", vector_to_array(F.col("probability"))[1].alias("_f"))
+        .select("_row", "_mask", vector_to_array(F.col("probability"))[1].alias("_f"))
     w = shapley_weights(k)
 
     def coef(j: int) -> Column:
         vals = [w[bin(m).count("1") - 1] if m >> j & 1 else -w[bin(m).count("1")] for m in range(2 ** k)]
         return F.element_at(F.array(*[F.lit(v) for v in vals]), F.col("_mask") + 1)
 
-    agg = scored.groupBy(key).agg(
+    agg = scored.groupBy("_row").agg(
         *[(F.sum(F.col("_f") * coef(j)) / nb).alias(f"_phi{j}") for j in range(k)],
         (F.sum(F.when(F.col("_mask") == 0, F.col("_f"))) / nb).alias("expected_pd"))
-    phis = F.array(*[F.struct(F.lit(name).alias("feature"), F.lit(j).alias("feature_pos"),
-                              F.col(f"_phi{j}").alias("contribution")) for j, (name, _) in enumerate(players)])
-    return agg.select(key, phis.alias("shapley"), "expected_pd")
+
+    def value(group: list[str]) -> Column:
+        """A player's value: its column, or the place of the set one-hot column (0: none)."""
+        if len(group) == 1:
+            return F.col(group[0]).cast("double")
+        place = F.lit(0.0)
+        for i, c in enumerate(group, start=1):
+            place = place + F.col(c) * i
+        return place
+
+    phis = F.array(*[F.struct(F.lit(name).alias("feature"), F.lit(j).alias("feature_pos"), value(group).alias("value"),
+                              F.col(f"_phi{j}").alias("contribution")) for j, (name, group) in enumerate(players)])
+    return numbered.join(agg, "_row", "left").select(key, phis.alias("shapley"), "expected_pd",
+                                                     F.lit(len(background)).alias("background_rows"))
 
 
 SME_PLAYERS = [(f, [f]) for f in SME_NUMERIC] + [("industry", [f"industry_{c}" for c in SME_INDUSTRIES])]
 
 
-def model_background(frame: DataFrame, key: str = "company_id", n: int = BACKGROUND_ROWS, seed: int = 42) -> list[dict]:
-    """Seeded background rows of the model columns (exactly ``n``, bounded)."""
+def model_background(frame: DataFrame, key: str, n: int, seed: int = 42) -> list[dict]:
+    """Seeded background rows of the model columns: the ``n`` first complete ones."""
     cols = [c for _, group in SME_PLAYERS for c in group]
-    return [r.asDict() for r in sample_n(frame.select(key, *cols), key, n, seed).collect()]
+    return [r.asDict() for r in sample_n(frame.select(key, *cols).dropna(subset=cols), key, n, seed).collect()]
 
 
 def insight_rules_frame(spark) -> DataFrame:

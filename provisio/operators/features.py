@@ -147,11 +147,14 @@ B_MODEL_FEATURES = ["dti_ratio", "credit_bucket_encoded", "loan_size_encoded", "
 
 
 # ---------------- bins held as data (J-9) ----------------
+# cells of the J-9 range join: bins are grouped by at most this many cuts
+BIN_CELLS = 64
+
+
 def bins_table(spark, bins, *, name: str, otherwise: str, op: str):
     """The bins of a CASE chain as rows ``(name, label, lo, hi, priority)``,
     half-open ``[lo, hi)`` for ``<``/``>=`` chains and ``(lo, hi]`` for ``>``."""
     rows = []
-    bounds = [b for b, _ in bins]
     if op == "<":
         lo = None
         for bound, label in bins:
@@ -164,29 +167,40 @@ def bins_table(spark, bins, *, name: str, otherwise: str, op: str):
             rows.append((name, label, float(bound), hi))
             hi = float(bound)
         rows.append((name, otherwise, None, hi))
-    del bounds
     return spark.createDataFrame(rows, "bin_set string, label string, lo double, hi double")
 
 
 def bin_by_range_join(df: DataFrame, value: str, bins: DataFrame, *, out: str, null_label: str,
                       inclusive_lo: bool = True) -> DataFrame:
-    """J-9: categorise by a range join against a (small, fixed) bin table.
-    ``inclusive_lo`` chooses ``[lo, hi)`` (``>=``/``<`` chains) or ``(lo, hi]``
-    (``>`` chains). A NULL value matches no range and takes ``null_label``,
-    the bin the CASE chain falls through to. The bin table is built from a
-    literal list (a handful of rows), so broadcasting it is bounded."""
-    from .sizing import materialise_if_small
-
-    v = F.col(value)
-    table, small = materialise_if_small(bins, max_rows=1_000)
-    if not small:
-        raise ValueError("a bin table must be small (at most 1,000 rows)")
-    b = F.broadcast(table).alias("_bins")
-    lo, hi = F.col("_bins.lo"), F.col("_bins.hi")
+    """J-9: categorise by a range join against a bin table of any size whose
+    bins do not overlap. ``inclusive_lo`` chooses ``[lo, hi)`` (``>=``/``<``
+    chains) or ``(lo, hi]`` (``>`` chains). A NULL value matches no range and
+    takes ``null_label``, the bin the CASE chain falls through to.
+
+    One path: the bounds cut the number line into cells of about equally many
+    bins; every bin is listed under the cells it touches and every value looks
+    up its own cell, so the range test is the residual of an equi-join. The
+    join is a broadcast only if the listed bins pass a size check.
+    """
+    from .sizing import checked_broadcast
+
+    bound = F.coalesce("lo", "hi")
+    # at most CELLS numbers: quantiles of the bounds
+    cuts = bins.agg(F.percentile_approx(bound.cast("double"), F.array(*[F.lit(i / BIN_CELLS) for i in range(BIN_CELLS)]), 10_000)).first()[0]
+    cuts = F.array(*[F.lit(c) for c in sorted(set(cuts or []))]).cast("array<double>")
+
+    def cell(x: Column) -> Column:
+        return F.size(F.filter(cuts, lambda c: c <= x))
+
+    listed = bins.select("label", "lo", "hi", F.explode(F.sequence(
+        F.coalesce(cell(F.col("lo")), F.lit(0)), F.when(F.col("hi").isNull(), F.size(cuts)).otherwise(cell(F.col("hi"))))).alias("_cell"))
+    b = checked_broadcast(listed.select(F.col("label").alias("_bin_label"), F.col("lo").alias("_bin_lo"), F.col("hi").alias("_bin_hi"), "_cell"))
+    v, lo, hi = F.col(value), F.col("_bin_lo"), F.col("_bin_hi")
     if inclusive_lo:
-        cond = (lo.isNull() | (v >= lo)) & (hi.isNull() | (v < hi))
+        inside = (lo.isNull() | (v >= lo)) & (hi.isNull() | (v < hi))
     else:
-        cond = (lo.isNull() | (v > lo)) & (hi.isNull() | (v <= hi))
-    joined = df.join(F.broadcast(b), v.isNotNull() & cond, "left")
-    label = F.when(v.isNull(), F.lit(null_label)).otherwise(F.col("_bins.label"))
-    return joined.select(df["*"], label.alias(out))
+        inside = (lo.isNull() | (v > lo)) & (hi.isNull() | (v <= hi))
+    valued = df.withColumn("_value_cell", F.when(v.isNotNull(), cell(v.cast("double"))))
+    joined = valued.join(b, (F.col("_value_cell") == F.col("_cell")) & inside, "left")
+    label = F.when(v.isNull(), F.lit(null_label)).otherwise(F.col("_bin_label"))
+    return joined.select(*df.columns, label.alias(out))

@@ -107,9 +107,14 @@ def live_else_fallback(live: DataFrame, fallback: DataFrame, key: str = "company
     return live.withColumn("is_real", F.lit(True)).unionByName(fb)
 
 
+def months_before(as_of: Column, months: int = HISTORY_MONTHS) -> Column:
+    """F-8: the first day of the last ``months`` months before ``as_of``."""
+    return F.add_months(as_of.cast("date"), -months).cast("timestamp_ntz")
+
+
 def recent(df: DataFrame, as_of: Column, *, ts: str = "ts", months: int = HISTORY_MONTHS) -> DataFrame:
     """F-8: rows of the last ``months`` months before ``as_of``."""
-    return df.where(F.col(ts) >= F.add_months(as_of.cast("date"), -months).cast("timestamp_ntz"))
+    return df.where(F.col(ts) >= months_before(as_of, months))
 
 
 def financials_table(fin: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalars import col_
 from .ordered import row_number_global
@@ -82,24 +82,32 @@ def misclassification_cost(df: DataFrame, score: str, label: str, amount: str, *
                   F.sum(F.when((s > threshold) & (y == 0), a * m).otherwise(0.0)).alias("fp_cost"))
 
 
-def population_stability(df: DataFrame, bin_col: str, period: Column, expected: str, actual: str) -> DataFrame:
-    """E-5: PSI Σ (a − e)·ln(a / e) of the bin shares between two periods
-    (one grouped scan; bins empty in a period are left out of the sum)."""
+def _shares(counts: Column, smoothing: float) -> Column:
+    """Each bin's share over all bins, with ``smoothing`` added to every bin's
+    count. NULL when there is nothing to share."""
+    every = Window.partitionBy()          # over the few bin rows
+    return F.try_divide((counts + F.lit(smoothing)).cast("double"),
+                        (F.sum(counts).over(every) + F.lit(smoothing) * F.count(F.lit(1)).over(every)).cast("double"))
+
+
+def population_stability(df: DataFrame, bin_col: str, period: Column, expected: str, actual: str, *,
+                         smoothing: float = 0.5) -> DataFrame:
+    """E-5: PSI Σ (a − e)·ln(a / e) of the bin shares between two periods, one
+    scan. ``smoothing`` is added to every bin's count in both periods, so a
+    bin that is empty in one of them (the strongest drift) counts and the
+    index is always defined."""
+    if smoothing <= 0:
+        raise ValueError("smoothing must be positive: an empty bin has no logarithm")
     p = col_(period)
     per_bin = df.groupBy(bin_col).agg(F.count_if(p == expected).alias("_e"), F.count_if(p == actual).alias("_a"))
-    tot = per_bin.agg(F.sum("_e").alias("te"), F.sum("_a").alias("ta")).first()
-    te, ta = float(tot["te"] or 0), float(tot["ta"] or 0)
-    shares = per_bin.select(bin_col, (F.col("_e") / F.lit(te)).alias("e"), (F.col("_a") / F.lit(ta)).alias("a"))
-    term = F.when((F.col("e") > 0) & (F.col("a") > 0), (F.col("a") - F.col("e")) * F.ln(F.col("a") / F.col("e")))
-    return shares.agg(F.sum(term).alias("psi"))
+    shares = per_bin.select(_shares(F.col("_e"), smoothing).alias("e"), _shares(F.col("_a"), smoothing).alias("a"))
+    return shares.agg(F.sum((F.col("a") - F.col("e")) * F.ln(F.try_divide("a", "e"))).alias("psi"))
 
 
 def importance_ranks(df: DataFrame, contributions: dict[str, Column], period: Column, periods: Sequence[str]) -> DataFrame:
     """E-6: mean |contribution| per feature and period, and each feature's
     importance rank in each period (one scan; the ranking is over the
     handful of feature rows)."""
-    from pyspark.sql import Window
-
     p = col_(period)
     aggs = [F.avg(F.when(p == per, F.abs(c))).alias(f"{name}|{per}") for name, c in contributions.items()
             for per in periods]
@@ -112,22 +120,19 @@ def importance_ranks(df: DataFrame, contributions: dict[str, Column], period: Co
     return long.withColumn("importance_rank", F.row_number().over(w).cast("int"))
 
 
-def woe_iv(df: DataFrame, bin_col: str, label: str) -> DataFrame:
+def woe_iv(df: DataFrame, bin_col: str, label: str, *, smoothing: float = 0.0) -> DataFrame:
     """E-8: weight of evidence per bin ln(good share / bad share) and the
-    bin's information value (good share − bad share)·WoE."""
+    bin's information value (good share − bad share)·WoE, one scan. Without
+    ``smoothing`` a bin with no goods or no bads has NULL for both."""
     per = df.groupBy(bin_col).agg(F.count_if(F.col(label) == 0).alias("good"), F.count_if(F.col(label) == 1).alias("bad"))
-    tot = per.agg(F.sum("good").alias("g"), F.sum("bad").alias("b")).first()
-    g, b = float(tot["g"] or 0), float(tot["b"] or 0)
-    gs, bs = F.col("good") / F.lit(g), F.col("bad") / F.lit(b)
-    woe = F.when((F.col("good") > 0) & (F.col("bad") > 0), F.ln(gs / bs))
-    return per.select(bin_col, "good", "bad", woe.alias("woe"), ((gs - bs) * woe).alias("iv"))
+    s = per.select(bin_col, "good", "bad", _shares(F.col("good"), smoothing).alias("gs"), _shares(F.col("bad"), smoothing).alias("bs"))
+    woe = F.when((F.col("gs") > 0) & (F.col("bs") > 0), F.ln(F.try_divide("gs", "bs")))
+    return s.select(bin_col, "good", "bad", woe.alias("woe"), ((F.col("gs") - F.col("bs")) * woe).alias("iv"))
 
 
 def fairness_by_group(df: DataFrame, group: str, label: str, pred: str) -> DataFrame:
     """E-9: approval rate (predicted non-default) per group and its ratio to
     the best group (disparate impact); true/false positive rates (equalised odds)."""
-    from pyspark.sql import Window
-
     y, p = F.col(label), F.col(pred)
     per = df.groupBy(group).agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.when(p == 0, 1.0).otherwise(0.0)).alias("approval_rate"),

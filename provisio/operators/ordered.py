@@ -46,7 +46,8 @@ def running_total(df: DataFrame, order_by: Sequence[str], *, value: str | Column
 
     Equals ``sum(value) over (partition by … order by … rows between unbounded
     preceding and current row)`` when ``order_by`` is a total order (end it
-    with a unique column). NULL values count as 0.
+    with a unique column). NULL values count as 0. Every column of ``df``
+    travels through the range shuffle, so pass slim frames.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
@@ -77,15 +78,18 @@ def running_total(df: DataFrame, order_by: Sequence[str], *, value: str | Column
                 continue
             w = pdf[_W].astype("int64" if is_long else "float64")
             if group_cols:
-                key = pd.util.hash_pandas_object(pdf[group_cols], index=False).to_numpy()
-                starts = pd.Series(key != pd.Series(key).shift(1).to_numpy())
+                starts = pd.Series(False, index=range(len(pdf)))
+                for c in group_cols:        # a new group starts where any key value changes; null equals null
+                    v = pdf[c].reset_index(drop=True)
+                    starts |= (v != v.shift(1)) & ~(v.isna() & v.shift(1).isna())
                 starts.iloc[0] = True
                 run = starts.cumsum()
                 cs = w.groupby(run.to_numpy()).cumsum()
-                if carry_key is not None and key[0] == carry_key:
+                key = [None if pd.isna(x) else x for x in pdf[group_cols].iloc[0]]
+                if carry_key is not None and key == carry_key:
                     first_run = (run == 1).to_numpy()
                     cs[first_run] = cs[first_run] + carry_sum
-                carry_key = key[-1]
+                carry_key = [None if pd.isna(x) else x for x in pdf[group_cols].iloc[-1]]
             else:
                 cs = w.cumsum() + carry_sum
             carry_sum = cs.iloc[-1]
@@ -139,24 +143,47 @@ def row_number_global(df: DataFrame, order_by: Sequence[str], *, partition_by: S
         .drop("_rn_id", "_rn_pid", "_rn_off")
 
 
+# A median's search range is cut into this many buckets at a time, until the
+# bucket that holds the middle has at most MEDIAN_ROWS rows (or one value).
+MEDIAN_BUCKETS = 4096
+MEDIAN_ROWS = 1_000_000
+
+
 def exact_median(df: DataFrame, column: str, *, out: str = "median") -> DataFrame:
     """One-row frame with the exact (interpolated) median of ``column``.
 
     Same value as ``median``/``percentile(col, 0.5)``, but no task ever holds
-    the value→count map of the whole column: rows are ranked by range
-    partitioning (a hot value is split by the tie-breaker) and the one or two
-    middle rows are picked by their rank.
+    the value→count map of the whole column and nothing is sorted: values are
+    counted in equal-width buckets (one aggregate of at most
+    ``MEDIAN_BUCKETS`` rows), the bucket that holds the middle is cut again
+    while it is large, and only its distinct values are ranked. The frame is
+    scanned three times or more, so pass a stored or slim one.
     """
-    checkpoint_dir(df.sparkSession)
-    # the tie-breaker splits a hot value over partitions; materialised once so
-    # a recomputed upstream cannot hand out different ids
-    vals = (df.select(F.col(column).cast("double").alias("_v"))
-            .where(F.col("_v").isNotNull())
-            .withColumn("_tb", F.monotonically_increasing_id())
-            .checkpoint(eager=True))
-    ranked = row_number_global(vals, ["_v", "_tb"], out="_rank")
-    # the row count is one scalar; the middle positions become literals
-    n = ranked.agg(F.max("_rank")).first()[0] or 0
-    lo, hi = (n + 1) // 2, (n + 2) // 2
-    middle = ranked.where(F.col("_rank").isin(lo, hi))
+    vals = df.select(F.col(column).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    lo, hi, n = vals.agg(F.min("_v"), F.max("_v"), F.count("_v")).first()          # one row
+    if not n:
+        return vals.agg(F.avg("_v").alias(out))
+    parts = [_around_rank(vals, lo, hi, n, k) for k in sorted({(n + 1) // 2, (n + 2) // 2})]
+    middle = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return middle.agg(F.avg("_v").alias(out))
+
+
+def _around_rank(vals: DataFrame, lo: float, hi: float, n: int, k: int) -> DataFrame:
+    """The value of rank ``k`` among ``vals`` in [lo, hi], as a one-row frame."""
+    inside = vals
+    while n > MEDIAN_ROWS and lo < hi:
+        width = (hi - lo) / MEDIAN_BUCKETS
+        if lo + width <= lo:
+            break
+        bucket = F.least(F.floor((F.col("_v") - F.lit(lo)) / F.lit(width)), F.lit(MEDIAN_BUCKETS - 1))
+        counts = inside.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"),
+                                                       F.max("_v").alias("hi")).orderBy("b").collect()    # ≤ MEDIAN_BUCKETS rows
+        for r in counts:
+            if k <= r["n"]:
+                break
+            k -= r["n"]
+        lo, hi, n = r["lo"], r["hi"], r["n"]
+        inside = vals.where(F.col("_v").between(lo, hi))
+    per_value = inside.groupBy("_v").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    return per_value.withColumn("_upto", upto).where((F.col("_upto") >= k) & (F.col("_upto") - F.col("n") < k)).select("_v")

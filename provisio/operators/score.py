@@ -5,11 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalars import col_, sigmoid
 from ..sources.tables import sample_key
-from .ordered import row_number_global
 from .sizing import checked_broadcast
 
 # Fixed coefficients of the two generating formulas (fixed values).
@@ -64,55 +63,45 @@ def predictions_b(scored: DataFrame, *, pd_col: str = "pd_12m", version: str = M
 
 
 # ---------------- M-3 stratified split ----------------
+PREFIX_DIGITS = 4       # hex digits of the hash that rows are counted by
+
+
 def stratified_split(df: DataFrame, *, key: str, label: str, test_fraction: float = 0.2,
-                     seed: int = 42, out: str = "is_test", max_labels: int = 10_000) -> DataFrame:
-    """M-3: seeded stratified split with exact sizes: per label, the
-    ``round(test_fraction·n_label)`` rows first in md5(seed:key) order are test.
-
-    Only (label, hash, key) are ranked, by the distributed row number with
-    the label as leading order column, so a label holding most rows is still
-    ranked by many tasks (JVM only). The label counts (one row per label,
-    size-checked) give each label's offset in that order; the rank at
-    offset + k is the label's cut-off. The full-width rows are flagged by
-    comparing with their label's cut-off — a broadcast of one row per label,
-    no shuffle of the wide rows. Beyond ``max_labels`` labels the per-label
-    running count is used instead.
+                     seed: int = 42, out: str = "is_test") -> DataFrame:
+    """M-3: seeded stratified split with exact sizes: per label (NULL is a
+    label too), the ``floor(test_fraction·n_label + 1/2)`` rows first in
+    md5(seed:key) order are test. ``key`` is unique.
+
+    Rows are counted per (label, hash prefix), one partial aggregate; the
+    prefix whose running count reaches a label's test size holds its cut, and
+    only the rows of that prefix are ranked (a label's rows over
+    16^``PREFIX_DIGITS``), so a label holding most rows is never ranked as a
+    whole. The full-width rows are flagged by comparing with their label's
+    cut: one row per label, broadcast behind a size check, joined NULL-safe.
     """
-    from .sizing import materialise_if_small
-
-    from ..session import checkpoint_dir
+    from ..sources.tables import land
 
     keyed = df.withColumn("_split_h", sample_key(seed, key))
-    checkpoint_dir(df.sparkSession)
-    # the three ranking columns are written once; counts, range sampling and
-    # ranking read them instead of re-running the upstream plan
-    slim = keyed.select(F.col(label).alias("_split_label"), "_split_h", F.col(key).alias("_split_key")) \
-        .checkpoint(eager=True)
-    sizes, few = materialise_if_small(slim.groupBy("_split_label").agg(F.count(F.lit(1)).alias("_split_n")),
-                                      max_labels)
-    if few:
-        order = ["_split_label", "_split_h", "_split_key"]
-        ranked = row_number_global(slim, order, out="_split_rank")
-        counts = sizes.orderBy(F.col("_split_label").asc_nulls_first()).collect()   # ≤ max_labels rows
-        targets, offset = [], 0
-        for r in counts:
-            take = int(test_fraction * r["_split_n"] + 0.5)          # half up, like round()
-            if take > 0:
-                targets.append(offset + take)
-            offset += r["_split_n"]
-        cut = ranked.where(F.col("_split_rank").isin(targets)) if targets else ranked.limit(0)
-    else:
-        ranked = row_number_global(slim, ["_split_h", "_split_key"], partition_by=["_split_label"],
-                                   out="_split_rank")
-        take = F.round(F.lit(test_fraction) * F.col("_split_n"))
-        cut = ranked.join(sizes, "_split_label").where(F.col("_split_rank") == take)
-    cut = cut.select("_split_label", F.col("_split_h").alias("_cut_h"), F.col("_split_key").alias("_cut_key"))
-    joined = keyed.join(checked_broadcast(cut, max_rows=max_labels), F.col(label).eqNullSafe(F.col("_split_label")),
-                        "left")
+    slim = df.sparkSession.read.parquet(land(keyed.select(
+        F.col(label).alias("_cut_label"), F.col("_split_h").alias("_cut_h"), F.col(key).alias("_cut_key"),
+        F.substring("_split_h", 1, PREFIX_DIGITS).alias("_prefix")), name="split"))
+    per_prefix = slim.groupBy("_cut_label", "_prefix").agg(F.count(F.lit(1)).alias("_n"))
+    of_label = Window.partitionBy("_cut_label")              # at most 16^PREFIX_DIGITS rows a label
+    upto = F.sum("_n").over(of_label.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0))
+    size = F.floor(F.lit(test_fraction) * F.sum("_n").over(of_label) + 0.5)
+    at = per_prefix.withColumn("_upto", upto).withColumn("_size", size) \
+        .where((F.col("_upto") >= F.col("_size")) & (F.col("_upto") - F.col("_n") < F.col("_size"))) \
+        .select(F.col("_cut_label").alias("_at_label"), F.col("_prefix").alias("_at_prefix"),
+                (F.col("_size") - F.col("_upto") + F.col("_n")).alias("_place"))
+    near = slim.join(checked_broadcast(at), F.col("_cut_label").eqNullSafe(F.col("_at_label"))
+                     & (F.col("_prefix") == F.col("_at_prefix")))
+    rank = F.row_number().over(Window.partitionBy("_cut_label").orderBy("_cut_h", "_cut_key"))
+    cut = near.withColumn("_rank", rank).where(F.col("_rank") == F.col("_place")).select("_cut_label", "_cut_h", "_cut_key")
+    joined = keyed.join(checked_broadcast(cut), F.col(label).eqNullSafe(F.col("_cut_label")), "left")
     h, k = F.col("_split_h"), F.col(key)
     flag = (h < F.col("_cut_h")) | ((h == F.col("_cut_h")) & (k <= F.col("_cut_key")))
     return joined.withColumn(out, F.coalesce(flag, F.lit(False))) \
-        .drop("_split_h", "_split_label", "_cut_h", "_cut_key")
+        .drop("_split_h", "_cut_label", "_cut_h", "_cut_key")
 
 
 # ---------------- M-10 one-hot ----------------
@@ -127,33 +116,76 @@ def one_hot(df: DataFrame, column: str, categories: Sequence[str], *, prefix: st
 
 
 # ---------------- Spark ML (M-4, M-5, M-11) ----------------
+def _complete(features: Sequence[str]) -> Column:
+    """Whether every model input is present (not NULL, not NaN)."""
+    ok = F.lit(True)
+    for f in features:
+        ok = ok & F.col(f).isNotNull() & ~F.isnan(F.col(f).cast("double"))
+    return ok
+
+
+def _assembled(train: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """Complete labelled rows with a feature vector; others cannot train."""
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = train.where(_complete(features) & F.col(label).isNotNull()).withColumn(label, F.col(label).cast("double"))
+    return VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="error").transform(rows)
+
+
 def fit_logistic(train: DataFrame, features: Sequence[str], label: str, *, max_iter: int = 1000):
     """M-4: L2 logistic regression matching the default scikit-learn
     objective (C = 1, free intercept): ``regParam = 1/n`` without
-    standardisation. Training is distributed (tree aggregation)."""
+    standardisation. Training is distributed (tree aggregation) and uses the
+    complete rows."""
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
 
-    assembled = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep") \
-        .transform(train)
+    assembled = _assembled(train, features, label)
     n = assembled.count()
     lr = LogisticRegression(featuresCol="_features", labelCol=label, maxIter=max_iter,
                             regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False,
                             tol=1e-9, fitIntercept=True)
-    return lr.fit(assembled.withColumn(label, F.col(label).cast("double")))
+    return lr.fit(assembled)
+
+
+def objective_gradient(model, train: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """Per coefficient the gradient of the M-4 objective at the fitted model,
+    and the mean size of its input as a yardstick: one aggregate over the
+    complete training rows, one row per feature (and the intercept)."""
+    rows = train.where(_complete(features) & F.col(label).isNotNull())
+    beta = [float(c) for c in model.coefficients.toArray()]
+    z = F.lit(float(model.intercept))
+    for f, c in zip(features, beta):
+        z = z + F.lit(c) * F.col(f)
+    miss = sigmoid(z) - F.col(label)
+    inputs = [("intercept", F.lit(1.0), 0.0)] + [(f, F.col(f).cast("double"), c) for f, c in zip(features, beta)]
+    sums = rows.agg(F.count(F.lit(1)).alias("n"), *[F.avg(miss * x).alias(f"g{i}") for i, (_, x, _) in enumerate(inputs)],
+                    *[F.avg(F.abs(x)).alias(f"m{i}") for i, (_, x, _) in enumerate(inputs)])
+    out = F.array(*[F.struct(F.lit(name).alias("feature"), (F.col(f"g{i}") + F.lit(c) / F.col("n")).alias("gradient"),
+                             F.col(f"m{i}").alias("input_size")) for i, (name, _, c) in enumerate(inputs)])
+    return sums.select(F.explode(out).alias("r")).select("r.*")
 
 
-def score_with_model(model, df: DataFrame, features: Sequence[str], *, out: str = "pd") -> DataFrame:
+SCORED, INCOMPLETE = "scored", "incomplete"
+
+
+def score_with_model(model, df: DataFrame, features: Sequence[str], *, out: str = "pd",
+                     status: str | None = None) -> DataFrame:
     """M-5: score every row and keep all input columns (the key travels with
-    the row, so no positional alignment is needed)."""
+    the row, so no positional alignment is needed). A row with a missing input
+    stays, with a NULL score; ``status`` names a column that says so."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    assembled = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep") \
-        .transform(df)
-    scored = model.transform(assembled)
-    return scored.withColumn(out, vector_to_array(F.col("probability"))[1]) \
-        .drop("_features", "rawPrediction", "probability", "prediction")
+    filled = {f: f"_in_{f}" for f in features}
+    complete = _complete(features)
+    ready = df.select("*", complete.alias("_complete"),
+                      *[F.when(complete, F.col(f).cast("double")).otherwise(0.0).alias(c) for f, c in filled.items()])
+    assembled = VectorAssembler(inputCols=list(filled.values()), outputCol="_features", handleInvalid="error").transform(ready)
+    scored = model.transform(assembled).withColumn(
+        out, F.when(F.col("_complete"), vector_to_array(F.col("probability"))[1]))
+    if status:
+        scored = scored.withColumn(status, F.when(F.col("_complete"), SCORED).otherwise(INCOMPLETE))
+    return scored.drop("_features", "rawPrediction", "probability", "prediction", "_complete", *filled.values())
 
 
 def fit_gbt(train: DataFrame, features: Sequence[str], label: str, *, trees: int = 100, depth: int = 4,
@@ -161,12 +193,8 @@ def fit_gbt(train: DataFrame, features: Sequence[str], label: str, *, trees: int
     """M-11: gradient-boosted trees (100 trees, depth 4, rate 0.1), positives
     weighted ``positive_weight`` (1.0 reproduces the unweighted branch)."""
     from pyspark.ml.classification import GBTClassifier
-    from pyspark.ml.feature import VectorAssembler
 
-    assembled = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep") \
-        .transform(train)
-    weighted = assembled.withColumn("_w", F.when(F.col(label) == 1, positive_weight).otherwise(1.0)) \
-        .withColumn(label, F.col(label).cast("double"))
+    weighted = _assembled(train, features, label).withColumn("_w", F.when(F.col(label) == 1, positive_weight).otherwise(1.0))
     gbt = GBTClassifier(featuresCol="_features", labelCol=label, weightCol="_w", maxIter=trees,
                         maxDepth=depth, stepSize=rate, seed=seed)
     return gbt.fit(weighted)

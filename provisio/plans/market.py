@@ -26,14 +26,14 @@ def as_of_day(spark: SparkSession, sf_dir: str) -> Column:
     return F.lit(f"{day} 00:00:00").cast("timestamp_ntz")    # text, not a datetime: no time-zone shift
 
 
-def live_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixtures.prices_live(spark, sf_dir)
+def live_bars(spark: SparkSession, sf_dir: str, since: Column | None = None) -> DataFrame:
+    return fixtures.prices_live(spark, sf_dir, since)
 
 
-def fallback_bars(spark: SparkSession, sf_dir: str, as_of: Column | None = None) -> DataFrame:
+def fallback_bars(spark: SparkSession, sf_dir: str, as_of: Column | None = None, without: DataFrame | None = None) -> DataFrame:
     """Simulated daily series (90 points ending at ``as_of``, C-20 + W-2)."""
     as_of = as_of if as_of is not None else as_of_day(spark, sf_dir)
-    idx = mk.cumulative_index(fixtures.fallback_returns(spark, sf_dir), key="company_id", order="step",
+    idx = mk.cumulative_index(fixtures.fallback_returns(spark, sf_dir, without), key="company_id", order="step",
                               bounded_groups=True)   # exactly 90 rows per company
     last = fixtures.FALLBACK_STEPS - 1
     ts = F.timestamp_add("DAY", F.col("step") - F.lit(last), as_of)
@@ -41,9 +41,21 @@ def fallback_bars(spark: SparkSession, sf_dir: str, as_of: Column | None = None)
     return idx.select("company_id", ts.alias("ts"), p.alias("open"), p.alias("high"), p.alias("low"), p.alias("close"))
 
 
-def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J-7 over bars: live where available, simulated otherwise."""
-    return mk.live_else_fallback(live_bars(spark, sf_dir), fallback_bars(spark, sf_dir))
+def prices(spark: SparkSession, sf_dir: str, months: int | None = None) -> DataFrame:
+    """J-7 over bars: live where available, simulated otherwise; with
+    ``months`` only the bars of that many months before the report day (F-8).
+
+    ``events`` is scanned once for the bars (with the time bound in the scan)
+    and once for its user ids alone. Companies on the feed leave before the
+    simulated series is expanded, so only the others are computed.
+    """
+    as_of = as_of_day(spark, sf_dir)
+    since = None if months is None else mk.months_before(as_of, months)
+    simulated = fallback_bars(spark, sf_dir, as_of, without=fixtures.live_users(spark, sf_dir))
+    if since is not None:
+        simulated = simulated.where(F.col("ts") >= since)
+    return live_bars(spark, sf_dir, since).withColumn("is_real", F.lit(True)) \
+        .unionByName(simulated.withColumn("is_real", F.lit(False)))
 
 
 def financials(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +76,6 @@ def company_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return financials(spark, sf_dir).select("company_id", "name", "currency", "is_real")
 
 
-def price_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+def price_trend(spark: SparkSession, sf_dir: str, months: int = mk.HISTORY_MONTHS) -> DataFrame:
     """R-15: (ts, close) per company over the last six months (F-8)."""
-    return mk.recent(prices(spark, sf_dir), as_of_day(spark, sf_dir)).select("company_id", "ts", "close", "is_real")
+    return prices(spark, sf_dir, months).select("company_id", "ts", "close", "is_real")

@@ -37,8 +37,10 @@ def attributed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explain.linear_attributions(sc, means)
 
 
-def factor_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = attributed(spark, sf_dir)
+def factor_tables(spark: SparkSession, sf_dir: str, attributions: DataFrame | None = None) -> DataFrame:
+    """R-7 arrays from the linear attributions, or from ``attributions`` (for
+    instance those of the trained trees)."""
+    a = attributed(spark, sf_dir) if attributions is None else attributions
     return a.select("company_id", "predicted_default_prob", "revenue_growth", "cash_flow_volatility",
                     explain.factor_table("attributions").alias("factors"))
 
@@ -48,13 +50,13 @@ def stressed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def memos(spark: SparkSession, sf_dir: str, *, shock_rev: float = 0.0, shock_vol: float = 1.0,
-          as_of: str | None = None) -> DataFrame:
+          as_of: str | None = None, attributions: DataFrame | None = None) -> DataFrame:
     """R-9: one plain-text memo per company for one scenario (the sliders'
     defaults unless given); header name and source come from the market
     side (live company → its name and the exchange feed; else simulated)."""
     from ..plans import market as mk
 
-    ft = factor_tables(spark, sf_dir)
+    ft = factor_tables(spark, sf_dir, attributions)
     info = mk.company_info(spark, sf_dir)
     day = F.lit(as_of) if as_of else F.date_format(F.current_date(), "yyyy-MM-dd")
     j = ft.join(info, "company_id", "left")

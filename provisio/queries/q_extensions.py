@@ -87,8 +87,9 @@ def e4_misclassification_cost(spark, sf):
 @register("e5_population_stability", f"""
 with per_bin as (select fico_category, count_if(period = '{PERIODS[0]}') as e, count_if(period = '{PERIODS[1]}') as a
                  from scored_a_dated group by fico_category),
-sh as (select fico_category, e::double / sum(e) over () as e, a::double / sum(a) over () as a from per_bin)
-select round(sum(case when e > 0 and a > 0 then (a - e) * ln(a / e) end), {R12}) as psi from sh
+sh as (select fico_category, (e + 5e-1) / (sum(e) over () + 5e-1 * count(*) over ()) as e,
+              (a + 5e-1) / (sum(a) over () + 5e-1 * count(*) over ()) as a from per_bin)
+select round(sum((a - e) * ln(a / e)), {R12}) as psi from sh
 """, ("scored_a_dated",))
 def e5_population_stability(spark, sf):
     d = _scored_a_dated(spark, sf)
@@ -96,6 +97,21 @@ def e5_population_stability(spark, sf):
         .select(F.round("psi", R12).alias("psi"))
 
 
+@register("e5_population_stability_empty_bin", f"""
+with per_bin as (select fico_category, count_if(period = '{PERIODS[0]}') as e,
+                        count_if(period = '{PERIODS[1]}' and fico_category <> 'Good') as a
+                 from scored_a_dated group by fico_category),
+sh as (select fico_category, (e + 5e-1) / (sum(e) over () + 5e-1 * count(*) over ()) as e,
+              (a + 5e-1) / (sum(a) over () + 5e-1 * count(*) over ()) as a from per_bin)
+select round(sum((a - e) * ln(a / e)), {R12}) as psi from sh
+""", ("scored_a_dated",))
+def e5_population_stability_empty_bin(spark, sf):
+    """A bin that the second period does not have."""
+    d = _scored_a_dated(spark, sf).where((F.col("period") != PERIODS[1]) | (F.col("fico_category") != "Good"))
+    return mon.population_stability(d, "fico_category", F.col("period"), *PERIODS) \
+        .select(F.round("psi", R12).alias("psi"))
+
+
 @register("e6_importance_rank_stability", f"""
 with m as (select avg(dti_ratio) as md, avg(fico_score) as mf, avg(loan_amount) as ma from scored_a_dated),
 imp as (
@@ -135,6 +151,30 @@ def e7_out_of_time_auc(spark, sf):
     return evaluate.auc(d, "pd", "default_flag").select(F.round("auc", R12).alias("auc"))
 
 
+@register("e7_backtest_report", f"""
+with t as (select f.default_flag as y from features_a f join orders o on f.loan_id = printf('LOAN_%06d', o.o_orderkey + 1)
+           where o.o_orderdate >= timestamp '{BACKTEST_FROM} 00:00:00' and f.dti_ratio is not null and f.loan_to_income_ratio is not null)
+select 'No Default' as class, count(*) as support, true as in_range from t where y = 0
+union all select 'Default', count(*), true from t where y = 1
+union all select unnest(['accuracy', 'macro avg', 'weighted avg']), count(*), true from t
+""", ("features_a",))
+def e7_backtest_report(spark, sf):
+    """Back-test: the model is trained on the loans before the cut-over and
+    reported (M-9) on the loans after it."""
+    from ..sources import fixtures
+
+    dated = fixtures.raw_loans(spark, sf, with_dates=True)
+    enc = feat.encode_a(feat.features_a(dated)).join(dated.select("loan_id", "origination_date"), "loan_id")
+    later = F.col("origination_date") >= F.lit(f"{BACKTEST_FROM} 00:00:00").cast("timestamp_ntz")
+    model = score.fit_logistic(enc.where(~later), feat.A_MODEL_FEATURES, "default_flag")
+    tested = score.score_with_model(model, enc.where(later), feat.A_MODEL_FEATURES, out="pd").where(F.col("pd").isNotNull())
+    r = evaluate.classification_report(tested.withColumn("yhat", evaluate.hard_prediction("pd")), "default_flag", "yhat")
+    fine = F.lit(True)
+    for c in ("precision", "recall", "f1_score"):
+        fine = fine & F.coalesce(F.col(c), F.lit(0.0)).between(0.0, 1.0)
+    return r.select("class", "support", fine.alias("in_range"))
+
+
 @register("e8_woe_iv", f"""
 with per as (select fico_category, cast(count_if(default_flag = 0) as bigint) as good,
                     cast(count_if(default_flag = 1) as bigint) as bad
@@ -150,6 +190,15 @@ def e8_woe_iv(spark, sf):
     return w.select("fico_category", "good", "bad", F.round("woe", R12).alias("woe"), F.round("iv", R12).alias("iv"))
 
 
+@register("e8_woe_iv_without_bads", """
+select fico_category, count(*) as good, cast(0 as bigint) as bad, cast(null as double) as woe, cast(null as double) as iv
+from features_a where default_flag = 0 group by fico_category
+""", ("features_a",))
+def e8_woe_iv_without_bads(spark, sf):
+    """No defaults at all: evidence is undefined, not an error."""
+    return mon.woe_iv(book_a.features(spark, sf).where(F.col("default_flag") == 0), "fico_category", "default_flag")
+
+
 @register("e9_fairness_by_group", f"""
 with per as (
   select home_ownership, count(*) as n,

@@ -77,10 +77,19 @@ select company_id, count(*) as n_points from prices_all, as_of
 where ts >= as_of - interval 6 month group by company_id
 """, ("prices_all", "as_of"))
 def f8_last_six_months(spark, sf):
-    r = mk.recent(pm.prices(spark, sf), pm.as_of_day(spark, sf))
+    r = pm.prices(spark, sf, months=mk.HISTORY_MONTHS)
     return r.groupBy("company_id").agg(F.count(F.lit(1)).alias("n_points"))
 
 
+@register("f8_last_month", f"""
+select company_id, ts, round(close, {R6}) as close, is_real from prices_all, as_of
+where ts >= as_of - interval 1 month
+""", ("prices_all", "as_of"))
+def f8_last_month(spark, sf):
+    """A window that cuts live and simulated series."""
+    return pm.prices(spark, sf, months=1).select("company_id", "ts", F.round("close", R6).alias("close"), "is_real")
+
+
 @register("r15_price_trend", f"""
 select company_id, ts, round(close, {R6}) as close, is_real from prices_all, as_of
 where ts >= as_of - interval 6 month

@@ -296,12 +296,13 @@ def j3_split_row_labels(spark, sf):
     return stratified_split(f, key="company_id", label="true_label")
 
 
-@register("j2_keyed_scoring")
+@register("j2_keyed_scoring", """
+select loan_id, is_test, status, status = 'scored' as has_pd from split_a
+""", ("split_a",))
 def j2_keyed_scoring(spark, sf):
-    """Trained model scores carried with their key (no positional zip)."""
-    from ..operators import features as feat, score
+    """Trained model scores carried with their key (no positional zip); a loan
+    with an undefined ratio is kept and marked."""
     from ..plans import models
 
-    model, split = models.logistic_a(spark, sf)
-    scored = score.score_with_model(model, split, feat.A_MODEL_FEATURES, out="pd")
-    return scored.select("loan_id", "pd", "is_test")
+    s = models.scored_by_model_a(spark, sf)
+    return s.select("loan_id", "is_test", "status", F.coalesce(F.col("pd").between(0.0, 1.0), F.lit(False)).alias("has_pd"))

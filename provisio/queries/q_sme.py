@@ -200,7 +200,7 @@ def p26_display_name(spark, sf):
     return a.select("company_id", tx.display_feature_name("feature").alias("feature"))
 
 
-@register("m13_exact_shapley", f"""
+@register("m13_exact_shapley_bg100", f"""
 with bg as (
   select revenue_growth as b0, debt_to_asset_ratio as b1, cash_flow_volatility as b2,
          cast(past_default as double) as b3
@@ -218,18 +218,19 @@ players as (select * from (values (0, 'revenue_growth'), (1, 'debt_to_asset_rati
                                  (3, 'past_default')) p(j, feature))
 select a.company_id, p.feature,
        round(sum(case bit_count(a.s) when 0 then 0.25e0 when 1 then 1e0 / 12e0 when 2 then 1e0 / 12e0
-                                     else 0.25e0 end * (b.v - a.v)), {R9}) as contribution
+                                     else 0.25e0 end * (b.v - a.v)), {R9}) as contribution,
+       100 as background_rows
 from v a join players p on (a.s & (1 << p.j)) = 0
 join v b on b.company_id = a.company_id and b.s = (a.s | (1 << p.j))
 group by a.company_id, p.feature
 """, ("sme_features",))
-def m13_exact_shapley(spark, sf):
+def m13_exact_shapley_bg100(spark, sf):
+    """Exact Shapley values against 100 background companies."""
     f = sme.features(spark, sf)
-    bg = explain.background_sample(f)
-    sh = explain.shapley_attributions(f, bg)
-    long = sh.select("company_id", F.explode("shapley").alias("s"))
+    sh = explain.shapley_attributions(f, explain.background_sample(f, "company_id", 100))
+    long = sh.select("company_id", "background_rows", F.explode("shapley").alias("s"))
     return long.select("company_id", F.col("s.feature").alias("feature"),
-                       F.round("s.contribution", R9).alias("contribution"))
+                       F.round("s.contribution", R9).alias("contribution"), "background_rows")
 
 
 # ------------------------------------------------------------------ stress

@@ -1,25 +1,57 @@
 """Registered queries: streaming forms (their results equal the batch ones,
-so they share the batch oracle)."""
+so they share the batch oracle). The tables are replayed as several files
+that arrive newest first, one file to a micro-batch."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import time
 
+from pyspark.sql import DataFrame, functions as F
+
+from ..plans import book_b
+from ..session import scratch_path
+from ..sources.tables import read_table
 from ..streaming import ticks
 from . import REGISTRY, register
 
+FEED_FILES = 4
+
+
+def newest_first(df: DataFrame, order: str, name: str, files: int = FEED_FILES) -> str:
+    """Write ``df`` as ``files`` files by quantiles of ``order``, the newest
+    slice first; the file source reads files by arrival time."""
+    spark = df.sparkSession
+    out = scratch_path(spark, name)
+    rank = F.percentile_approx(F.col(order).cast("timestamp").cast("double") if order == "ts" else F.col(order).cast("double"),
+                               F.array(*[F.lit(i / files) for i in range(1, files)]), 10_000)
+    cuts = df.agg(rank).first()[0]
+    value = F.col(order).cast("timestamp").cast("double") if order == "ts" else F.col(order).cast("double")
+    bounds = [None, *cuts, None]
+    for lo, hi in reversed(list(zip(bounds, bounds[1:]))):
+        part = df
+        if lo is not None:
+            part = part.where(value >= lo)
+        if hi is not None:
+            part = part.where(value < hi)
+        part.coalesce(1).write.mode("append").parquet(out)
+        time.sleep(1.1)                       # distinct arrival times
+    return out
+
 
 @register("x1_ohlc_bars_stream", REGISTRY["x1_ohlc_bars_batch"].sql)
 def x1_ohlc_bars_stream(spark, sf):
-    return ticks.ohlc_bars_stream(spark, sf)
+    feed = newest_first(read_table(spark, sf, "events"), "ts", "ticks_newest_first")
+    return ticks.ohlc_bars_stream(spark, sf, source=feed, batch_bytes="1")
 
 
 @register("x2_freshness_stream", REGISTRY["x2_quote_freshness"].sql)
 def x2_freshness_stream(spark, sf):
-    return ticks.freshness_from_stream(spark, sf)
+    feed = newest_first(read_table(spark, sf, "events"), "ts", "ticks_newest_first")
+    return ticks.freshness_from_stream(spark, sf, source=feed, batch_bytes="1")
 
 
 @register("x3_staging_stream", REGISTRY["j1_features_predictions_join"].sql)
 def x3_staging_stream(spark, sf):
-    st = ticks.staging_stream(spark, sf)
+    feed = newest_first(book_b.predictions(spark, sf), "loan_id", "predictions_newest_first")
+    st = ticks.staging_stream(spark, sf, source=feed, batch_bytes="1")
     return st.select("loan_id", "stage", F.round("pd_12m", 9).alias("pd_12m"), F.round("ecl", 6).alias("ecl"))

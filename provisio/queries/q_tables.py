@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import checks, clean, features as feat, reports
@@ -48,10 +50,10 @@ select median(annual_inc) as median_income, median(loan_amnt) as median_amount f
 def a8_exact_median(spark, sf):
     from ..operators.ordered import exact_median
 
-    land = book_b.landing(spark, sf)
-    inc = exact_median(land, "annual_inc", out="median_income").first()[0]
-    amt = exact_median(land, "loan_amnt", out="median_amount").first()[0]
-    return spark.createDataFrame([(inc, amt)], "median_income double, median_amount double")
+    slim = spark.read.parquet(tables.land(book_b.landing(spark, sf).select("annual_inc", "loan_amnt"), name="medians"))
+    both = exact_median(slim, "annual_inc", out="median_income").withColumn("median_amount", F.lit(None).cast("double")) \
+        .unionByName(exact_median(slim, "loan_amnt", out="median_amount").withColumn("median_income", F.lit(None).cast("double")))
+    return both.agg(F.max("median_income").alias("median_income"), F.max("median_amount").alias("median_amount"))
 
 
 @register("c14_median_fill", """
@@ -147,11 +149,26 @@ def s2_first_chunk(spark, sf):
     return tables.head_n(book_b.landing(spark, sf), "id", 50000)
 
 
+@register("s2_first_chunk_700", """
+select * from raw_landing_zone order by id limit 700
+""", ("raw_landing_zone",))
+def s2_first_chunk_700(spark, sf):
+    return tables.head_n(book_b.landing(spark, sf), "id", 700)
+
+
+@register("s2_first_chunk_null_keys", """
+select annual_inc, id from raw_landing_zone order by annual_inc nulls first, id limit 900
+""", ("raw_landing_zone",))
+def s2_first_chunk_null_keys(spark, sf):
+    """A key with NULLs and ties as the leading order column."""
+    return tables.head_n(book_b.landing(spark, sf).select("annual_inc", "id"), ["annual_inc", "id"], 900)
+
+
 @register("k6_first_rows_preview", """
 select * from loaded_a order by loan_id limit 5
 """, ("loaded_a",))
 def k6_first_rows_preview(spark, sf):
-    return tables.head_n(_loaded_a(spark, sf), "loan_id", 5)
+    return _loaded_a(spark, sf).orderBy("loan_id").limit(5)     # a preview: a top-k, not a chunk
 
 
 @register("c12_truncating_cast", """
@@ -220,12 +237,18 @@ def s10_idempotent_rebuild(spark, sf):
     return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count"))
 
 
-@register("s11_catalog_check")
+@register("s11_catalog_check", """
+select 'clean_loans' as layer, true as present, count(*) as row_count from clean_loans_b
+union all select 'model_features', true, count(*) from features_b
+union all select 'raw_landing_zone', false, null
+""", ("clean_loans_b", "features_b"))
 def s11_catalog_check(spark, sf):
-    tables.drop_if_exists(spark, "clean_loans")
-    tables.materialise_view(book_b.cleaned(spark, sf), "clean_loans")
-    tables.materialise_view(book_b.features(spark, sf), "model_features")
-    return tables.layer_objects(spark, ["clean_loans", "model_features", "raw_landing_zone"])
+    # views under names of this run; nothing that was there before is touched
+    run = uuid.uuid4().hex[:12]
+    tables.materialise_view(book_b.cleaned(spark, sf), f"clean_loans_{run}")
+    tables.materialise_view(book_b.features(spark, sf), f"model_features_{run}")
+    found = tables.layer_objects(spark, [f"{n}_{run}" for n in ("clean_loans", "model_features", "raw_landing_zone")])
+    return found.select(F.regexp_replace("name", f"_{run}$", "").alias("layer"), "present", "row_count")
 
 
 @register("s12_layer_row_counts", """
@@ -239,7 +262,16 @@ def s12_layer_row_counts(spark, sf):
                                  "loan_predictions": book_a.scored(spark, sf), "loan_staging": book_a.staged(spark, sf)})
 
 
-@register("s14_layer_schema")
+@register("s14_layer_schema", """
+select u.col as column, u.typ as expected, u.typ as actual, true as ok, u.filled from (
+  select unnest([{'col': 'loan_id', 'typ': 'string', 'filled': count(loan_id)},
+                 {'col': 'loan_amount', 'typ': 'double', 'filled': count(loan_amount)},
+                 {'col': 'default_flag', 'typ': 'int', 'filled': count(default_flag)},
+                 {'col': 'pd', 'typ': 'double', 'filled': count(pd)},
+                 {'col': 'stage', 'typ': 'int', 'filled': count(stage)},
+                 {'col': 'ecl', 'typ': 'double', 'filled': count(ecl)}]) as u
+  from staging_a) t
+""", ("staging_a",))
 def s14_layer_schema(spark, sf):
     from ..schemas import LOAN_STAGING_A, schema_report
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 S, D, I, L = T.StringType(), T.DoubleType(), T.IntegerType(), T.LongType()
 
@@ -31,19 +31,13 @@ MODEL_VERSION_DEFAULT = "v1.0"
 
 
 def schema_report(df: DataFrame, expected: T.StructType) -> DataFrame:
-    """S-14: one row per declared column: expected vs actual type and whether they agree."""
+    """S-14: one row per declared (or undeclared) column: expected and actual
+    type, whether they agree, and how many rows have a value (one scan)."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    rows = [(f.name, f.dataType.simpleString(), actual.get(f.name), actual.get(f.name) == f.dataType.simpleString())
-            for f in expected.fields]
-    rows += [(n, None, t, False) for n, t in actual.items() if n not in expected.fieldNames()]
-    spark = SparkSession.getActiveSession() or df.sparkSession
-    return spark.createDataFrame(rows, "column string, expected string, actual string, ok boolean")
-
-
-def assert_schema(df: DataFrame, expected: T.StructType) -> DataFrame:
-    """Raise when ``df`` does not have exactly the declared columns and types."""
-    got = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
-    want = [(f.name, f.dataType.simpleString()) for f in expected.fields]
-    if got != want:
-        raise ValueError(f"schema mismatch: expected {want}, got {got}")
-    return df
+    declared = {f.name: f.dataType.simpleString() for f in expected.fields}
+    filled = df.agg(*[F.count(F.col(f"`{n}`")).alias(n) for n in actual])
+    rows = F.array(*[F.struct(F.lit(n).alias("column"), F.lit(declared.get(n)).alias("expected"), F.lit(actual.get(n)).alias("actual"),
+                              F.lit(n in declared and declared[n] == actual.get(n)).alias("ok"),
+                              (F.col(f"`{n}`") if n in actual else F.lit(None).cast("long")).alias("filled"))
+                     for n in [*declared, *(n for n in actual if n not in declared)]])
+    return filled.select(F.explode(rows).alias("r")).select("r.*")

@@ -141,21 +141,35 @@ def sme_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feats.withColumn("true_label", F.when(F.col("_draw") < pd_true, 1).otherwise(0)).drop("_draw")
 
 
-def prices_live(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily OHLC bars of the live feed (batch form of X-1)."""
+def prices_live(spark: SparkSession, sf_dir: str, since: Column | None = None) -> DataFrame:
+    """Daily OHLC bars of the live feed (batch form of X-1), of the days from
+    ``since`` on. The bound is on the raw tick time, so the scan takes it;
+    ticks are grouped by the integer user id and named last."""
     from ..operators.market import ohlc_bars
 
-    ticks = read_table(spark, sf_dir, "events")
-    return ohlc_bars(ticks.where(F.col("event_type") != "error"),
-                     key=company_id(F.col("user_id")), ts="ts", price="value", tiebreak="event_id")
+    ticks = read_table(spark, sf_dir, "events").where(F.col("event_type") != "error")
+    if since is not None:
+        ticks = ticks.where(F.col("ts") >= since)
+    bars = ohlc_bars(ticks, key=F.col("user_id"), ts="ts", price="value", tiebreak="event_id")
+    return bars.withColumn("company_id", company_id(F.col("company_id")))
 
 
-def fallback_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+def live_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer keys that are on the live feed, whenever they were."""
+    return (read_table(spark, sf_dir, "events").where(F.col("event_type") != "error")
+            .select(F.col("user_id").alias("c_custkey")).distinct())
+
+
+def fallback_returns(spark: SparkSession, sf_dir: str, without: DataFrame | None = None) -> DataFrame:
     """Deterministic stand-in for the mock price series: 90 daily returns in
-    [−2 %, +2 %] for every company (the mock exists for any ticker)."""
+    [−2 %, +2 %] for every company (the mock exists for any ticker), except
+    the customer keys ``without``, which go before the series is expanded."""
     from ..operators.stress import spread_for_expansion
 
-    customers = spread_for_expansion(read_table(spark, sf_dir, "customer").select("c_custkey"))
+    customers = read_table(spark, sf_dir, "customer").select("c_custkey")
+    if without is not None:
+        customers = customers.join(without, "c_custkey", "left_anti")
+    customers = spread_for_expansion(customers)
     steps = customers.select("c_custkey", F.explode(F.sequence(F.lit(0), F.lit(FALLBACK_STEPS - 1))).alias("step"))
     return steps.select(
         company_id(F.col("c_custkey")).alias("company_id"),
@@ -167,8 +181,7 @@ def fallback_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def financials_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live financial statement items for companies that are on the live feed
     (customers that are also event users)."""
-    users = (read_table(spark, sf_dir, "events").where(F.col("event_type") != "error")
-             .select(F.col("user_id").alias("c_custkey")).distinct())
+    users = live_users(spark, sf_dir)
     orders = read_table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice", "o_orderstatus")
     customers = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
     live = customers.join(users, "c_custkey", "left_semi")

@@ -19,11 +19,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_loans_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+def read_loans_csv(spark: SparkSession, path: str, schema: T.StructType | str, *,
+                   quoted_line_breaks: bool = False) -> DataFrame:
     """S-1: full CSV scan with a declared schema (no inference pass). Text
-    keeps its surrounding blanks (``' 36 months'``), as the source has them."""
+    keeps its surrounding blanks (``' 36 months'``), as the source has them.
+    Files are split over many tasks; ``quoted_line_breaks`` is for files whose
+    quoted text spans lines, which Spark must read one file to a task."""
     return (spark.read.schema(schema)
-            .option("header", True).option("multiLine", True).option("escape", '"')
+            .option("header", True).option("multiLine", quoted_line_breaks).option("escape", '"')
             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
             .option("mode", "PERMISSIVE").csv(path))
 
@@ -35,40 +38,41 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
-# Up to this many rows a first-n is a per-partition top-k merged in one task
-# (TakeOrderedAndProject); above it the n-th key is found by a distributed
-# rank and the rows are kept by a narrow filter, so no task ever merges
-# partitions × n rows.
-TOPK_MAX = 10_000
+def _first_n(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` rows in the order of the ``order`` columns (ascending,
+    NULLs first), ties broken by a hash of the whole row.
 
-
-def _first_n(df: DataFrame, order: list[str], n: int) -> DataFrame:
-    """First ``n`` rows in the total order ``order`` (ascending, no NULLs in
-    the order columns), for large ``n``: rank only the order columns, take
-    the n-th tuple (one row), keep rows whose tuple is not greater."""
+    Only the order columns and the hash are ranked (range-partitioned, no
+    one-task merge); the n-th tuple is the cut. Rows before it are kept by a
+    narrow NULL-safe filter. Rows equal to it agree in every column, so any of
+    them fill up to exactly ``n``.
+    """
     from ..operators.ordered import row_number_global
 
-    slim = df.select(*order)
-    ranked = row_number_global(slim, order, out="_first_rn")
-    cut = ranked.where(F.col("_first_rn") == n).select(*order).first()
+    if n <= 0:
+        return df.limit(0)
+    keyed = df.withColumn("_first_tie", F.xxhash64(*df.columns))
+    keys = [*order, "_first_tie"]
+    ranked = row_number_global(keyed.select(*keys), keys, out="_first_rn")
+    cut = ranked.where(F.col("_first_rn") == n).select(*keys).first()       # one row
     if cut is None:                      # fewer than n rows: keep all
         return df
-    keep = None
-    for i in range(len(order) - 1, -1, -1):
-        c, v = F.col(order[i]), F.lit(cut[order[i]])
-        keep = (c <= v) if keep is None else ((c < v) | ((c == v) & keep))
-    return df.where(keep)
+    types = {f.name: f.dataType for f in keyed.schema.fields}
+    before, same = F.lit(False), F.lit(True)
+    for k in keys:
+        c, v = F.col(k), F.lit(cut[k]).cast(types[k])
+        less = F.lit(False) if cut[k] is None else c.isNull() | (c < v)
+        before, same = before | (same & less), same & c.eqNullSafe(v)
+    n_before = ranked.where(before).count()
+    return keyed.where(before).unionByName(keyed.where(same).limit(n - n_before)).drop("_first_tie")
 
 
 def head_n(df: DataFrame, order_key: str | Sequence[str], n: int) -> DataFrame:
     """S-2: the first ``n`` rows in key order ("first chunk" of a file).
-    A bare ``limit`` has no defined order on a distributed scan; ordering by a
-    unique key makes it reproducible. Small ``n`` plans as a per-partition
-    top-k; large ``n`` as a distributed rank + filter."""
-    keys = [order_key] if isinstance(order_key, str) else list(order_key)
-    if n > TOPK_MAX:
-        return _first_n(df, keys, n)
-    return df.orderBy(*[F.col(k).asc_nulls_first() for k in keys]).limit(n)
+    A bare ``limit`` has no defined order on a distributed scan; the key, then
+    a hash of the row, make it reproducible. One path for every ``n``: a
+    distributed rank of the keys and a narrow filter."""
+    return _first_n(df, [order_key] if isinstance(order_key, str) else list(order_key), n)
 
 
 def sample_key(seed: int, key: str) -> F.Column:
@@ -78,12 +82,9 @@ def sample_key(seed: int, key: str) -> F.Column:
 
 def sample_n(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """S-3: exactly ``n`` rows without replacement, reproducible for a seed.
-    ``df.sample`` only approximates the size; ordering by a keyed hash and
-    taking ``n`` is exact (a top-k for small ``n``, rank + filter above)."""
-    if n > TOPK_MAX:
-        keyed = df.withColumn("_sample_h", sample_key(seed, key))
-        return _first_n(keyed, ["_sample_h", key], n).drop("_sample_h")
-    return df.orderBy(sample_key(seed, key), F.col(key)).limit(n)
+    ``df.sample`` only approximates the size; taking the first ``n`` in the
+    order of a keyed hash is exact."""
+    return _first_n(df.withColumn("_sample_h", sample_key(seed, key)), ["_sample_h", key], n).drop("_sample_h")
 
 
 def land(df: DataFrame, path: str | None = None, name: str = "landing") -> str:
@@ -100,13 +101,16 @@ def materialise_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def drop_if_exists(spark: SparkSession, name: str) -> None:
-    """S-10: idempotent rebuild; dropping a missing view is not an error."""
-    spark.catalog.dropTempView(name)
-    spark.sql(f"DROP TABLE IF EXISTS `{name}`")
-
-
 def layer_objects(spark: SparkSession, names: Sequence[str]) -> DataFrame:
-    """S-11: which layer objects exist in the catalog, one row per name."""
-    rows = [(n, bool(spark.catalog.tableExists(n))) for n in names]
-    return spark.createDataFrame(rows, "name string, present boolean")
+    """S-11: which layer objects the catalog has, with their row counts; one
+    row per name. Reads the catalog and the layers, never changes either."""
+    out = None
+    for name in names:
+        if spark.catalog.tableExists(name):
+            row = spark.table(name).agg(F.count(F.lit(1)).alias("row_count")).select(
+                F.lit(name).alias("name"), F.lit(True).alias("present"), "row_count")
+        else:
+            row = spark.range(1).select(F.lit(name).alias("name"), F.lit(False).alias("present"),
+                                        F.lit(None).cast("long").alias("row_count"))
+        out = row if out is None else out.unionByName(row)
+    return out

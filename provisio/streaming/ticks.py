@@ -1,5 +1,12 @@
-"""Streaming OHLC bars (X-1), de-duplicated tick stream for freshness (X-2),
-and stage + ECL on arriving predictions (X-3)."""
+"""Streaming OHLC bars (X-1), latest quotes for freshness (X-2), and stage +
+ECL on arriving predictions (X-3).
+
+No stream holds state and none has a watermark, so no tick is ever too late:
+each micro-batch writes partial results that can be merged (first and last by
+an order key, minimum, maximum), and one batch aggregate merges them. Files
+may arrive in any order, and a tick delivered twice changes nothing, since
+every partial is the same for a repeated tick.
+"""
 
 from __future__ import annotations
 
@@ -8,25 +15,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import market as mk, staging
 from ..session import scratch_path
 from ..sources.fixtures import company_id
-from ..sources.tables import read_table
+from ..sources.tables import land, read_table
 
-BAR_WATERMARK = "1 day"
-DEDUP_WATERMARK = "1 hour"
+BATCH_BYTES = "1g"     # input bytes a micro-batch takes (at least one file)
 
 
 def tick_stream(spark: SparkSession, sf_dir: str, *, source: str | None = None,
-                glob: str = "events.parquet") -> DataFrame:
-    """The events table as a file stream (one file per micro-batch), from the
-    test folder or from ``source`` (a folder of event files). Its ``ts`` is
-    TIMESTAMP_NTZ; watermarks need TIMESTAMP, so it is cast in the session
-    zone (T-25)."""
+                glob: str = "events.parquet", batch_bytes: str = BATCH_BYTES) -> DataFrame:
+    """The events table as a file stream, from the test folder or from
+    ``source`` (a folder of event files), ``batch_bytes`` at a time."""
     schema = read_table(spark, sf_dir, "events").schema
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-    raw = reader.option("pathGlobFilter", glob).parquet(sf_dir) if source is None else reader.parquet(source)
-    return raw.withColumn("ts", F.col("ts").cast("timestamp"))
+    reader = spark.readStream.schema(schema).option("maxBytesPerTrigger", batch_bytes)
+    return reader.option("pathGlobFilter", glob).parquet(sf_dir) if source is None else reader.parquet(source)
 
 
-def _run_changelog(stream_df: DataFrame, name: str, *, output_mode: str) -> str:
+def _run_batches(stream_df: DataFrame, name: str, per_batch=lambda batch: batch) -> str:
     """Run ``stream_df`` to completion (availableNow); each micro-batch is
     written to ``<out>/batch_id=<n>`` with overwrite, so a retried batch
     replaces its own output instead of appending a second copy."""
@@ -35,66 +38,66 @@ def _run_changelog(stream_df: DataFrame, name: str, *, output_mode: str) -> str:
     ckpt = scratch_path(spark, f"{name}-checkpoint")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        per_batch(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    q = (stream_df.writeStream.outputMode(output_mode).foreachBatch(write_batch)
+    q = (stream_df.writeStream.outputMode("append").foreachBatch(write_batch)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
     return out
 
 
-def ohlc_bars_stream(spark: SparkSession, sf_dir: str, *, source: str | None = None) -> DataFrame:
-    """X-1: daily OHLC bars from the tick stream.
-
-    Update mode emits every bar whose value changed in a micro-batch (append
-    mode would hold back the still-open last day, T-25). The changelog is
-    compacted in batch: for each bar the version of the latest batch wins —
-    grouped ``max_by`` on the batch id (hash aggregate with a partial phase),
-    so a busy ticker is not one task.
-    """
-    ticks = tick_stream(spark, sf_dir, source=source).where(F.col("event_type") != "error")
-    bars = (ticks.withWatermark("ts", BAR_WATERMARK)
-            .groupBy(company_id(F.col("user_id")).alias("company_id"), F.window("ts", "1 day").alias("w"))
-            .agg(F.min_by("value", mk.tick_order("ts", "event_id")).alias("open"), F.max("value").alias("high"),
-                 F.min("value").alias("low"), F.max_by("value", mk.tick_order("ts", "event_id")).alias("close"))
-            .select("company_id", F.col("w.start").cast("timestamp_ntz").alias("ts"), "open", "high", "low", "close"))
-    out = _run_changelog(bars, "ohlc_changelog", output_mode="update")
-    log = spark.read.parquet(out)
-    latest = log.groupBy("company_id", "ts").agg(
-        *[F.max_by(c, "batch_id").alias(c) for c in ("open", "high", "low", "close")])
-    return latest.select("company_id", "ts", "open", "high", "low", "close")
-
-
-def deduplicated_ticks(spark: SparkSession, sf_dir: str, *, source: str | None = None) -> DataFrame:
-    """X-2 (stream part): ticks de-duplicated on their id within the
-    watermark; the age test then runs in batch on the landed ticks."""
-    ticks = tick_stream(spark, sf_dir, source=source).where(F.col("event_type") != "error")
-    dedup = ticks.withWatermark("ts", DEDUP_WATERMARK).dropDuplicatesWithinWatermark(["event_id"])
-    out = _run_changelog(dedup, "tick_dedup", output_mode="append")
-    return spark.read.parquet(out).drop("batch_id").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-
-
-def freshness_from_stream(spark: SparkSession, sf_dir: str, *, source: str | None = None) -> DataFrame:
-    """X-2: latest quote per company from the de-duplicated stream and its
+def partial_bars(ticks: DataFrame) -> DataFrame:
+    """Mergeable daily bars: the order keys of the first and last tick travel along."""
+    order = mk.tick_order("ts", "event_id")
+    day = F.date_trunc("day", F.col("ts")).cast(ticks.schema["ts"].dataType)
+    return ticks.where(F.col("event_type") != "error").groupBy(F.col("user_id"), day.alias("ts")).agg(
+        F.min(order).alias("first_key"), F.min_by("value", order).alias("open"), F.max("value").alias("high"),
+        F.min("value").alias("low"), F.max(order).alias("last_key"), F.max_by("value", order).alias("close"))
+
+
+def merge_bars(partials: DataFrame) -> DataFrame:
+    return partials.groupBy("user_id", "ts").agg(
+        F.min_by("open", "first_key").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
+        F.max_by("close", "last_key").alias("close")) \
+        .select(company_id(F.col("user_id")).alias("company_id"), "ts", "open", "high", "low", "close")
+
+
+def ohlc_bars_stream(spark: SparkSession, sf_dir: str, *, source: str | None = None, batch_bytes: str = BATCH_BYTES) -> DataFrame:
+    """X-1: daily OHLC bars from the tick stream: partial bars of each
+    micro-batch, merged by one hash aggregate, so a busy ticker is not one task."""
+    out = _run_batches(tick_stream(spark, sf_dir, source=source, batch_bytes=batch_bytes), "ohlc_partials", partial_bars)
+    return merge_bars(spark.read.parquet(out))
+
+
+def partial_quotes(ticks: DataFrame) -> DataFrame:
+    """Mergeable latest quote per user, with its order key."""
+    order = mk.tick_order("ts", "event_id")
+    return ticks.where(F.col("event_type") != "error").groupBy("user_id").agg(
+        F.max(order).alias("last_key"), F.max("ts").alias("last_ts"), F.max_by("value", order).alias("last_price"))
+
+
+def freshness_from_stream(spark: SparkSession, sf_dir: str, *, source: str | None = None, batch_bytes: str = BATCH_BYTES) -> DataFrame:
+    """X-2: latest quote per company from the stream's merged partials and its
     age at the time of the newest tick in the feed."""
     from ..plans.market import latest_tick
 
-    ticks = deduplicated_ticks(spark, sf_dir, source=source)
-    latest = mk.latest_quotes(ticks, key=company_id(F.col("user_id")), tiebreak="event_id")
-    return mk.freshness(latest, latest_tick(spark, sf_dir))
+    out = _run_batches(tick_stream(spark, sf_dir, source=source, batch_bytes=batch_bytes), "quote_partials", partial_quotes)
+    latest = spark.read.parquet(out).groupBy("user_id").agg(
+        F.max("last_ts").alias("last_ts"), F.max_by("last_price", "last_key").alias("last_price"))
+    return mk.freshness(latest.select(company_id(F.col("user_id")).alias("company_id"), "last_ts", "last_price"),
+                        latest_tick(spark, sf_dir))
 
 
-def staging_stream(spark: SparkSession, sf_dir: str, parts: int = 4) -> DataFrame:
+def staging_stream(spark: SparkSession, sf_dir: str, *, source: str | None = None, batch_bytes: str = BATCH_BYTES) -> DataFrame:
     """X-3: predictions arrive as files; each micro-batch is joined to the
     static feature table (stream–static join, stateless) and staged with
-    the same stage/ECL functions as the batch flow."""
+    the same stage/ECL functions as the batch flow. The feature table is
+    written once and read by every micro-batch."""
     from ..plans import book_b
-    from ..sources.tables import land
-
-    preds_path = land(book_b.predictions(spark, sf_dir).repartition(parts), name="predictions_feed")
-    schema = spark.read.parquet(preds_path).schema
-    preds = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(preds_path)
-    feats = book_b.features(spark, sf_dir)
-    staged = staging.staging_b(feats, preds)
-    out = _run_changelog(staged, "staging_stream", output_mode="append")
+
+    feed = source or land(book_b.predictions(spark, sf_dir), name="predictions_feed")
+    schema = spark.read.parquet(feed).schema
+    preds = spark.readStream.schema(schema).option("maxBytesPerTrigger", batch_bytes).parquet(feed)
+    feats = spark.read.parquet(land(book_b.features(spark, sf_dir), name="staging_features"))
+    out = _run_batches(preds, "staging_stream", lambda batch: staging.staging_b(feats, batch))
     return spark.read.parquet(out).drop("batch_id")

@@ -11,7 +11,6 @@ from provisio.queries import oracle_sql, queries
 from provisio.sources.tables import TEST_TABLES
 
 SQL = oracle_sql()
-SLOW = {"m11_gbt_scores"}
 
 
 def _canon(v):
@@ -47,7 +46,5 @@ def test_query_matches_oracle(spark, duck, key):
     assert _norm(scols, srows) == _norm(dcols, drows)
 
 
-@pytest.mark.parametrize("key", sorted(k for k in queries() if k not in SQL and k not in SLOW))
-def test_rows_only_queries_run(spark, key):
-    df = queries()[key](spark, SF_SMOKE)
-    assert df.count() >= 0
+def test_every_query_has_an_oracle():
+    assert set(queries()) == set(SQL)

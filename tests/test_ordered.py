@@ -59,16 +59,46 @@ def test_checked_broadcast(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_first_n_large_path_equals_top_k(spark, monkeypatch):
+def test_first_n_with_null_and_tied_keys(spark):
     from provisio.sources import tables
 
-    df = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice")
-    want_head = sorted(df.orderBy("o_custkey", "o_orderkey").limit(700).collect())
-    want_sample = sorted(tables.sample_n(df, "o_orderkey", 700, seed=7).collect())
-    monkeypatch.setattr(tables, "TOPK_MAX", 100)
-    assert sorted(tables.head_n(df, ["o_custkey", "o_orderkey"], 700).collect()) == want_head
-    assert sorted(tables.sample_n(df, "o_orderkey", 700, seed=7).collect()) == want_sample
+    df = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 5 > 0, F.col("o_custkey") % 7).alias("k"))
+    for n in (1, 7, 700, 12_345):
+        want = sorted(df.orderBy(F.col("k").asc_nulls_first(), "o_orderkey").limit(n).collect(), key=repr)
+        assert sorted(tables.head_n(df, ["k", "o_orderkey"], n).collect(), key=repr) == want
+        only = tables.head_n(df, "k", n)            # the key alone has ties and NULLs
+        assert only.count() == n and sorted(map(repr, (r.k for r in only.collect()))) == sorted(repr(r.k) for r in want)
+    twice = df.unionByName(df)
+    assert tables.head_n(twice, "o_orderkey", 9).count() == 9        # whole rows repeat
     assert tables.head_n(df, "o_orderkey", 10**9).count() == df.count()
+    assert tables.head_n(df, "o_orderkey", 0).count() == 0
+    want = sorted(r.o_orderkey for r in df.orderBy(tables.sample_key(7, "o_orderkey"), "o_orderkey").limit(700).collect())
+    assert sorted(r.o_orderkey for r in tables.sample_n(df, "o_orderkey", 700, seed=7).collect()) == want
+
+
+def test_exact_median_cuts_large_buckets_again(spark, monkeypatch):
+    from provisio.operators import ordered
+
+    monkeypatch.setattr(ordered, "MEDIAN_ROWS", 50)
+    monkeypatch.setattr(ordered, "MEDIAN_BUCKETS", 16)
+    df = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    for frame in (df.select(F.col("o_totalprice").alias("x")), df.where("o_orderkey < 1000").select(F.col("o_totalprice").alias("x")),
+                  df.select(F.when(F.col("o_orderkey") % 3 == 0, F.lit(1.0)).otherwise(F.exp(F.col("o_totalprice") / 1e4)).alias("x"))):
+        assert exact_median(frame, "x").first()[0] == frame.select(F.median("x")).first()[0]
+
+
+def test_range_join_with_thousands_of_bins(spark):
+    from provisio.operators.features import bin_by_range_join
+
+    bins = spark.range(3000).select(F.concat(F.lit("b"), F.col("id").cast("string")).alias("label"),
+                                    F.when(F.col("id") > 0, F.col("id") * 2.0).alias("lo"),
+                                    F.when(F.col("id") < 2999, F.col("id") * 2.0 + 2).alias("hi"))
+    df = spark.range(-5, 6100).select((F.col("id") + 0.5).alias("v")).unionByName(spark.createDataFrame([(None,), (4.0,), (1e9,)], "v double"))
+    got = {r.v: r.bin for r in bin_by_range_join(df, "v", bins, out="bin", null_label="none").collect()}
+    assert len(got) == df.count()
+    for v, label in got.items():
+        assert label == ("none" if v is None else f"b{min(2999, max(0, int(v // 2)))}")
 
 
 def test_scale_conf():

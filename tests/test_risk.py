@@ -148,7 +148,7 @@ def test_linear_attribution_sums_to_logit_gap(spark):
 
 def test_shapley_efficiency(spark):
     f = sme.features(spark, SF_SMOKE)
-    bg = explain.background_sample(f, n=20)
+    bg = explain.background_sample(f, "company_id", 20)
     sh = explain.shapley_attributions(f, bg)
     from provisio.operators.score import pd_sme_fixed
 
@@ -182,7 +182,7 @@ def test_model_shapley_efficiency(spark):
 
     frame = score.sme_model_frame(sme.features(spark, SF_SMOKE))
     model = score.fit_gbt(frame, score.SME_MODEL_FEATURES, "true_label", trees=5)
-    bg = explain.model_background(frame, n=10)
+    bg = explain.model_background(frame, "company_id", 10)
     sh = explain.shapley_for_model(frame, model, explain.SME_PLAYERS, bg)
     fx = model.setFeaturesCol("_fx").transform(
         VectorAssembler(inputCols=score.SME_MODEL_FEATURES, outputCol="_fx").transform(frame)) \
@@ -223,23 +223,89 @@ def test_logistic_matches_l2_objective(spark):
     assert np.allclose(got, beta, atol=1e-4, rtol=1e-4)
 
 
-def test_split_many_labels_fallback_equals_default(spark):
+def test_split_sizes_with_null_and_many_labels(spark):
     from provisio.operators import score
 
-    f = book_b.scored(spark, SF_SMOKE).select("loan_id", "default_flag")
-    a = score.stratified_split(f, key="loan_id", label="default_flag")
-    b = score.stratified_split(f, key="loan_id", label="default_flag", max_labels=1)
-    assert sorted(a.collect()) == sorted(b.collect())
+    df = spark.range(30_000).select(F.col("id").alias("k"), F.when(F.col("id") % 3 > 0, F.col("id") % 2500).alias("label"))
+    got = score.stratified_split(df, key="k", label="label")
+    assert got.columns == ["k", "label", "is_test"] and got.count() == 30_000
+    for r in got.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_test").alias("test")).collect():
+        assert r.test == int(0.2 * r.n + 0.5)
+    # the test rows are the first in hash order, also among NULL labels
+    hot = got.where("label is null").withColumn("h", F.md5(F.concat_ws(":", F.lit("42"), F.col("k").cast("string")))).orderBy("h").collect()
+    assert [r.is_test for r in hot] == [i < 2000 for i in range(len(hot))]
 
 
-def test_grade_mean_fill_window_equals_aggregate(spark):
+def test_grade_mean_fill_equals_window(spark):
+    from pyspark.sql import Window
+
     from provisio.operators import clean
 
     rc = clean.raw_cleaned_b(book_b.landing(spark, SF_SMOKE))
-    a = clean.fill_by_group_mean(rc, "annual_income_raw", "grade", out="v", method="aggregate")
-    w = clean.fill_by_group_mean(rc, "annual_income_raw", "grade", out="v", method="window")
+    a = clean.fill_by_group_mean(rc, "annual_income_raw", "grade", out="v")
+    w = rc.withColumn("v", F.coalesce("annual_income_raw", F.avg("annual_income_raw").over(Window.partitionBy("grade"))))
     ra = {r.loan_id: r.v for r in a.select("loan_id", "v").collect()}
     rw = {r.loan_id: r.v for r in w.select("loan_id", "v").collect()}
     assert ra.keys() == rw.keys()
     assert all((ra[k] is None and rw[k] is None) or abs(ra[k] - rw[k]) <= 1e-6 * max(1.0, abs(rw[k])) for k in ra)
     assert any(r.annual_income_raw is None for r in rc.select("annual_income_raw").collect())
+
+
+def test_stability_and_evidence_with_empty_bins(spark):
+    from provisio.operators import monitoring as mon
+
+    split = spark.createDataFrame([("a", "1", 0)] * 5 + [("b", "2", 0)] * 5, "bin string, period string, y int")
+    assert mon.population_stability(split, "bin", F.col("period"), "1", "2").first()[0] > 1
+    gone = mon.population_stability(split.where("period = '1'"), "bin", F.col("period"), "1", "2").first()[0]
+    assert gone is not None
+    assert {(r.bin, r.woe, r.iv) for r in mon.woe_iv(split, "bin", "y").collect()} == {("a", None, None), ("b", None, None)}
+
+
+def test_repeated_keys_and_null_features_keep_their_rows(spark):
+    from provisio.operators import explain
+
+    f = spark.createDataFrame([("c", 0.1, 0.5, 1.0, 0), ("c", 0.3, 0.2, 1.0, 1), ("d", None, 0.2, 1.0, 0)],
+                              "company_id string, revenue_growth double, debt_to_asset_ratio double, cash_flow_volatility double, past_default int")
+    bg = explain.background_sample(f, "company_id", 5)
+    assert len(bg) == 2
+    got = explain.shapley_attributions(f, bg).collect()
+    assert sorted(r.company_id for r in got) == ["c", "c", "d"]
+    assert all((x.contribution is None) == (r.company_id == "d") for r in got for x in r.shapley)
+
+
+def test_incomplete_rows_are_scored_as_missing(spark):
+    from provisio.operators import score
+
+    df = spark.range(200).select(F.col("id").alias("k"), F.when(F.col("id") % 10 > 0, F.col("id") / 200.0).alias("x"),
+                                 (F.col("id") > 90).cast("int").alias("y"))
+    model = score.fit_logistic(df, ["x"], "y")
+    got = score.score_with_model(model, df, ["x"], out="pd", status="status").collect()
+    assert len(got) == 200
+    assert all((r.pd is None) == (r.k % 10 == 0) == (r.status == "incomplete") for r in got)
+    g = score.objective_gradient(model, df, ["x"], "y").collect()
+    assert all(abs(r.gradient) < 1e-5 for r in g)
+
+
+def test_lookup_unknown_company_and_industry(spark):
+    from provisio.operators import explain, score
+
+    known = spark.createDataFrame([("HK_1", 0.1)], "company_id string, pd double")
+    asked = spark.createDataFrame([("HK_1",), ("HK_9",)], "company_id string")
+    got = {r.company_id: (r.lookup_status, r.pd) for r in explain.lookup(asked, known).collect()}
+    assert got == {"HK_1": ("FOUND", 0.1), "HK_9": ("NOT_FOUND", None)}
+    odd = spark.createDataFrame([("Mining",), (None,)], "industry string")
+    for r in score.one_hot(odd, "industry", score.SME_INDUSTRIES).collect():
+        assert sum(r) == 0
+
+
+def test_queries_leave_a_users_table_alone(spark):
+    from provisio.queries import queries
+
+    spark.sql("drop table if exists clean_loans")
+    spark.range(3).write.saveAsTable("clean_loans")
+    try:
+        queries()["s11_catalog_check"](spark, SF_SMOKE).collect()
+        queries()["s10_idempotent_rebuild"](spark, SF_SMOKE).collect()
+        assert spark.table("clean_loans").count() == 3
+    finally:
+        spark.sql("drop table clean_loans")

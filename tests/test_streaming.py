@@ -21,50 +21,17 @@ def test_staging_stream_equals_batch(spark):
     assert _same(s.select("loan_id", "stage"), b.select("loan_id", "stage"))
 
 
-def test_bars_stream_over_several_batches(spark):
-    """Ticks arrive as four files, one after another in time order (the file
-    source reads files by arrival time); bars of a day that spans two files
-    are updated by a later micro-batch, and the compacted changelog still
-    equals the batch bars."""
-    import time
-
-    from pyspark.sql import functions as F
-
-    from provisio.session import scratch_path
-    from provisio.sources.tables import read_table
-
-    ev = read_table(spark, SF_SMOKE, "events")
-    src = scratch_path(spark, "ticks_in_files")
-    lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
-    step = (hi - lo) / 4
-    for i in range(4):
-        a, b = lo + step * i, (lo + step * (i + 1)) if i < 3 else hi
-        part = ev.where((F.col("ts") >= F.lit(a.isoformat(sep=" ")).cast("timestamp_ntz"))
-                        & ((F.col("ts") < F.lit(b.isoformat(sep=" ")).cast("timestamp_ntz")) if i < 3
-                           else F.lit(True)))
-        part.coalesce(1).write.mode("append").parquet(src)
-        time.sleep(1.1)
-    assert len(spark.read.parquet(src).inputFiles()) == 4
-    assert spark.read.parquet(src).count() == ev.count()
-    streamed = ticks.ohlc_bars_stream(spark, SF_SMOKE, source=src)
-    assert _same(streamed, market.live_bars(spark, SF_SMOKE))
-
-
-def test_freshness_stream_drops_redelivered_ticks(spark):
-    """Every tick is delivered twice (a second file repeats the first); the
-    de-duplicated stream gives the batch freshness table."""
-    import time
-
-    from provisio.session import scratch_path
-    from provisio.sources.tables import read_table
+def test_streams_over_files_newest_first_and_delivered_twice(spark):
+    """Four files, newest first, one to a micro-batch, then every tick once
+    more: nothing is lost and nothing counts twice."""
     from provisio.queries import queries
+    from provisio.queries.q_streaming import newest_first
+    from provisio.sources.tables import read_table
 
     ev = read_table(spark, SF_SMOKE, "events")
-    src = scratch_path(spark, "ticks_twice")
-    ev.coalesce(1).write.mode("append").parquet(src)
-    time.sleep(1.1)
+    src = newest_first(ev, "ts", "ticks_test")
     ev.coalesce(1).write.mode("append").parquet(src)
-    assert spark.read.parquet(src).count() == 2 * ev.count()
-    streamed = ticks.freshness_from_stream(spark, SF_SMOKE, source=src)
-    batch = queries()["x2_quote_freshness"](spark, SF_SMOKE)
-    assert _same(streamed, batch)
+    assert len(spark.read.parquet(src).inputFiles()) == 5 and spark.read.parquet(src).count() == 2 * ev.count()
+    assert _same(ticks.ohlc_bars_stream(spark, SF_SMOKE, source=src, batch_bytes="1"), market.live_bars(spark, SF_SMOKE))
+    assert _same(ticks.freshness_from_stream(spark, SF_SMOKE, source=src, batch_bytes="1"),
+                 queries()["x2_quote_freshness"](spark, SF_SMOKE))
