@@ -29,7 +29,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import kept_fields, map_batches
 
@@ -131,18 +131,22 @@ def forward_backward(emit: np.ndarray, transitions: np.ndarray, start: np.ndarra
 
 
 def sample_texts(labelled: DataFrame, docs_per_language: int = SAMPLE_DOCS) -> list[tuple[str, str]]:
-    """(lang, text), bounded by languages x ``docs_per_language`` texts of
-    bounded length: the distinct texts with the smallest hashes."""
+    """(lang, text): each language's ``docs_per_language`` distinct texts with
+    the smallest hashes. A hash threshold from the number of distinct texts
+    lets about twice as many through, so what reaches the driver is bounded
+    by languages x 2 ``docs_per_language`` texts of bounded length, whatever
+    the size of a language or of a group of copies."""
     size = F.length("text")
     fit = labelled.where(F.col("lang").isNotNull() & size.between(*SAMPLE_CHARS)).select("lang", "text", F.xxhash64("text").alias("h"))
-    smallest = Window.partitionBy("lang").orderBy("h")
-    # copies collapse before the rank; the rank filter keeps a bounded head in every task
-    picked = fit.groupBy("lang", "h").agg(F.count(F.lit(1)).alias("copies")) \
-        .withColumn("place", F.row_number().over(smallest)).where(F.col("place") <= docs_per_language)
-    edges = picked.groupBy("lang").agg(F.max("h").alias("edge"))            # one row a language
-    rows = fit.join(F.broadcast(edges), "lang").where(F.col("h") <= F.col("edge")) \
+    per = fit.groupBy("lang").agg(F.approx_count_distinct("h").alias("texts"))            # one row a language
+    edges = per.select("lang", (F.least(F.lit(1.0), F.lit(2.0 * docs_per_language) / F.greatest("texts", F.lit(1)))
+                                * F.lit(2.0 ** 64) - F.lit(2.0 ** 63)).alias("edge"))
+    rows = fit.join(F.broadcast(edges), "lang").where(F.col("h").cast("double") <= F.col("edge")) \
         .groupBy("lang", "h").agg(F.min("text").alias("text")).collect()
-    return sorted((r["lang"], r["text"]) for r in rows)
+    smallest: dict[str, list[tuple[int, str]]] = {}
+    for r in rows:
+        smallest.setdefault(r["lang"], []).append((r["h"], r["text"]))
+    return sorted((lang, text) for lang, texts in smallest.items() for _, text in sorted(texts)[:docs_per_language])
 
 
 def words_of(text: str) -> list[str]:
