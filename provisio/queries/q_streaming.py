@@ -41,17 +41,17 @@ def newest_first(df: DataFrame, order: str, name: str, files: int = FEED_FILES)
 @register("x1_ohlc_bars_stream", REGISTRY["x1_ohlc_bars_batch"].sql)
 def x1_ohlc_bars_stream(spark, sf):
     feed = newest_first(read_table(spark, sf, "events"), "ts", "ticks_newest_first")
-    return ticks.ohlc_bars_stream(spark, sf, source=feed, batch_bytes="1")
+    return ticks.ohlc_bars_stream(spark, sf, source=feed, batch_bytes=1)
 
 
 @register("x2_freshness_stream", REGISTRY["x2_quote_freshness"].sql)
 def x2_freshness_stream(spark, sf):
     feed = newest_first(read_table(spark, sf, "events"), "ts", "ticks_newest_first")
-    return ticks.freshness_from_stream(spark, sf, source=feed, batch_bytes="1")
+    return ticks.freshness_from_stream(spark, sf, source=feed, batch_bytes=1)
 
 
 @register("x3_staging_stream", REGISTRY["j1_features_predictions_join"].sql)
 def x3_staging_stream(spark, sf):
     feed = newest_first(book_b.predictions(spark, sf), "loan_id", "predictions_newest_first")
-    st = ticks.staging_stream(spark, sf, source=feed, batch_bytes="1")
+    st = ticks.staging_stream(spark, sf, source=feed, batch_bytes=1)
     return st.select("loan_id", "stage", F.round("pd_12m", 9).alias("pd_12m"), F.round("ecl", 6).alias("ecl"))

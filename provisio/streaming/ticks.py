@@ -17,11 +17,11 @@ from ..session import scratch_path
 from ..sources.fixtures import company_id
 from ..sources.tables import land, read_table
 
-BATCH_BYTES = "1g"     # input bytes a micro-batch takes (at least one file)
+BATCH_BYTES = 1 << 30     # input bytes a micro-batch takes (at least one file)
 
 
 def tick_stream(spark: SparkSession, sf_dir: str, *, source: str | None = None,
-                glob: str = "events.parquet", batch_bytes: str = BATCH_BYTES) -> DataFrame:
+                glob: str = "events.parquet", batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """The events table as a file stream, from the test folder or from
     ``source`` (a folder of event files), ``batch_bytes`` at a time."""
     schema = read_table(spark, sf_dir, "events").schema
@@ -62,7 +62,7 @@ def merge_bars(partials: DataFrame) -> DataFrame:
         .select(company_id(F.col("user_id")).alias("company_id"), "ts", "open", "high", "low", "close")
 
 
-def ohlc_bars_stream(spark: SparkSession, sf_dir: str, *, source: str | None = None, batch_bytes: str = BATCH_BYTES) -> DataFrame:
+def ohlc_bars_stream(spark: SparkSession, sf_dir: str, *, source: str | None = None, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """X-1: daily OHLC bars from the tick stream: partial bars of each
     micro-batch, merged by one hash aggregate, so a busy ticker is not one task."""
     out = _run_batches(tick_stream(spark, sf_dir, source=source, batch_bytes=batch_bytes), "ohlc_partials", partial_bars)
@@ -76,7 +76,7 @@ def partial_quotes(ticks: DataFrame) -> DataFrame:
         F.max(order).alias("last_key"), F.max("ts").alias("last_ts"), F.max_by("value", order).alias("last_price"))
 
 
-def freshness_from_stream(spark: SparkSession, sf_dir: str, *, source: str | None = None, batch_bytes: str = BATCH_BYTES) -> DataFrame:
+def freshness_from_stream(spark: SparkSession, sf_dir: str, *, source: str | None = None, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """X-2: latest quote per company from the stream's merged partials and its
     age at the time of the newest tick in the feed."""
     from ..plans.market import latest_tick
@@ -88,7 +88,7 @@ def freshness_from_stream(spark: SparkSession, sf_dir: str, *, source: str | Non
                         latest_tick(spark, sf_dir))
 
 
-def staging_stream(spark: SparkSession, sf_dir: str, *, source: str | None = None, batch_bytes: str = BATCH_BYTES) -> DataFrame:
+def staging_stream(spark: SparkSession, sf_dir: str, *, source: str | None = None, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """X-3: predictions arrive as files; each micro-batch is joined to the
     static feature table (stream–static join, stateless) and staged with
     the same stage/ECL functions as the batch flow. The feature table is

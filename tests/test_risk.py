@@ -204,7 +204,7 @@ def test_logistic_matches_l2_objective(spark):
     from provisio.plans import models
 
     model, split = models.logistic_a(spark, SF_SMOKE)
-    train = split.where(~F.col("is_test")).select(*feat.A_MODEL_FEATURES, "default_flag").collect()
+    train = split.where(~F.col("is_test")).dropna(subset=feat.A_MODEL_FEATURES).select(*feat.A_MODEL_FEATURES, "default_flag").collect()
     X = np.array([[float(r[c]) for c in feat.A_MODEL_FEATURES] for r in train])
     y = np.array([float(r.default_flag) for r in train])
     A = np.hstack([X, np.ones((len(X), 1))])

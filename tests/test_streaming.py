@@ -32,6 +32,6 @@ def test_streams_over_files_newest_first_and_delivered_twice(spark):
     src = newest_first(ev, "ts", "ticks_test")
     ev.coalesce(1).write.mode("append").parquet(src)
     assert len(spark.read.parquet(src).inputFiles()) == 5 and spark.read.parquet(src).count() == 2 * ev.count()
-    assert _same(ticks.ohlc_bars_stream(spark, SF_SMOKE, source=src, batch_bytes="1"), market.live_bars(spark, SF_SMOKE))
-    assert _same(ticks.freshness_from_stream(spark, SF_SMOKE, source=src, batch_bytes="1"),
+    assert _same(ticks.ohlc_bars_stream(spark, SF_SMOKE, source=src, batch_bytes=1), market.live_bars(spark, SF_SMOKE))
+    assert _same(ticks.freshness_from_stream(spark, SF_SMOKE, source=src, batch_bytes=1),
                  queries()["x2_quote_freshness"](spark, SF_SMOKE))
