@@ -46,8 +46,8 @@ def emp_years(c: str | Column) -> Column:
     case-insensitive."""
     s = col_(c)
     expr = F.when(s.isNull() | (s == "n/a"), F.lit(None).cast("int"))
-    expr = expr.when(s.ilike("%10+%") | s.ilike("%10+ years%"), 10)
-    expr = expr.when(s.ilike("%< 1%") | s.ilike("%< 1 year%"), 0)
+    expr = expr.when(s.ilike("%10+%"), 10)
+    expr = expr.when(s.ilike("%< 1%"), 0)
     expr = expr.when(s.ilike("%1 year%"), 1)
     for n in range(2, 10):
         expr = expr.when(s.ilike(f"%{n} years%"), n)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, functions as F
 from .scalars import col_
 
 __all__ = ["round_half_away", "fmt_pct1", "fmt_pct2", "fmt_fixed", "fmt_signed_pct0", "fmt_thousands", "fmt_money",
-           "fill_template", "display_feature_name", "padded_id"]
+           "fill_text", "display_feature_name", "padded_id"]
 
 
 def round_half_away(x: Column, digits: int) -> Column:
@@ -58,11 +58,9 @@ def fmt_money(x: str | Column) -> Column:
             .otherwise(fmt_thousands(v)))
 
 
-def fill_template(prefix: str | Column, value_text: Column, suffix: str | Column) -> Column:
-    """C-18: template text with the formatted value filled in."""
-    p = F.lit(prefix) if isinstance(prefix, str) else prefix
-    s = F.lit(suffix) if isinstance(suffix, str) else suffix
-    return F.concat(p, value_text, s)
+def fill_text(template: str, value: Column) -> Column:
+    """C-18: a whole text with one ``%s``, filled in; NULL for a NULL value."""
+    return F.when(value.isNotNull(), F.format_string(template, value))
 
 
 def display_feature_name(name: str | Column) -> Column:

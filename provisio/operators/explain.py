@@ -15,7 +15,7 @@ from math import factorial
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import col_, sigmoid
-from ..functions.text import display_feature_name, fmt_fixed, fmt_pct1, fmt_pct2
+from ..functions.text import display_feature_name, fill_text, fmt_fixed, fmt_pct1, fmt_pct2
 from ..sources.tables import sample_n
 from .score import SME_INDUSTRIES, SME_NUMERIC, SME_PD_COEF, sme_logit_fixed
 from .stress import HIGH_PD
@@ -25,24 +25,24 @@ SME_FEATURES = SME_NUMERIC + [f"industry_{c}" for c in SME_INDUSTRIES]
 LINEAR_COEF = {**{k: SME_PD_COEF[k] for k in SME_NUMERIC}, **{f"industry_{c}": 0.0 for c in SME_INDUSTRIES}}
 
 # ---- fixed values: business insight rules, in matching order ----
-# key, name, threshold, risk test, value format, why-risk text (before, after
-# the value), why-safe text (before, after the value), benchmark
+# key, name, threshold, risk test, value format, why-risk text, why-safe text
+# (%s: the formatted value), benchmark
 INSIGHT_RULES = [
     ("cash_flow_volatility", "Cash Flow Volatility", 1.5, "above", "fixed2",
-     ("High volatility (", "x) signals instability in operating cash flows."),
-     ("Cash flow volatility (", "x) is healthy, indicating stable working capital."),
+     "High volatility (%sx) signals instability in operating cash flows.",
+     "Cash flow volatility (%sx) is healthy, indicating stable working capital.",
      "Benchmark: <1.5x"),
     ("debt_to_asset_ratio", "Debt-to-Asset Ratio", 0.60, "above", "pct1",
-     ("Elevated leverage (", ") implies limited buffer against asset devaluation."),
-     ("Leverage (", ") is conservative with strong equity buffer."),
+     "Elevated leverage (%s) implies limited buffer against asset devaluation.",
+     "Leverage (%s) is conservative with strong equity buffer.",
      "Threshold: 60%"),
     ("revenue_growth", "Revenue Growth", 0.0, "below", "pct1",
-     ("Negative growth (", ") indicates structural market share loss."),
-     ("Positive growth (", ") demonstrates market competitiveness."),
+     "Negative growth (%s) indicates structural market share loss.",
+     "Positive growth (%s) demonstrates market competitiveness.",
      "Sector Avg: 5-10%"),
     ("past_default", "Historical Default", 0.5, "above", "none",
-     ("Critical Red Flag: Prior credit events detected.", ""),
-     ("Clean credit history (No prior defaults).", ""),
+     "Critical Red Flag: Prior credit events detected.",
+     "Clean credit history (No prior defaults).",
      "Hard Stop"),
 ]
 RISK_LABEL, SAFE_LABEL = "⚠️ Risk", "✅ Safe"
@@ -207,11 +207,17 @@ def _rule_index(feature: Column) -> Column:
     return expr
 
 
-def _rule_attr(idx: Column, pos: int, part: int | None = None) -> Column:
+def _rule_attr(idx: Column, pos: int) -> Column:
     """Attribute ``pos`` of the rule at ``idx`` (NULL when no rule). A CASE
     chain, not ``element_at``: with ANSI on, ``element_at`` with a NULL index
     is typed non-nullable although it yields NULL."""
-    return _pick(idx, [F.lit(r[pos] if part is None else r[pos][part]) for r in INSIGHT_RULES])
+    return _pick(idx, [F.lit(r[pos]) for r in INSIGHT_RULES])
+
+
+def _rule_text(idx: Column, pos: int, value: Column) -> Column:
+    """Text ``pos`` of the rule at ``idx`` with the value in its rule's format."""
+    shown = {"fixed2": fmt_fixed(value, 2), "pct1": fmt_pct1(value)}
+    return _pick(idx, [fill_text(r[pos], shown[r[4]]) if r[4] in shown else F.lit(r[pos]) for r in INSIGHT_RULES])
 
 
 def _pick(idx: Column, values: list[Column]) -> Column:
@@ -230,10 +236,7 @@ def factor_row(x: Column, rank: Column | None = None) -> Column:
     risky = F.when(_rule_attr(idx, 3) == "below", val < threshold).otherwise(val > threshold)
     val_text = F.when(x["feature"].contains("growth") | x["feature"].contains("ratio"), fmt_pct1(val)) \
         .otherwise(fmt_fixed(val, 2))
-    filled = _pick(idx, [fmt_fixed(val, 2) if r[4] == "fixed2" else fmt_pct1(val) if r[4] == "pct1" else F.lit("")
-                         for r in INSIGHT_RULES])
-    risk_text = F.concat(_rule_attr(idx, 5, 0), filled, _rule_attr(idx, 5, 1))
-    safe_text = F.concat(_rule_attr(idx, 6, 0), filled, _rule_attr(idx, 6, 1))
+    risk_text, safe_text = _rule_text(idx, 5, val), _rule_text(idx, 6, val)
     c = x["contribution"]
     return F.struct(
         (rank if rank is not None else F.lit(None).cast("int")).alias("factor_rank"),

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import clip, col_, logit, sigmoid
-from ..functions.text import fmt_fixed, fmt_pct1
+from ..functions.text import fill_text, fmt_fixed, fmt_pct1
 
 # ---- fixed values: slider ranges (integers; divided afterwards, T-22) ----
 REV_SHOCK_PCT = (-50, 20, 5)        # revenue shock in percent: min, max, step
@@ -24,9 +24,9 @@ HIGH_PD = 0.2                       # recommendation / risk-level cut
 LEVERAGE_LIMIT = 0.6
 VOLATILITY_LIMIT = 1.5
 PAST_DEFAULT_LIMIT = 0.5
-TXT_REVENUE = ("Revenue is contracting (", ").")
-TXT_LEVERAGE = ("Leverage is critically high (", ").")
-TXT_VOLATILITY = ("Cash flow is highly volatile (", "x).")
+TXT_REVENUE = "Revenue is contracting (%s)."
+TXT_LEVERAGE = "Leverage is critically high (%s)."
+TXT_VOLATILITY = "Cash flow is highly volatile (%sx)."
 TXT_DEFAULT = "History of default detected."
 RISK_TITLE = "⚠️ Critical Risk Factor(s)"
 RISK_TAIL = " These factors significantly elevate the Probability of Default under stress."
@@ -77,10 +77,10 @@ def stressed_volatility(cfv: str | Column, shock_vol: str | Column) -> Column:
 def findings(str_rev: Column, dta: Column, str_vol: Column, past_default: Column) -> Column:
     """R-10: the list of triggered findings (array of text, in rule order)."""
     return F.array_compact(F.array(
-        F.when(str_rev < 0, F.concat(F.lit(TXT_REVENUE[0]), fmt_pct1(str_rev), F.lit(TXT_REVENUE[1]))),
-        F.when(dta > LEVERAGE_LIMIT, F.concat(F.lit(TXT_LEVERAGE[0]), fmt_pct1(dta), F.lit(TXT_LEVERAGE[1]))),
+        F.when(str_rev < 0, fill_text(TXT_REVENUE, fmt_pct1(str_rev))),
+        F.when(dta > LEVERAGE_LIMIT, fill_text(TXT_LEVERAGE, fmt_pct1(dta))),
         F.when(str_vol > VOLATILITY_LIMIT,
-               F.concat(F.lit(TXT_VOLATILITY[0]), fmt_fixed(str_vol, 2), F.lit(TXT_VOLATILITY[1]))),
+               fill_text(TXT_VOLATILITY, fmt_fixed(str_vol, 2))),
         F.when(past_default > PAST_DEFAULT_LIMIT, F.lit(TXT_DEFAULT)),
     ))
 

@@ -11,6 +11,7 @@ from . import register
 
 PD9 = 9
 
+# fixed values: stage texts
 STAGE_TEXT = """case stage when 1 then 'Stage 1: Performing'
                   when 2 then 'Stage 2: Significant Increase in Credit Risk'
                   when 3 then 'Stage 3: Defaulted' end"""

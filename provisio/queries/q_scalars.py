@@ -175,8 +175,8 @@ def c18_template_text(spark, sf):
     s = sme.scored(spark, sf)
     rule = explain.INSIGHT_RULES[0]
     v = tx.fmt_fixed("cash_flow_volatility", 2)
-    text = F.when(F.col("cash_flow_volatility") > rule[2], tx.fill_template(rule[5][0], v, rule[5][1])) \
-        .otherwise(tx.fill_template(rule[6][0], v, rule[6][1]))
+    text = F.when(F.col("cash_flow_volatility") > rule[2], tx.fill_text(rule[5], v)) \
+        .otherwise(tx.fill_text(rule[6], v))
     return s.select("company_id", text.alias("commentary"))
 
 

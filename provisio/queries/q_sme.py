@@ -260,6 +260,7 @@ def m18_stressed_metrics(spark, sf):
                     F.round("stressed_volatility", R9).alias("stressed_volatility"))
 
 
+# The texts in the two functions below are fixed values: findings, verdicts, memo lines.
 def _findings_sql() -> str:
     parts = [f"case when stressed_growth < 0 then 'Revenue is contracting (' || {pct1('stressed_growth')} || ').' end",
              f"case when debt_to_asset_ratio > 0.6 then 'Leverage is critically high (' || {pct1('debt_to_asset_ratio')} || ').' end",
