@@ -19,13 +19,14 @@ from provisio.session import checkpoint_dir
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
-# A document goes when it has no letter, or when no language holds this share of its words.
-MIN_LANGUAGE_SHARE = 0.5
+# A document goes when it has no letter, or when no language holds this share of
+# its words; a text that switches between two languages stays.
+MIN_LANGUAGE_SHARE = 0.4
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID (6): learns from this input's labelled documents that are
-    not held out; keeps documents whose language holds half of their words.
+    not held out; keeps documents one of whose languages holds enough words.
     Null and letterless texts go. If nothing can be learned, all go."""
     model = crf_language.fit(crf_language.sample_texts(docs.where(~crf_language.held_out(F.col("doc_id"))).select("lang", "text")))
     scored = crf_language.identify(docs, model, keep=COLUMNS)
