@@ -13,7 +13,7 @@ of sentences (leaves) in equal branches; ``edited_leaves`` locates the edit.
 
 ``fingerprint_edits`` needs each document's successor in doc_id order: ids are
 cut into blocks at quantiles that are ids themselves, each block is sorted in
-one task, and the documents at the cuts are also sent to the block before.
+a task of its own, and the documents at the cuts are also sent to the block before.
 The texts are shuffled once.
 
 Edge cases: a null text is empty and has a fingerprint like any other. Rows
@@ -126,8 +126,7 @@ def fingerprint_edits(docs: DataFrame, *, blocks: int | None = None) -> DataFram
     """Every document's fingerprint beside that of its edited text: the last
     half of its code points replaced by the first as many of its successor."""
     spark = docs.sparkSession
-    parts = shuffle_partitions(spark)
-    n = blocks or min(4 * parts, MAX_BLOCKS)
+    n = blocks or min(shuffle_partitions(spark), MAX_BLOCKS)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("body"))
     # quantiles are values of the column; one row of at most `n` numbers
     cuts = slim.agg(F.min("doc_id"), F.percentile_approx("doc_id", F.array(*[F.lit(i / n) for i in range(n)]), 10 * n)).first()
@@ -144,7 +143,7 @@ def fingerprint_edits(docs: DataFrame, *, blocks: int | None = None) -> DataFram
         F.when(at_start, F.struct(F.lit(last).alias("block"), F.lit(2).alias("role")))), lambda h: h.isNotNull())
     sent = tagged.select("doc_id", "body", F.xxhash64("body").alias("tie"), F.explode(homes).alias("home")) \
         .select("doc_id", "body", "tie", "home.block", "home.role")
-    ordered = sent.repartition(parts, "block").sortWithinPartitions("block", "role", F.col("doc_id").asc_nulls_first(), "tie")
+    ordered = sent.repartitionById(last + 1, F.col("block")).sortWithinPartitions("block", "role", F.col("doc_id").asc_nulls_first(), "tie")
 
     names = [f.split()[0] for f in RESULT.split(", ")]
 

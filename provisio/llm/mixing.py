@@ -8,7 +8,7 @@ it. A rerun or a lost task draws the same number. Documents are exploded by
 their count and dealt out globally by a second hash.
 
 DataFrame expressions only: one aggregate over sources, a join with its small
-result, an explode and one range shuffle.
+result, an explode and one shuffle into equal ranges of the second hash.
 
 Edge cases: a null source is a source of its own; a null or empty text counts
 as size 0 under ``size="chars"``, so a source of such texts only has an
@@ -86,5 +86,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, *, size: str =
            .withColumn("copy_no", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
            .withColumn("shuffle_key", F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
                                                         F.col("copy_no").cast("string")))))
-    return out.repartitionByRange(shuffle_partitions(docs.sparkSession), "shuffle_key").sortWithinPartitions("shuffle_key") \
-        .drop(name, steps, u)
+    # the key is uniform, so equal ranges of it are the partitions: no sampling pass
+    parts = shuffle_partitions(docs.sparkSession)
+    place = F.conv(F.substring("shuffle_key", 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32)) * F.lit(parts)
+    return out.drop(name, steps, u).repartitionById(parts, F.floor(place).cast("int")).sortWithinPartitions("shuffle_key")
