@@ -15,6 +15,8 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import sys
+from array import array
 
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
@@ -27,7 +29,7 @@ _IRREGULAR = (b"  ", b"\n\n", b" \n", b"\n ", b"\t", b"\r", b"\x0b", b"\x0c", b"
               b"\xe1\x9a\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
 _WIDE_SPACE = re.compile(rb"\xe2\x80[\x80-\x8a\xa8\xa9\xaf]")
 
-CACHE_ENTRIES = 150_000    # words kept per Python worker; a full cache starts anew
+CACHE_ENTRIES = 400_000    # words kept per Python worker; a full cache starts anew
 CACHE_WORD_BYTES = 64      # longer pieces are not kept
 _ENCODERS: dict[str, "Encoder"] = {}
 
@@ -77,9 +79,10 @@ class Encoder:
 
     def whole(self, text: bytes) -> bytes:
         """Ids of a text, without cuts."""
-        import numpy as np
-
-        return np.asarray(self._encode(text.decode("utf-8", "replace")), dtype="<u4").tobytes()
+        ids = array("I", self._encode(text.decode("utf-8", "replace")))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def pieces(self, text: bytes) -> list[bytes] | None:
         """The text cut at lone spaces and newlines (each piece begins with
