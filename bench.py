@@ -79,7 +79,7 @@ def main() -> None:
             _force(df)
 
     def tree_attributions():
-        _force(models.attributed_by_trees(spark, sf_dir, 2))
+        _force(models.attributed_by_trees(spark, sf_dir, 2, trees=20))
 
     def bars_stream():
         _force(ticks.ohlc_bars_stream(spark, sf_dir))
@@ -97,7 +97,7 @@ def main() -> None:
         "price_index_running_total": price_index,
         "flow_a_trained": trained_a,
         "flow_b_trained": trained_b,
-        "tree_attributions_bg2": tree_attributions,
+        "attributions_20_trees_bg2": tree_attributions,
         "ohlc_stream": bars_stream,
     }
     _force(book_a.raw(spark, sf_dir))     # warm-up: JVM, code generation, file listing
