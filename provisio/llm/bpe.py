@@ -29,7 +29,7 @@ _IRREGULAR = (b"  ", b"\n\n", b" \n", b"\n ", b"\t", b"\r", b"\x0b", b"\x0c", b"
               b"\xe1\x9a\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
 _WIDE_SPACE = re.compile(rb"\xe2\x80[\x80-\x8a\xa8\xa9\xaf]")
 
-CACHE_ENTRIES = 400_000    # words kept per Python worker; a full cache starts anew
+CACHE_ENTRIES = 200_000    # words kept per Python worker; a full cache starts anew
 CACHE_WORD_BYTES = 64      # longer pieces are not kept
 _ENCODERS: dict[str, "Encoder"] = {}
 
