@@ -36,7 +36,7 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Line de-duplication (10): later repeated runs are cut out of the texts;
     n_chars follows. Every row stays, also one whose text becomes empty."""
-    return line_dedup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    return line_dedup.dedup_runs(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

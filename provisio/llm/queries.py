@@ -76,7 +76,7 @@ def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its later repeated runs of lines."""
-    return line_dedup.dedup_lines(_documents(spark, sf_dir)).select("doc_id", "text", "removed_lines", "removed_runs")
+    return line_dedup.dedup_runs(_documents(spark, sf_dir)).select("doc_id", "text", "removed_lines", "removed_runs")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
