@@ -5,6 +5,10 @@ and broadcast; it has a fixed size. Its merge order equals its id order, so the
 same vocabulary drives the faster ``tiktoken`` encoder; tests compare both
 libraries' ids on whole texts.
 
+The file's added tokens (``<|endoftext|>``) are found first, anywhere in a text
+and the longest of those at one place; each is its one id, and the parts between
+are encoded by themselves, as ``tokenizers`` does.
+
 A single space (or newline) between two visible characters always begins a new
 pre-token, so a text is cut there and each piece's ids are cached as bytes.
 Texts with longer white-space runs or other Unicode spaces are encoded whole.
@@ -69,16 +73,33 @@ class Encoder:
         import tiktoken
 
         spec = json.loads(raw)
-        special = {t["content"] for t in spec.get("added_tokens", []) if t.get("special")}
+        added = {t["content"]: t["id"] for t in spec.get("added_tokens", []) if t["content"]}
+        for t in spec.get("added_tokens", []):
+            # the cuts at white space rely on added tokens without any, matched as they are
+            if t.get("lstrip") or t.get("rstrip") or t.get("single_word") or re.search(r"\s", t["content"]):
+                raise ValueError(f"added token {t['content']!r} takes white space or whole words only: not supported")
         byte_of = _byte_of_char()
         ranks = {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items()
-                 if token not in special}
+                 if token not in added}
         self._encode = tiktoken.Encoding("byte_bpe", pat_str=PRETOKEN_PATTERN, mergeable_ranks=ranks,
                                          special_tokens={}).encode_ordinary
         self._cache: dict[bytes, bytes] = {}
+        self._added = {content.encode(): i.to_bytes(4, "little") for content, i in added.items()}
+        longest_first = sorted(self._added, key=len, reverse=True)
+        self._marks = re.compile(b"(" + b"|".join(map(re.escape, longest_first)) + b")") if added else None
+
+    def _has_added(self, text: bytes) -> bool:
+        return any(mark in text for mark in self._added)
 
     def whole(self, text: bytes) -> bytes:
-        """Ids of a text, without cuts."""
+        """Ids of a text, without cuts but those at added tokens."""
+        if self._has_added(text):
+            parts = self._marks.split(text)
+            return b"".join(self._added[x] if i % 2 else self.encode(x) for i, x in enumerate(parts))
+        return self._plain(text)
+
+    def _plain(self, text: bytes) -> bytes:
+        """Ids of a text without added tokens."""
         ids = array("I", self._encode(text.decode("utf-8", "replace")))
         if sys.byteorder == "big":
             ids.byteswap()
@@ -86,9 +107,9 @@ class Encoder:
 
     def pieces(self, text: bytes) -> list[bytes] | None:
         """The text cut at lone spaces and newlines (each piece begins with
-        its separator), or None if the text has other white space."""
+        its separator), or None if the text has other white space or an added token."""
         if not text or text[:1] in b" \n" or text[-1:] in b" \n" or any(w in text for w in _IRREGULAR) \
-                or (b"\xe2\x80" in text and _WIDE_SPACE.search(text)):
+                or (b"\xe2\x80" in text and _WIDE_SPACE.search(text)) or self._has_added(text):
             return None
         return text.replace(b"\n", b" \n").split(b" ")
 
@@ -96,7 +117,7 @@ class Encoder:
         cut = self.pieces(text)
         if cut is None:
             return self.whole(text) if text else b""
-        return self.whole(cut[0]) + b"".join(self.of_pieces(cut[1:]))
+        return self._plain(cut[0]) + b"".join(self.of_pieces(cut[1:]))
 
     def of_pieces(self, cut: list[bytes]) -> list[bytes]:
         """Ids of pieces that follow a separator (a newline is kept in front
@@ -109,7 +130,7 @@ class Encoder:
                     piece = cut[i]
                     ids = cache.get(piece)
                     if ids is None:
-                        ids = self.whole(piece if piece[:1] == b"\n" else b" " + piece)
+                        ids = self._plain(piece if piece[:1] == b"\n" else b" " + piece)
                         if len(piece) <= CACHE_WORD_BYTES:
                             if len(cache) >= CACHE_ENTRIES:
                                 cache.clear()
