@@ -93,13 +93,16 @@ def gbt_sme(spark: SparkSession, sf_dir: str, **fit):
 
 def attributed_by_trees(spark: SparkSession, sf_dir: str, background_rows: int, **fit) -> DataFrame:
     """Companies scored by the trees (M-11) with their exact Shapley values
-    against ``background_rows`` companies (M-13) as the attribution array."""
+    against ``background_rows`` companies (M-13) as the attribution array; expected_pd is
+    the background's mean score, population_pd that of all companies."""
     from ..operators import explain
 
     model, split = gbt_sme(spark, sf_dir, **fit)
     scored = score.score_with_model(model, split, score.SME_MODEL_FEATURES, out="predicted_default_prob")
     shap = explain.shapley_for_model(split, model, explain.SME_PLAYERS, explain.model_background(split, "company_id", background_rows))
-    return _landed(scored.join(shap.withColumnRenamed("shapley", "attributions"), "company_id"), "attributed_by_trees")
+    population = scored.agg(F.avg("predicted_default_prob")).first()[0]
+    return _landed(scored.join(shap.withColumnRenamed("shapley", "attributions"), "company_id")
+                   .withColumn("population_pd", F.lit(population)), "attributed_by_trees")
 
 
 def evaluation_b(spark: SparkSession, sf_dir: str) -> DataFrame:

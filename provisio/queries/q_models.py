@@ -201,15 +201,15 @@ def flow_b_trained_reports(spark, sf):
 
 # Background companies of the tree attributions below; each company is scored
 # for 2^5 coalitions against every one of them.
-TREE_BACKGROUND = 10
+TREE_BACKGROUND = 100
 
 
-@register("m13_shapley_gbt_bg10", f"""
+@register("m13_shapley_gbt_bg100", f"""
 select company_id, unnest(['revenue_growth', 'debt_to_asset_ratio', 'cash_flow_volatility', 'past_default', 'industry']) as feature,
        true as sums_to_score, {TREE_BACKGROUND} as background_rows
 from sme_features
 """, ("sme_features",))
-def m13_shapley_gbt_bg10(spark, sf):
+def m13_shapley_gbt_bg100(spark, sf):
     """Exact Shapley values of the trained trees: they add up to the score
     less the background's mean score."""
     a = models.attributed_by_trees(spark, sf, TREE_BACKGROUND)
