@@ -98,6 +98,25 @@ def ticker_for(company: str | Column) -> Column:
     return F.coalesce(F.create_map(*items)[col_(company)], F.lit(DEFAULT_TICKER))
 
 
+def newest_ticks(ticks: DataFrame, key: str, *, ts: str = "ts") -> DataFrame:
+    """J-7: each key's newest tick, one aggregate of the scan. A key whose
+    ticks carry no time has none."""
+    return ticks.groupBy(key).agg(F.max(ts).alias("last_ts")).where(F.col("last_ts").isNotNull())
+
+
+def sources(entities: DataFrame, newest: DataFrame, key: str, *, as_of: Column, since: Column | None = None,
+            max_age_seconds: int = FRESHNESS_SECONDS) -> DataFrame:
+    """J-7 + F-8 + X-2: one row per entity with its newest tick, that tick's
+    age at ``as_of``, whether it is fresh, and whether the live feed is the
+    entity's source: its newest tick lies in the window from ``since`` on. An
+    entity that only ticked before the window falls back like one that never did."""
+    aged = freshness(newest, as_of, max_age_seconds=max_age_seconds)
+    inside = F.col("last_ts") >= since if since is not None else F.col("last_ts").isNotNull()
+    return (entities.join(aged, key, "left")
+            .withColumn("is_fresh", F.coalesce("is_fresh", F.lit(False)))
+            .withColumn("is_real", F.coalesce(inside, F.lit(False))))
+
+
 def live_else_fallback(live: DataFrame, fallback: DataFrame, key: str = "company_id") -> DataFrame:
     """J-7: keep a key's live rows when it has any, otherwise its fallback
     rows; ``is_real`` tells which. The anti join runs against the distinct

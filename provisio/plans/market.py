@@ -27,7 +27,23 @@ def as_of_day(spark: SparkSession, sf_dir: str) -> Column:
 
 
 def live_bars(spark: SparkSession, sf_dir: str, since: Column | None = None) -> DataFrame:
-    return fixtures.prices_live(spark, sf_dir, since)
+    return fixtures.prices_live(fixtures.feed(spark, sf_dir), since)
+
+
+def window_start(spark: SparkSession, sf_dir: str, months: int | None) -> Column | None:
+    """F-8: the first moment of the last ``months`` months before the report day."""
+    return None if months is None else mk.months_before(as_of_day(spark, sf_dir), months)
+
+
+def source_table(spark: SparkSession, sf_dir: str, months: int | None = mk.HISTORY_MONTHS, ticks: DataFrame | None = None) -> DataFrame:
+    """J-7: every company's newest tick, its age and freshness (X-2), and
+    whether its data come from the live feed, decided inside the window. One
+    aggregate of the feed; the companies join one row a user."""
+    ticks = fixtures.feed(spark, sf_dir) if ticks is None else ticks
+    companies = read_table(spark, sf_dir, "customer").select("c_custkey")
+    newest = mk.newest_ticks(ticks, "user_id").withColumnRenamed("user_id", "c_custkey")
+    found = mk.sources(companies, newest, "c_custkey", as_of=latest_tick(spark, sf_dir), since=window_start(spark, sf_dir, months))
+    return found.select(fixtures.company_id(F.col("c_custkey")).alias("company_id"), "last_ts", "age_seconds", "is_fresh", "is_real")
 
 
 def fallback_bars(spark: SparkSession, sf_dir: str, as_of: Column | None = None, without: DataFrame | None = None) -> DataFrame:
@@ -41,27 +57,30 @@ def fallback_bars(spark: SparkSession, sf_dir: str, as_of: Column | None = None,
     return idx.select("company_id", ts.alias("ts"), p.alias("open"), p.alias("high"), p.alias("low"), p.alias("close"))
 
 
-def prices(spark: SparkSession, sf_dir: str, months: int | None = None) -> DataFrame:
+def prices(spark: SparkSession, sf_dir: str, months: int | None = None, ticks: DataFrame | None = None) -> DataFrame:
     """J-7 over bars: live where available, simulated otherwise; with
-    ``months`` only the bars of that many months before the report day (F-8).
+    ``months`` only the bars of that many months before the report day (F-8),
+    and a company falls back if its feed is empty in that window.
 
-    ``events`` is scanned once for the bars (with the time bound in the scan)
-    and once for its user ids alone. Companies on the feed leave before the
-    simulated series is expanded, so only the others are computed.
+    The feed is scanned once for the bars and once for its users' newest ticks,
+    both with the time bound in the scan. Companies on the feed leave before
+    the simulated series is expanded, so only the others are computed.
     """
+    ticks = fixtures.feed(spark, sf_dir) if ticks is None else ticks
     as_of = as_of_day(spark, sf_dir)
     since = None if months is None else mk.months_before(as_of, months)
-    simulated = fallback_bars(spark, sf_dir, as_of, without=fixtures.live_users(spark, sf_dir))
+    simulated = fallback_bars(spark, sf_dir, as_of, without=fixtures.live_users(ticks, since))
     if since is not None:
         simulated = simulated.where(F.col("ts") >= since)
-    return live_bars(spark, sf_dir, since).withColumn("is_real", F.lit(True)) \
+    return fixtures.prices_live(ticks, since).withColumn("is_real", F.lit(True)) \
         .unionByName(simulated.withColumn("is_real", F.lit(False)))
 
 
-def financials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J-7 over statements: live items for live companies, the simulated
-    set (and ``<ticker> (Simulated)`` as name) for all others."""
-    live = fixtures.financials_live(spark, sf_dir)
+def financials(spark: SparkSession, sf_dir: str, months: int | None = mk.HISTORY_MONTHS, ticks: DataFrame | None = None) -> DataFrame:
+    """J-7 over statements: live items for companies whose feed is live in the
+    window, the simulated set (and ``<ticker> (Simulated)`` as name) for all others."""
+    ticks = fixtures.feed(spark, sf_dir) if ticks is None else ticks
+    live = fixtures.financials_live(spark, sf_dir, fixtures.live_users(ticks, window_start(spark, sf_dir, months)))
     companies = read_table(spark, sf_dir, "customer").select(fixtures.company_id(F.col("c_custkey")).alias("company_id"))
     m = mk.MOCK_FINANCIALS
     fallback = companies.select(
@@ -72,10 +91,10 @@ def financials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mk.live_else_fallback(live, fallback)
 
 
-def company_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return financials(spark, sf_dir).select("company_id", "name", "currency", "is_real")
+def company_info(spark: SparkSession, sf_dir: str, ticks: DataFrame | None = None) -> DataFrame:
+    return financials(spark, sf_dir, ticks=ticks).select("company_id", "name", "currency", "is_real")
 
 
-def price_trend(spark: SparkSession, sf_dir: str, months: int = mk.HISTORY_MONTHS) -> DataFrame:
+def price_trend(spark: SparkSession, sf_dir: str, months: int = mk.HISTORY_MONTHS, ticks: DataFrame | None = None) -> DataFrame:
     """R-15: (ts, close) per company over the last six months (F-8)."""
-    return prices(spark, sf_dir, months).select("company_id", "ts", "close", "is_real")
+    return prices(spark, sf_dir, months, ticks).select("company_id", "ts", "close", "is_real")

@@ -73,31 +73,80 @@ def j7_live_else_fallback(spark, sf):
 
 
 @register("f8_last_six_months", """
-select company_id, count(*) as n_points from prices_all, as_of
-where ts >= as_of - interval 6 month group by company_id
-""", ("prices_all", "as_of"))
+select company_id, count(*) as n_points from prices_6m group by company_id
+""", ("prices_6m",))
 def f8_last_six_months(spark, sf):
     r = pm.prices(spark, sf, months=mk.HISTORY_MONTHS)
     return r.groupBy("company_id").agg(F.count(F.lit(1)).alias("n_points"))
 
 
 @register("f8_last_month", f"""
-select company_id, ts, round(close, {R6}) as close, is_real from prices_all, as_of
-where ts >= as_of - interval 1 month
-""", ("prices_all", "as_of"))
+select company_id, ts, round(close, {R6}) as close, is_real from prices_1m
+""", ("prices_1m",))
 def f8_last_month(spark, sf):
     """A window that cuts live and simulated series."""
     return pm.prices(spark, sf, months=1).select("company_id", "ts", F.round("close", R6).alias("close"), "is_real")
 
 
 @register("r15_price_trend", f"""
-select company_id, ts, round(close, {R6}) as close, is_real from prices_all, as_of
-where ts >= as_of - interval 6 month
-""", ("prices_all", "as_of"))
+select company_id, ts, round(close, {R6}) as close, is_real from prices_6m
+""", ("prices_6m",))
 def r15_price_trend(spark, sf):
     return pm.price_trend(spark, sf).withColumn("close", F.round("close", R6))
 
 
+@register("j7_in_window", """
+select printf('HK_%05d', c_custkey) as company_id, last_ts, (epoch_us(a.now) - epoch_us(last_ts)) / 1e6 as age_seconds,
+       coalesce((epoch_us(a.now) - epoch_us(last_ts)) / 1e6 <= 3600, false) as is_fresh,
+       c_custkey in (select user_id from live_shifted) as is_real, p.n_points
+from customer left join (select user_id, max(ts) as last_ts from feed_shifted group by 1) on user_id = c_custkey
+     join (select company_id, count(*) as n_points from prices_shifted group by 1) p on p.company_id = printf('HK_%05d', c_custkey),
+     (select max(ts) as now from events) a
+""", ("prices_shifted", "feed_shifted", "live_shifted"))
+def j7_in_window(spark, sf):
+    """Every company's source over a feed with stale companies: those whose
+    last tick is older than the window fall back, and all have bars."""
+    ticks = fixtures.feed_shifted(spark, sf)
+    points = pm.prices(spark, sf, mk.HISTORY_MONTHS, ticks).groupBy("company_id", "is_real").agg(F.count(F.lit(1)).alias("n_points"))
+    return pm.source_table(spark, sf, ticks=ticks).join(points, ["company_id", "is_real"], "left")
+
+
+@register("f8_last_six_months_shifted", f"""
+select company_id, ts, round(open, {R6}) as open, round(high, {R6}) as high, round(low, {R6}) as low,
+       round(close, {R6}) as close, is_real
+from prices_shifted
+""", ("prices_shifted",))
+def f8_last_six_months_shifted(spark, sf):
+    """The window cuts live bars of companies that also tick inside it."""
+    p = pm.prices(spark, sf, mk.HISTORY_MONTHS, fixtures.feed_shifted(spark, sf))
+    return p.select("company_id", "ts", *[F.round(c, R6).alias(c) for c in ("open", "high", "low", "close")], "is_real")
+
+
+@register("r15_stale_company", f"""
+select company_id, ts, round(close, {R6}) as close from prices_shifted
+where company_id in (select printf('HK_%05d', user_id) from feed_shifted) and not is_real
+""", ("prices_shifted", "feed_shifted"))
+def r15_stale_company(spark, sf):
+    """The price trend of the companies that ticked, but not in the window."""
+    ticks = fixtures.feed_shifted(spark, sf)
+    stale = pm.source_table(spark, sf, ticks=ticks).where(F.col("last_ts").isNotNull() & ~F.col("is_real")).select("company_id")
+    return (pm.price_trend(spark, sf, ticks=ticks).where(~F.col("is_real")).join(stale, "company_id", "left_semi")
+            .select("company_id", "ts", F.round("close", R6).alias("close")))
+
+
+@register("j7_company_info_stale", """
+select printf('HK_%05d', c_custkey) as company_id, coalesce(l.name,
+       coalesce(case c_custkey when 0 then '700.HK' when 1 then '5.HK' when 2 then '1299.HK' when 3 then '3690.HK'
+                when 4 then '9988.HK' when 5 then '388.HK' end, '700.HK') || ' (Simulated)') as name,
+       'HKD' as currency, l.name is not null as is_real
+from customer left join (select c_custkey as k, c_name as name from customer where c_custkey in (select user_id from live_shifted)) l
+     on l.k = c_custkey
+""", ("live_shifted",))
+def j7_company_info_stale(spark, sf):
+    """Names and statements follow the same decision as the prices."""
+    return pm.company_info(spark, sf, fixtures.feed_shifted(spark, sf))
+
+
 def _money(col: str) -> str:
     from .layers import rnd
 

@@ -19,6 +19,7 @@ GROWTH_CUTOVER = "1998-05-01 00:00:00"
 SEGMENT_TO_INDUSTRY = {"AUTOMOBILE": "Manufacturing", "BUILDING": "Services", "MACHINERY": "Tech"}
 OTHER_INDUSTRY = "Retail"
 FALLBACK_STEPS = 90
+STALE_DAYS = 400
 
 
 def _orders_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,23 +142,38 @@ def sme_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feats.withColumn("true_label", F.when(F.col("_draw") < pd_true, 1).otherwise(0)).drop("_draw")
 
 
-def prices_live(spark: SparkSession, sf_dir: str, since: Column | None = None) -> DataFrame:
+def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live feed's ticks: every event that is no error."""
+    return read_table(spark, sf_dir, "events").where(F.col("event_type") != "error")
+
+
+def feed_shifted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed with stale companies: a third of the users ticked
+    ``STALE_DAYS`` earlier, another third has every second tick there."""
+    old = (F.col("user_id") % 3 == 0) | ((F.col("user_id") % 3 == 1) & (F.col("event_id") % 2 == 0))
+    return feed(spark, sf_dir).withColumn("ts", F.when(old, F.col("ts") - F.make_dt_interval(F.lit(STALE_DAYS))).otherwise(F.col("ts")))
+
+
+def prices_live(ticks: DataFrame, since: Column | None = None) -> DataFrame:
     """Daily OHLC bars of the live feed (batch form of X-1), of the days from
     ``since`` on. The bound is on the raw tick time, so the scan takes it;
     ticks are grouped by the integer user id and named last."""
     from ..operators.market import ohlc_bars
 
-    ticks = read_table(spark, sf_dir, "events").where(F.col("event_type") != "error")
     if since is not None:
         ticks = ticks.where(F.col("ts") >= since)
     bars = ohlc_bars(ticks, key=F.col("user_id"), ts="ts", price="value", tiebreak="event_id")
     return bars.withColumn("company_id", company_id(F.col("company_id")))
 
 
-def live_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer keys that are on the live feed, whenever they were."""
-    return (read_table(spark, sf_dir, "events").where(F.col("event_type") != "error")
-            .select(F.col("user_id").alias("c_custkey")).distinct())
+def live_users(ticks: DataFrame, since: Column | None = None) -> DataFrame:
+    """Customer keys whose newest tick lies in the window from ``since`` on
+    (with a tick at all, without it). The bound reaches the scan: a key's
+    newest tick is inside if any of its ticks is."""
+    from ..operators.market import newest_ticks
+
+    inside = ticks if since is None else ticks.where(F.col("ts") >= since)
+    return newest_ticks(inside, "user_id").select(F.col("user_id").alias("c_custkey"))
 
 
 def fallback_returns(spark: SparkSession, sf_dir: str, without: DataFrame | None = None) -> DataFrame:
@@ -178,10 +194,9 @@ def fallback_returns(spark: SparkSession, sf_dir: str, without: DataFrame | None
     )
 
 
-def financials_live(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Live financial statement items for companies that are on the live feed
-    (customers that are also event users)."""
-    users = live_users(spark, sf_dir)
+def financials_live(spark: SparkSession, sf_dir: str, users: DataFrame) -> DataFrame:
+    """Live financial statement items of the customers ``users`` (those whose
+    source is the live feed)."""
     orders = read_table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice", "o_orderstatus")
     customers = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
     live = customers.join(users, "c_custkey", "left_semi")
