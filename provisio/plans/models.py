@@ -18,6 +18,22 @@ def _landed(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(land(df, name=name))
 
 
+def written_once(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """The frame ``build`` makes, written to the shared folder the first time
+    ``key`` is asked for in this application, and read from there afterwards
+    (until ``clear_scratch`` removes it)."""
+    from ..session import scratch_paths
+
+    held = _WRITTEN.get((spark.sparkContext.applicationId, *key))
+    if held is None or held not in scratch_paths():
+        held = land(build(), name=key[0])
+        _WRITTEN[(spark.sparkContext.applicationId, *key)] = held
+    return spark.read.parquet(held)
+
+
+_WRITTEN: dict[tuple, str] = {}
+
+
 def split_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profile B scored rows with the seeded stratified split flag."""
     return score.stratified_split(book_b.scored(spark, sf_dir), key="loan_id", label="default_flag")
@@ -98,13 +114,29 @@ def attributed_by_trees(spark: SparkSession, sf_dir: str, background_rows: int,
     from ..operators import explain
 
     model, split = gbt_sme(spark, sf_dir, **fit)
+    # companies that share an id stay apart: a written row number is the key
+    split = _landed(split.withColumn("_company", F.monotonically_increasing_id()), "numbered_sme")
     scored = score.score_with_model(model, split, score.SME_MODEL_FEATURES, out="predicted_default_prob")
-    shap = explain.shapley_for_model(split, model, explain.SME_PLAYERS, explain.model_background(split, "company_id", background_rows))
+    shap = explain.shapley_for_model(split, model, explain.SME_PLAYERS, explain.model_background(split, "company_id", background_rows), key="_company")
     population = scored.agg(F.avg("predicted_default_prob")).first()[0]
-    return _landed(scored.join(shap.withColumnRenamed("shapley", "attributions"), "company_id")
+    return _landed(scored.join(shap.withColumnRenamed("shapley", "attributions"), "_company").drop("_company")
                    .withColumn("population_pd", F.lit(population)), "attributed_by_trees")
 
 
+def attributed_by_population(spark: SparkSession, sf_dir: str, **fit) -> DataFrame:
+    """Companies scored by the trees (M-11) with the exact Shapley values of
+    their log-odds against the whole population (M-13). The factor table, the
+    memo and the chart read this one written result (R-7, R-9, R-16)."""
+    from ..operators import explain, tree_shapley
+
+    def build() -> DataFrame:
+        model, split = gbt_sme(spark, sf_dir, **fit)
+        scored = score.score_with_model(model, split, score.SME_MODEL_FEATURES, out="predicted_default_prob")
+        return tree_shapley.shapley_over_population(scored, model, explain.SME_PLAYERS, out="attributions")
+
+    return written_once(spark, ("attributed_by_population", sf_dir, *sorted(fit.items())), build)
+
+
 def evaluation_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test rows of profile B with label, score and hard prediction."""
     return _evaluation(split_b(spark, sf_dir))

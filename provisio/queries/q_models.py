@@ -219,6 +219,27 @@ def m13_shapley_gbt_bg100(spark, sf):
         .select("company_id", "s.feature", "sums_to_score", "background_rows")
 
 
+@register("m13_shapley_gbt_population", """
+select company_id, unnest(['revenue_growth', 'debt_to_asset_ratio', 'cash_flow_volatility', 'past_default', 'industry']) as feature,
+       unnest([revenue_growth, debt_to_asset_ratio, cash_flow_volatility, past_default::double,
+               case industry when 'Manufacturing' then 1e0 when 'Retail' then 2e0 when 'Services' then 3e0 when 'Tech' then 4e0 else 0e0 end]) as value,
+       true as sums_to_score, true as balanced, count(*) over () as background_rows
+from sme_features
+""", ("sme_features",))
+def m13_shapley_gbt_population(spark, sf):
+    """Exact Shapley values of the trees' log-odds against all companies: with
+    the expected log-odds they add up to each score, and over the population
+    every feature's values add up to zero."""
+    a = models.attributed_by_population(spark, sf)
+    total = F.aggregate("attributions", F.col("expected_log_odds"), lambda acc, x: acc + x["contribution"])
+    ok = F.abs(F.lit(1.0) / (1 + F.exp(-total)) - F.col("predicted_default_prob")) < 1e-9
+    long = a.select("company_id", ok.alias("sums_to_score"), "background_rows", F.explode("attributions").alias("s"))
+    mean = F.avg("s.contribution").alias("mean")
+    balance = long.groupBy(F.col("s.feature").alias("feature")).agg(mean).select("feature", (F.abs("mean") < 1e-9).alias("balanced"))   # a row a feature
+    return long.select("company_id", "sums_to_score", "background_rows", "s.feature", "s.value").join(F.broadcast(balance), "feature") \
+        .select("company_id", "feature", "value", "sums_to_score", "balanced", "background_rows")
+
+
 @register("r7_factor_table_trees", """
 select company_id, true as top_three, true as only_ruled, true as ordered from sme_features
 """, ("sme_features",))
@@ -228,7 +249,7 @@ def r7_factor_table_trees(spark, sf):
     from ..operators import explain
     from ..plans import sme
 
-    a = models.attributed_by_trees(spark, sf, TREE_BACKGROUND)
+    a = models.attributed_by_population(spark, sf)
     ranked = a.select("company_id", F.explode("attributions").alias("x")).select("company_id", "x.*")
     place = F.row_number().over(Window.partitionBy("company_id").orderBy(F.abs("contribution").desc(), "feature_pos"))   # five rows a company
     keys = [r[0] for r in explain.INSIGHT_RULES]
@@ -250,7 +271,7 @@ def r9_memo_trees(spark, sf):
     from ..functions.text import fmt_pct2
     from ..plans import sme
 
-    a = models.attributed_by_trees(spark, sf, TREE_BACKGROUND)
+    a = models.attributed_by_population(spark, sf)
     memo = sme.memos(spark, sf, as_of="2000-01-01", attributions=a).join(sme.factor_tables(spark, sf, a), "company_id")
     return memo.select("company_id", F.contains("memo", F.concat(F.lit("Model Prediction (PD): "), fmt_pct2(F.col("predicted_default_prob")))).alias("has_pd"),
                        F.forall("factors", lambda f: F.contains(F.col("memo"), f["commentary"])).alias("has_factors"))
@@ -263,7 +284,7 @@ def r16_chart_trees(spark, sf):
     """R-16 on the trees: one bar per player, ascending, coloured by sign."""
     from ..operators import explain
 
-    a = models.attributed_by_trees(spark, sf, TREE_BACKGROUND).select("company_id", explain.chart_rows("attributions").alias("bars"))
+    a = models.attributed_by_population(spark, sf).select("company_id", explain.chart_rows("attributions").alias("bars"))
     height = F.transform("bars", lambda b: b["contribution"])
     return a.select("company_id", F.size("bars").alias("n"), (height == F.array_sort(height)).alias("ascending"),
                     F.forall("bars", lambda b: (b["colour"] == explain.RISK_COLOUR) == (b["contribution"] > 0)).alias("coloured")) \

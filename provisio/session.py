@@ -71,6 +71,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def scratch_paths() -> frozenset[str]:
+    """The tables this process wrote under :func:`scratch_path` and still keeps."""
+    return frozenset(_SCRATCH)
+
+
 def clear_scratch(spark: SparkSession) -> int:
     """Remove the tables this process wrote under :func:`scratch_path`; call it
     when no frame that reads them is needed any more. Returns how many there were."""
