@@ -177,13 +177,17 @@ def bin_by_range_join(df: DataFrame, value: str, bins: DataFrame, *, out: str, n
     chains) or ``(lo, hi]`` (``>`` chains). A NULL value matches no range and
     takes ``null_label``, the bin the CASE chain falls through to.
 
-    One path: the bounds cut the number line into cells of about equally many
-    bins; every bin is listed under the cells it touches and every value looks
-    up its own cell, so the range test is the residual of an equi-join. The
-    join is a broadcast only if the listed bins pass a size check.
+    A bin table that passes a size check is broadcast: the bounds cut the
+    number line into cells, every bin is listed under the cells it touches and
+    every value looks up its own cell, so the range test is the residual of an
+    equi-join and the wide rows stay where they are. A larger table is merged
+    with the values in sorted order (:func:`bin_by_sorted_merge`); the result
+    is the same.
     """
-    from .sizing import checked_broadcast
+    from .sizing import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast
 
+    if bins.limit(DEFAULT_MAX_BROADCAST_ROWS + 1).count() > DEFAULT_MAX_BROADCAST_ROWS:
+        return bin_by_sorted_merge(df, value, bins, out=out, null_label=null_label, inclusive_lo=inclusive_lo)
     bound = F.coalesce("lo", "hi")
     # at most CELLS numbers: quantiles of the bounds
     cuts = bins.agg(F.percentile_approx(bound.cast("double"), F.array(*[F.lit(i / BIN_CELLS) for i in range(BIN_CELLS)]), 10_000)).first()[0]
@@ -204,3 +208,31 @@ def bin_by_range_join(df: DataFrame, value: str, bins: DataFrame, *, out: str, n
     joined = valued.join(b, (F.col("_value_cell") == F.col("_cell")) & inside, "left")
     label = F.when(v.isNull(), F.lit(null_label)).otherwise(F.col("_bin_label"))
     return joined.select(*df.columns, label.alias(out))
+
+
+def bin_by_sorted_merge(df: DataFrame, value: str, bins: DataFrame, *, out: str, null_label: str, inclusive_lo: bool = True,
+                        num_partitions: int | None = None) -> DataFrame:
+    """J-9 for a bin table of any size: bins and values are range-partitioned
+    together by position, sorted, and every value takes the last bin that opened
+    before it, carried over partition edges, if that bin still holds it. Equal
+    values are spread by a hash of their row, so neither a hot value nor the
+    number of bins in one place decides a task's size."""
+    from .ordered import carry_forward
+
+    own = df.columns
+    names = {c: f"_v{i}" for i, c in enumerate(own)}           # helper names never clash with the caller's
+    v = F.col(names[value])
+    # at one place [lo, hi) opens before its values, (lo, hi] after them
+    opens, holds = (0, 1) if inclusive_lo else (1, 0)
+    values = df.select(*[F.col(f"`{c}`").alias(a) for c, a in names.items()]) \
+        .select("*", F.when(v.isNull(), 0).otherwise(1).alias("_at"), v.cast("double").alias("_place"), F.lit(holds).alias("_kind"),
+                F.xxhash64(*names.values()).alias("_tie"))
+    starts = bins.select(F.when(F.col("lo").isNull(), 0).otherwise(1).alias("_at"), F.col("lo").cast("double").alias("_place"),
+                         F.lit(opens).alias("_kind"), F.lit(0).cast("long").alias("_tie"), F.lit(True).alias("_bin"),
+                         F.col("label").alias("_label"), F.col("hi").cast("double").alias("_hi"))
+    merged = carry_forward(values.unionByName(starts, allowMissingColumns=True), ["_at", "_place", "_kind", "_tie"],
+                           ["_label", "_hi"], F.col("_bin"), prefix="_open", num_partitions=num_partitions)
+    place, hi = F.col("_place"), F.col("_open_hi")
+    inside = hi.isNull() | ((place < hi) if inclusive_lo else (place <= hi))
+    label = F.when(v.isNull(), F.lit(null_label)).when(inside, F.col("_open_label"))
+    return merged.where(F.col("_bin").isNull()).select(*[F.col(a).alias(c) for c, a in names.items()], label.alias(out))

@@ -15,6 +15,8 @@ the same running totals and ranks with range partitioning instead:
    broadcast.
 
 The ranged frame is checkpointed so both passes read one materialised copy.
+:func:`carry_forward` fills forward by the same plan, for merges of sorted
+sides (range joins, as-of joins).
 Plain row numbers (no groups, no weights) skip the pandas pass: the
 position inside each sorted partition comes from
 ``monotonically_increasing_id``.
@@ -143,6 +145,70 @@ def row_number_global(df: DataFrame, order_by: Sequence[str], *, partition_by: S
         .drop("_rn_id", "_rn_pid", "_rn_off")
 
 
+def carry_forward(df: DataFrame, order_by: Sequence[str], carry: Sequence[str], marked: Column, *,
+                  prefix: str = "carried_", num_partitions: int | None = None) -> DataFrame:
+    """Every row of ``df`` with the ``carry`` columns of the last ``marked`` row
+    at or before it in ``order_by`` order (NULL before the first).
+
+    The frame is range-partitioned on the order, so end it with a tie-breaker
+    that spreads hot values. A pass over each sorted partition fills forward;
+    what is open at a partition's end, one row a partition, is carried over its
+    edge. Every column travels through the range shuffle: pass slim frames.
+    """
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    held = [f"_cf_{i}" for i in range(len(carry))]
+    ranged = (df.withColumn("_cf_mark", F.coalesce(marked, F.lit(False)))
+              .repartitionByRange(parts, *order_by).sortWithinPartitions(*order_by))
+    schema = T.StructType([*ranged.schema.fields, *[T.StructField(h, df.schema[c].dataType) for h, c in zip(held, carry)],
+                           T.StructField("_cf_seen", T.BooleanType()), T.StructField("_cf_last", T.BooleanType()),
+                           T.StructField(_PID, T.IntegerType())])
+    names, sources = [f.name for f in schema.fields], list(carry)
+
+    def fill(batches):
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        pid, open_row, waiting = TaskContext.get().partitionId(), None, None
+
+        def finished(columns, last):
+            n = len(columns[0])
+            flag = np.zeros(n, dtype=bool)
+            flag[-1] = last
+            return pa.RecordBatch.from_arrays([*columns, pa.array(flag), pa.array(np.full(n, pid, dtype=np.int32))], names=names)
+
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
+                continue
+            mark = np.asarray(batch.column(batch.schema.get_field_index("_cf_mark")).to_numpy(zero_copy_only=False), dtype=bool)
+            at = np.maximum.accumulate(np.where(mark, np.arange(n), -1))
+            filled = []
+            for i, name in enumerate(sources):
+                own = batch.column(batch.schema.get_field_index(name))
+                before = open_row[i] if open_row is not None else pa.nulls(1, own.type)
+                filled.append(pa.concat_arrays([before, own]).take(pa.array(at + 1)))
+            seen = (at >= 0) | (open_row is not None)
+            if mark.any():
+                open_row = [f.slice(n - 1, 1) for f in filled]
+            if waiting is not None:
+                yield finished(waiting, False)
+            waiting = [*batch.columns, *filled, pa.array(seen)]
+        if waiting is not None:
+            yield finished(waiting, True)
+
+    local = ranged.mapInArrow(fill, schema).checkpoint(eager=True)
+    state = F.when(F.col("_cf_seen"), F.struct(*held))
+    earlier = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)       # one row per partition
+    edges = (local.where("_cf_last").select(F.col(_PID).alias("_cf_pid"), F.last(state, ignorenulls=True).over(earlier).alias("_cf_edge"))
+             .where(F.col("_cf_edge").isNotNull()))
+    joined = local.join(F.broadcast(edges), ~F.col("_cf_seen") & (F.col(_PID) == F.col("_cf_pid")), "left")
+    return joined.select(*df.columns, *[F.when(F.col("_cf_seen"), F.col(h)).otherwise(F.col(f"_cf_edge.{h}")).alias(prefix + c)
+                                        for h, c in zip(held, carry)])
+
+
 # A median's search range is cut into this many buckets at a time, until the
 # bucket that holds the middle has at most MEDIAN_ROWS rows (or one value).
 MEDIAN_BUCKETS = 4096

@@ -311,3 +311,18 @@ def j9_bins_range_join(spark, sf):
     bins = feat.bins_table(spark, feat.A_FICO_BINS, name="fico_a", otherwise=feat.A_FICO_TOP, op="<")
     return feat.bin_by_range_join(book_a.raw(spark, sf).select("loan_id", "fico_score"), "fico_score", bins,
                                   out="fico_category", null_label=feat.A_FICO_TOP).select("loan_id", "fico_category")
+
+
+@register("j9_sorted_merge", """
+select l_orderkey, l_linenumber, l_extendedprice, b.label as price_band
+from lineitem left join (select distinct floor(o_totalprice * 4) / 4 as lo, 'band ' || cast(cast(floor(o_totalprice * 4) as bigint) as varchar) as label
+                         from orders) b on b.lo = floor(l_extendedprice * 4) / 4
+""")
+def j9_sorted_merge(spark, sf):
+    """J-9 with bins from the data: a quarter-wide band for every order price
+    (gaps between them), as many bins as there are distinct prices."""
+    quarter = F.floor(F.col("o_totalprice") * 4)
+    bins = tables.read_table(spark, sf, "orders").select(
+        F.concat(F.lit("band "), quarter.cast("string")).alias("label"), (quarter / 4).alias("lo"), ((quarter + 1) / 4).alias("hi")).distinct()
+    prices = tables.read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return feat.bin_by_sorted_merge(prices, "l_extendedprice", bins, out="price_band", null_label="none")

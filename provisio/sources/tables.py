@@ -42,36 +42,37 @@ def _first_n(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     """The first ``n`` rows in the order of the ``order`` columns (ascending,
     NULLs first), ties broken by a hash of the whole row.
 
-    Only the order columns and the hash are ranked (range-partitioned, no
-    one-task merge); the n-th tuple is the cut. Rows before it are kept by a
-    narrow NULL-safe filter. Rows equal to it agree in every column, so any of
-    them fill up to exactly ``n``.
+    The order columns are written once (nothing is shuffled) and the n-th
+    tuple is found by counting (:mod:`provisio.operators.selection`). Rows
+    before it are kept by a narrow NULL-safe filter. Only if rows tie with it,
+    those rows' hashes are selected from in the same way; rows that agree in
+    the hash too agree in every column, so any of them fill up to exactly ``n``.
     """
-    from ..operators.ordered import row_number_global
+    from ..operators.selection import before_and_at, nth
 
     if n <= 0:
         return df.limit(0)
-    keyed = df.withColumn("_first_tie", F.xxhash64(*df.columns))
-    keys = [*order, "_first_tie"]
-    ranked = row_number_global(keyed.select(*keys), keys, out="_first_rn")
-    cut = ranked.where(F.col("_first_rn") == n).select(*keys).first()       # one row
+    spark = df.sparkSession
+    keys = spark.read.parquet(land(df.select(*order), name="order-keys"))
+    cut = nth(keys, order, n)
     if cut is None:                      # fewer than n rows: keep all
         return df
-    types = {f.name: f.dataType for f in keyed.schema.fields}
-    before, same = F.lit(False), F.lit(True)
-    for k in keys:
-        c, v = F.col(k), F.lit(cut[k]).cast(types[k])
-        less = F.lit(False) if cut[k] is None else c.isNull() | (c < v)
-        before, same = before | (same & less), same & c.eqNullSafe(v)
-    n_before = ranked.where(before).count()
-    return keyed.where(before).unionByName(keyed.where(same).limit(n - n_before)).drop("_first_tie")
+    before, same = before_and_at(df, order, cut.values)
+    if cut.before + cut.at <= n:
+        return df.where(before | same)
+    tied = df.where(same).withColumn("_first_tie", F.xxhash64(*df.columns))
+    ties = spark.read.parquet(land(tied.select("_first_tie"), name="order-ties"))
+    last = nth(ties, ["_first_tie"], n - cut.before)
+    sooner, equal = before_and_at(tied, ["_first_tie"], last.values)
+    fill = tied.where(equal).limit(n - cut.before - last.before)
+    return df.where(before).unionByName(tied.where(sooner).drop("_first_tie")).unionByName(fill.drop("_first_tie"))
 
 
 def head_n(df: DataFrame, order_key: str | Sequence[str], n: int) -> DataFrame:
     """S-2: the first ``n`` rows in key order ("first chunk" of a file).
     A bare ``limit`` has no defined order on a distributed scan; the key, then
-    a hash of the row, make it reproducible. One path for every ``n``: a
-    distributed rank of the keys and a narrow filter."""
+    a hash of the row, make it reproducible. One path for every ``n``: the cut
+    is found by counting, and a narrow filter keeps what lies before it."""
     return _first_n(df, [order_key] if isinstance(order_key, str) else list(order_key), n)
 
 
