@@ -1,5 +1,10 @@
 """Streaming forms give the batch results."""
 
+import os
+from datetime import datetime, timedelta
+
+from pyspark.sql import functions as F
+
 from conftest import SF_SMOKE
 from provisio.plans import book_b, market
 from provisio.streaming import ticks
@@ -22,16 +27,93 @@ def test_staging_stream_equals_batch(spark):
 
 
 def test_streams_over_files_newest_first_and_delivered_twice(spark):
-    """Four files, newest first, one to a micro-batch, then every tick once
-    more: nothing is lost and nothing counts twice."""
+    """Four arrivals, newest first, then every tick once more: nothing is lost
+    and nothing counts twice."""
     from provisio.queries import queries
-    from provisio.queries.q_streaming import newest_first
+    from provisio.queries.q_streaming import empty_feed, newest_first
     from provisio.sources.tables import read_table
 
     ev = read_table(spark, SF_SMOKE, "events")
-    src = newest_first(ev, "ts", "ticks_test")
-    ev.coalesce(1).write.mode("append").parquet(src)
-    assert len(spark.read.parquet(src).inputFiles()) == 5 and spark.read.parquet(src).count() == 2 * ev.count()
-    assert _same(ticks.ohlc_bars_stream(spark, SF_SMOKE, source=src, batch_bytes=1), market.live_bars(spark, SF_SMOKE))
-    assert _same(ticks.freshness_from_stream(spark, SF_SMOKE, source=src, batch_bytes=1),
-                 queries()["x2_quote_freshness"](spark, SF_SMOKE))
+    for run, batch in ((ticks.ohlc_bars_stream, market.live_bars), (ticks.freshness_from_stream, queries()["x2_quote_freshness"])):
+        src = empty_feed(ev, "ticks_test")
+        got = run(spark, SF_SMOKE, source=src, arrivals=newest_first(ev, "ts", src, again=True))
+        assert spark.read.parquet(src).count() == 2 * ev.count()
+        assert _same(got, batch(spark, SF_SMOKE))
+
+
+def test_rows_without_an_order_value_arrive_with_the_oldest(spark):
+    from provisio.queries.q_streaming import empty_feed, newest_first
+
+    df = spark.range(1000).select("id", F.when(F.col("id") % 10 == 0, None).otherwise(F.timestamp_seconds(F.col("id"))).cast("timestamp_ntz").alias("ts"))
+    src = empty_feed(df, "null_ts")
+    counts = []
+    for _ in newest_first(df, "ts", src):
+        counts.append(spark.read.parquet(src).count())
+    assert counts[-1] == 1000 and spark.read.parquet(src).where("ts is null").count() == 100
+    assert counts == sorted(counts) and counts[0] < 400
+
+
+def _files(path):
+    return [os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")]
+
+
+def test_a_hundred_batches_leave_a_bounded_number_of_files(spark):
+    from provisio.session import scratch_path
+    from provisio.sources.tables import read_table
+
+    ev = read_table(spark, SF_SMOKE, "events").where("event_id % 5 = 0")
+    table = ticks.bars_table(scratch_path(spark, "bounded"))
+    days = ev.where("event_type <> 'error'").select(F.date_trunc("day", "ts")).distinct().count()
+    for n in range(100):
+        table.upsert(ticks.partial_bars(ev.where(F.pmod(F.xxhash64("event_id"), F.lit(100)) == n)), n)
+    schema = ticks.partial_bars(ev.limit(0)).schema
+    assert len(_files(table.path.removeprefix("file:"))) <= 2 * days
+    got = table.read(spark, schema)
+    assert _same(got, ticks.partial_bars(ev))
+
+
+def test_a_retried_batch_counts_once(spark):
+    from provisio.session import scratch_path
+    from provisio.streaming.merged import MergedTable
+
+    total = lambda rows: rows.groupBy("k").agg(F.sum("n").alias("n"))
+    table = MergedTable(scratch_path(spark, "retried"), F.col("k") % 3, total)
+    schema = "k long, n long"
+    for batch in (0, 1, 1, 2, 2):                     # not idempotent by itself: a sum
+        table.upsert(spark.createDataFrame([(k, 10 ** batch) for k in range(6)], schema), batch)
+    table.upsert(spark.createDataFrame([(0, 1000), (None, 5)], schema), 3)
+    got = {r.k: r.n for r in table.read(spark, spark.createDataFrame([], schema).schema).collect()}
+    assert got == {0: 1111, 1: 111, 2: 111, 3: 111, 4: 111, 5: 111, None: 5}
+
+
+def test_predictions_are_upserted_by_version(spark):
+    preds = book_b.predictions(spark, SF_SMOKE).limit(50)
+    first = preds.collect()
+    rows = [(r.loan_id, 0.1, 0.2, "v1.2") for r in first] + [(r.loan_id, 0.3, 0.4, "v1.10") for r in first] * 2 + [(r.loan_id, 0.9, 0.9, "odd") for r in first]
+    batch = spark.createDataFrame(rows, "loan_id string, pd_12m double, pd_lifetime double, model_version string")
+    got = ticks.latest_predictions(batch.select("loan_id", "pd_12m", "pd_lifetime", ticks.version_order("model_version").alias("version_no"), F.lit(0).cast("long").alias("arrived")))
+    assert {(r.pd_12m, r.pd_lifetime, r.version_no) for r in got.collect()} == {(0.3, 0.4, 1_000_010)} and got.count() == 50
+
+
+def test_source_switches_by_hand(spark):
+    """Stale after 3,600 s and not a microsecond before; repeats count once; a
+    company that ticks again is live again."""
+    from provisio.streaming import sources
+
+    t = lambda s, us=0: datetime(2024, 1, 1) + timedelta(seconds=s, microseconds=us)
+    rows = [(1, 7, t(0), 1.0), (2, 7, t(3600), 2.0), (2, 7, t(3600), 2.0), (3, 7, t(7200, 1), 3.0), (4, 8, t(10), 9.0), (5, 8, None, 1.0), (6, None, t(5), 1.0)]
+    feed = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz, value double")
+    changes = sources.changes_batch(feed)
+    got = sorted((r.company_id, r.changed_at, r.is_live, r.price, r.n_ticks) for r in changes.collect())
+    assert got == [("HK_00007", t(0), True, 1.0, 0), ("HK_00007", t(7200), False, 2.0, 2), ("HK_00007", t(7200, 1), True, 3.0, 0),
+                   ("HK_00007", t(10800, 1), False, 3.0, 1), ("HK_00008", t(10), True, 9.0, 0), ("HK_00008", t(3610), False, 9.0, 1)]
+    at = lambda when: {r.company_id: r.is_live for r in sources.source_at(changes, F.lit(str(when)).cast("timestamp_ntz")).collect()}
+    assert at(t(7200)) == {"HK_00007": True, "HK_00008": False} and at(t(3610)) == {"HK_00007": True, "HK_00008": True}
+
+
+def test_stateful_stream_equals_batch_with_late_and_repeated_ticks(spark):
+    from provisio.queries import queries
+    from provisio.sources import fixtures
+    from provisio.streaming import sources
+
+    assert _same(queries()["x2_source_changes_stream"](spark, SF_SMOKE), sources.changes_batch(fixtures.feed(spark, SF_SMOKE)))
