@@ -8,9 +8,8 @@ gives each word's label probabilities; a document's language is the one with
 the largest share of its words, and that share is the score.
 
 The classifier is fitted on the driver on a bounded sample of training
-documents: ``SAMPLE_DOCS`` distinct texts a language, those of
-``SAMPLE_CHARS[0]`` to ``SAMPLE_CHARS[1]`` code points with the smallest text
-hashes. Half of them make the lexicon, the other half are cut into stretches
+documents: ``SAMPLE_DOCS`` distinct texts a language with the smallest text
+hashes, of ``SAMPLE_CHARS`` code points where there are enough of those. Half of them make the lexicon, the other half are cut into stretches
 and strung together into chains that switch language, from which the weights
 and transitions are learned. Every document is then scored over its whole text.
 
@@ -35,7 +34,7 @@ from .common import kept_fields, map_batches
 
 HOLD_OUT = (4, 2)                # crc32(doc_id) mod 4 = 2 is held out
 SAMPLE_DOCS = 160                # distinct training texts a language
-SAMPLE_CHARS = (40, 8000)        # their lengths; a text is used whole
+SAMPLE_CHARS = (40, 8000)        # preferred lengths; such a text is used whole
 HASH_BITS = 16                   # n-gram weights: 2^16 a language
 GRAMS = (1, 2, 3, 4)
 LEXICON_FLOOR = 2                # a word counts in the lexicon from this often on
@@ -132,21 +131,29 @@ def forward_backward(emit: np.ndarray, transitions: np.ndarray, start: np.ndarra
 
 def sample_texts(labelled: DataFrame, docs_per_language: int = SAMPLE_DOCS) -> list[tuple[str, str]]:
     """(lang, text): each language's ``docs_per_language`` distinct texts with
-    the smallest hashes. A hash threshold from the number of distinct texts
-    lets about twice as many through, so what reaches the driver is bounded
-    by languages x 2 ``docs_per_language`` texts of bounded length, whatever
-    the size of a language or of a group of copies."""
+    the smallest hashes, first of those of ``SAMPLE_CHARS`` code points, then,
+    where a language has too few of them, of its other texts (of a longer one a
+    stretch of that many from its middle, for the fit alone). Hash thresholds
+    from the numbers of distinct texts let about twice as many through, so what
+    reaches the driver is bounded by languages x 4 ``docs_per_language`` texts
+    of bounded length, whatever the size of a language or of a group of copies."""
+    least, most = SAMPLE_CHARS
     size = F.length("text")
-    fit = labelled.where(F.col("lang").isNotNull() & size.between(*SAMPLE_CHARS)).select("lang", "text", F.xxhash64("text").alias("h"))
-    per = fit.groupBy("lang").agg(F.approx_count_distinct("h").alias("texts"))            # one row a language
-    edges = per.select("lang", (F.least(F.lit(1.0), F.lit(2.0 * docs_per_language) / F.greatest("texts", F.lit(1)))
-                                * F.lit(2.0 ** 64) - F.lit(2.0 ** 63)).alias("edge"))
-    rows = fit.join(F.broadcast(edges), "lang").where(F.col("h").cast("double") <= F.col("edge")) \
-        .groupBy("lang", "h").agg(F.min("text").alias("text")).collect()
-    smallest: dict[str, list[tuple[int, str]]] = {}
+    stretch = F.substr(F.col("text"), F.greatest(F.floor((size - most) / 2).cast("int") + 1, F.lit(1)), F.lit(most))
+    fit = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
+        "lang", F.when(size.between(least, most), 0).otherwise(1).alias("tier"), F.xxhash64("text").alias("h"), stretch.alias("text"))
+    per = fit.groupBy("lang").agg(F.approx_count_distinct(F.when(F.col("tier") == 0, F.col("h"))).alias("own"),
+                                  F.approx_count_distinct(F.when(F.col("tier") == 1, F.col("h"))).alias("others"))   # one row a language
+    wanted = F.array(F.lit(2.0 * docs_per_language), F.greatest(F.lit(0.0), 2.0 * (docs_per_language - 0.8 * F.col("own"))))
+    edges = per.select("lang", F.posexplode(F.arrays_zip(wanted.alias("wanted"), F.array("own", "others").alias("texts"))).alias("tier", "of")) \
+        .select("lang", "tier", (F.least(F.lit(1.0), F.col("of.wanted") / F.greatest("of.texts", F.lit(1))) * F.lit(2.0 ** 64)
+                                 - F.lit(2.0 ** 63)).alias("edge"), F.col("of.wanted").alias("wanted"))
+    rows = fit.join(F.broadcast(edges), ["lang", "tier"]).where((F.col("wanted") > 0) & (F.col("h").cast("double") <= F.col("edge"))) \
+        .groupBy("lang", "tier", "h").agg(F.min("text").alias("text")).collect()
+    smallest: dict[str, list[tuple[int, int, str]]] = {}
     for r in rows:
-        smallest.setdefault(r["lang"], []).append((r["h"], r["text"]))
-    return sorted((lang, text) for lang, texts in smallest.items() for _, text in sorted(texts)[:docs_per_language])
+        smallest.setdefault(r["lang"], []).append((r["tier"], r["h"], r["text"]))
+    return sorted((lang, text) for lang, texts in smallest.items() for _, _, text in sorted(texts)[:docs_per_language])
 
 
 def words_of(text: str) -> list[str]:

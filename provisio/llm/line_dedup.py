@@ -14,11 +14,14 @@ stretch of ``RUN_WORDS`` words that is equal to an earlier one. Blank lines
 between two deleted neighbours go with them.
 ``dedup_lines`` takes both sizes and windows from line starts only.
 
-1. Selected hashes are counted over all documents; those seen once drop out
-   with their windows.
-2. Of the windows left, the first place of each content is its smallest
-   (doc_id, text hash, line); every other place joins that one place. A common
-   passage is never paired with itself.
+1. The places of equal fingerprints are counted over all documents. A
+   fingerprint is the selected hash together with the digest of its window: the
+   hash alone is no proof for a short line (``}`` stands in many contexts, and
+   its first place need not be the first place of the run around it).
+2. The first place of a fingerprint is its smallest (doc_id, text hash, line);
+   every other place joins that one place. A common passage is never paired
+   with itself, and a passage that a third of all documents share is joined
+   through a broadcast of the at most ``HOT_PLACES`` hottest fingerprints.
 3. A match is extended both ways over neighbouring lines as long as the window
    there has an earlier place too; the union is the maximal repeated run.
 4. Later runs are deleted; the first place stays. Inside one document a run
@@ -29,7 +32,8 @@ Blank lines are not part of runs; those inside a deleted run go with it.
 Edge cases: a null text stays null, an empty text stays empty, a text whose
 lines are all repeats becomes empty (the row stays). Lines compare without
 outer white space. Rows with the same doc_id and text are one document: they
-lose the same lines. Null doc_ids come first. An empty table gives no rows.
+lose the same lines. Null doc_ids come first, ties go by the text's hash. A
+very long text, or one of very many lines, is one row of one task. An empty table gives no rows.
 Extra columns are carried along; columns of the result's names are replaced.
 """
 
@@ -45,6 +49,7 @@ from .common import ASCII_SPACE, fresh, land, map_batches, utf8
 MIN_LINES = 3
 MIN_WORDS = 50
 NO_LINES = 1 << 31  # no number of lines alone makes a run
+HOT_PLACES = 1000
 RUN_WORDS = 5       # noise floor of dedup_runs: shorter repeats ("Yes.", "}", "Read more") stay
 
 
@@ -135,17 +140,20 @@ def repeated_runs(docs: DataFrame, *, min_lines: int = MIN_LINES, min_words: int
                   both_ways: bool = False) -> DataFrame:
     """doc_id, tie, runs: the maximal later repeats (first line, end line)."""
     checkpoint_dir(docs.sparkSession)
-    picked = land(selected_windows(docs, min_lines=min_lines, min_words=min_words, both_ways=both_ways).distinct(), "line-windows") \
-        .select("doc_id", "tie", F.explode("picks").alias("pick")).select("doc_id", "tie", "pick.*")
-    # within a document a hash counts once for each window, so inner repeats count too
-    repeated = picked.groupBy("hash").agg(F.sum(F.size("windows")).alias("places")).where(F.col("places") > 1).select("hash")
-    places = (picked.join(repeated, "hash", "left_semi")
-              .select("doc_id", "tie", F.explode("windows").alias("w")).select("doc_id", "tie", "w.*"))
+    picked = land(selected_windows(docs, min_lines=min_lines, min_words=min_words, both_ways=both_ways).distinct(), "line-windows")
+    places = (picked.select("doc_id", "tie", F.explode("picks").alias("pick")).select("doc_id", "tie", "pick.*")
+              .select("doc_id", "tie", "hash", F.explode("windows").alias("w")).select("doc_id", "tie", "hash", "w.*"))
     place = F.struct("doc_id", "tie", "first", "stop")
-    firsts = (places.groupBy("content").agg(F.min(place).alias("origin"), F.count(F.lit(1)).alias("places"))
-              .where(F.col("places") > 1).select("content", "origin"))
+    firsts = land(places.groupBy("hash", "content").agg(F.min(place).alias("origin"), F.count(F.lit(1)).alias("places"))
+                  .where(F.col("places") > 1), "first-places")
+    # fingerprints with over 1 / HOT_PLACES of all repeats, so at most HOT_PLACES, are broadcast: no key is hot in the join
+    total = firsts.agg(F.coalesce(F.sum("places"), F.lit(0))).first()[0]
+    is_hot = F.col("places") > total / HOT_PLACES
+    hot, other = firsts.where(is_hot).drop("places"), firsts.where(~is_hot).drop("places")
+    key = ["hash", "content"]
+    joined = places.join(F.broadcast(hot), key).unionByName(places.join(F.broadcast(hot.select(*key)), key, "left_anti").join(other, key))
     same_doc = F.col("doc_id").eqNullSafe(F.col("origin.doc_id")) & (F.col("tie") == F.col("origin.tie"))
-    later = places.join(firsts, "content").where(~same_doc | (F.col("first") >= F.col("origin.stop")))
+    later = joined.where(~same_doc | (F.col("first") >= F.col("origin.stop")))
     return (later.groupBy("doc_id", "tie").agg(F.collect_set(F.struct("first", "stop")).alias("spans"))
             .select("doc_id", "tie", _merged(F.col("spans")).alias("runs")))
 

@@ -85,3 +85,21 @@ def test_small_caches_give_the_same_labels(documents, monkeypatch):
     monkeypatch.setattr(crf, "BLOCK_WORDS", 200)
     for a, b in zip(whole, crf.Labeller(model).marginals(words)):
         assert np.allclose(a, b)
+
+
+def test_languages_of_only_long_or_only_short_texts_are_learned(spark):
+    import random
+
+    rng = random.Random(6)
+    vocabulary = {"aa": ["alpha", "above", "after", "again"], "bb": ["bubble", "bobbin", "baby", "bib"], "cc": ["cocci", "cacao", "civic", "cynic"]}
+    sizes = {"aa": 3000, "bb": 200, "cc": 4}            # words: all longer than the preferred texts, inside, all shorter
+    rows = []
+    for lang, words in vocabulary.items():
+        for i in range(60):
+            rows.append((len(rows), " ".join(rng.choice(words) + str(rng.randrange(9)) * (rng.random() < 0.2) for _ in range(sizes[lang])), lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in crf.train_and_identify(docs).collect()}
+    wrong = sum(got[i] != lang for i, _, lang in rows)
+    assert wrong <= 3
+    sample = crf.sample_texts(docs.select("lang", "text"))
+    assert {lang for lang, _ in sample} == set(vocabulary) and max(len(t) for _, t in sample) <= crf.SAMPLE_CHARS[1]

@@ -61,7 +61,28 @@ def test_weights_set_the_shares(spark):
 
 @pytest.mark.parametrize("rate", [0.2, 3.7, 900.0])
 def test_steps_are_the_poisson_distribution(spark, rate):
-    steps = spark.range(1).select(mixing.poisson_steps(F.lit(rate)).alias("s")).first().s
+    row = mixing.poisson_steps(spark.createDataFrame([("s", rate)], "source string, rate double")).first()
+    steps = [0.0] * row.least + row.steps
     k = np.arange(len(steps))
     log_p = k * math.log(rate) - rate - np.array([math.lgamma(x + 1) for x in k])
     assert np.allclose(steps, np.cumsum(np.exp(log_p)), atol=1e-9) and steps[-1] > 1 - 1e-9
+
+
+def test_a_rate_of_a_million_takes_seconds(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    rates = spark.createDataFrame([("big", 1_000_000.0), ("mid", 5000.5), ("one", 1.0), ("none", 0.0), (None, 0.3)], "source string, rate double")
+    start = time.time()
+    steps = {r.source: (r.least, r.steps) for r in mixing.poisson_steps(rates).collect()}
+    assert time.time() - start < 20
+    for name, rate in (("big", 1_000_000.0), ("mid", 5000.5)):
+        least, cdf = steps[name]
+        assert cdf == sorted(cdf) and abs(cdf[-1] - 1) < 1e-6 and len(cdf) < 25 * rate ** 0.5 + 100
+        mean = least + sum(1 - c for c in cdf)
+        assert abs(mean - rate) < 1e-3 * rate ** 0.5
+    assert steps["none"][0] == 0 and steps["none"][1][0] == 1.0
+    assert abs(steps["one"][1][0] - 0.36787944117144233) < 1e-14
+    docs = spark.range(4).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), F.lit("s").alias("source"))
+    assert abs(mixing.mix(docs, total=100_000.0).count() / 400_000 - 1) < 0.01

@@ -12,7 +12,6 @@ from tokenizers import Tokenizer
 from provisio.llm import bpe, pack
 
 LIBRARY = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-LIBRARY.encode_special_tokens = True
 with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as f:
     ENCODER = bpe.encoder_of(f.read())
 

@@ -5,7 +5,7 @@ from collections import Counter
 import corpus_pipeline as cp
 import pytest
 
-from llm import test_line_dedup, test_mixing, test_pack, test_simhash
+from llm import test_line_runs, test_mixing, test_pack, test_simhash
 from llm.conftest import SMOKE
 
 
@@ -40,7 +40,7 @@ def test_line_stage(spark, stages):
 
     before, after = stages["line dedup"]
     tied = spark.createDataFrame(before).withColumn("tie", F.xxhash64("text")).collect()
-    want = test_line_dedup.brute([(r.doc_id, r.tie, r.text) for r in tied])
+    want = test_line_runs.brute([(r.doc_id, r.tie, r.text) for r in tied])
     text = {d: t for (d, _), t in want.items()}
     assert len(after) == len(before)
     assert all(r.text == text[r.doc_id] and r.n_chars == len(r.text) for r in after)
@@ -66,7 +66,19 @@ def test_packing_stage(stages):
 
 def test_run_equals_the_stages_and_edge_rows_pass_through(spark, stages, edge, empty):
     assert Counter(map(tuple, cp.run(spark, SMOKE).collect())) == Counter(map(tuple, stages["packing"][1]))
-    for docs in (edge, empty):
-        for name, stage in cp.STAGES:
-            docs = stage(spark, docs, SMOKE)
-        assert docs.count() >= 0
+    from pyspark.sql import functions as F
+
+    kept = edge
+    for name, stage in cp.STAGES[:3]:
+        kept = stage(spark, kept, SMOKE)
+    ids = [r.doc_id for r in kept.collect()]
+    assert 6 in ids and not {3, 4, 5, 9} & set(ids)          # the very long text stays; null, empty and letterless texts go
+    assert ids.count(1) == 1                                 # of the repeated row one stays
+    mixed = cp.mix_sources(spark, kept, SMOKE)
+    assert {r.doc_id for r in mixed.collect()} <= set(ids)
+    pieces = cp.pack_sequences(spark, mixed, SMOKE)
+    per = pieces.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end"))
+    assert per.where("n > 1024 or n <> end").count() == 0 and pieces.count() >= len({r.doc_id for r in mixed.collect()})
+    for name, stage in cp.STAGES:
+        empty = stage(spark, empty, SMOKE)
+    assert empty.count() == 0

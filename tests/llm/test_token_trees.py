@@ -11,7 +11,6 @@ from provisio.llm.queries import QUERIES
 from llm.conftest import SMOKE
 
 LIBRARY = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-LIBRARY.encode_special_tokens = True
 with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as f:
     ENCODER = bpe.encoder_of(f.read())
 
