@@ -63,7 +63,7 @@ _GEAR = np.random.default_rng(42).integers(0, 1 << 32, 256, dtype=np.uint32)
 Summary = tuple[int, int, bool, bool]      # word ends inside, code points, begins in white space, ends in a word
 
 
-def cut_candidates(data: bytes) -> np.ndarray:
+def cut_candidates(data: bytes, bits: int = CHUNK_BITS) -> np.ndarray:
     """Places behind which the rolling hash asks for a cut. The hash of a place
     is the sum of its last ``WINDOW`` bytes' numbers, each shifted by its
     distance; doubling the window five times builds it for all places at once."""
@@ -73,7 +73,7 @@ def cut_candidates(data: bytes) -> np.ndarray:
         wider = value.copy()
         wider[width:] += value[:-width] << np.uint32(width)
         value, width = wider, 2 * width
-    return np.flatnonzero(value >> np.uint32(32 - CHUNK_BITS) == 0) + 1
+    return np.flatnonzero(value >> np.uint32(32 - bits) == 0) + 1
 
 
 def chunks(data: bytes) -> list[int]:

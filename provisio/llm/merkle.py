@@ -3,8 +3,10 @@
 A text is a tree: document, sections, paragraphs, sentences. Paragraphs are
 lines. A section ends at a blank line or after a paragraph whose hash is a
 multiple of ``SECTION_EVERY`` (cut by content, so an inserted line moves no
-other section). Sentences end after ``.``, ``!`` or ``?`` and a space. Each
-node hashes its children, so equal roots mean equal texts. The fingerprint
+other section). Sentences end after ``.``, ``!`` or ``?`` and a space; one of
+more than ``LEAF_BYTES`` bytes (a line without full stops, a script without
+spaces) is cut into several leaves where a rolling hash of its bytes says so, so
+an edit changes the leaves around it only. Each node hashes its children, so equal roots mean equal texts. The fingerprint
 string holds the root, then every section's paragraphs' sentence hashes.
 
 Two fingerprints are compared from the root down: equal branches count whole
@@ -32,10 +34,14 @@ from math import isqrt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import map_batches, shuffle_partitions, utf8
+from .fim import cut_candidates
 
 SECTION_EVERY = 4
 ROOT_BYTES, LEAF_HEX = 16, 8
 MAX_BLOCKS = 20_000      # cuts are literals of the plan; a block is only streamed, so its size is free
+LEAF_BYTES = 192         # a longer sentence is cut by content, into leaves of at least LEAF_LEAST bytes
+LEAF_LEAST = 48
+_LEAF_BITS = 6           # behind one byte in 2^6
 _SENTENCE = re.compile(r"(?<=[.!?]) ")
 
 
@@ -43,12 +49,27 @@ def _digest(data: bytes) -> bytes:
     return hashlib.blake2b(data, digest_size=ROOT_BYTES).digest()
 
 
+def leaves_of(line: str) -> list[bytes]:
+    """The leaf hashes of a line: its sentences, long ones cut by content."""
+    out = []
+    for sentence in _SENTENCE.split(line):
+        data = sentence.encode("utf-8", "surrogatepass")
+        last = 0
+        if len(data) > LEAF_BYTES:
+            for end in cut_candidates(data, _LEAF_BITS).tolist():
+                if end - last >= LEAF_LEAST and end < len(data):
+                    out.append(_digest(data[last:end]))
+                    last = end
+        out.append(_digest(data[last:]))
+    return out
+
+
 def tree(text: str) -> tuple[bytes, list[list[list[bytes]]]]:
     """(root, sections of paragraphs of sentence hashes)."""
     sections: list[list[list[bytes]]] = [[]]
     nodes: list[list[bytes]] = [[]]
     for line in text.split("\n"):
-        leaves = [_digest(s.encode("utf-8", "surrogatepass")) for s in _SENTENCE.split(line)]
+        leaves = leaves_of(line)
         paragraph = _digest(b"p" + b"".join(leaves))
         sections[-1].append(leaves)
         nodes[-1].append(paragraph)

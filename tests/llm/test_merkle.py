@@ -61,3 +61,17 @@ def test_likeness_and_edit_place():
 def test_equal_roots_only_for_equal_texts():
     texts = ["", " ", "\n", "a", "a\n", "a. b", "a.\nb", "a\n\nb", "a.  b", "a. b\n"]
     assert len({merkle.fingerprint(t).split(":")[0] for t in texts}) == len(texts)
+
+
+def test_a_line_without_full_stops_is_cut_by_content():
+    rng = random.Random(8)
+    words = [" ".join(rng.choice("abcdefgh") * rng.randrange(1, 6) + str(rng.randrange(999)) for _ in range(400)) for _ in range(3)]
+    for a, b in zip(words, words[1:]):
+        half = len(a) // 2
+        near = merkle.likeness(merkle.fingerprint(a), merkle.fingerprint(a[:len(a) - half] + b[:half]))
+        assert 0.35 < near < 0.65
+        assert merkle.likeness(merkle.fingerprint(a), merkle.fingerprint(b)) < 0.05
+    script = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(2000))
+    assert merkle.likeness(merkle.fingerprint(script), merkle.fingerprint(script[:900] + "x" + script[901:])) > 0.85
+    inserted = merkle.likeness(merkle.fingerprint(words[0]), merkle.fingerprint(words[0][:700] + " put in " + words[0][700:]))
+    assert inserted > 0.8
