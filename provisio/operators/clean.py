@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.scalars import (dti_from_text, emp_years, fico_midpoint, lenient_real,
                                  pct_to_fraction, term_months)
-from .ordered import exact_median
 from .sizing import checked_broadcast
 
 # ---- fixed values: known-outcome statuses (profile B filter) ----
@@ -126,12 +125,13 @@ def clean_loans_b(landing: DataFrame, *, income_mode: str = "strict") -> DataFra
 def loader_a(landing: DataFrame, *, sample: int | None = None, seed: int = 42) -> DataFrame:
     """Loader A over a landing-zone frame → ``raw_loans`` columns.
 
-    Medians (C-14) are exact and computed over the whole input (A-8); each is
-    one scalar. The upstream plan runs once: its slim columns are written to
+    Medians (C-14) are exact and computed over the whole input (A-8), two scans
+    for income and amount and two for the debt that follows from the income. The upstream plan runs once: its slim columns are written to
     the shared folder. The branches on column
     presence (P-11, P-23) follow the source file's schema.
     """
     from ..sources.tables import land, sample_n
+    from .quantiles import medians
 
     src = sample_n(landing, "id", sample, seed) if sample else landing
     cols = set(src.columns)
@@ -153,7 +153,8 @@ def loader_a(landing: DataFrame, *, sample: int | None = None, seed: int = 42) -
         F.col("_loan_id").alias("loan_id"), _numeric(flagged, "annual_inc").alias("_inc"), debt_source.alias("_debt"),
         fico.alias("_fico"), _numeric(flagged, "loan_amnt").alias("_amt"), F.col("_flag").alias("default_flag")), name="loader_a")
     slim = landing.sparkSession.read.parquet(slim_path)
-    income = F.coalesce(F.col("_inc"), F.lit(_median_scalar(slim, "_inc")).cast("double"))
+    known = medians(slim, ["_inc", "_amt"])
+    income = F.coalesce(F.col("_inc"), F.lit(known["_inc"]).cast("double"))
     if "dti" in cols:
         debt = F.col("_debt") / 100.0 * income
     else:
@@ -161,9 +162,9 @@ def loader_a(landing: DataFrame, *, sample: int | None = None, seed: int = 42) -
     step = slim.select("*", income.alias("income"), debt.alias("_debt_raw"))
     out = step.select(
         "loan_id", "income",
-        F.coalesce(F.col("_debt_raw"), F.lit(_median_scalar(step, "_debt_raw")).cast("double")).alias("total_debt"),
+        F.coalesce(F.col("_debt_raw"), F.lit(medians(step, ["_debt_raw"])["_debt_raw"]).cast("double")).alias("total_debt"),
         "_fico",
-        F.coalesce(F.col("_amt"), F.lit(_median_scalar(slim, "_amt")).cast("double")).alias("loan_amount"),
+        F.coalesce(F.col("_amt"), F.lit(known["_amt"]).cast("double")).alias("loan_amount"),
         "default_flag",
     )
     valid = (F.col("income") > 0) & (F.col("loan_amount") > 0) & (F.col("_fico") >= FICO_MIN) & (F.col("_fico") <= FICO_MAX)
@@ -171,8 +172,3 @@ def loader_a(landing: DataFrame, *, sample: int | None = None, seed: int = 42) -
         "loan_id", "income", "total_debt",
         F.floor("_fico").cast("int").alias("fico_score"),   # truncation (values are positive)
         "loan_amount", "default_flag")
-
-
-def _median_scalar(df: DataFrame, column: str):
-    """A-8 as one driver-side scalar (used as a fill value)."""
-    return exact_median(df, column).first()[0]

@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalars import col_
-from .ordered import row_number_global
 
 # ---- fixed values: monitoring parameters ----
 N_DECILES = 10
@@ -19,16 +18,36 @@ PR_THRESHOLDS = (0.02, 0.05, 0.1, 0.2, 0.5)
 
 
 def deciles(df: DataFrame, score: str, key: str, *, n: int = N_DECILES, out: str = "decile") -> DataFrame:
-    """``ntile(n) over (order by score, key)`` via a distributed row number:
-    bucket sizes differ by at most one, the first buckets are the larger."""
-    ranked = row_number_global(df, [score, key], out="_rn")
-    total = ranked.agg(F.max("_rn")).first()[0] or 0
-    q, rem = divmod(total, n)
-    r = F.col("_rn")
-    big = rem * (q + 1)
-    bucket = F.when(r <= big, F.floor((r - 1) / (q + 1)) + 1) \
-        .otherwise(F.lit(rem) + F.floor((r - big - 1) / max(q, 1)) + 1)
-    return ranked.withColumn(out, bucket.cast("int")).drop("_rn")
+    """``ntile(n) over (order by score, key)`` without a sort: bucket sizes
+    differ by at most one, the first buckets are the larger. The scores at the
+    n - 1 cuts come from two scans (:mod:`.quantiles`); only where a cut falls
+    between rows of one score, that score's keys are counted too. Rows get
+    their bucket by a narrow comparison. NULL scores come first, NaN last."""
+    from ..sources.tables import land
+    from .quantiles import exact_ranks
+    from .selection import before_and_at, nth
+
+    spark, s = df.sparkSession, F.col(score)
+    stored = spark.read.parquet(land(df.select(score, key), name="scores"))
+    rows, nulls, values = stored.agg(F.count(F.lit(1)), F.count_if(s.isNull()),
+                                     F.count_if(s.isNotNull() & ~F.isnan(s.cast("double")))).first()
+    q, rem = divmod(rows, n)
+    cuts = [i * q + min(i, rem) for i in range(1, n)]
+    found = exact_ranks(stored, {score: [c - nulls for c in cuts]}, {score: values})[score]
+    bucket = F.lit(1)
+    for cut in cuts:
+        if cut == 0:                                         # fewer rows than buckets: none lies before
+            bucket = bucket + 1
+            continue
+        rank = found.get(cut - nulls)
+        if rank is not None and rank.before + rank.at == cut - nulls:
+            before, same = before_and_at(df, [score], (rank.value,))
+        else:                                                # the cut is inside the rows of one score
+            tied, place = ((stored.where(s == rank.value), cut - nulls - rank.before) if rank is not None
+                           else (stored.where(s.isNull()), cut) if cut <= nulls else (stored.where(F.isnan(s.cast("double"))), cut - nulls - values))
+            before, same = before_and_at(df, [score, key], nth(tied, [score, key], place).values)
+        bucket = bucket + F.when(before | same, 0).otherwise(1)
+    return df.withColumn(out, bucket.cast("int"))
 
 
 def calibration_table(df: DataFrame, score: str, label: str, key: str) -> DataFrame:

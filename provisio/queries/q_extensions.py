@@ -3,7 +3,7 @@ documentation (E-1 … E-11)."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..operators import evaluate, features as feat, monitoring as mon, score, stress
 from ..plans import book_a, book_b, sme
@@ -175,6 +175,108 @@ def e7_backtest_report(spark, sf):
     return r.select("class", "support", fine.alias("in_range"))
 
 
+def _dated_a(spark, sf):
+    """Profile A's encoded loans with their year of origination."""
+    from ..sources import fixtures
+
+    dated = fixtures.raw_loans(spark, sf, with_dates=True)
+    enc = feat.encode_a(feat.features_a(dated))
+    return enc.join(dated.select("loan_id", F.date_format("origination_date", "yyyy").alias("period")), "loan_id")
+
+
+def rolling_scores(spark, sf):
+    """The rolling back-test's scores, written once: every loan from the second
+    year on, scored by the model of its year's fold; with the folds' coefficients."""
+    from ..operators import backtest
+    from ..sources.tables import land
+
+    df = spark.read.parquet(land(_dated_a(spark, sf), name="dated_loans"))
+    cuts = backtest.periods_of(df, "period", 1000)[1:]
+    beta = backtest.fit_folds(df, feat.A_MODEL_FEATURES, "default_flag", "period", cuts)
+    scored = backtest.score_folds(df, beta, feat.A_MODEL_FEATURES, "period", cuts).withColumn("yhat", evaluate.hard_prediction("pd"))
+    return spark.read.parquet(land(scored.select("loan_id", "cut", "default_flag", "pd", "yhat"), name="rolling_scores")), df, cuts, beta
+
+
+@register("e7_rolling_backtest", """
+with t as (select cast(year(o.o_orderdate) as varchar) as period, f.default_flag as y
+           from features_a f join orders o on f.loan_id = printf('LOAN_%06d', o.o_orderkey + 1)
+           where f.dti_ratio is not null and f.loan_to_income_ratio is not null),
+c as (select distinct period as cut from t where period > (select min(period) from t))
+select cut, (select count(*) from t where period < cut) as n_train, count(*) as n_test, cast(sum(y) as bigint) as n_default,
+       true as stationary, true as auc_agrees, true as report_agrees
+from c join t on t.period = c.cut group by cut
+""", ("features_a",))
+def e7_rolling_backtest(spark, sf):
+    """One model a year, trained on all years before it: at each fold's
+    coefficients the objective's gradient is zero, and AUC and report follow
+    from the written scores by a plain window and plain counts."""
+    from ..operators import backtest
+
+    scored, df, cuts, beta = rolling_scores(spark, sf)
+    features = feat.A_MODEL_FEATURES
+    inputs = [F.lit(1.0), *[F.col(f).cast("double") for f in features]]
+    trained = df.where(backtest._complete(features)).select("default_flag", "period", *features, F.explode(F.filter(
+        F.array(*[F.struct(F.lit(i).alias("_fold"), F.lit(c).alias("cut")) for i, c in enumerate(cuts)]), lambda f: F.col("period") < f["cut"])).alias("f")) \
+        .select("*", "f.*")
+    miss = 1 / (1 + F.exp(-backtest._logit(beta, inputs))) - F.col("default_flag")
+    still = F.lit(True)
+    for j, x in enumerate(inputs):
+        penalty = F.lit(0.0) if j == 0 else F.get(F.array(*[F.lit(float(b)) for b in beta[:, j]]), F.first("_fold"))
+        still = still & (F.abs(F.sum(miss * x) + penalty) <= 1e-6 * (1 + F.sum(F.abs(x))))
+    fits = trained.groupBy("cut").agg(F.count(F.lit(1)).alias("n_train"), still.alias("stationary"))
+
+    y, p = F.col("default_flag"), F.col("yhat")
+    by_score = scored.groupBy("cut", "pd").agg(F.sum("default_flag").alias("pos"), F.count_if(y == 0).alias("neg"))
+    below = F.sum("neg").over(Window.partitionBy("cut").orderBy("pd").rowsBetween(Window.unboundedPreceding, -1))
+    plain_auc = by_score.withColumn("below", F.coalesce(below, F.lit(0))).groupBy("cut").agg(
+        F.try_divide(F.sum(F.col("pos") * (F.col("below") + F.col("neg") * 0.5)), (F.sum("pos") * F.sum("neg")).cast("double")).alias("plain"))
+    plain = scored.groupBy("cut").agg(
+        F.count(F.lit(1)).alias("n_test"), F.sum("default_flag").cast("long").alias("n_default"), F.avg((y == p).cast("double")).alias("acc"),
+        F.coalesce(F.try_divide(F.sum(y * p).cast("double"), F.sum(p)), F.lit(0.0)).alias("prec"), F.coalesce(F.try_divide(F.sum(y * p).cast("double"), F.sum(y)), F.lit(0.0)).alias("rec"))
+    report = backtest.report_by(scored, "cut", "default_flag", "yhat")
+    near = lambda a, b: F.coalesce(F.abs(F.col(a) - F.col(b)) < 1e-9, F.col(a).isNull() & F.col(b).isNull())
+    return (plain.join(fits, "cut").join(plain_auc, "cut").join(backtest.auc_by(scored, "cut", "pd", "default_flag"), "cut").join(report, "cut")
+            .select("cut", "n_train", "n_test", "n_default", "stationary", near("auc", "plain").alias("auc_agrees"),
+                    (near("accuracy", "acc") & near("precision", "prec") & near("recall", "rec") & (F.col("support") == F.col("n_default"))).alias("report_agrees")))
+
+
+VOTE_TREES = 20
+VOTE_MODELS = ("pd_formula", "pd_logistic", "pd_trees")
+
+
+def vote_scores(spark, sf):
+    """Profile A's loans with the scores of the formula, the logistic regression
+    (M-4) and boosted trees (M-11 with ``VOTE_TREES`` trees), written once."""
+    from ..sources.tables import land
+
+    df = spark.read.parquet(land(_dated_a(spark, sf).join(book_a.scored(spark, sf).select("loan_id", F.col("pd").alias("pd_formula")), "loan_id"), name="vote_loans"))
+    train = df.where(F.pmod(F.xxhash64("loan_id"), F.lit(5)) != 0)
+    for name, model in (("pd_logistic", score.fit_logistic(train, feat.A_MODEL_FEATURES, "default_flag")),
+                        ("pd_trees", score.fit_gbt(train, feat.A_MODEL_FEATURES, "default_flag", trees=VOTE_TREES))):
+        df = score.score_with_model(model, df, feat.A_MODEL_FEATURES, out=name)
+    return spark.read.parquet(land(df.select("loan_id", "period", "default_flag", *VOTE_MODELS), name="vote_scores"))
+
+
+@register("e11_model_vote", """
+select f.loan_id, cast(year(o.o_orderdate) as varchar) as period, true as weights_sum_to_one, true as equal_without_history, true as inside_the_scores
+from features_a f join orders o on f.loan_id = printf('LOAN_%06d', o.o_orderkey + 1)
+""", ("features_a",))
+def e11_model_vote(spark, sf):
+    """E-11 over three models: weights from each model's Brier score in earlier
+    years, equal in the first; the vote lies between the scores it is made of."""
+    from ..operators import backtest
+
+    scores = vote_scores(spark, sf)
+    weights = backtest.earlier_weights(scores, VOTE_MODELS, "default_flag", "period")
+    first = scores.agg(F.min("period")).first()[0]
+    v = backtest.vote(scores, weights, VOTE_MODELS, "period")
+    parts = [F.col(f"weight_{m}") for m in VOTE_MODELS]
+    lo, hi = F.least(*VOTE_MODELS), F.greatest(*VOTE_MODELS)
+    return v.select("loan_id", "period", (F.abs(parts[0] + parts[1] + parts[2] - 1) < 1e-12).alias("weights_sum_to_one"),
+                    ((F.col("period") != first) | (F.abs(parts[0] - parts[1]) + F.abs(parts[1] - parts[2]) < 1e-12)).alias("equal_without_history"),
+                    F.coalesce((F.col("pd_vote") >= lo - 1e-12) & (F.col("pd_vote") <= hi + 1e-12), lo.isNull() & F.col("pd_vote").isNull()).alias("inside_the_scores"))
+
+
 @register("e8_woe_iv", f"""
 with per as (select fico_category, cast(count_if(default_flag = 0) as bigint) as good,
                     cast(count_if(default_flag = 1) as bigint) as bad

@@ -48,12 +48,25 @@ def a6_pd_min_max_mean(spark, sf):
 select median(annual_inc) as median_income, median(loan_amnt) as median_amount from raw_landing_zone
 """, ("raw_landing_zone",))
 def a8_exact_median(spark, sf):
-    from ..operators.ordered import exact_median
+    from ..operators.quantiles import medians
 
     slim = spark.read.parquet(tables.land(book_b.landing(spark, sf).select("annual_inc", "loan_amnt"), name="medians"))
-    both = exact_median(slim, "annual_inc", out="median_income").withColumn("median_amount", F.lit(None).cast("double")) \
-        .unionByName(exact_median(slim, "loan_amnt", out="median_amount").withColumn("median_income", F.lit(None).cast("double")))
-    return both.agg(F.max("median_income").alias("median_income"), F.max("median_amount").alias("median_amount"))
+    found = medians(slim, ["annual_inc", "loan_amnt"])
+    return spark.range(1).select(F.lit(found["annual_inc"]).cast("double").alias("median_income"), F.lit(found["loan_amnt"]).cast("double").alias("median_amount"))
+
+
+@register("a8_approximate_median", """
+select true as income_close, true as amount_close
+""")
+def a8_approximate_median(spark, sf):
+    """The sketch option: its answer's rank is within the stated error of the middle."""
+    from ..operators.quantiles import medians
+
+    slim = spark.read.parquet(tables.land(book_b.landing(spark, sf).select("annual_inc", "loan_amnt"), name="medians"))
+    found = medians(slim, ["annual_inc", "loan_amnt"], approximate=1000)
+    close = lambda c: F.abs(F.count_if(F.col(c) <= found[c]) / F.count(c) - 0.5) <= F.greatest(
+        F.lit(0.002), F.count_if(F.col(c) == found[c]) / F.count(c))
+    return slim.agg(close("annual_inc").alias("income_close"), close("loan_amnt").alias("amount_close"))
 
 
 @register("c14_median_fill", """
@@ -326,3 +339,18 @@ def j9_sorted_merge(spark, sf):
         F.concat(F.lit("band "), quarter.cast("string")).alias("label"), (quarter / 4).alias("lo"), ((quarter + 1) / 4).alias("hi")).distinct()
     prices = tables.read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
     return feat.bin_by_sorted_merge(prices, "l_extendedprice", bins, out="price_band", null_label="none")
+
+
+@register("j6_rules_table", """
+select p_partkey, p_name, (select min(rule_order) from (select substr(p_name, 3, 5) as key, p_partkey as rule_order from part where p_partkey % 3 = 0) r
+                           where contains(p.p_name, r.key)) as rule_order
+from part p
+""")
+def j6_rules_table(spark, sf):
+    """J-6 with rules as data: a third of all part names give a key each; every
+    name takes the first rule whose key it contains."""
+    from ..operators.rule_match import first_rule
+
+    part = tables.read_table(spark, sf, "part").select("p_partkey", "p_name")
+    rules = part.where(F.col("p_partkey") % 3 == 0).select(F.substring("p_name", 3, 5).alias("key"), F.col("p_partkey").alias("rule_order"))
+    return first_rule(part, "p_name", rules)

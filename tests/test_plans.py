@@ -11,7 +11,7 @@ from conftest import SF_SMOKE
 from provisio.queries import queries
 
 TRAINED = ("m4_", "m5_", "m11_", "m13_shapley_gbt", "j2_", "m7_auc_trained", "m8_confusion_trained", "m9_report_trained",
-           "flow_", "r7_factor_table_trees", "r9_memo_trees", "r16_chart_trees", "e7_backtest_report")
+           "flow_", "r7_factor_table_trees", "r9_memo_trees", "r16_chart_trees", "e7_backtest_report", "e7_rolling_backtest", "e11_model_vote")
 KEYS = sorted(k for k in queries() if not k.startswith(TRAINED))
 
 
