@@ -11,9 +11,10 @@ RNG = random.Random(8)
 NAN = float("nan")
 
 
-@pytest.mark.parametrize("accuracy", [8, 10_000])
-def test_ranks_of_several_columns(spark, monkeypatch, accuracy):
+@pytest.mark.parametrize("accuracy, in_window", [(8, 100_000), (10_000, 0)])
+def test_ranks_of_several_columns(spark, monkeypatch, accuracy, in_window):
     monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
+    monkeypatch.setattr(quantiles, "RANK_ROWS", in_window)
     rows = [(RNG.choice([None, NAN, 7.0, RNG.randrange(100) / 1.0]), RNG.randrange(10**6), None) for _ in range(900)]
     df = spark.createDataFrame(rows, "a double, b long, c double").repartition(5)
     sorted_a = sorted(r[0] for r in rows if r[0] is not None and r[0] == r[0])
@@ -30,6 +31,15 @@ def test_ranks_of_several_columns(spark, monkeypatch, accuracy):
     assert quantiles.medians(df.limit(0), ["a"]) == {"a": None}
 
 
+def test_a_rank_outside_its_bracket_is_still_found(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(100)], "x double")
+    got = quantiles._selected(df, {"x": [10, 60]}, {"x": [(55.0, 70.0)]})["x"]
+    assert (got[10].value, got[60].value) == (9.0, 59.0)
+    for n in range(1, 9):
+        few = df.where(F.col("x") < n)
+        assert quantiles.medians(few, ["x"])["x"] == few.select(F.median("x")).first()[0]
+
+
 @pytest.mark.parametrize("case", ["ties", "distinct", "few", "nulls", "empty"])
 def test_deciles_equal_ntile(spark, case):
     score = {"ties": lambda i: RNG.choice([0.1, 0.2, 0.5, 0.5, 0.5]), "distinct": lambda i: RNG.random(), "few": lambda i: RNG.random(),
