@@ -47,12 +47,16 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Source mixing (3): every source at the same share of characters."""
+    """Source mixing (3): every source at the same share of characters. A row
+    appears as often as its draw says, also not at all; a null source is a source
+    of its own, and a source of empty texts only keeps its rows once."""
     return mixing.mix(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packing (9): pieces with sequence_id and offset."""
+    """Packing (9): pieces with sequence_id and offset. A null or empty text is
+    one piece, its end token; a long text is cut freely; a document that mixing
+    repeated is packed each time."""
     return pack.pack(docs)
 
 
