@@ -2,8 +2,8 @@
 
 Words are counted over all training documents. A fixed subword vocabulary
 with its own scores (a ``sentencepiece`` file) gives the first piece
-probabilities; expectation-maximisation over all counted words fits them to
-the corpus. A word's probability is the sum over all its
+probabilities; expectation-maximisation fits them to the corpus until a round
+over all counted words gains almost nothing. A word's probability is the sum over all its
 segmentations (forward recursion in log space); a text's is the product over
 its words and one end.
 
@@ -12,7 +12,12 @@ words (at most ``FREQUENT_WORDS``, chosen by a count threshold) are broadcast;
 the others get their lattice score in the task, and their count for the base
 score by a join on the word. So a hot word never reaches a shuffle.
 
-Edge cases: a null or empty text is one end. A null doc_id counts as training
+Words of equal length share a vectorised lattice; a long word with few of its
+length is walked place by place, at some microseconds a character.
+
+Edge cases: a null or empty text is one end. Very long texts are scored whole,
+and so are long words (a megabyte without a space takes seconds). Words with
+equal counts are all broadcast or none, so ties change no score. A null doc_id counts as training
 (remainder of ''). Characters outside the vocabulary are spelled by byte
 pieces, so every text has a finite score. Repeated rows are scored one by one,
 and all of them train. Without training documents the vocabulary's own scores
@@ -23,7 +28,9 @@ no rows. Other columns are ignored.
 from __future__ import annotations
 
 import uuid
+from array import array
 from collections import Counter
+from math import exp, log
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
@@ -35,7 +42,12 @@ FREQUENT_WORDS = 200_000     # words whose count and score are broadcast
 FREQUENT_BYTES = 64          # longer words are never broadcast
 COUNTER_WORDS = 300_000      # distinct words a counting task holds before it hands them on
 LATTICE_WORDS = 20_000       # words in one vectorised lattice
-EM_ROUNDS = 2                # rounds over all counted words
+LATTICE_CHARS = 200_000      # characters in one vectorised lattice
+WALK_WORDS, WALK_CHARS = 24, 32     # fewer words of more characters are walked one by one
+WALK_BLOCK = 1 << 16         # characters of a walked word whose arcs are held at once
+TOLERANCE = 2e-3             # rounds end when one lowers the negative log likelihood by a smaller share
+MOST_ROUNDS = 30             # of each kind; a few are enough
+WARM_COUNT = 3               # the first rounds read only words that occur so often
 PRIOR_PIECES = 0.1           # weight of the vocabulary's own scores against the corpus
 END_SHARE = 1e-3             # probability of the end before any training
 HOLD_OUT = (7, 2)            # crc32(doc_id) mod 7 = 2 is held out
@@ -71,8 +83,8 @@ class Pieces:
             for text, i in longer:
                 h = np.uint64(0)
                 for ch in text:
-                    h = h * _BASE + np.uint64(ord(ch) + 1)
-                slot = int((h * _MULTIPLIER) >> np.uint64(64 - _SLOT_BITS))
+                    h = h * _BASE + np.uint64(ord(ch) + 1) * _MULTIPLIER
+                slot = int(h >> np.uint64(64 - _SLOT_BITS))
                 self.maybe[slot] = True
                 while self.keys[slot] != _EMPTY:
                     slot = (slot + 1) % len(self.keys)
@@ -116,7 +128,7 @@ class Pieces:
 
     def _find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rows, piece ids) of the hashes that are pieces."""
-        slot = (h * _MULTIPLIER) >> np.uint64(64 - _SLOT_BITS)
+        slot = h >> np.uint64(64 - _SLOT_BITS)
         rows = np.flatnonzero(self.maybe[slot])
         h, slot = h[rows], slot[rows].astype(np.int64)
         ids = np.full(len(rows), -1, dtype=np.int64)
@@ -135,6 +147,19 @@ class Pieces:
         i = self.single.get(chr(code))
         return np.array([i]) if i is not None else self.byte_ids[list(chr(code).encode("utf-8", "replace"))]
 
+    def _characters(self, text: str) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
+        """Codes, their places among the distinct ones, and the distinct ones'
+        pieces and log probabilities."""
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        known, place = np.unique(codes, return_inverse=True)
+        spelled = [self._spelled(int(c)) for c in known]
+        return codes, place.reshape(codes.shape), spelled, np.array([self.log_p[p].sum() for p in spelled])
+
+    @staticmethod
+    def _hashed(codes: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return (codes.astype(np.uint64) + np.uint64(1)) * _MULTIPLIER
+
     def scores(self, words: list[bytes], weights: np.ndarray | None = None, expected: np.ndarray | None = None) -> np.ndarray:
         """Natural log probability of each word. With ``weights`` the expected
         piece counts, times each word's weight, are added to ``expected``."""
@@ -145,7 +170,11 @@ class Pieces:
         bounds = np.flatnonzero(np.diff(sizes[order], prepend=-1, append=-1))
         for lo, hi in zip(bounds, bounds[1:]):
             size = int(sizes[order[lo]])
-            step = max(1, min(LATTICE_WORDS, 200_000 // size))
+            step = max(1, min(LATTICE_WORDS, LATTICE_CHARS // size))
+            if size > WALK_CHARS and min(step, hi - lo) < WALK_WORDS:
+                for r in order[lo:hi]:
+                    out[r] = self._walk(texts[r], None if weights is None else float(weights[r]), expected)
+                continue
             for at in range(lo, hi, step):
                 rows = order[at:min(at + step, hi)]
                 out[rows] = self._lattice([texts[r] for r in rows], size,
@@ -153,12 +182,9 @@ class Pieces:
         return out
 
     def _lattice(self, texts: list[str], n: int, weights: np.ndarray | None, expected: np.ndarray | None) -> np.ndarray:
-        codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(len(texts), n).T
-        known, place = np.unique(codes, return_inverse=True)
-        place = place.reshape(codes.shape)
-        spelled = [self._spelled(int(c)) for c in known]
-        single = np.array([self.log_p[p].sum() for p in spelled])
-        chars = codes.astype(np.uint64) + np.uint64(1)
+        codes, place, spelled, single = self._characters("".join(texts))
+        codes, place = codes.reshape(len(texts), n).T, place.reshape(len(texts), n).T
+        chars = self._hashed(codes)
         prefix = [np.zeros(len(texts), dtype=np.uint64)]
         powers = [np.uint64(1)]
         with np.errstate(over="ignore"):
@@ -189,6 +215,62 @@ class Pieces:
             self._expect(alpha, arcs, single, place, spelled, weights, expected)
         return alpha[n]
 
+    def _arcs(self, codes: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(from, to, piece ids) of all longer pieces that start in lo..hi."""
+        chars = self._hashed(codes[lo:hi + self.longest])
+        h, starts, ends, pieces = chars, [], [], []
+        for size in range(2, min(self.longest, len(chars)) + 1):
+            with np.errstate(over="ignore"):
+                h = h[:-1] * _BASE + chars[size - 1:]
+            rows, ids = self._find(h[:hi - lo])
+            starts.append(rows + lo)
+            ends.append(rows + lo + size)
+            pieces.append(ids)
+        join = lambda xs: np.concatenate(xs) if xs else np.zeros(0, dtype=np.int64)
+        return join(starts), join(ends), join(pieces)
+
+    @staticmethod
+    def _fill(sums: array, places: range, back: int, ones: list[float], at: np.ndarray, other: np.ndarray, log_p: np.ndarray) -> None:
+        """One block of a recursion: each place's sum over its single character
+        (from the place ``back``) and its arcs (place ``at``, from ``other``)."""
+        order = np.argsort(at, kind="stable")
+        low = min(places[0], places[-1])
+        first = np.searchsorted(at[order], np.arange(low, low + len(places) + 1)).tolist()
+        other, log_p = other[order].tolist(), log_p[order].tolist()
+        for place in places:
+            a, b = first[place - low], first[place - low + 1]
+            one = sums[place + back] + ones[place - low]
+            if a < b:
+                ways = [sums[o] + p for o, p in zip(other[a:b], log_p[a:b])]
+                best = max(one, *ways)
+                one = best + log(exp(one - best) + sum([exp(w - best) for w in ways]))
+            sums[place] = one
+
+    def _walk(self, text: str, weight: float | None, expected: np.ndarray | None) -> float:
+        """``_lattice`` of one long word, place by place; arcs are found for a
+        block of places at once."""
+        codes, place, spelled, single = self._characters(text)
+        n, ones = len(codes), single[place]
+        alpha = array("d", bytes(8 * (n + 1)))
+        for lo in range(0, n, WALK_BLOCK):
+            hi = min(n, lo + WALK_BLOCK)
+            starts, ends, ids = self._arcs(codes, max(0, lo + 1 - self.longest), hi)
+            here = (ends > lo) & (ends <= hi)
+            self._fill(alpha, range(lo + 1, hi + 1), -1, ones[lo:hi].tolist(), ends[here], starts[here], self.log_p[ids[here]])
+        if weight is None:
+            return alpha[n]
+        beta, chars = array("d", bytes(8 * (n + 1))), np.zeros(len(spelled))
+        before, after = np.frombuffer(alpha), np.frombuffer(beta)
+        for lo in range((n - 1) // WALK_BLOCK * WALK_BLOCK, -1, -WALK_BLOCK):
+            hi = min(n, lo + WALK_BLOCK)
+            starts, ends, ids = self._arcs(codes, lo, hi)
+            self._fill(beta, range(hi - 1, lo - 1, -1), 1, ones[lo:hi].tolist(), starts, ends, self.log_p[ids])
+            expected += np.bincount(ids, weight * np.exp(before[starts] + self.log_p[ids] + after[ends] - alpha[n]), len(expected))
+            chars += np.bincount(place[lo:hi], weight * np.exp(before[lo:hi] + ones[lo:hi] + after[lo + 1:hi + 1] - alpha[n]), len(spelled))
+        for c, ids in zip(chars, spelled):
+            np.add.at(expected, ids, c)
+        return alpha[n]
+
     def _expect(self, alpha, arcs, single, place, spelled, weights, expected) -> None:
         """Backward recursion; adds each arc's posterior times the weight."""
         n = len(alpha) - 1
@@ -253,22 +335,42 @@ def _expected_pieces(counts: DataFrame, shared) -> list:
         .groupBy("piece").agg(F.sum("n").alias("n")).collect()
 
 
-def fit_pieces(counts: DataFrame, n_docs: int, raw: bytes, rounds: int = EM_ROUNDS) -> Pieces:
-    """Piece probabilities fitted to the counted words. What reaches the
-    driver has the vocabulary's size."""
+def _maximise(pieces: Pieces, expected: np.ndarray, n_docs: int, own: np.ndarray) -> tuple[Pieces, float]:
+    """The next piece probabilities and the share by which the words' negative
+    log likelihood falls at least (the gain of the expected log likelihood)."""
+    prior = PRIOR_PIECES * len(own)
+    total = expected.sum() + prior + n_docs
+    p = (expected + prior * own / own.sum()) / total
+    with np.errstate(divide="ignore"):
+        better = pieces.with_scores(np.log(p), float(np.log(n_docs / total)))
+    seen = expected > 0
+    before = expected[seen] @ pieces.log_p[seen] + n_docs * pieces.log_end
+    after = expected[seen] @ better.log_p[seen] + n_docs * better.log_end
+    return better, (after - before) / -before
+
+
+def fit_pieces(counts: DataFrame, n_docs: int, raw: bytes, tolerance: float = TOLERANCE) -> Pieces:
+    """Piece probabilities fitted to the counted words, from the vocabulary's
+    own scores on: first over the words that occur ``WARM_COUNT`` times or more,
+    which costs little and comes close, then over all words, each until a round
+    gains less than ``tolerance``. What reaches the driver has the
+    vocabulary's size."""
     pieces = Pieces.from_file(raw)
     if not n_docs:
         return pieces
     own = np.exp(pieces.log_p)
-    for _ in range(rounds):
-        expected = np.zeros(len(own))
-        for r in _expected_pieces(counts, counts.sparkSession.sparkContext.broadcast(pieces)):
-            expected[r["piece"]] = r["n"]
-        prior = PRIOR_PIECES * len(own)
-        total = expected.sum() + prior + n_docs
-        p = (expected + prior * own / own.sum()) / total
-        with np.errstate(divide="ignore"):
-            pieces = pieces.with_scores(np.log(p), float(np.log(n_docs / total)))
+    for words, every in ((counts.where(F.col("n") >= WARM_COUNT), False), (counts, True)):
+        for _ in range(MOST_ROUNDS):
+            expected = np.zeros(len(own))
+            shared = counts.sparkSession.sparkContext.broadcast(pieces)
+            for r in _expected_pieces(words, shared):
+                expected[r["piece"]] = r["n"]
+            shared.unpersist()
+            if not every and not expected.any():
+                break
+            pieces, gain = _maximise(pieces, expected, n_docs, own)
+            if gain < tolerance:
+                break
     return pieces
 
 
@@ -290,7 +392,7 @@ _SCORED = ("doc_id long, held_out boolean, n_tokens long, known_part long, base_
            "words array<binary>, times array<int>")
 
 
-def score_texts(docs: DataFrame, *, pieces_path: str | None = None, rounds: int = EM_ROUNDS,
+def score_texts(docs: DataFrame, *, pieces_path: str | None = None, tolerance: float = TOLERANCE,
                 frequent_words: int = FREQUENT_WORDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
@@ -304,7 +406,7 @@ def score_texts(docs: DataFrame, *, pieces_path: str | None = None, rounds: int
     n_docs = train.count()
     n_all, n_distinct = sums[1] + n_docs, sums[0] + (1 if n_docs else 0)
     unit = n_all + 1 * (n_distinct + 1)
-    pieces = fit_pieces(counts, n_docs, raw, rounds)
+    pieces = fit_pieces(counts, n_docs, raw, tolerance)
     frequent = _frequent(counts, frequent_words)
     words = [bytes(r["word"]) for r in frequent]
     shared = spark.sparkContext.broadcast((pieces, words, np.log10((np.array([r["n"] for r in frequent], dtype=np.float64) + 1) / unit),

@@ -1,6 +1,7 @@
 """Operator 5: base scores against plain counts, lattices against all segmentations."""
 
 import math
+import time
 import zlib
 from collections import Counter
 
@@ -106,3 +107,38 @@ def test_piece_probabilities_sum_to_one_and_em_raises_the_likelihood():
 def test_long_words_do_not_underflow():
     word = ("qxzj" * 5000).encode()
     assert np.isfinite(PIECES.scores([word, b"a"])).all()
+
+
+@pytest.mark.parametrize("block", [7, 50, 1 << 16])
+def test_walked_words_equal_the_vectorised_lattice(monkeypatch, block):
+    monkeypatch.setattr(lm, "WALK_BLOCK", block)
+    for word in ("a", "hello-world," * 5, "東京naïve🙂" * 9, "qxzj" * 60, "internationalisation" * 20):
+        text, by_lattice, by_walk = "▁" + word, np.zeros(len(PIECES.log_p)), np.zeros(len(PIECES.log_p))
+        want = PIECES._lattice([text], len(text), np.array([3.0]), by_lattice)[0]
+        assert PIECES._walk(text, 3.0, by_walk) == pytest.approx(want, rel=1e-12)
+        assert PIECES._walk(text, None, None) == pytest.approx(want, rel=1e-12)
+        assert by_walk == pytest.approx(by_lattice, abs=1e-9)
+
+
+def test_a_text_of_one_long_word(spark):
+    long = "QxZj09+/aB" * 30_000
+    docs = spark.createDataFrame([(1, long), (2, "a short text"), (3, long + " " + "the" * 20_000)], "doc_id long, text string")
+    started = time.perf_counter()
+    got = {r.doc_id: r.score for r in compare(docs)}
+    assert got[1] < 1000 * got[2] and got[3] < got[1] and time.perf_counter() - started < 60
+
+
+def test_rounds_end_near_the_best_likelihood(documents):
+    """Against 12 plain rounds over all words in one process."""
+    rows = [r.text for r in documents.select("text").collect()]
+    counts = Counter(w.encode() for t in rows for w in lower_ascii(t or "").split())
+    words, n = list(counts), np.array(list(counts.values()), dtype=float)
+    best, own = PIECES, np.exp(PIECES.log_p)
+    for _ in range(12):
+        expected = np.zeros(len(own))
+        best.scores(words, n, expected)
+        best, _ = lm._maximise(best, expected, len(rows), own)
+    spark_counts = lm.count_words(documents.select("text"))
+    with open(lm.default_pieces_path(), "rb") as f:
+        fitted = lm.fit_pieces(spark_counts, len(rows), f.read())
+    assert fitted.scores(words) @ n == pytest.approx(best.scores(words) @ n, rel=2e-3)
