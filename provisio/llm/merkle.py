@@ -14,12 +14,14 @@ and are left out, only differing ones are opened. ``likeness`` is the share
 of sentences (leaves) in equal branches; ``edited_leaves`` locates the edit.
 
 ``fingerprint_edits`` needs each document's successor in doc_id order: ids are
-cut into blocks at quantiles that are ids themselves, each block is sorted in
-a task of its own, and the documents at the cuts are also sent to the block before.
-The texts are shuffled once.
-
-Edge cases: a null text is empty and has a fingerprint like any other. Rows
-that share a doc_id are ordered by a text hash; null ids come first. The last
+cut into blocks at quantiles, each block is sorted in a task of its own, and
+its first document is also sent to the block before. Null ids, and an id of
+many rows, are cut further by the text's hash, and copies under one id by the
+row's place (then the rows are written first). The texts are shuffled once.
+
+Edge cases: a null text is empty and has a fingerprint like any other; a very
+long one is fingerprinted whole. Rows that share a doc_id are ordered by a text
+hash (copies in any order, which changes no result); null ids come first. The last
 document's successor is the first one (itself, if it is alone). An empty table
 gives no rows. Other columns are ignored.
 """
@@ -33,7 +35,7 @@ from math import isqrt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import map_batches, shuffle_partitions, utf8
+from .common import land, map_batches, shuffle_partitions, utf8
 from .fim import cut_candidates
 
 SECTION_EVERY = 4
@@ -139,6 +141,68 @@ def _block_of(column: Column, cuts: list[int]) -> Column:
         (group - 1) * step + count(F.element_at(F.array(*[longs(g) for g in groups]), group)))
 
 
+LOWEST = -(1 << 63)
+
+
+def _hot_cuts(slim: DataFrame, hot: dict[int | None, int], n_rows: int, n: int) -> tuple[dict, list]:
+    """Cuts (tie, salt) inside each hot id, and the (id, tie) whose copies need
+    the salt: text hashes are spread evenly, but for copies of one text."""
+    hot_id = F.col("doc_id").isin([h for h in hot if h is not None])
+    if None in hot:
+        hot_id = hot_id | F.col("doc_id").isNull()
+    # at most n groups hold more than an n-th of the rows
+    copies = slim.where(F.coalesce(hot_id, F.lit(False))).groupBy("doc_id", "tie").agg(F.count(F.lit(1)).alias("n")) \
+        .where(F.col("n") * n > n_rows).collect()
+    cuts = {h: {(LOWEST + i * (1 << 64) // m, LOWEST) for i in range(1, m)} for h, m in hot.items()}
+    for r in copies:
+        m = -(-r["n"] * n // n_rows)
+        cuts[r["doc_id"]] |= {(r["tie"], LOWEST + i * (1 << 64) // m) for i in range(m)}
+    return {h: sorted(c) for h, c in cuts.items()}, copies
+
+
+def _dealt(slim: DataFrame, n: int) -> tuple[DataFrame, int]:
+    """(doc_id, body, tie, salt, block, role) and the number of blocks. Blocks
+    follow (doc_id, tie, salt); role 0 is a block's own row, 1 the next block's
+    first row, 2 the first of all behind the last."""
+    # quantiles are values of the column; one row of at most `n` numbers
+    n_rows, n_ids, smallest, marks = slim.agg(
+        F.count(F.lit(1)), F.count("doc_id"), F.min("doc_id"),
+        F.percentile_approx("doc_id", F.array(*[F.lit(i / n) for i in range(n)]), 10 * n)).first()
+    times = Counter(marks or [])
+    hot: dict[int | None, int] = {c: k for c, k in times.items() if k > 1}
+    if (n_rows - n_ids) * n > n_rows:
+        hot[None] = -(-(n_rows - n_ids) * n // n_rows)
+    cuts = {c for c in times if c > smallest or None in hot} | {h + 1 for h in hot if h is not None and h < (1 << 63) - 1}
+    cuts = sorted(cuts)
+    block, salt, last = F.when(F.col("doc_id").isNull(), 0).otherwise(_block_of(F.col("doc_id"), cuts)), F.lit(0).cast("long"), len(cuts)
+    if hot:
+        within, copies = _hot_cuts(slim, hot, n_rows, n)
+        if copies:           # the salt is a row's place, so the rows are written before it is used
+            slim = land(slim.withColumn("salt", F.xxhash64(F.monotonically_increasing_id())), "hot-ids")
+            salt = F.col("salt")
+        behind, inside = F.lit(0), F.lit(0)
+        for h, pairs in within.items():
+            literal = F.array(*[F.struct(F.lit(t).cast("long").alias("t"), F.lit(x).cast("long").alias("x")) for t, x in pairs])
+            passed = F.size(F.filter(literal, lambda c: (c["t"] < F.col("tie")) | ((c["t"] == F.col("tie")) & (c["x"] <= salt))))  # noqa: B023
+            later = F.col("doc_id").isNotNull() if h is None else F.col("doc_id") > h
+            behind = behind + F.when(later, len(pairs)).otherwise(0)
+            inside = F.when(F.col("doc_id").eqNullSafe(F.lit(h).cast("long")), passed).otherwise(inside)
+            last += len(pairs)
+        block = block + behind + inside
+    tagged = slim.select("doc_id", "body", "tie", salt.alias("salt"), block.cast("int").alias("block"))
+    key = F.struct("doc_id", "tie", "salt")
+    # one row a block
+    starts = sorted(tuple(r) for r in tagged.groupBy("block").agg(F.min(key).alias("start")).collect())
+    guests = [(block, start, starts[i - 1][0], 1 if i else 2) for i, (block, start) in enumerate(starts)]
+    firsts = slim.sparkSession.createDataFrame(
+        guests, "block int, start struct<doc_id: long, tie: long, salt: long>, goes int, guest int")
+    homes = F.filter(F.array(
+        F.struct(F.col("block"), F.lit(0).alias("role")),
+        F.when(F.col("start") == key, F.struct(F.col("goes").alias("block"), F.col("guest").alias("role")))), lambda h: h.isNotNull())
+    return (tagged.join(F.broadcast(firsts), "block").select("doc_id", "body", "tie", "salt", F.explode(homes).alias("home"))
+            .select("doc_id", "body", "tie", "salt", "home.block", "home.role")), last + 1
+
+
 RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
           "near_edited double, near_next double, edit_from int, edit_to int")
 
@@ -149,22 +213,9 @@ def fingerprint_edits(docs: DataFrame, *, blocks: int | None = None) -> DataFram
     spark = docs.sparkSession
     n = blocks or min(shuffle_partitions(spark), MAX_BLOCKS)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("body"))
-    # quantiles are values of the column; one row of at most `n` numbers
-    cuts = slim.agg(F.min("doc_id"), F.percentile_approx("doc_id", F.array(*[F.lit(i / n) for i in range(n)]), 10 * n)).first()
-    smallest, cuts = cuts[0], sorted({c for c in (cuts[1] or []) if c is not None and c > cuts[0]})
-    nulls = slim.where(F.col("doc_id").isNull()).limit(1).count() > 0
-    first = None if nulls else smallest
-    tagged = slim.withColumn("block", F.when(F.col("doc_id").isNull(), 0).otherwise(_block_of(F.col("doc_id"), cuts)))
-    last = len(cuts)
-    at_cut = F.col("doc_id").isin(cuts) if cuts else F.lit(False)
-    at_start = F.col("doc_id").eqNullSafe(F.lit(first).cast("long"))
-    homes = F.filter(F.array(
-        F.struct(F.col("block").cast("int").alias("block"), F.lit(0).alias("role")),
-        F.when(at_cut, F.struct((F.col("block") - 1).cast("int").alias("block"), F.lit(1).alias("role"))),
-        F.when(at_start, F.struct(F.lit(last).alias("block"), F.lit(2).alias("role")))), lambda h: h.isNotNull())
-    sent = tagged.select("doc_id", "body", F.xxhash64("body").alias("tie"), F.explode(homes).alias("home")) \
-        .select("doc_id", "body", "tie", "home.block", "home.role")
-    ordered = sent.repartitionById(last + 1, F.col("block")).sortWithinPartitions("block", "role", F.col("doc_id").asc_nulls_first(), "tie")
+    sent, last = _dealt(slim.withColumn("tie", F.xxhash64("body")), n)
+    ordered = sent.repartitionById(last, F.col("block")) \
+        .sortWithinPartitions("block", "role", F.col("doc_id").asc_nulls_first(), "tie", "salt")
 
     names = [f.split()[0] for f in RESULT.split(", ")]
 

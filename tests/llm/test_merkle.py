@@ -43,6 +43,27 @@ def test_edge_rows(spark, edge, empty):
     assert result(merkle.fingerprint_edits(alone)) == brute([(4, "one two. three")])
 
 
+@pytest.mark.parametrize("hot_id, same_text", [(None, False), (None, True), (5, False), (5, True), (1, True), (300, False)])
+def test_hot_ids_are_cut_into_blocks_of_even_size(spark, hot_id, same_text):
+    """A third of all rows under one id (or none), with texts of their own or copies."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(4)
+    text = lambda: " ".join(f"w{rng.randrange(50)}" for _ in range(8))
+    rows = [(i, text()) for i in range(1, 301) if i != hot_id] + [(hot_id, "a copy. of a text" if same_text else text()) for _ in range(150)]
+    rows += [(9, "a repeated row")] * 2
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    slim = docs.select("doc_id", F.col("text").cast("binary").alias("body")).withColumn("tie", F.xxhash64("body"))
+    dealt, blocks = merkle._dealt(slim.select("doc_id", "body", "tie"), 12)
+    sizes = [r["count"] for r in dealt.groupBy("block").count().collect()]
+    assert len(sizes) >= 10 and max(sizes) <= 3 * len(rows) / 12 and sum(sizes) <= len(rows) + 2 * blocks
+    ordered = slim.select("doc_id", "tie", F.col("body").cast("string").alias("text")).orderBy(F.col("doc_id").asc_nulls_first(), "tie").collect()
+    want = brute([(r.doc_id, r.text) for r in ordered])
+    for n in (1, 4, 12, 40):
+        assert result(merkle.fingerprint_edits(docs, blocks=n)) == want
+
+
 def test_likeness_and_edit_place():
     rng = random.Random(2)
     line = lambda: " ".join(f"w{rng.randrange(10 ** 6)} w{rng.randrange(10 ** 6)}." for _ in range(4))
