@@ -10,8 +10,14 @@ enough of its template is a span.
 The automaton is built from fixed templates, so its size is fixed; it is
 built once in each worker.
 
+Templates are notices and openings, which mark a licence by themselves, and
+the whole terms of short licences, found although they are edited. Where terms
+share a passage, each is a template of its own and none is marked by the
+passage alone.
+
 Edge cases: a null or empty text has no words, no spans, empty labels and
-score 0. A text that is one template many times gives one span for each copy.
+score 0. A very long text is scanned whole, in one pass. Of chains that cover as
+many words the first in the text is taken; spans are sorted by place and label. A text that is one template many times gives one span for each copy.
 Repeated rows are scanned alike. An empty table gives no rows. Extra columns
 are dropped unless named in ``keep``; a result replaces one of its name.
 """
@@ -77,6 +83,102 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "cc0": ("Licensed under CC0 1.0 Universal.", "dedicated to the public domain under CC0 1.0 Universal"),
 }
 
+# The terms of short licences in full, by label.
+BODIES: dict[str, tuple[str, ...]] = {
+    "mit": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
+        "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
+        "permit persons to whom the Software is furnished to do so, subject to the following conditions: "
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of "
+        "the Software. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+        "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
+        "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+        "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+    "bsd": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: "
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+        "disclaimer. "
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+        "disclaimer in the documentation and/or other materials provided with the distribution. "
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+        "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+        "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+        "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+        "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+        "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF "
+        "THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    ),
+    "isc": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL "
+        "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+        "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN "
+        "ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF "
+        "THIS SOFTWARE.",
+    ),
+    "zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable "
+        "for any damages arising from the use of this software. "
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it "
+        "and redistribute it freely, subject to the following restrictions: "
+        "1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If "
+        "you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not "
+        "required. "
+        "2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original "
+        "software. "
+        "3. This notice may not be removed or altered from any source distribution.",
+    ),
+    "boost": (
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+        "accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, "
+        "and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the "
+        "Software is furnished to do so, all subject to the following: "
+        "The copyright notices in the Software and this entire statement, including the above license grant, this restriction and "
+        "the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works "
+        "of the Software, unless such copies or derivative works are solely in the form of machine-executable object code "
+        "generated by a source language processor. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+        "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE "
+        "COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, "
+        "TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain. "
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or "
+        "as a compiled binary, for any purpose, commercial or non-commercial, and by any means. "
+        "In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright "
+        "interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the "
+        "detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of "
+        "all present and future rights to this software under copyright law. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+        "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE "
+        "LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT "
+        "OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+    "apache": (
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with "
+        "the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 "
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on "
+        "an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the "
+        "specific language governing permissions and limitations under the License.",
+    ),
+    "gpl": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
+        "version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+        "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more "
+        "details. You should have received a copy of the GNU General Public License along with this program. If not, see "
+        "<https://www.gnu.org/licenses/>.",
+    ),
+}
+
+ALL_TEMPLATES = {label: TEMPLATES.get(label, ()) + BODIES.get(label, ()) for label in TEMPLATES | BODIES}
+
 MIN_RUN = 3           # shortest run of words that takes part in a chain
 MAX_GAP = 12          # words between two runs of a chain, in text and in template
 MIN_COVERED = 0.75    # share of a template's words that makes a span
@@ -254,7 +356,7 @@ RESULT = ("n_words long, n_base long, first_word long, last_word long, base_labe
 def scan_licenses(docs: DataFrame, *, keep: Sequence[str] = ("doc_id",), templates: dict[str, tuple[str, ...]] | None = None,
                   phrases: dict[str, str] | None = None) -> DataFrame:
     """The ``keep`` columns with base phrase places, labels, score and spans."""
-    fixed = tuple((templates or TEMPLATES).items()), tuple((phrases or BASE_PHRASES).items())
+    fixed = tuple((templates or ALL_TEMPLATES).items()), tuple((phrases or BASE_PHRASES).items())
     own, schema = kept_fields(docs, keep, RESULT)
     (body,) = fresh(docs.select(*own), "scanned_text")
     names = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans")

@@ -70,3 +70,47 @@ def test_edited_template_is_one_span_with_its_place():
     assert scan(b"the rights of the software are to be used and to be copied by any person")["labels"] == ""
     twice = scan((body + " something else entirely between the copies of this text and more. " + body).encode())
     assert [s["label"] for s in twice["spans"]] == ["mit", "mit"]
+
+
+def edited(words, rng, share):
+    """Each word is replaced, dropped or followed by another at the given rate."""
+    out = []
+    for w in words:
+        draw = rng.random()
+        if draw < share / 3:
+            continue
+        out += [f"other{rng.randrange(99)}"] if draw < share * 2 / 3 else [w, f"added{rng.randrange(99)}"] if draw < share else [w]
+    return out
+
+
+def test_recall_on_edited_bodies_and_none_on_shuffled_ones():
+    rng = random.Random(7)
+    scan = ls._scanner(tuple(ls.ALL_TEMPLATES.items()), ()).scan
+    for label, bodies in ls.BODIES.items():
+        for body in bodies:
+            words = body.split()
+            assert scan(body.encode())["labels"].split(",") == [label], label
+            for share, least in ((0.04, 1.0), (0.1, 0.9)):
+                found = 0
+                for _ in range(30):
+                    text = " ".join(["before"] * 20 + edited(words, rng, share) + ["behind"] * 20)
+                    found += label in scan(text.encode())["labels"].split(",")
+                assert found >= least * 30, (label, share, found)
+            shuffled = rng.sample(words, len(words))
+            assert scan(" ".join(shuffled).encode())["labels"] == ""
+
+
+def test_a_shared_passage_marks_no_licence():
+    scan = ls._scanner(tuple(ls.ALL_TEMPLATES.items()), ()).scan
+    body = ls.BODIES["mit"][0]
+    shared = body[body.index("THE SOFTWARE IS PROVIDED"):]
+    r = scan(shared.encode())
+    assert r["labels"] == "" and 0.3 < r["score"] < ls.MIN_COVERED
+
+
+def test_very_long_texts_and_ties(spark):
+    body = ls.BODIES["isc"][0]
+    long = "plain words of a long text " * 40_000 + body + " more of it" * 10_000
+    docs = spark.createDataFrame([(1, long), (2, body), (2, body)], "doc_id long, text string")
+    got = sorted(ls.scan_licenses(docs).collect(), key=lambda r: r.doc_id)
+    assert [r.labels for r in got] == ["isc"] * 3 and got[1] == got[2] and got[0].spans[0].start == 240_000
