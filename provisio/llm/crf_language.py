@@ -17,7 +17,7 @@ Edge cases: a null text, or one without a letter, is ``und`` with score 0.
 Words without a letter carry no evidence of their own. If nothing can be
 learned (no labelled text) every document is ``und``. Ties go to the language
 that sorts first. A null doc_id counts as training if it has a language.
-Repeated rows get the same label. An empty table gives no rows. Extra columns
+A very long text is labelled whole. Repeated rows get the same label. An empty table gives no rows. Extra columns
 are dropped unless named in ``keep``; a result replaces one of its name.
 """
 

@@ -10,7 +10,9 @@ within its length by a range shuffle of slim rows, and a small table of
 
 A sequence is padded to ``size`` unless its length is a power of two.
 
-Edge cases: a null or empty text is the end id alone. Repeated rows and rows
+Edge cases: a null or empty text is the end id alone. A very long text is
+encoded whole and cut into as many pieces as it needs. Pieces of equal length
+are ranked by (doc_id, start, a hash of the ids), null doc_ids first. Repeated rows and rows
 sharing a doc_id are packed one by one. An empty table gives no rows. Other
 columns are ignored.
 """

@@ -24,7 +24,8 @@ they differ in at most ``radius`` bits; components are the transitive closure.
 
 Edge cases: a null, empty or blank text has no shingles and fingerprint zero
 (linked like any other). Fewer words than the shingle length give one shingle
-of all words. Repeated rows and equal texts share a component. A null doc_id
+of all words. A very long text is hashed whole, as one row of one task. A bit
+set in exactly half of the hashes is 0. Repeated rows and equal texts share a component. A null doc_id
 never becomes a component id unless nothing else is there. An empty table
 gives no rows. Helper columns never clash with extra columns.
 """

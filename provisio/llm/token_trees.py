@@ -16,7 +16,8 @@ Edge cases: a null or empty text has one empty leaf and 0 tokens. A text
 without such a space is one leaf. Edits apply in order, each to the text that
 the edits before it left; spans are cut to the text's length, and null
 replacements are empty. Without edits (null or empty) nothing is encoded.
-Rows are independent, so repeated rows, ties and null ids need no rule. An
+A very long text's tree is one row of one task; its depth is the logarithm of
+its leaves. Rows are independent, so repeated rows, ties and null ids need no rule. An
 empty table gives no rows. Extra columns are carried along, and columns of the
 result's names are replaced.
 """

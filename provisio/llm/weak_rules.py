@@ -13,7 +13,8 @@ beyond ASCII; capitals are A-Z.
 
 Edge cases: a null, empty or blank text has no words, zero counts, and fails
 the base rule. A document on which every rule abstains gets the prior.
-Repeated rows are judged alike. An empty table gives no rows. Extra columns
+A very long text is measured whole, as one row of one task. A posterior equal
+to ``KEEP_POSTERIOR`` is kept. Repeated rows are judged alike. An empty table gives no rows. Extra columns
 are dropped by ``measures`` unless named in ``keep``; a measure replaces one of
 its name.
 """
