@@ -11,7 +11,7 @@ The automaton is built from fixed templates, so its size is fixed; it is
 built once in each worker.
 
 Templates are notices and openings, which mark a licence by themselves, and
-the whole terms of short licences, found although they are edited. Where terms
+the whole terms of short licences and whole notices, found although they are edited. Where terms
 share a passage, each is a template of its own and none is marked by the
 passage alone.
 
@@ -83,7 +83,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "cc0": ("Licensed under CC0 1.0 Universal.", "dedicated to the public domain under CC0 1.0 Universal"),
 }
 
-# The terms of short licences in full, by label.
+# The terms of short licences and the notices of long ones, in full, by label.
 BODIES: dict[str, tuple[str, ...]] = {
     "mit": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
