@@ -49,8 +49,7 @@ def main() -> None:
         _force(sme.stressed(spark, sf_dir))
 
     def shapley():
-        f = sme.features(spark, sf_dir)
-        _force(explain.shapley_attributions(f, explain.background_sample(f, "company_id", 100)))
+        _force(explain.shapley_against_sample(sme.features(spark, sf_dir), 100))
 
     def factor_memo():
         _force(qs["r7_factor_table"](spark, sf_dir))

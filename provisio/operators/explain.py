@@ -109,11 +109,22 @@ def shapley_weights(k: int) -> dict[int, float]:
     return {s: factorial(s) * factorial(k - s - 1) / factorial(k) for s in range(k)}
 
 
+MAX_BACKGROUND_ROWS = 10_000    # background rows travel through the driver into the plan
+
+
+def _checked_background(n: int) -> int:
+    if n > MAX_BACKGROUND_ROWS:
+        raise ValueError(f"{n} background rows are over {MAX_BACKGROUND_ROWS}; "
+                         "tree_shapley.shapley_over_population takes every row as background")
+    return n
+
+
 def background_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> list:
     """Seeded background rows: the ``n`` first complete rows in md5 order.
-    ``n`` is the caller's choice of precision; the rows travel as literals."""
+    ``n`` is the caller's choice of precision, at most ``MAX_BACKGROUND_ROWS``
+    (more raise a ValueError); the rows travel as literals."""
     complete = df.select(key, *SME_NUMERIC).dropna(subset=SME_NUMERIC)
-    return [tuple(float(r[f]) for f in SME_NUMERIC) for r in sample_n(complete, key, n, seed).collect()]
+    return [tuple(float(r[f]) for f in SME_NUMERIC) for r in sample_n(complete, key, _checked_background(n), seed).collect()]
 
 
 def _numbered(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -139,11 +150,25 @@ def shapley_attributions(df: DataFrame, background: list, *, key: str = "company
     expected_pd, background_rows``. A row with a NULL feature keeps its row
     with NULL contributions. Repeated keys keep one result each.
     """
+    return _shapley_of_numbered(_numbered(df, [key, *SME_NUMERIC]), background, key, out, num_partitions)
+
+
+def shapley_against_sample(df: DataFrame, n: int, *, key: str = "company_id", seed: int = 42, out: str = "shapley",
+                           num_partitions: int | None = None) -> DataFrame:
+    """:func:`shapley_attributions` against ``background_sample(df, key, n, seed)``.
+    ``df`` is computed once: its slim columns are written, and both the
+    background and the explained rows are read from there."""
+    _checked_background(n)
+    numbered = _numbered(df, [key, *SME_NUMERIC])
+    return _shapley_of_numbered(numbered, background_sample(numbered, key, n, seed), key, out, num_partitions)
+
+
+def _shapley_of_numbered(numbered: DataFrame, background: list, key: str, out: str, num_partitions: int | None) -> DataFrame:
     from .stress import spread_for_expansion
 
     k = len(SME_NUMERIC)
     bg = F.array(*[F.struct(*[F.lit(v).alias(f"b{j}") for j, v in enumerate(row)]) for row in background])
-    base = spread_for_expansion(_numbered(df, [key, *SME_NUMERIC]), num_partitions)
+    base = spread_for_expansion(numbered, num_partitions)
     paired = base.select(key, "_row", *[F.col(c).cast("double").alias(c) for c in SME_NUMERIC], F.explode(bg).alias("_b"))
 
     def f_of(mask: int) -> Column:
@@ -370,9 +395,10 @@ SME_PLAYERS = [(f, [f]) for f in SME_NUMERIC] + [("industry", [f"industry_{c}" f
 
 
 def model_background(frame: DataFrame, key: str, n: int, seed: int = 42) -> list[dict]:
-    """Seeded background rows of the model columns: the ``n`` first complete ones."""
+    """Seeded background rows of the model columns: the ``n`` first complete
+    ones, at most ``MAX_BACKGROUND_ROWS``."""
     cols = [c for _, group in SME_PLAYERS for c in group]
-    return [r.asDict() for r in sample_n(frame.select(key, *cols).dropna(subset=cols), key, n, seed).collect()]
+    return [r.asDict() for r in sample_n(frame.select(key, *cols).dropna(subset=cols), key, _checked_background(n), seed).collect()]
 
 
 def insight_rules_frame(spark) -> DataFrame:

@@ -72,6 +72,9 @@ def stratified_split(df: DataFrame, *, key: str, label: str, test_fraction: floa
     label too), the ``floor(test_fraction·n_label + 1/2)`` rows first in
     md5(seed:key) order are test. ``key`` is unique.
 
+    ``df`` is computed and written once, with its hash; select the columns that
+    are needed before. Counts, cuts and the result read the written rows, so a
+    result that is read again (training, scoring, evaluation) costs a scan.
     Rows are counted per (label, hash prefix), one partial aggregate; the
     prefix whose running count reaches a label's test size holds its cut, and
     only the rows of that prefix are ranked (a label's rows over
@@ -81,10 +84,9 @@ def stratified_split(df: DataFrame, *, key: str, label: str, test_fraction: floa
     """
     from ..sources.tables import land
 
-    keyed = df.withColumn("_split_h", sample_key(seed, key))
-    slim = df.sparkSession.read.parquet(land(keyed.select(
-        F.col(label).alias("_cut_label"), F.col("_split_h").alias("_cut_h"), F.col(key).alias("_cut_key"),
-        F.substring("_split_h", 1, PREFIX_DIGITS).alias("_prefix")), name="split"))
+    keyed = df.sparkSession.read.parquet(land(df.withColumn("_split_h", sample_key(seed, key)), name="split"))
+    slim = keyed.select(F.col(label).alias("_cut_label"), F.col("_split_h").alias("_cut_h"), F.col(key).alias("_cut_key"),
+                        F.substring("_split_h", 1, PREFIX_DIGITS).alias("_prefix"))
     per_prefix = slim.groupBy("_cut_label", "_prefix").agg(F.count(F.lit(1)).alias("_n"))
     of_label = Window.partitionBy("_cut_label")              # at most 16^PREFIX_DIGITS rows a label
     upto = F.sum("_n").over(of_label.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0))

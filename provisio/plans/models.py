@@ -35,14 +35,15 @@ _WRITTEN: dict[tuple, str] = {}
 
 
 def split_b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Profile B scored rows with the seeded stratified split flag."""
-    return score.stratified_split(book_b.scored(spark, sf_dir), key="loan_id", label="default_flag")
+    """Profile B's loans with label, PD and the seeded stratified split flag."""
+    scored = book_b.scored(spark, sf_dir).select("loan_id", "default_flag", "pd_12m")
+    return score.stratified_split(scored, key="loan_id", label="default_flag")
 
 
 def logistic_b(spark: SparkSession, sf_dir: str):
     """M-4 on profile B's encoded features, trained on the 80 % split; with all rows."""
     enc = feat.encode_b(book_b.features(spark, sf_dir))
-    split = _landed(score.stratified_split(enc, key="loan_id", label="default_flag"), "split_b")
+    split = score.stratified_split(enc, key="loan_id", label="default_flag")
     return score.fit_logistic(split.where(~F.col("is_test")), feat.B_MODEL_FEATURES, "default_flag"), split
 
 
@@ -50,7 +51,7 @@ def logistic_a(spark: SparkSession, sf_dir: str):
     """M-4 on profile A's encoded features, trained on the complete rows of
     the 80 % split; with all rows (an undefined ratio is scored as missing)."""
     enc = feat.encode_a(book_a.features(spark, sf_dir))
-    split = _landed(score.stratified_split(enc, key="loan_id", label="default_flag"), "split_a")
+    split = score.stratified_split(enc, key="loan_id", label="default_flag")
     return score.fit_logistic(split.where(~F.col("is_test")), feat.A_MODEL_FEATURES, "default_flag"), split
 
 
@@ -103,7 +104,7 @@ def run_b(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def gbt_sme(spark: SparkSession, sf_dir: str, **fit):
     """M-11 on the SME design matrix (numeric + one-hot industry); with all rows."""
     frame = score.sme_model_frame(sme.features(spark, sf_dir))
-    split = _landed(score.stratified_split(frame, key="company_id", label="true_label"), "split_sme")
+    split = score.stratified_split(frame, key="company_id", label="true_label")
     return score.fit_gbt(split.where(~F.col("is_test")), score.SME_MODEL_FEATURES, "true_label", **fit), split
 
 

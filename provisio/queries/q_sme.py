@@ -226,8 +226,7 @@ group by a.company_id, p.feature
 """, ("sme_features",))
 def m13_exact_shapley_bg100(spark, sf):
     """Exact Shapley values against 100 background companies."""
-    f = sme.features(spark, sf)
-    sh = explain.shapley_attributions(f, explain.background_sample(f, "company_id", 100))
+    sh = explain.shapley_against_sample(sme.features(spark, sf), 100)
     long = sh.select("company_id", "background_rows", F.explode("shapley").alias("s"))
     return long.select("company_id", F.col("s.feature").alias("feature"),
                        F.round("s.contribution", R9).alias("contribution"), "background_rows")

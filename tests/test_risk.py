@@ -160,6 +160,20 @@ def test_shapley_efficiency(spark):
         assert r.s == pytest.approx(r.fx - r.expected_pd, abs=1e-12)
 
 
+def test_shapley_against_sample_equals_the_two_steps(spark):
+    f = sme.features(spark, SF_SMOKE)
+    want = explain.shapley_attributions(f, explain.background_sample(f, "company_id", 7))
+    got = explain.shapley_against_sample(f, 7)
+    assert {r.background_rows for r in got.select("background_rows").collect()} == {7}
+    rows = [sorted((r.company_id, r.expected_pd, *[x.contribution for x in r.shapley]) for r in df.collect()) for df in (want, got)]
+    assert len(rows[0]) == len(rows[1]) > 0
+    assert all(a[0] == b[0] and a[1:] == pytest.approx(b[1:], abs=1e-12) for a, b in zip(*rows))
+    for too_many in (lambda: explain.shapley_against_sample(f, explain.MAX_BACKGROUND_ROWS + 1),
+                     lambda: explain.background_sample(f, "company_id", explain.MAX_BACKGROUND_ROWS + 1)):
+        with pytest.raises(ValueError, match="shapley_over_population"):
+            too_many()
+
+
 def test_zero_shock_returns_clipped_base(spark):
     st = sme.stressed(spark, SF_SMOKE).where("shock_rev = 0 and shock_vol = 1.0")
     assert st.where(F.abs(F.col("stressed_pd") - F.col("base_pd")) > 1e-12).count() == 0
@@ -236,6 +250,24 @@ def test_split_sizes_with_null_and_many_labels(spark):
     assert [r.is_test for r in hot] == [i < 2000 for i in range(len(hot))]
 
 
+def test_split_computes_its_input_once(spark):
+    from provisio.operators import score
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") % 2).alias("label")).mapInArrow(counted, "k long, label long")
+    got = score.stratified_split(df, key="k", label="label")
+    assert got.where("is_test").count() == 400 and got.where("not is_test").count() == 1600
+    assert seen.value == 2000
+    none = score.stratified_split(df.where("k < 0"), key="k", label="label")
+    assert none.columns == ["k", "label", "is_test"] and none.count() == 0
+
+
 def test_grade_mean_fill_equals_window(spark):
     from pyspark.sql import Window
 
