@@ -332,49 +332,111 @@ def members(df: DataFrame, ids: DataFrame, key: str = "company_id") -> DataFrame
 
 
 # ------------------------------------------------------------------ M-13 (any Spark ML model)
+def _thresholds(model, players: list[tuple[str, list[str]]]) -> dict[str, list[float]]:
+    """The thresholds a model of boosted trees compares each column with,
+    ascending; a column that is missing here must keep its values (one split
+    by categories, or any other model)."""
+    from pyspark.ml.classification import GBTClassificationModel
+
+    from .tree_shapley import paths_of
+
+    if not isinstance(model, GBTClassificationModel):
+        return {}
+    cols = [c for _, group in players for c in group]
+    cuts: dict[str, set[float]] = {c: set() for c in cols}
+    splits = paths_of(model, players).splits
+    for column, threshold, categories in splits:
+        if categories is None:
+            cuts[cols[column]].add(threshold)
+    for column, _, categories in splits:
+        if categories is not None:
+            cuts.pop(cols[column], None)
+    return {c: sorted(found) for c, found in cuts.items()}
+
+
+def _cell(x: Column, cuts: list[float] | None, above: float = float("inf")) -> Column:
+    """The smallest threshold that is not below ``x`` (infinity above them
+    all): it lies on the same side of every threshold as ``x``. A balanced
+    CASE tree; without thresholds, ``x`` itself."""
+    if cuts is None:
+        return x
+    if not cuts:
+        return F.lit(above)
+    m = len(cuts) // 2
+    return F.when(x <= F.lit(cuts[m]), _cell(x, cuts[:m], cuts[m])).otherwise(_cell(x, cuts[m + 1:], above))
+
+
 def shapley_for_model(df: DataFrame, model, players: list[tuple[str, list[str]]], background: list[dict], *,
                       key: str = "company_id", num_partitions: int | None = None) -> DataFrame:
     """M-13 for a trained Spark ML classifier: exact Shapley values of its
     probability, players = groups of model columns (one-hot columns of one
     category form one player).
 
-    Rows are expanded narrowly (explode of the literal background, then of
-    the coalition masks), scored in one ``model.transform`` pass, and reduced
-    with one grouped sum: φ_j = (1/B)·Σ_b Σ_S c_j(S)·f(x_S, b_rest), with
-    c_j(S) = w(|S|−1) when j ∈ S and −w(|S|) otherwise. Each entity's group
-    has exactly B·2^k rows and is pre-aggregated before the shuffle. The result
-    has the attribution shape of M-12 (with values) and the background's size;
-    a row with a NULL feature keeps NULL contributions, repeated keys stay apart.
+    φ_j = Σ_S c_j(S)·v(x_S), with c_j(S) = w(|S|−1) when j ∈ S and −w(|S|)
+    otherwise, and v(x_S) the mean of f(x_S, b_rest) over the background. v is
+    computed once for every coalition and *distinct* x_S, over the distinct
+    b_rest with their counts, in one ``model.transform`` pass. A model of trees
+    sees only which side of its thresholds a value lies on, so values between
+    the same two thresholds count as one there: the scored rows are bounded by
+    the thresholds, not by the number of rows (:func:`_cell`). For any other
+    model a value stands for itself. Equal rows are explained together and the
+    result joined back. It has the attribution shape of M-12 (with values) and
+    the background's size; a row with a NULL feature keeps NULL contributions,
+    repeated keys stay apart.
     """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
+    from ..sources.tables import land
+    from .sizing import checked_broadcast
     from .stress import spread_for_expansion
 
+    spark = df.sparkSession
     k = len(players)
     cols = [c for _, group in players for c in group]
+    owner = {c: j for j, (_, group) in enumerate(players) for c in group}
     nb = float(len(background))
-    bg = F.array(*[F.struct(*[F.lit(float(row[c])).alias(c) for c in cols]) for row in background])
     numbered = _numbered(df, [key, *cols])
-    base = spread_for_expansion(numbered.dropna(subset=cols).select("_row", *[F.col(c).cast("double").alias(c) for c in cols]), num_partitions)
-    with_bg = base.select("_row", *cols, F.explode(bg).alias("_b"))
-    expanded = with_bg.select("*", F.explode(F.sequence(F.lit(0), F.lit(2 ** k - 1))).alias("_mask"))
-    owner = {c: j for j, (_, group) in enumerate(players) for c in group}
-    mixed = expanded.select("_row", "_mask", *[
-        F.when(F.col("_mask").bitwiseAND(F.lit(1 << owner[c])) != 0, F.col(c)).otherwise(F.col(f"_b.{c}")).alias(c)
-        for c in cols])
-    assembled = VectorAssembler(inputCols=cols, outputCol="_features").transform(mixed)
-    scored = model.setFeaturesCol("_features").transform(assembled) \
-        .select("_row", "_mask", vector_to_array(F.col("probability"))[1].alias("_f"))
+    complete = F.lit(True)
+    for c in cols:
+        complete = complete & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    cuts = _thresholds(model, players)
+
+    def cells() -> list[Column]:
+        return [F.when(complete, _cell(F.col(c).cast("double"), cuts.get(c))).alias(f"_c_{c}") for c in cols]
+
+    def of_coalitions(frame: DataFrame, inside: bool) -> DataFrame:
+        """Every coalition's part of each row (or the others' part); NULL elsewhere."""
+        masked = frame.select("*", F.explode(F.sequence(F.lit(0), F.lit(2 ** k - 1))).alias("_mask"))
+        member = lambda c: (F.col("_mask").bitwiseAND(F.lit(1 << owner[c])) != 0) == F.lit(inside)
+        return masked.select("_mask", *[n for n in frame.columns if n == "_cell"], *[F.when(member(c), F.col(f"_c_{c}")).alias(f"_c_{c}") for c in cols])
+
+    parts = ["_mask", *[f"_c_{c}" for c in cols]]
+    distinct = numbered.where(complete).select(*cells()).distinct().withColumn("_cell", F.monotonically_increasing_id())
+    # written: both uses below must see the same numbers
+    asked = of_coalitions(spread_for_expansion(spark.read.parquet(land(distinct, name="cells")), num_partitions), True)
+    bg = spark.createDataFrame([tuple(float(row[c]) for c in cols) for row in background], ", ".join(f"`{c}` double" for c in cols))
+    others = of_coalitions(bg.select(*cells()), False).groupBy(*parts).agg(F.count(F.lit(1)).alias("_n")) \
+        .select("_mask", "_n", *[F.col(f"_c_{c}").alias(f"_b_{c}") for c in cols])       # at most 2^k rows a background row
+    mixed = spread_for_expansion(asked.select(*parts).distinct(), num_partitions).join(F.broadcast(others), "_mask") \
+        .select(*parts, "_n", *[F.coalesce(f"_c_{c}", f"_b_{c}").alias(f"_x_{c}") for c in cols])
+    assembled = VectorAssembler(inputCols=[f"_x_{c}" for c in cols], outputCol="_features").transform(mixed)
+    scored = model.setFeaturesCol("_features").transform(assembled).select(*parts, "_n", vector_to_array(F.col("probability"))[1].alias("_f"))
+    v = checked_broadcast(scored.groupBy(*parts).agg((F.sum(F.col("_f") * F.col("_n")) / nb).alias("_v"))
+                          .select("_v", *[F.col(p).alias(f"_v{p}") for p in parts]))
     w = shapley_weights(k)
 
     def coef(j: int) -> Column:
         vals = [w[bin(m).count("1") - 1] if m >> j & 1 else -w[bin(m).count("1")] for m in range(2 ** k)]
         return F.element_at(F.array(*[F.lit(v) for v in vals]), F.col("_mask") + 1)
 
-    agg = scored.groupBy("_row").agg(
-        *[(F.sum(F.col("_f") * coef(j)) / nb).alias(f"_phi{j}") for j in range(k)],
-        (F.sum(F.when(F.col("_mask") == 0, F.col("_f"))) / nb).alias("expected_pd"))
+    same = F.col("_mask") == F.col("_v_mask")
+    for p in parts[1:]:
+        same = same & F.col(p).eqNullSafe(F.col(f"_v{p}"))
+    agg = asked.join(v, same).groupBy("_cell").agg(
+        *[F.sum(F.col("_v") * coef(j)).alias(f"_phi{j}") for j in range(k)],
+        F.sum(F.when(F.col("_mask") == 0, F.col("_v"))).alias("expected_pd"),
+        *[F.max(p).alias(p) for p in parts[1:]])                 # one value each, that of the coalitions holding it
 
     def value(group: list[str]) -> Column:
         """A player's value: its column, or the place of the set one-hot column (0: none)."""
@@ -387,7 +449,7 @@ def shapley_for_model(df: DataFrame, model, players: list[tuple[str, list[str]]]
 
     phis = F.array(*[F.struct(F.lit(name).alias("feature"), F.lit(j).alias("feature_pos"), value(group).alias("value"),
                               F.col(f"_phi{j}").alias("contribution")) for j, (name, group) in enumerate(players)])
-    return numbered.join(agg, "_row", "left").select(key, phis.alias("shapley"), "expected_pd",
+    return numbered.select("*", *cells()).join(agg, parts[1:], "left").select(key, phis.alias("shapley"), "expected_pd",
                                                      F.lit(len(background)).alias("background_rows"))
 
 
