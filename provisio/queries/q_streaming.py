@@ -124,7 +124,8 @@ def _replayed(spark, sf):
             yield None
 
     stream = spark.readStream.schema(events.schema).option("maxBytesPerTrigger", ticks.BATCH_BYTES).parquet(path)
-    return sources.changes_stream(stream, delay=f"{delay} seconds", arrivals=arrivals(), state_partitions=4)
+    return sources.changes_stream(stream, delay=f"{delay} seconds", arrivals=arrivals(),
+                                  state_partitions=max(4, spark.sparkContext.defaultParallelism))     # a task a core
 
 
 @register("x2_source_changes_stream", SWITCHES, ("feed",))

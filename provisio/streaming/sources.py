@@ -10,9 +10,12 @@ row per switch:
    partial aggregates. A bucket leaves this step once the watermark has passed
    it: the next step sees every company in event-time order, and a company
    with a third of all ticks costs one row a bucket.
-3. Keyed state (``transformWithState``) holds a company's open stretch; an
-   event-time timer closes it. The timer is set one bucket after the expiry,
-   when every tick up to the expiry has been seen.
+3. Keyed state (``transformWithState``) holds the open stretches of a group of
+   companies (``STATE_GROUPS`` by hash); an event-time timer at the group's
+   first expiry closes those that are due. A stretch is due one bucket after
+   its expiry, when every tick up to the expiry has been seen. A call of the
+   processor costs milliseconds whatever it handles, so its number must not
+   grow with the companies: a group's buckets are handled at once, as arrays.
 
 Ticks may arrive up to ``delay`` late in any order without changing the result;
 later ones are dropped by the watermark, as in any such stream. The batch form
@@ -29,6 +32,7 @@ from ..sources.fixtures import company_id
 from .ticks import Arrivals, run_stream
 
 BUCKET_SECONDS = 60
+STATE_GROUPS = 256         # groups of companies that share a state row and a call
 DELAY = "10 minutes"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 CHANGES = "user_id long, at_us long, is_live boolean, price double, n_ticks long"
@@ -58,49 +62,74 @@ def changes_batch(ticks: DataFrame, *, max_age_seconds: int = mk.FRESHNESS_SECON
 
 
 def _switcher(max_age_seconds: int, bucket_seconds: int):
-    """The stateful processor; defined here so that it travels to the tasks by value."""
+    """The stateful processor of one group of companies; defined here so that it
+    travels to the tasks by value. One call handles all of a group's buckets."""
     from pyspark.sql.streaming import StatefulProcessor
 
     age = max_age_seconds * 1_000_000
     expires_ms = lambda last_us: (last_us + age) // 1000 + 1 + bucket_seconds * 1000
 
+    def frame(user_id, at_us, is_live, price, n_ticks):
+        import pandas as pd
+
+        return pd.DataFrame({"user_id": user_id, "at_us": at_us, "is_live": is_live, "price": price, "n_ticks": n_ticks})
+
     class Switcher(StatefulProcessor):
         def init(self, handle):
             self.handle = handle
-            self.open = handle.getValueState("open", "last_us long, price double, n_ticks long")
+            self.open = handle.getValueState("open", "user_id array<long>, last_us array<long>, price array<double>, n_ticks array<long>, timer_ms long")
+
+        def held(self):
+            """The group's open stretches as arrays, and its timer."""
+            import numpy as np
+
+            user_id, last_us, price, n_ticks, timer_ms = self.open.get() if self.open.exists() else ([], [], [], [], None)
+            return (np.array(user_id, dtype=np.int64), np.array(last_us, dtype=np.int64), np.array(price, dtype=np.float64),
+                    np.array(n_ticks, dtype=np.int64), timer_ms)
+
+        def keep(self, user_id, last_us, price, n_ticks, timer_ms):
+            """Hold these stretches, with a timer at the first expiry among them."""
+            first = int(expires_ms(last_us.min())) if len(last_us) else None
+            if first != timer_ms:
+                if timer_ms is not None:
+                    self.handle.deleteTimer(timer_ms)
+                if first is not None:
+                    self.handle.registerTimer(first)
+            if first is None:
+                self.open.clear()
+            else:
+                self.open.update((user_id.tolist(), last_us.tolist(), price.tolist(), n_ticks.tolist(), first))
 
         def handleInputRows(self, key, rows, timerValues):
+            import numpy as np
             import pandas as pd
 
-            held = self.open.get() if self.open.exists() else None
-            out = []
-            buckets = sorted((tuple(r) for part in rows for r in part[["first_us", "last_us", "first_price", "last_price", "n_ticks"]].itertuples(index=False)))
-            before = held[0] if held else None
-            for first_us, last_us, first_price, last_price, n_ticks in buckets:
-                if held is None or first_us > held[0] + age:
-                    if held is not None:
-                        out.append((key[0], held[0] + age, False, held[1], held[2]))
-                    out.append((key[0], int(first_us), True, float(first_price), 0))
-                    held = (int(last_us), float(last_price), int(n_ticks))
-                else:
-                    held = (int(last_us), float(last_price), held[2] + int(n_ticks))
-            if held[0] != before:
-                if before is not None:
-                    self.handle.deleteTimer(expires_ms(before))
-                self.handle.registerTimer(expires_ms(held[0]))
-                self.open.update(held)
-            yield pd.DataFrame(out, columns=["user_id", "at_us", "is_live", "price", "n_ticks"])
+            new = pd.concat(list(rows), ignore_index=True)
+            h_user, h_last, h_price, h_n, timer_ms = self.held()
+            joined = lambda held, column: np.concatenate([held, new[column].to_numpy(dtype=held.dtype)])
+            user, first, last = joined(h_user, "user_id"), joined(h_last, "first_us"), joined(h_last, "last_us")
+            first_price, last_price, n = joined(h_price, "first_price"), joined(h_price, "last_price"), joined(h_n, "n_ticks")
+            is_new = np.arange(len(user)) >= len(h_user)
+            order = np.lexsort((last, first, is_new, user))          # a company's open stretch, then its buckets
+            user, first, last, first_price, last_price, n, is_new = (x[order] for x in (user, first, last, first_price, last_price, n, is_new))
+            other = np.append(True, user[1:] != user[:-1])
+            starts = np.flatnonzero(other | np.append(True, first[1:] > last[:-1] + age))
+            ends = np.append(starts[1:], len(user)) - 1
+            ticks = np.add.reduceat(n, starts)
+            stays = np.append(other[starts[1:]], True)               # a company's last stretch
+            begun, closed = starts[is_new[starts]], ends[~stays]
+            yield frame(np.append(user[begun], user[closed]), np.append(first[begun], last[closed] + age),
+                        np.arange(len(begun) + len(closed)) < len(begun), np.append(first_price[begun], last_price[closed]),
+                        np.append(np.zeros(len(begun), dtype=np.int64), ticks[~stays]))
+            at = ends[stays]
+            self.keep(user[at], last[at], last_price[at], ticks[stays], timer_ms)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            import pandas as pd
-
-            out = []
-            if self.open.exists():
-                last_us, price, n_ticks = self.open.get()
-                if expires_ms(last_us) <= expiredTimerInfo.getExpiryTimeInMs():
-                    out.append((key[0], last_us + age, False, price, n_ticks))
-                    self.open.clear()
-            yield pd.DataFrame(out, columns=["user_id", "at_us", "is_live", "price", "n_ticks"])
+            user, last, price, n, timer_ms = self.held()
+            due = expires_ms(last) <= max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+            yield frame(user[due], last[due] + age, False, price[due], n[due])
+            # the timer that fired is removed by Spark
+            self.keep(user[~due], last[~due], price[~due], n[~due], None if timer_ms == expiredTimerInfo.getExpiryTimeInMs() else timer_ms)
 
         def close(self):
             pass
@@ -125,7 +154,8 @@ def changes_stream(ticks: DataFrame, *, delay: str = DELAY, max_age_seconds: int
     buckets = once.groupBy("user_id", F.window("_at", f"{BUCKET_SECONDS} seconds")).agg(
         F.min(us).alias("first_us"), F.max(us).alias("last_us"), F.min_by("value", order).alias("first_price"),
         F.max_by("value", order).alias("last_price"), F.count(F.lit(1)).alias("n_ticks"))
-    changes = buckets.groupBy("user_id").transformWithStateInPandas(_switcher(max_age_seconds, BUCKET_SECONDS), CHANGES, "append", "eventTime")
+    grouped = buckets.withColumn("state_group", F.pmod(F.xxhash64("user_id"), F.lit(STATE_GROUPS)))
+    changes = grouped.groupBy("state_group").transformWithStateInPandas(_switcher(max_age_seconds, BUCKET_SECONDS), CHANGES, "append", "eventTime")
 
     def write(batch: DataFrame, n: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch_id={n}")

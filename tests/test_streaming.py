@@ -117,3 +117,63 @@ def test_stateful_stream_equals_batch_with_late_and_repeated_ticks(spark):
     from provisio.streaming import sources
 
     assert _same(queries()["x2_source_changes_stream"](spark, SF_SMOKE), sources.changes_batch(fixtures.feed(spark, SF_SMOKE)))
+
+
+class _Handle:
+    """The state of one key of a stateful processor: one value and its timers."""
+
+    def __init__(self):
+        self.value, self.timers = None, set()
+
+    def getValueState(self, name, schema):
+        return self
+
+    exists = lambda self: self.value is not None
+    get = lambda self: self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def registerTimer(self, ms):
+        self.timers.add(ms)
+
+    def deleteTimer(self, ms):
+        self.timers.remove(ms)
+
+
+def test_one_call_handles_all_companies_of_a_group():
+    """A group's open stretches share one state row and one timer, at the first expiry."""
+    from types import SimpleNamespace
+
+    import pandas as pd
+
+    from provisio.streaming import sources
+
+    s = 1_000_000
+    switcher, handle = sources._switcher(3600, 60), _Handle()
+    switcher.init(handle)
+    cols = ["user_id", "first_us", "last_us", "first_price", "last_price", "n_ticks"]
+    feed = lambda *rows: [pd.DataFrame(list(rows), columns=cols)]
+    at = lambda ms: (SimpleNamespace(getCurrentWatermarkInMs=lambda: ms), SimpleNamespace(getExpiryTimeInMs=lambda: min(handle.timers)))
+    rows = lambda frames: sorted(map(tuple, pd.concat(list(frames)).astype(object).itertuples(index=False)))
+
+    def expire(ms):
+        timers, info = at(ms)
+        fired = info.getExpiryTimeInMs()
+        out = rows(switcher.handleExpiredTimer((0,), timers, SimpleNamespace(getExpiryTimeInMs=lambda: fired)))
+        handle.timers.discard(fired)
+        return out
+
+    got = rows(switcher.handleInputRows((0,), iter(feed((8, 10 * s, 20 * s, 5.0, 6.0, 2), (7, 5000 * s, 5001 * s, 3.0, 4.0, 3)) + feed((7, 0, s, 1.0, 2.0, 4))), None))
+    assert got == [(7, 0, True, 1.0, 0), (7, 3601 * s, False, 2.0, 4), (7, 5000 * s, True, 3.0, 0), (8, 10 * s, True, 5.0, 0)]
+    assert handle.timers == {3620_000 + 1 + 60_000}                       # that of company 8
+    got = rows(switcher.handleInputRows((0,), iter(feed((8, 3620 * s, 3700 * s, 7.0, 8.0, 1), (9, 4000 * s, 4000 * s, 8.5, 9.0, 1))), None))
+    assert got == [(9, 4000 * s, True, 8.5, 0)] and handle.value[3] == [3, 3, 1]      # a tick of exactly the age joins: 2 + 1 ticks
+    assert handle.timers == {7300_000 + 1 + 60_000}
+    assert expire(7_700_000) == [(8, 7300 * s, False, 8.0, 3), (9, 7600 * s, False, 9.0, 1)]
+    assert handle.value[0] == [7] and handle.timers == {8601_000 + 1 + 60_000}
+    assert expire(9_000_000) == [(7, 8601 * s, False, 4.0, 3)]
+    assert handle.value is None and not handle.timers
