@@ -50,13 +50,14 @@ def stressed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def memos(spark: SparkSession, sf_dir: str, *, shock_rev: float = 0.0, shock_vol: float = 1.0,
-          as_of: str | None = None, attributions: DataFrame | None = None) -> DataFrame:
+          as_of: str | None = None, attributions: DataFrame | None = None, factors: DataFrame | None = None) -> DataFrame:
     """R-9: one plain-text memo per company for one scenario (the sliders'
     defaults unless given); header name and source come from the market
-    side (live company → its name and the exchange feed; else simulated)."""
+    side (live company → its name and the exchange feed; else simulated).
+    ``factors`` are ready factor tables, which then are not computed again."""
     from ..plans import market as mk
 
-    ft = factor_tables(spark, sf_dir, attributions)
+    ft = factor_tables(spark, sf_dir, attributions) if factors is None else factors
     info = mk.company_info(spark, sf_dir)
     day = F.lit(as_of) if as_of else F.date_format(F.current_date(), "yyyy-MM-dd")
     j = ft.join(info, "company_id", "left")

@@ -267,12 +267,15 @@ def r7_factor_table_trees(spark, sf):
 select company_id, true as has_pd, true as has_factors from sme_features
 """, ("sme_features",))
 def r9_memo_trees(spark, sf):
-    """R-9 on the trees: every memo states the trees' PD and each of its factors."""
+    """R-9 on the trees: every memo states the trees' PD and each of its factors.
+    The factor tables are written once; the memos and the check read them."""
     from ..functions.text import fmt_pct2
     from ..plans import sme
+    from ..sources.tables import land
 
     a = models.attributed_by_population(spark, sf)
-    memo = sme.memos(spark, sf, as_of="2000-01-01", attributions=a).join(sme.factor_tables(spark, sf, a), "company_id")
+    ft = spark.read.parquet(land(sme.factor_tables(spark, sf, a), name="factor_tables"))
+    memo = sme.memos(spark, sf, as_of="2000-01-01", factors=ft).join(ft.select("company_id", "predicted_default_prob", "factors"), "company_id")
     return memo.select("company_id", F.contains("memo", F.concat(F.lit("Model Prediction (PD): "), fmt_pct2(F.col("predicted_default_prob")))).alias("has_pd"),
                        F.forall("factors", lambda f: F.contains(F.col("memo"), f["commentary"])).alias("has_factors"))
 

@@ -88,3 +88,22 @@ def test_model_vote(spark):
     got = backtest.vote(scores, weights, ["a", "b"], "period").collect()
     key = lambda r: (r[0], r[1], r[2])
     assert [r.pd_vote for r in sorted(got, key=key)] == pytest.approx([r[4] for r in sorted(rows, key=key)], abs=1e-12)
+
+
+def test_memos_of_trees_compute_the_factor_tables_once(spark, monkeypatch):
+    from provisio.operators import explain
+    from provisio.plans import models, sme
+    from provisio.queries import queries
+
+    attributed = sme.attributed(spark, "/root/testdata/sf0.001")
+    plain, calls = explain.factor_table, []
+
+    def counted(*args):
+        calls.append(args)
+        return plain(*args)
+
+    monkeypatch.setattr(models, "attributed_by_population", lambda *a, **k: attributed)
+    monkeypatch.setattr(explain, "factor_table", counted)
+    rows = queries()["r9_memo_trees"](spark, "/root/testdata/sf0.001").collect()
+    assert len(calls) == 1
+    assert len(rows) == attributed.count() and all(r.has_pd and r.has_factors for r in rows)
